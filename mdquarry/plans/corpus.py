@@ -7,10 +7,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import images as im
 from ..operators.facts import with_fact_array
 from ..operators.frontmatter import split_frontmatter
+from ..operators.neighbours import MAX_CHARS, Neighbours
 from ..operators.sections import split_sections
-from ..sources.fixtures import load_md_documents
+from ..sources.fixtures import load_md_documents, manifest_from_refs
 
 
 @dataclass
@@ -19,6 +21,8 @@ class Corpus:
 
     docs_md: DataFrame  # doc_id, document_name, raw
     docs_root: str = "markdown_docs"
+    manifest_df: DataFrame | None = None  # path; derived from the corpus when None
+    block_size: int = 1024
     _memo: dict = field(default_factory=dict)
 
     @classmethod
@@ -55,3 +59,50 @@ class Corpus:
             "doc_id", "document_name", "section_idx",
             F.posexplode("facts").alias("fact_number", "fact"),
         ).withColumn("fact_number", F.col("fact_number").cast("int")))
+
+    # --- images -------------------------------------------------------------
+    SKEYS = ["doc_id", "document_name", "section_idx"]
+
+    @property
+    def content_refs(self) -> DataFrame:
+        return self._m("content_refs", lambda: im.extract_refs(self.docs, "content", ["doc_id", "document_name"]))
+
+    @property
+    def manifest(self) -> DataFrame:
+        return self._m("manifest", lambda: self.manifest_df if self.manifest_df is not None
+                       else manifest_from_refs(self.content_refs, self.docs_root))
+
+    @property
+    def section_refs(self) -> DataFrame:
+        return self._m("section_refs", lambda: im.extract_refs(self.sections, "section", self.SKEYS))
+
+    @property
+    def section_resolved(self) -> DataFrame:
+        return self._m("section_resolved", lambda: im.resolve(self.section_refs, self.manifest, self.SKEYS,
+                                                              self.docs_root))
+
+    @property
+    def section_images(self) -> DataFrame:
+        """doc_id, section_idx, image_paths (resolved, in reference order)."""
+        return self._m("section_images", lambda: im.attach(self.section_resolved, ["doc_id", "section_idx"]))
+
+    @property
+    def truncated_images(self) -> DataFrame:
+        """Images of the first 2000 characters of each section (what a neighbour contributes)."""
+        def build():
+            refs = im.extract_refs(self.sections, F.substring("section", 1, MAX_CHARS), self.SKEYS)
+            return im.attach(im.resolve(refs, self.manifest, self.SKEYS, self.docs_root), ["doc_id", "section_idx"])
+        return self._m("truncated_images", build)
+
+    # --- neighbours -----------------------------------------------------------
+    @property
+    def nn(self) -> Neighbours:
+        return self._m("nn", lambda: Neighbours(self.sections, block_size=self.block_size))
+
+    @property
+    def section_neighbours(self) -> DataFrame:
+        return self._m("section_neighbours", lambda: self.nn.of_sections())
+
+    @property
+    def fact_neighbours(self) -> DataFrame:
+        return self._m("fact_neighbours", lambda: self.nn.of_facts(self.facts))

@@ -137,6 +137,121 @@ SELECT doc_id, document_name, section_idx, unnest(facts) AS fact,
 FROM fact_arrays""")
 
 
+# --- images ---------------------------------------------------------------------
+REF_RE = "'\\{\\{([^}]+)\\}\\}'"
+cte("content_refs", ("frontmatter",), f"""
+SELECT doc_id, document_name, unnest(r) AS ref, generate_subscripts(r, 1) AS ref_pos
+FROM (SELECT doc_id, document_name, regexp_extract_all(content, {REF_RE}, 1) AS r FROM frontmatter)""")
+
+cte("manifest", ("content_refs",), f"""
+SELECT unnest(CASE b WHEN 0 THEN [document_name || '/' || ref || '.png']
+                     WHEN 1 THEN [document_name || '/' || ref || '.jpg', 'markdown_docs/' || document_name || '/' || ref || '.png']
+                     WHEN 2 THEN ['markdown_docs/' || document_name || '/' || ref || '.jpeg']
+                     ELSE [] END) AS path
+FROM (SELECT DISTINCT document_name, ref, {_h("document_name || ref")} % 4 AS b FROM content_refs)""")
+
+cte("section_refs", ("sections",), f"""
+SELECT doc_id, document_name, section_idx, unnest(r) AS ref, generate_subscripts(r, 1) AS ref_pos
+FROM (SELECT doc_id, document_name, section_idx, regexp_extract_all(section, {REF_RE}, 1) AS r FROM sections)""")
+
+cte("trunc_refs", ("sections",), f"""
+SELECT doc_id, document_name, section_idx, unnest(r) AS ref, generate_subscripts(r, 1) AS ref_pos
+FROM (SELECT doc_id, document_name, section_idx, regexp_extract_all(substr(section, 1, 2000), {REF_RE}, 1) AS r FROM sections)""")
+
+CANDS = """(VALUES (1, '', '.png'), (2, '', '.jpg'), (3, '', '.jpeg'),
+        (4, 'markdown_docs/', '.png'), (5, 'markdown_docs/', '.jpg'), (6, 'markdown_docs/', '.jpeg')) c(prio, pre, ext)"""
+
+
+def _resolved(src: str, keys: str) -> str:
+    return f"""
+SELECT {keys}, ref_pos, ref, arg_min(path, prio) AS image_path
+FROM (SELECT r.*, c.prio, c.pre || r.document_name || '/' || r.ref || c.ext AS path FROM {src} r, {CANDS})
+WHERE path IN (SELECT path FROM manifest)
+GROUP BY {keys}, ref_pos, ref"""
+
+
+cte("section_resolved", ("section_refs", "manifest"), _resolved("section_refs", "doc_id, document_name, section_idx"))
+cte("trunc_resolved", ("trunc_refs", "manifest"), _resolved("trunc_refs", "doc_id, document_name, section_idx"))
+cte("content_resolved", ("content_refs", "manifest"), _resolved("content_refs", "doc_id, document_name"))
+
+cte("section_images", ("section_resolved",), """
+SELECT doc_id, section_idx, list(image_path ORDER BY ref_pos) AS image_paths FROM section_resolved GROUP BY ALL""")
+cte("trunc_images", ("trunc_resolved",), """
+SELECT doc_id, section_idx, list(image_path ORDER BY ref_pos) AS image_paths FROM trunc_resolved GROUP BY ALL""")
+
+# --- neighbours -------------------------------------------------------------------
+TOK_RE = "'[\\p{L}\\p{N}_]{2,}'"
+STOP = "(" + ", ".join("'" + w.replace("'", "''") + "'" for w in english_stop_words()) + ")"
+cte("nsec", ("sections",), "SELECT doc_id, count(*) AS n FROM sections GROUP BY doc_id")
+cte("ctf", ("sections",), f"""
+SELECT doc_id, section_idx, term, count(*) AS tf
+FROM (SELECT doc_id, section_idx, unnest(regexp_extract_all(lower(substr(section, 1, 2000)), {TOK_RE})) AS term FROM sections)
+WHERE term NOT IN {STOP}
+GROUP BY ALL""")
+cte("vocab", ("ctf", "nsec"), """
+SELECT v.doc_id, v.term, v.rn - 1 AS term_id, ln((1.0 + n) / (1.0 + dfreq)) + 1 AS idf
+FROM (SELECT doc_id, term, sum(tf) AS cf, count(*) AS dfreq,
+             row_number() OVER (PARTITION BY doc_id ORDER BY sum(tf) DESC, term) AS rn
+      FROM ctf GROUP BY doc_id, term) v JOIN nsec USING (doc_id)
+WHERE v.rn <= 500""")
+cte("cw", ("ctf", "vocab"), """
+SELECT doc_id, section_idx, term, tf, term_id, idf,
+       tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY doc_id, section_idx)) AS weight
+FROM ctf JOIN vocab USING (doc_id, term)""")
+cte("qw", ("sections", "vocab"), f"""
+SELECT doc_id, section_idx, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY doc_id, section_idx)) AS weight
+FROM (SELECT doc_id, section_idx, term, count(*) AS tf
+      FROM (SELECT doc_id, section_idx, unnest(regexp_extract_all(lower(section), {TOK_RE})) AS term FROM sections)
+      GROUP BY ALL) JOIN vocab USING (doc_id, term)""")
+cte("fqw", ("facts", "vocab"), f"""
+SELECT doc_id, section_idx, fact_number, term,
+       tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY doc_id, section_idx, fact_number)) AS weight
+FROM (SELECT doc_id, section_idx, fact_number, term, count(*) AS tf
+      FROM (SELECT doc_id, section_idx, fact_number, unnest(regexp_extract_all(lower(fact), {TOK_RE})) AS term FROM facts)
+      GROUP BY ALL) JOIN vocab USING (doc_id, term)""")
+
+
+def _knn(qsrc: str, qkeys: list[str], self_col: str) -> str:
+    qk = ", ".join(f"q.{k}" for k in qkeys)
+    part = ", ".join(f"p.{k}" for k in qkeys)
+    on = " AND ".join(f"d.{k} = p.{k}" for k in qkeys)
+    return f"""
+SELECT {", ".join(qkeys)}, nbr_idx, sim, row_number() OVER (PARTITION BY {", ".join(qkeys)} ORDER BY rk)::BIGINT AS rank
+FROM (
+  SELECT {part}, p.c AS nbr_idx, coalesce(d.sim, 0.0) AS sim, nsec.n,
+         row_number() OVER (PARTITION BY {part} ORDER BY round(coalesce(d.sim, 0.0), 6) DESC, p.c) AS rk
+  FROM (SELECT DISTINCT {qk}, s.section_idx AS c FROM {qsrc} q JOIN sections s ON s.doc_id = q.doc_id) p
+  JOIN nsec ON nsec.doc_id = p.doc_id
+  LEFT JOIN (SELECT {qk}, c.section_idx AS c, sum(q.weight * c.weight) AS sim
+             FROM {qsrc}_w q JOIN cw c ON c.doc_id = q.doc_id AND c.term = q.term GROUP BY ALL) d
+    ON {on} AND d.c = p.c)
+WHERE rk <= least(3, n - 1) AND nbr_idx <> {self_col}"""
+
+
+cte("qsec", ("sections",), "SELECT doc_id, section_idx FROM sections")
+cte("qsec_w", ("qw",), "SELECT * FROM qw")
+cte("qfact", ("facts",), "SELECT doc_id, section_idx, fact_number FROM facts")
+cte("qfact_w", ("fqw",), "SELECT * FROM fqw")
+cte("section_neighbours", ("qsec", "qsec_w", "cw", "nsec"), _knn("qsec", ["doc_id", "section_idx"], "section_idx"))
+cte("fact_neighbours", ("qfact", "qfact_w", "cw", "nsec"),
+    _knn("qfact", ["doc_id", "section_idx", "fact_number"], "section_idx"))
+
+cte("neighbour_ctx", ("section_neighbours", "sections", "trunc_images", "section_images"), f"""
+SELECT s.doc_id, s.section_idx,
+  coalesce(n.ntext, 'No additional relevant sections found') AS neighbour_text,
+  coalesce(n.nimgs, []) AS neighbour_images,
+  coalesce(si.image_paths, []) AS own_images
+FROM sections s
+LEFT JOIN (SELECT nb.doc_id, nb.section_idx,
+             string_agg(substr(t.section, 1, 2000), {NL} || {NL} ORDER BY nb.rank) AS ntext,
+             flatten(list(coalesce(ti.image_paths, []) ORDER BY nb.rank)) AS nimgs
+           FROM section_neighbours nb
+           JOIN sections t ON t.doc_id = nb.doc_id AND t.section_idx = nb.nbr_idx
+           LEFT JOIN trunc_images ti ON ti.doc_id = nb.doc_id AND ti.section_idx = nb.nbr_idx
+           GROUP BY nb.doc_id, nb.section_idx) n
+  ON n.doc_id = s.doc_id AND n.section_idx = s.section_idx
+LEFT JOIN section_images si ON si.doc_id = s.doc_id AND si.section_idx = s.section_idx""")
+
 def with_ctes(*names: str, body: str) -> str:
     order: list[str] = []
 
@@ -175,4 +290,39 @@ FROM sections""")
     q["facts"] = with_ctes("facts", body="""
 SELECT doc_id, section_idx::BIGINT AS section_idx, fact_number::BIGINT AS fact_number, fact
 FROM facts""")
+    q["image_refs"] = with_ctes("section_refs", body="""
+SELECT doc_id, section_idx::BIGINT AS section_idx, ref_pos::BIGINT AS ref_pos, ref FROM section_refs""")
+    q["image_resolution"] = with_ctes("section_resolved", body="""
+SELECT doc_id, section_idx::BIGINT AS section_idx, ref_pos::BIGINT AS ref_pos, ref, image_path FROM section_resolved""")
+    q["missing_images"] = with_ctes("section_refs", "section_resolved", body="""
+SELECT doc_id, section_idx::BIGINT AS section_idx, ref_pos::BIGINT AS ref_pos, ref FROM section_refs r
+WHERE NOT EXISTS (SELECT 1 FROM section_resolved x WHERE x.doc_id = r.doc_id AND x.section_idx = r.section_idx
+                  AND x.ref_pos = r.ref_pos)""")
+    q["image_preflight"] = with_ctes("content_refs", "content_resolved", body="""
+SELECT r.doc_id, count(*)::BIGINT AS n_refs, count(x.image_path)::BIGINT AS n_resolved,
+       count(*) FILTER (WHERE x.image_path IS NULL)::BIGINT AS n_missing
+FROM content_refs r LEFT JOIN content_resolved x ON x.doc_id = r.doc_id AND x.ref_pos = r.ref_pos
+GROUP BY r.doc_id""")
+    q["section_images"] = with_ctes("section_resolved", body="""
+SELECT doc_id, section_idx::BIGINT AS section_idx,
+       row_number() OVER (PARTITION BY doc_id, section_idx ORDER BY ref_pos)::BIGINT AS image_pos, image_path,
+       CASE WHEN regexp_matches(b, '^\\.[^.]*$') THEN b ELSE regexp_replace(b, '\\.[^./]*$', '') END AS image_name,
+       CASE lower(regexp_extract(b, '\\.([^.]*)$', 1)) WHEN 'png' THEN 'image/png' WHEN 'jpg' THEN 'image/jpeg'
+            WHEN 'jpeg' THEN 'image/jpeg' ELSE 'application/octet-stream' END AS mime_type
+FROM (SELECT *, regexp_extract(image_path, '[^/]*$') AS b FROM section_resolved)""")
+    q["term_weights"] = with_ctes("cw", body="""
+SELECT doc_id, section_idx::BIGINT AS section_idx, term, tf::BIGINT AS tf, term_id::BIGINT AS term_id,
+       round(idf * 1e6)::BIGINT AS idf_e6, round(weight * 1e6)::BIGINT AS weight_e6 FROM cw""")
+    q["section_neighbours"] = with_ctes("section_neighbours", body="""
+SELECT doc_id, section_idx::BIGINT AS section_idx, rank, nbr_idx::BIGINT AS nbr_idx,
+       round(round(sim, 6) * 1e6)::BIGINT AS sim_e6 FROM section_neighbours""")
+    q["fact_neighbours"] = with_ctes("fact_neighbours", body="""
+SELECT doc_id, section_idx::BIGINT AS section_idx, fact_number::BIGINT AS fact_number, rank,
+       nbr_idx::BIGINT AS nbr_idx, round(round(sim, 6) * 1e6)::BIGINT AS sim_e6 FROM fact_neighbours""")
+    q["neighbour_context"] = with_ctes("neighbour_ctx", body="""
+SELECT doc_id, section_idx::BIGINT AS section_idx, length(neighbour_text)::BIGINT AS neighbour_len,
+       md5(neighbour_text) AS neighbour_md5, array_to_string(neighbour_images, '|') AS neighbour_images,
+       array_to_string(list_concat(own_images, neighbour_images), '|') AS all_images,
+       len(list_concat(own_images, neighbour_images))::BIGINT AS n_images
+FROM neighbour_ctx""")
     return q

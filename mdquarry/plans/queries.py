@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import images as im
+from ..operators import neighbours as nb
 from ..operators.frontmatter import metadata_rows, missing_required_metadata
 from .corpus import Corpus
 
@@ -65,3 +67,96 @@ def q_facts(spark, sf_dir):
     f = _c(spark, sf_dir).facts
     return f.select("doc_id", F.col("section_idx").cast("bigint").alias("section_idx"),
                     F.col("fact_number").cast("bigint").alias("fact_number"), "fact")
+
+
+# --- images ------------------------------------------------------------------------
+@query
+def q_image_refs(spark, sf_dir):
+    r = _c(spark, sf_dir).section_refs
+    return r.select("doc_id", F.col("section_idx").cast("bigint").alias("section_idx"),
+                    F.col("ref_pos").cast("bigint").alias("ref_pos"), "ref")
+
+
+@query
+def q_image_resolution(spark, sf_dir):
+    r = _c(spark, sf_dir).section_resolved
+    return r.select("doc_id", F.col("section_idx").cast("bigint").alias("section_idx"),
+                    F.col("ref_pos").cast("bigint").alias("ref_pos"), "ref", "image_path")
+
+
+@query
+def q_missing_images(spark, sf_dir):
+    c = _c(spark, sf_dir)
+    m = im.unresolved(c.section_refs, c.section_resolved, c.SKEYS)
+    return m.select("doc_id", F.col("section_idx").cast("bigint").alias("section_idx"),
+                    F.col("ref_pos").cast("bigint").alias("ref_pos"), "ref")
+
+
+@query
+def q_image_preflight(spark, sf_dir):
+    """Resolve the references of whole documents before the run."""
+    c = _c(spark, sf_dir)
+    keys = ["doc_id", "document_name"]
+    res = im.resolve(c.content_refs, c.manifest, keys, c.docs_root)
+    j = c.content_refs.join(res.select(*keys, "ref_pos", "image_path"), [*keys, "ref_pos"], "left")
+    return j.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n_refs"),
+        F.count("image_path").alias("n_resolved"),
+        F.count_if(F.col("image_path").isNull()).alias("n_missing"))
+
+
+@query
+def q_section_images(spark, sf_dir):
+    s = _c(spark, sf_dir).section_images
+    e = s.select("doc_id", "section_idx", F.posexplode("image_paths").alias("p", "image_path"))
+    return e.select("doc_id", F.col("section_idx").cast("bigint").alias("section_idx"),
+                    (F.col("p") + 1).cast("bigint").alias("image_pos"), "image_path",
+                    im.image_name(F.col("image_path")).alias("image_name"),
+                    im.mime_type(F.col("image_path")).alias("mime_type"))
+
+
+# --- neighbours --------------------------------------------------------------------
+def _e6(c):
+    return F.round(F.col(c) * 1e6).cast("bigint")
+
+
+@query
+def q_term_weights(spark, sf_dir):
+    w = _c(spark, sf_dir).nn.term_weights()
+    return w.select("doc_id", F.col("section_idx").cast("bigint").alias("section_idx"), "term",
+                    F.col("tf").cast("bigint").alias("tf"), F.col("term_id").cast("bigint").alias("term_id"),
+                    _e6("idf").alias("idf_e6"), _e6("weight").alias("weight_e6"))
+
+
+@query
+def q_section_neighbours(spark, sf_dir):
+    n = _c(spark, sf_dir).section_neighbours
+    return n.select("doc_id", F.col("section_idx").cast("bigint").alias("section_idx"),
+                    F.col("rank").cast("bigint").alias("rank"), F.col("nbr_idx").cast("bigint").alias("nbr_idx"),
+                    _e6("sim").alias("sim_e6"))
+
+
+@query
+def q_fact_neighbours(spark, sf_dir):
+    n = _c(spark, sf_dir).fact_neighbours
+    return n.select("doc_id", F.col("section_idx").cast("bigint").alias("section_idx"),
+                    F.col("fact_number").cast("bigint").alias("fact_number"),
+                    F.col("rank").cast("bigint").alias("rank"), F.col("nbr_idx").cast("bigint").alias("nbr_idx"),
+                    _e6("sim").alias("sim_e6"))
+
+
+@query
+def q_neighbour_context(spark, sf_dir):
+    c = _c(spark, sf_dir)
+    keys = ["doc_id", "section_idx"]
+    ctx = nb.neighbour_context(c.section_neighbours, c.sections, keys, c.truncated_images)
+    base = c.sections.select(*keys).join(c.section_images, keys, "left").select(
+        *keys, F.coalesce("image_paths", F.array().cast("array<string>")).alias("own_images"))
+    full = nb.with_neighbour_context(base, ctx, keys)
+    allimg = F.concat("own_images", "neighbour_images")
+    return full.select("doc_id", F.col("section_idx").cast("bigint").alias("section_idx"),
+                       F.length("neighbour_text").cast("bigint").alias("neighbour_len"),
+                       F.md5("neighbour_text").alias("neighbour_md5"),
+                       F.array_join("neighbour_images", "|").alias("neighbour_images"),
+                       F.array_join(allimg, "|").alias("all_images"),
+                       F.size(allimg).cast("bigint").alias("n_images"))
