@@ -68,7 +68,7 @@ def list_items_linked(paragraph: Column) -> Column:
     ))
     return F.transform(flat, lambda it, i: F.when(
         it["sub"],
-        F.concat(F.coalesce(F.element_at(F.filter(F.slice(flat, 1, i + 1), lambda p: ~p["sub"]), -1)["head"],
+        F.concat(F.coalesce(F.try_element_at(F.filter(F.slice(flat, 1, i + 1), lambda p: ~p["sub"]), F.lit(-1))["head"],
                             F.lit("")), F.lit(" - "), it["text"]),
     ).otherwise(it["text"]))
 

@@ -35,7 +35,7 @@ def _entries(block: Column) -> Column:
     firsts = F.filter(raw, lambda e, i: ~F.exists(F.slice(raw, 1, i), lambda p: p["key"] == e["key"]))
     return F.transform(firsts, lambda e: F.struct(
         e["key"].alias("key"),
-        F.element_at(F.filter(raw, lambda p: p["key"] == e["key"]), -1)["value"].alias("value"),
+        F.try_element_at(F.filter(raw, lambda p: p["key"] == e["key"]), F.lit(-1))["value"].alias("value"),
     )), lines
 
 
@@ -72,7 +72,7 @@ def metadata_rows(docs: DataFrame) -> DataFrame:
 
 def document_title(metadata: Column, default: str = "the document") -> Column:
     """``metadata['title']`` or a default."""
-    t = F.element_at(F.filter(metadata, lambda e: e["key"] == "title"), 1)["value"]
+    t = F.try_element_at(F.filter(metadata, lambda e: e["key"] == "title"), F.lit(1))["value"]
     return F.coalesce(t, F.lit(default))
 
 

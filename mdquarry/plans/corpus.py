@@ -7,12 +7,17 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import header_body, header_title
+from ..operators import frontmatter as fm
 from ..operators import images as im
+from ..operators import neighbours as nb
+from ..operators import requests as rq
 from ..operators.facts import with_fact_array
 from ..operators.frontmatter import split_frontmatter
 from ..operators.neighbours import MAX_CHARS, Neighbours
 from ..operators.sections import split_sections
 from ..sources.fixtures import load_md_documents, manifest_from_refs
+from .templates import DEFAULT_DOC_TITLE, DEFAULT_TITLE_A, DEFAULT_TITLE_B, NO_NEIGHBOURS
 
 
 @dataclass
@@ -106,3 +111,81 @@ class Corpus:
     @property
     def fact_neighbours(self) -> DataFrame:
         return self._m("fact_neighbours", lambda: self.nn.of_facts(self.facts))
+
+    # --- requests -------------------------------------------------------------
+    @property
+    def doc_context(self) -> DataFrame:
+        """doc_id, doc_title, metadata_txt, instructions."""
+        def build():
+            title = fm.document_title(F.col("metadata"), DEFAULT_DOC_TITLE)
+            return self.docs.select("doc_id", title.alias("doc_title"),
+                                    fm.metadata_block(F.col("metadata")).alias("metadata_txt"),
+                                    rq.common_instructions(title).alias("instructions"))
+        return self._m("doc_context", build)
+
+    @property
+    def seeds(self) -> DataFrame:
+        return self._m("seeds", lambda: rq.seed_fact(self.section_facts))
+
+    @property
+    def partners(self) -> DataFrame:
+        return self._m("partners", lambda: rq.partners(self.sections))
+
+    @property
+    def section_context(self) -> DataFrame:
+        """One row per section with every prompt slot (joins at section grain)."""
+        def build():
+            keys = ["doc_id", "section_idx"]
+            nctx = nb.neighbour_context(self.section_neighbours, self.sections, keys, self.truncated_images)
+            other = self.sections.select("doc_id", F.col("section_idx").alias("partner_idx"),
+                                         F.col("section").alias("section_b"))
+            s = (self.sections.join(self.doc_context, "doc_id")
+                 .join(self.section_images, keys, "left")
+                 .join(nctx, keys, "left")
+                 .join(self.seeds, keys, "left")
+                 .join(self.partners, keys, "left")
+                 .join(other, ["doc_id", "partner_idx"], "left"))
+            own = F.coalesce("image_paths", F.array().cast("array<string>"))
+            nimg = F.coalesce("neighbour_images", F.array().cast("array<string>"))
+            return s.select(
+                "doc_id", "document_name", "section_idx", "section", "title", "body", "doc_title",
+                "metadata_txt", "instructions", "seed_fact", "partner_idx",
+                own.alias("own_images"),
+                F.coalesce("neighbour_text", F.lit(NO_NEIGHBOURS)).alias("neighbour_text"),
+                F.concat(own, nimg).alias("all_images"),
+                im.image_block(F.concat(own, nimg)).alias("images_block"),
+                header_title(F.col("section"), DEFAULT_TITLE_A).alias("title_a"),
+                F.coalesce(header_title(F.col("section_b"), DEFAULT_TITLE_B), F.lit("")).alias("title_b"),
+                F.coalesce(header_body(F.col("section_b")), F.lit("")).alias("body2"),
+            )
+        return self._m("section_context", build)
+
+    def _slots(self, fact_rows: bool) -> dict:
+        e = F.lit("")
+        return {
+            "metadata": F.col("metadata_txt"), "instructions": F.col("instructions"), "section": F.col("section"),
+            "neighbours": F.col("neighbour_text"), "images": F.col("images_block"), "title": F.col("title"),
+            "body": F.col("body"), "title_a": F.col("title_a"), "title_b": F.col("title_b"), "body2": F.col("body2"),
+            "seed_fact": e if fact_rows else F.coalesce("seed_fact", e),
+            "fact": F.col("fact") if fact_rows else e,
+            "fact_neighbours": F.col("fact_neighbour_text") if fact_rows else e,
+        }
+
+    @property
+    def requests(self) -> DataFrame:
+        """request_id, doc_id, document_name, section_idx, fact_number, question_type, difficulty,
+        ordinal, is_summary, batch_id, prompt, images (E1-E13)."""
+        def build():
+            ctx = self.section_context
+            srq = rq.section_requests(ctx)
+            srq = srq.withColumn("prompt", rq.render(self._slots(False), F.col("question_type")))
+            fkeys = ["doc_id", "section_idx", "fact_number"]
+            fctx = nb.neighbour_context(self.fact_neighbours, self.sections, fkeys)
+            f = (self.facts.join(ctx.drop("document_name"), ["doc_id", "section_idx"])
+                 .join(fctx.select(*fkeys, F.col("neighbour_text").alias("fact_neighbour_text")), fkeys, "left")
+                 .withColumn("fact_neighbour_text", F.coalesce("fact_neighbour_text", F.lit(NO_NEIGHBOURS))))
+            frq = rq.fact_requests(f).withColumn("prompt", rq.render(self._slots(True), F.col("question_type")))
+            cols = ["doc_id", "document_name", "section_idx", "fact_number", "question_type", "difficulty",
+                    "ordinal", "prompt", F.col("all_images").alias("images")]
+            return rq.finish(srq.select(*cols).unionByName(frq.select(*cols)))
+        return self._m("requests", build)

@@ -10,7 +10,8 @@ is ASCII, so word characters are spelled ``[\\p{L}\\p{N}_]``.
 from __future__ import annotations
 
 from ..functions.stopwords import english_stop_words
-from .templates import QUESTION_TYPES, TEMPLATES, common_instructions_parts
+from .templates import (COMMON_PARTS, DEFAULT_DOC_TITLE, DEFAULT_TITLE_A, DEFAULT_TITLE_B, NO_NEIGHBOURS,
+                        PAIR_TYPES, QUESTION_TYPES, SYSTEM_PROMPT, TEMPLATES)
 
 NL = "chr(10)"
 
@@ -252,6 +253,125 @@ LEFT JOIN (SELECT nb.doc_id, nb.section_idx,
   ON n.doc_id = s.doc_id AND n.section_idx = s.section_idx
 LEFT JOIN section_images si ON si.doc_id = s.doc_id AND si.section_idx = s.section_idx""")
 
+# --- requests -----------------------------------------------------------------------
+def _concat(parts: list[tuple[str, str | None]], slot_sql: dict[str, str]) -> str:
+    out = []
+    for lit, slot in parts:
+        if lit:
+            out.append(_sq(lit))
+        if slot:
+            out.append(slot_sql[slot])
+    return "(" + " || ".join(out) + ")"
+
+
+def _title(col: str, default: str) -> str:
+    return (f"CASE WHEN regexp_matches({col}, '^#+ ') THEN "
+            + _ws_strip(f"regexp_extract({col}, '^#+ ([^' || chr(10) || ']*)', 1)") + f" ELSE {_sq(default)} END")
+
+
+def _body(col: str) -> str:
+    return _ws_strip(f"regexp_replace({col}, '^#+ [^' || chr(10) || ']*', '')")
+
+
+def _img_name(p: str) -> str:
+    b = f"regexp_extract({p}, '[^/]*$')"
+    return f"CASE WHEN regexp_matches({b}, '^\\.[^.]*$') THEN {b} ELSE regexp_replace({b}, '\\.[^./]*$', '') END"
+
+
+cte("doc_ctx", ("frontmatter",), f"""
+SELECT doc_id, doc_title, metadata_txt, {_concat(COMMON_PARTS, {"doc_title": "doc_title"})} AS instructions
+FROM (SELECT doc_id,
+        coalesce(list_filter(metadata, lambda e: e.key = 'title')[1].value, {_sq(DEFAULT_DOC_TITLE)}) AS doc_title,
+        CASE WHEN len(metadata) > 0 THEN 'Document metadata:' || {NL}
+             || array_to_string(list_transform(metadata, lambda e: '- ' || e.key || ': ' || e.value), {NL}) || {NL}
+             ELSE '' END AS metadata_txt
+      FROM frontmatter)""")
+
+cte("seeds", ("fact_arrays",), f"""
+SELECT doc_id, section_idx,
+  CASE WHEN len(facts) > 0 THEN facts[({_h("doc_id || '|' || section_idx || '|FACTUAL_RECALL'")} % len(facts)) + 1]
+       ELSE substr(body, 1, 500) END AS seed_fact
+FROM fact_arrays""")
+
+cte("ph", ("sections",), "SELECT doc_id, section_idx, md5(section) AS h FROM sections")
+cte("partners", ("ph", "nsec"), f"""
+SELECT * FROM (
+  SELECT a.doc_id, a.section_idx,
+    CASE WHEN c.h <> a.h THEN c.section_idx WHEN f.h1 <> a.h THEN 1 ELSE s2.m2 END AS partner_idx
+  FROM (SELECT ph.*, ((section_idx + {_h("doc_id || '|' || section_idx || '|partner'")} % (n - 1)) % n) + 1 AS cand
+        FROM ph JOIN nsec USING (doc_id) WHERE n >= 2) a
+  JOIN ph c ON c.doc_id = a.doc_id AND c.section_idx = a.cand
+  JOIN (SELECT doc_id, h AS h1 FROM ph WHERE section_idx = 1) f ON f.doc_id = a.doc_id
+  LEFT JOIN (SELECT ph.doc_id, min(ph.section_idx) AS m2 FROM ph JOIN (SELECT doc_id, h AS h1 FROM ph WHERE section_idx = 1) f1
+             ON f1.doc_id = ph.doc_id WHERE ph.h <> f1.h1 GROUP BY ph.doc_id) s2 ON s2.doc_id = a.doc_id)
+WHERE partner_idx IS NOT NULL""")
+
+cte("sctx", ("sections", "doc_ctx", "neighbour_ctx", "seeds", "partners"), f"""
+SELECT s.doc_id, s.document_name, s.section_idx, s.section, s.title, s.body, d.doc_title, d.metadata_txt,
+  d.instructions, sd.seed_fact, p.partner_idx, nc.neighbour_text,
+  list_concat(nc.own_images, nc.neighbour_images) AS all_images,
+  CASE WHEN len(list_concat(nc.own_images, nc.neighbour_images)) > 0 THEN
+    'Images attached to this request:' || {NL} || array_to_string(list_transform(list_concat(nc.own_images, nc.neighbour_images),
+      lambda p: '- image ' || {_img_name("p")} || ': ' || p), {NL})
+    || {NL} || 'Refer to an image only where it helps the question.' || {NL} || {NL}
+  ELSE '' END AS images_block,
+  {_title("s.section", DEFAULT_TITLE_A)} AS title_a,
+  coalesce({_title("b.section", DEFAULT_TITLE_B)}, '') AS title_b,
+  coalesce({_body("b.section")}, '') AS body2
+FROM sections s
+JOIN doc_ctx d ON d.doc_id = s.doc_id
+JOIN neighbour_ctx nc ON nc.doc_id = s.doc_id AND nc.section_idx = s.section_idx
+LEFT JOIN seeds sd ON sd.doc_id = s.doc_id AND sd.section_idx = s.section_idx
+LEFT JOIN partners p ON p.doc_id = s.doc_id AND p.section_idx = s.section_idx
+LEFT JOIN sections b ON b.doc_id = s.doc_id AND b.section_idx = p.partner_idx""")
+
+cte("fact_nctx", ("fact_neighbours", "sections"), f"""
+SELECT fn.doc_id, fn.section_idx, fn.fact_number,
+       string_agg(substr(t.section, 1, 2000), {NL} || {NL} ORDER BY fn.rank) AS fact_neighbour_text
+FROM fact_neighbours fn JOIN sections t ON t.doc_id = fn.doc_id AND t.section_idx = fn.nbr_idx
+GROUP BY fn.doc_id, fn.section_idx, fn.fact_number""")
+
+TYPES_SQL = "(VALUES " + ", ".join(f"({o}, '{t}', '{d}')" for o, t, d in QUESTION_TYPES) + ") t(ordinal, question_type, difficulty)"
+_PAIRS = "(" + ", ".join(f"'{t}'" for t in PAIR_TYPES) + ")"
+
+
+def _render(fact_rows: bool) -> str:
+    slots = {"metadata": "metadata_txt", "instructions": "instructions", "section": "section",
+             "neighbours": "neighbour_text", "images": "images_block", "title": "title", "body": "body",
+             "title_a": "title_a", "title_b": "title_b", "body2": "body2",
+             "seed_fact": "''" if fact_rows else "coalesce(seed_fact, '')",
+             "fact": "fact" if fact_rows else "''",
+             "fact_neighbours": "fact_neighbour_text" if fact_rows else "''"}
+    whens = "\n".join(f"    WHEN '{t}' THEN {_concat(parts, slots)}" for t, parts in TEMPLATES.items())
+    return f"CASE question_type\n{whens}\n  END"
+
+
+cte("requests", ("sctx", "facts", "fact_nctx"), f"""
+SELECT md5(concat_ws('|', doc_id, section_idx, question_type, fact_number)) AS request_id, *,
+       CASE WHEN question_type = 'SECTION_SUMMARY' THEN true END AS is_summary,
+       (section_idx - 1) // 100 AS batch_id
+FROM (
+  SELECT doc_id, document_name, section_idx, NULL::INTEGER AS fact_number, question_type, difficulty, ordinal,
+         {_render(False)} AS prompt, all_images AS images
+  FROM sctx, {TYPES_SQL}
+  WHERE question_type <> 'FACT_BASED' AND (question_type NOT IN {_PAIRS} OR partner_idx IS NOT NULL)
+  UNION ALL
+  SELECT doc_id, document_name, section_idx, fact_number, question_type, difficulty, ordinal,
+         {_render(True)} AS prompt, all_images AS images
+  FROM (SELECT f.doc_id, f.section_idx, f.fact_number, f.fact, c.* EXCLUDE (doc_id, section_idx),
+               coalesce(n.fact_neighbour_text, {_sq(NO_NEIGHBOURS)}) AS fact_neighbour_text
+        FROM facts f JOIN sctx c ON c.doc_id = f.doc_id AND c.section_idx = f.section_idx
+        LEFT JOIN fact_nctx n ON n.doc_id = f.doc_id AND n.section_idx = f.section_idx AND n.fact_number = f.fact_number),
+       {TYPES_SQL}
+  WHERE question_type = 'FACT_BASED')""")
+
+
+def _chat_json(prompt: str, images: str) -> str:
+    sys_msg = f"to_json({{'role': 'system', 'content': {_sq(SYSTEM_PROMPT)}}})"
+    parts = (f"list_concat([to_json({{'type': 'text', 'text': {prompt}}})::VARCHAR], "
+             f"list_transform({images}, lambda p: to_json({{'type': 'image_url', 'image_url': {{'url': p}}}})::VARCHAR))")
+    return (f"('[' || {sys_msg} || ',' || '{{\"role\":\"user\",\"content\":[' || array_to_string({parts}, ',') || ']}}' || ']')")
+
 def with_ctes(*names: str, body: str) -> str:
     order: list[str] = []
 
@@ -325,4 +445,17 @@ SELECT doc_id, section_idx::BIGINT AS section_idx, length(neighbour_text)::BIGIN
        array_to_string(list_concat(own_images, neighbour_images), '|') AS all_images,
        len(list_concat(own_images, neighbour_images))::BIGINT AS n_images
 FROM neighbour_ctx""")
+    q["request_grid"] = with_ctes("requests", body="""
+SELECT request_id, doc_id, section_idx::BIGINT AS section_idx, fact_number::BIGINT AS fact_number, question_type,
+       difficulty, is_summary, batch_id::BIGINT AS batch_id FROM requests""")
+    q["recall_seed_fact"] = with_ctes("seeds", body="""
+SELECT doc_id, section_idx::BIGINT AS section_idx, seed_fact FROM seeds""")
+    q["partner_sections"] = with_ctes("partners", body="""
+SELECT doc_id, section_idx::BIGINT AS section_idx, partner_idx::BIGINT AS partner_idx FROM partners""")
+    q["rendered_prompts"] = with_ctes("requests", body="""
+SELECT request_id, question_type, length(prompt)::BIGINT AS prompt_len, md5(prompt) AS prompt_md5,
+       len(images)::BIGINT AS n_images FROM requests""")
+    q["chat_requests"] = with_ctes("requests", body=f"""
+SELECT request_id, length(j)::BIGINT AS chat_len, md5(j) AS chat_md5
+FROM (SELECT request_id, {_chat_json("prompt", "images")} AS j FROM requests)""")
     return q

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import images as im
 from ..operators import neighbours as nb
+from ..operators import requests as rq
 from ..operators.frontmatter import metadata_rows, missing_required_metadata
 from .corpus import Corpus
 
@@ -160,3 +161,39 @@ def q_neighbour_context(spark, sf_dir):
                        F.array_join("neighbour_images", "|").alias("neighbour_images"),
                        F.array_join(allimg, "|").alias("all_images"),
                        F.size(allimg).cast("bigint").alias("n_images"))
+
+
+# --- requests ------------------------------------------------------------------------
+@query
+def q_request_grid(spark, sf_dir):
+    r = _c(spark, sf_dir).requests
+    return r.select("request_id", "doc_id", F.col("section_idx").cast("bigint").alias("section_idx"),
+                    F.col("fact_number").cast("bigint").alias("fact_number"), "question_type", "difficulty",
+                    "is_summary", F.col("batch_id").cast("bigint").alias("batch_id"))
+
+
+@query
+def q_recall_seed_fact(spark, sf_dir):
+    s = _c(spark, sf_dir).seeds
+    return s.select("doc_id", F.col("section_idx").cast("bigint").alias("section_idx"), "seed_fact")
+
+
+@query
+def q_partner_sections(spark, sf_dir):
+    p = _c(spark, sf_dir).partners
+    return p.select("doc_id", F.col("section_idx").cast("bigint").alias("section_idx"),
+                    F.col("partner_idx").cast("bigint").alias("partner_idx"))
+
+
+@query
+def q_rendered_prompts(spark, sf_dir):
+    r = _c(spark, sf_dir).requests
+    return r.select("request_id", "question_type", F.length("prompt").cast("bigint").alias("prompt_len"),
+                    F.md5("prompt").alias("prompt_md5"), F.size("images").cast("bigint").alias("n_images"))
+
+
+@query
+def q_chat_requests(spark, sf_dir):
+    r = _c(spark, sf_dir).requests
+    j = rq.chat_request_json(F.col("prompt"), F.col("images"))
+    return r.select("request_id", F.length(j).cast("bigint").alias("chat_len"), F.md5(j).alias("chat_md5"))

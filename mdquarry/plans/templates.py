@@ -1,7 +1,7 @@
 """Question types, difficulties and prompt templates.
 
-The question-type catalogue is a small dimension table (15 rows) that users
-can extend; templates are plain format strings with named slots that are
+The question-type catalogue is a small dimension (15 rows) that users can
+extend; templates are plain format strings with named slots that are
 compiled into one ``CASE question_type WHEN … THEN concat(…)`` expression, so
 rendering stays a JVM-side projection (no string ``replace`` chains, hence no
 accidental substitution inside inserted text).
@@ -13,14 +13,6 @@ import string
 
 # The fifteen question types in catalogue order with their
 # difficulty (they must equal the reference's mapping).
-#   1 FACTUAL_RECALL easy          9 CRITICAL_ANALYSIS hard
-#   2 INFERENCE medium            10 TECHNICAL_EXPLANATION medium
-#   3 MULTI_HOP_REASONING hard    11 PROCESS_WORKFLOW easy
-#   4 APPLICATION medium          12 TRUE_FALSE_FILL_BLANK easy
-#   5 COMPARATIVE_ANALYSIS medium 13 CONTEXTUAL_AMBIGUITY hard
-#   6 CAUSE_EFFECT medium         14 FACT_BASED easy
-#   7 SUMMARIZATION easy          15 SECTION_SUMMARY medium
-#   8 HYPOTHETICAL hard
 QUESTION_TYPES: tuple[tuple[int, str, str], ...] = (
     (1, "FACTUAL_RECALL", "easy"),
     (2, "INFERENCE", "medium"),
@@ -42,6 +34,10 @@ FACT_TYPE = "FACT_BASED"
 SUMMARY_TYPE = "SECTION_SUMMARY"
 RECALL_TYPE = "FACTUAL_RECALL"
 PAIR_TYPES = ("MULTI_HOP_REASONING", "COMPARATIVE_ANALYSIS")
+# Default section titles (single-section types / pair types).
+DEFAULT_TITLE, DEFAULT_TITLE_A, DEFAULT_TITLE_B = "Section", "Section A", "Section B"
+DEFAULT_DOC_TITLE = "the document"
+NO_NEIGHBOURS = "No additional relevant sections found"
 
 
 def unit_of(question_type: str) -> str:
@@ -52,7 +48,11 @@ def unit_of(question_type: str) -> str:
     return "section"
 
 
-NO_NEIGHBOURS = "No additional relevant sections found"
+SYSTEM_PROMPT = (
+    "You write question/answer pairs for training data from document sections. "
+    "Questions must stand alone; answers must be complete and in the source's tone. "
+    "Reply with a single JSON object using double quotes only."
+)
 
 _COMMON = """
 Guidelines:
@@ -64,11 +64,6 @@ Guidelines:
 6. Keep the technical level and vocabulary of the source.
 """
 
-
-def common_instructions_parts() -> list[tuple[str, str | None]]:
-    return _parse(_COMMON)
-
-
 _JSON_SHAPE = """
 Reply with one JSON object and nothing else, using double quotes:
 {{"question": "...", "question_images": ["folder/image.png"], "answer": "..."}}
@@ -84,42 +79,46 @@ Related sections of the same document:
 
 {images}"""
 
+_ONE = "\nSection:\n\n{title}\n\n{body}\n"
+_TWO = "\nFirst section: {title_a}\n{body}\n\nSecond section: {title_b}\n{body2}\n"
+
 _TASKS: dict[str, str] = {
     "FACT_BASED": "Write one question whose answer is the fact below, and answer it in detail.\n"
-                  "{instructions}\nSection containing the fact:\n{section}\n\nRelated sections:\n{fact_neighbours}\n\n"
-                  "Fact:\n{fact}\n\n{images}",
+                  "{metadata}{instructions}\nSection containing the fact:\n{section}\n\n"
+                  "Related sections:\n{fact_neighbours}\n\nFact:\n{fact}\n\n{images}",
     "SECTION_SUMMARY": "Ask for a summary of the section and answer with a summary that covers every key point."
-                       "{context}\nSection to summarise:\n\n{title}\n\n{body}\n",
-    "FACTUAL_RECALL": "Ask a question that one or two sentences of the section answer verbatim; quote them in the answer."
-                      "{context}\nSection:\n\n{title}\n\n{body}\n\nA fact you may focus on:\n\n{seed_fact}\n",
-    "INFERENCE": "Ask a question whose answer must be inferred from the section rather than read off it; explain the reasoning."
-                 "{context}\nSection:\n\n{title}\n\n{body}\n",
-    "MULTI_HOP_REASONING": "Ask a question that can only be answered by combining both sections below; show how each contributes."
-                           "{context}\nFirst section: {title}\n{body}\n\nSecond section: {title2}\n{body2}\n",
-    "APPLICATION": "Describe a practical scenario and ask how the section's guidance applies to it; answer step by step."
-                   "{context}\nSection:\n\n{title}\n\n{body}\n",
-    "COMPARATIVE_ANALYSIS": "Ask a question that compares the two sections below; the answer lists similarities and differences."
-                            "{context}\nFirst section: {title}\n{body}\n\nSecond section: {title2}\n{body2}\n",
-    "CAUSE_EFFECT": "Ask about a cause and its effect described in the section; explain the link in the answer."
-                    "{context}\nSection:\n\n{title}\n\n{body}\n",
+                       "{context}" + _ONE,
+    "FACTUAL_RECALL": "Ask a question that one or two sentences of the section answer verbatim; quote them."
+                      "{context}" + _ONE + "\nA fact you may focus on:\n\n{seed_fact}\n",
+    "INFERENCE": "Ask a question whose answer must be inferred from the section; explain the reasoning."
+                 "{context}" + _ONE,
+    "MULTI_HOP_REASONING": "Ask a question that needs both sections below; show how each contributes."
+                           "{context}" + _TWO,
+    "APPLICATION": "Describe a practical scenario and ask how the section's guidance applies; answer step by step."
+                   "{context}" + _ONE,
+    "COMPARATIVE_ANALYSIS": "Ask a question comparing the two sections below; list similarities and differences."
+                            "{context}" + _TWO,
+    "CAUSE_EFFECT": "Ask about a cause and its effect described in the section; explain the link."
+                    "{context}" + _ONE,
     "SUMMARIZATION": "Ask for a brief summary (under 100 words) of the section and give it."
-                     "{context}\nSection:\n\n{title}\n\n{body}\n",
+                     "{context}" + _ONE,
     "HYPOTHETICAL": "Pose a realistic what-if question that extends the section and reason it through."
-                    "{context}\nSection:\n\n{title}\n\n{body}\n",
+                    "{context}" + _ONE,
     "CRITICAL_ANALYSIS": "Ask for a critical assessment of a claim or method in the section; weigh strengths and weaknesses."
-                         "{context}\nSection:\n\n{title}\n\n{body}\n",
+                         "{context}" + _ONE,
     "TECHNICAL_EXPLANATION": "Ask for a technical explanation of a mechanism in the section and give a precise one."
-                             "{context}\nSection:\n\n{title}\n\n{body}\n",
+                             "{context}" + _ONE,
     "PROCESS_WORKFLOW": "Ask about the order of steps of a process in the section; answer with numbered steps."
-                        "{context}\nSection:\n\n{title}\n\n{body}\n",
+                        "{context}" + _ONE,
     "TRUE_FALSE_FILL_BLANK": "Write a true/false or fill-in-the-blank item from the section and give the answer with a reason."
-                             "{context}\nSection:\n\n{title}\n\n{body}\n",
-    "CONTEXTUAL_AMBIGUITY": "Ask about a term or statement whose meaning depends on context and show how the section resolves it."
-                            "{context}\nSection:\n\n{title}\n\n{body}\n",
+                             "{context}" + _ONE,
+    "CONTEXTUAL_AMBIGUITY": "Ask about a statement whose meaning depends on context and show how the section resolves it."
+                            "{context}" + _ONE,
 }
 
 
-def _parse(fmt: str) -> list[tuple[str, str | None]]:
+def parse(fmt: str) -> list[tuple[str, str | None]]:
+    """Template -> [(literal, slot or None)]."""
     return [(lit, field) for lit, field, _, _ in string.Formatter().parse(fmt)]
 
 
@@ -127,5 +126,6 @@ def _expand(fmt: str) -> str:
     return fmt.replace("{context}", _CONTEXT) + _JSON_SHAPE
 
 
-TEMPLATES: dict[str, list[tuple[str, str | None]]] = {t: _parse(_expand(f)) for t, f in _TASKS.items()}
-SLOTS = sorted({f for parts in TEMPLATES.values() for _, f in parts if f} | {"doc_title"})
+TEMPLATES: dict[str, list[tuple[str, str | None]]] = {t: parse(_expand(f)) for t, f in _TASKS.items()}
+COMMON_PARTS = parse(_COMMON)
+SLOTS = sorted({f for parts in TEMPLATES.values() for _, f in parts if f})
