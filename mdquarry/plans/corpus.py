@@ -12,11 +12,14 @@ from ..operators import frontmatter as fm
 from ..operators import images as im
 from ..operators import neighbours as nb
 from ..operators import requests as rq
+from ..operators import responses as rs
+from ..operators import audit as au
+from ..operators import dataset as ds
 from ..operators.facts import with_fact_array
 from ..operators.frontmatter import split_frontmatter
 from ..operators.neighbours import MAX_CHARS, Neighbours
 from ..operators.sections import split_sections
-from ..sources.fixtures import load_md_documents, manifest_from_refs
+from ..sources.fixtures import audit_images, load_md_documents, manifest_from_refs, responses_from_requests
 from .templates import DEFAULT_DOC_TITLE, DEFAULT_TITLE_A, DEFAULT_TITLE_B, NO_NEIGHBOURS
 
 
@@ -28,6 +31,8 @@ class Corpus:
     docs_root: str = "markdown_docs"
     manifest_df: DataFrame | None = None  # path; derived from the corpus when None
     block_size: int = 1024
+    responses_df: DataFrame | None = None  # request_id, attempt, text; derived fixture when None
+    max_retries: int = rs.MAX_RETRIES
     _memo: dict = field(default_factory=dict)
 
     @classmethod
@@ -189,3 +194,58 @@ class Corpus:
                     "ordinal", "prompt", F.col("all_images").alias("images")]
             return rq.finish(srq.select(*cols).unionByName(frq.select(*cols)))
         return self._m("requests", build)
+
+    # --- responses ----------------------------------------------------------------
+    @property
+    def responses(self) -> DataFrame:
+        return self._m("responses", lambda: self.responses_df if self.responses_df is not None
+                       else responses_from_requests(self.requests, self.sections, self.section_images))
+
+    @property
+    def parsed(self) -> DataFrame:
+        return self._m("parsed", lambda: rs.parse(self.responses))
+
+    @property
+    def grid(self) -> DataFrame:
+        return self._m("grid", lambda: rs.attempt_grid(self.requests, self.parsed, self.max_retries))
+
+    @property
+    def outcomes(self) -> DataFrame:
+        return self._m("outcomes", lambda: rs.unit_outcomes(self.grid))
+
+    @property
+    def firsts(self) -> DataFrame:
+        return self._m("firsts", lambda: rs.first_success(self.outcomes))
+
+    @property
+    def qa(self) -> DataFrame:
+        return self._m("qa", lambda: rs.qa_rows(self.grid, self.firsts))
+
+    @property
+    def failures(self) -> DataFrame:
+        return self._m("failures", lambda: rs.failures(self.outcomes, self.firsts))
+
+    # --- dataset and audit -----------------------------------------------------------
+    @property
+    def shaped(self):
+        return self._m("shaped", lambda: ds.shape(self.qa))
+
+    @property
+    def records(self) -> DataFrame:
+        return self.shaped[0]
+
+    @property
+    def quarantine(self) -> DataFrame:
+        return self.shaped[1]
+
+    @property
+    def audit_records(self) -> DataFrame:
+        """Dataset records whose images partly point nowhere (audit fixture): file, rec_key, messages."""
+        def build():
+            qa = self.qa.withColumn("question_images", audit_images(
+                F.coalesce("question_images", F.array().cast("array<string>")), F.col("request_id")))
+            rec, _ = ds.shape(qa)
+            return rec.select(F.concat_ws("-", "split", "document_name").alias("file"),
+                              F.col("request_id").alias("rec_key"),
+                              F.get_json_object("record", "$.messages").alias("messages"))
+        return self._m("audit_records", build)

@@ -372,6 +372,125 @@ def _chat_json(prompt: str, images: str) -> str:
              f"list_transform({images}, lambda p: to_json({{'type': 'image_url', 'image_url': {{'url': p}}}})::VARCHAR))")
     return (f"('[' || {sys_msg} || ',' || '{{\"role\":\"user\",\"content\":[' || array_to_string({parts}, ',') || ']}}' || ']')")
 
+# --- responses ---------------------------------------------------------------------
+cte("responses", ("requests", "sections", "section_images"), f"""
+SELECT request_id, attempt,
+  CASE WHEN form <= 4 THEN good WHEN form = 5 THEN no_answer
+       WHEN form = 6 THEN 'Sure. Here is the pair:' || {NL} || '```json' || {NL} || good || {NL} || '```' || {NL} || 'Hope it helps.'
+       WHEN form = 7 THEN replace(good, '"', chr(39))
+       WHEN form = 8 THEN 'I am unable to produce a pair for this section.'
+       ELSE good || ' and ' || good END AS text
+FROM (
+  SELECT request_id, attempt, head || ', "answer": "A ' || md5(section) || '"}}' AS good, head || '}}' AS no_answer,
+         CASE WHEN {_h("request_id")} % 50 = 0 THEN 8 WHEN attempt = 3 THEN 0
+              ELSE {_h("request_id || attempt")} % 10 END AS form
+  FROM (SELECT r.request_id, s.section,
+               '{{"question": "Q ' || r.question_type || ' ' || r.section_idx || '", "question_images": '
+               || to_json(coalesce(si.image_paths, []::VARCHAR[])) AS head
+        FROM requests r JOIN sections s ON s.doc_id = r.doc_id AND s.section_idx = r.section_idx
+        LEFT JOIN section_images si ON si.doc_id = r.doc_id AND si.section_idx = r.section_idx),
+       (VALUES (1), (2), (3)) a(attempt))""")
+
+cte("parsed", ("responses",), """
+SELECT request_id, attempt, status,
+  CASE WHEN status = 'ok' THEN json_extract_string(js, '$.question') END AS question,
+  CASE WHEN status = 'ok' THEN json_extract_string(js, '$.answer') END AS answer,
+  CASE WHEN status = 'ok' THEN
+    CASE WHEN json_type(js, '$.question_images') IS NULL OR json_type(js, '$.question_images') = 'NULL' THEN []::VARCHAR[]
+         WHEN json_type(js, '$.question_images') = 'ARRAY' THEN from_json(json_extract(js, '$.question_images'), '["VARCHAR"]')
+         ELSE [json_extract_string(js, '$.question_images')] END END AS question_images,
+  CASE WHEN status = 'ok' THEN list_contains(json_keys(js), 'question') END AS has_question,
+  CASE WHEN status = 'ok' THEN list_contains(json_keys(js), 'answer') END AS has_answer
+FROM (SELECT *, CASE WHEN text IS NULL THEN 'no_response' WHEN js = '' THEN 'no_json'
+                     WHEN NOT json_valid(js) OR json_type(js) <> 'OBJECT' THEN 'bad_json' ELSE 'ok' END AS status
+      FROM (SELECT *, regexp_extract(text, '(?s)\\{.*\\}') AS js FROM responses))""")
+
+UNIT_COLS = "doc_id, section_idx, question_type"
+cte("grid", ("requests", "parsed"), f"""
+SELECT r.request_id, r.doc_id, r.section_idx, r.question_type, r.document_name, r.fact_number, r.difficulty,
+       r.is_summary, ua.attempt, coalesce(p.status, 'no_response') AS status, p.question, p.answer,
+       p.question_images, p.has_question, p.has_answer
+FROM requests r
+JOIN (SELECT DISTINCT r2.doc_id, r2.section_idx, r2.question_type, p2.attempt
+      FROM parsed p2 JOIN requests r2 ON r2.request_id = p2.request_id WHERE p2.attempt <= 51) ua
+  ON ua.doc_id = r.doc_id AND ua.section_idx = r.section_idx AND ua.question_type = r.question_type
+LEFT JOIN parsed p ON p.request_id = r.request_id AND p.attempt = ua.attempt""")
+
+cte("outcomes", ("grid",), f"""
+SELECT {UNIT_COLS}, attempt, bool_and(status = 'ok') AS ok,
+       CASE WHEN min(coalesce(fact_number, -1)) FILTER (WHERE status <> 'ok') >= 0
+            THEN min(coalesce(fact_number, -1)) FILTER (WHERE status <> 'ok') END AS fact_number,
+       arg_min(status, coalesce(fact_number, -1)) FILTER (WHERE status <> 'ok') AS error
+FROM grid GROUP BY {UNIT_COLS}, attempt""")
+
+cte("firsts", ("outcomes",), f"""
+SELECT {UNIT_COLS}, min(attempt) FILTER (WHERE ok) AS first_ok, max(attempt) AS last_attempt
+FROM outcomes GROUP BY {UNIT_COLS}""")
+
+cte("failures", ("outcomes", "firsts"), f"""
+SELECT o.doc_id, o.section_idx, o.question_type, o.attempt, o.fact_number, o.error
+FROM outcomes o JOIN firsts f USING ({UNIT_COLS})
+WHERE NOT o.ok AND (f.first_ok IS NULL OR o.attempt < f.first_ok)""")
+
+cte("qa", ("grid", "firsts"), f"""
+SELECT g.* FROM grid g JOIN firsts f USING ({UNIT_COLS}) WHERE g.attempt = f.first_ok""")
+
+cte("still", ("outcomes", "firsts"), f"""
+SELECT {UNIT_COLS}, any_value(f.last_attempt) AS attempts,
+       arg_max({{'e': o.error, 'f': o.fact_number}}, o.attempt).e AS last_error,
+       arg_max({{'e': o.error, 'f': o.fact_number}}, o.attempt).f AS fact_number
+FROM firsts f JOIN outcomes o USING ({UNIT_COLS}) WHERE f.first_ok IS NULL
+GROUP BY {UNIT_COLS}""")
+
+
+# --- dataset --------------------------------------------------------------------------
+def _user_json(q: str, imgs: str) -> str:
+    parts = (f"list_concat([to_json({{'type': 'text', 'text': {q}}})::VARCHAR], list_transform({imgs}, lambda u: "
+             f"to_json({{'type': 'image_url', 'image_url': {{'url': u, 'detail': 'auto'}}}})::VARCHAR))")
+    return f"""('{{"role":"user","content":[' || array_to_string({parts}, ',') || ']}}')"""
+
+
+def _asst_json(a: str) -> str:
+    return f"to_json({{'role': 'assistant', 'content': {a}}})::VARCHAR"
+
+
+def _records(src: str, imgs: str) -> str:
+    qt, df = "coalesce(question_type, 'UNKNOWN')", "coalesce(difficulty, 'UNKNOWN')"
+    user, asst = _user_json("coalesce(question, '')", imgs), _asst_json("coalesce(answer, '')")
+    return f"""
+SELECT request_id, doc_id, document_name, section_idx, fact_number,
+       CASE WHEN {qt} = 'SECTION_SUMMARY' THEN 'eval' ELSE 'train' END AS split,
+       {qt} AS question_type, {df} AS difficulty,
+       '{{"messages":[' || {user} || ',' || {asst} || '],'
+         || substr(to_json({{'question_type': {qt}, 'difficulty': {df}}})::VARCHAR, 2) AS record,
+       '[' || {user} || ',' || {asst} || ']' AS messages
+FROM {src}
+WHERE coalesce(has_question, false) AND coalesce(has_answer, false)"""
+
+
+cte("records", ("qa",), _records("qa", "coalesce(question_images, []::VARCHAR[])"))
+cte("audit_qa", ("qa",), f"""
+SELECT * REPLACE (list_transform(coalesce(question_images, []::VARCHAR[]), lambda u:
+         CASE WHEN {_h("u || request_id")} % 6 = 0 THEN u || '.missing' ELSE u END) AS question_images)
+FROM qa""")
+cte("audit_records", ("audit_qa",), "SELECT split || '-' || document_name AS file, request_id AS rec_key, messages FROM ("
+    + _records("audit_qa", "question_images") + ")")
+cte("image_uses", ("audit_records",), """
+SELECT file, rec_key, p.image_url.url AS image_url, context
+FROM (SELECT file, rec_key, context, unnest(from_json(m.content, '[{"type":"VARCHAR","image_url":{"url":"VARCHAR"}}]')) AS p
+      FROM (SELECT file, rec_key, substr(json_extract_string(messages, '$[1].content'), 1, 100) AS context,
+                   unnest(from_json(messages, '[{"role":"VARCHAR","content":"JSON"}]')) AS m
+            FROM audit_records)
+      WHERE m.role = 'user')
+WHERE p.type = 'image_url'""")
+cte("invalid_images", ("image_uses", "manifest"), """
+SELECT * FROM image_uses WHERE image_url NOT IN (SELECT path FROM manifest)""")
+cte("file_verdicts", ("audit_records", "invalid_images"), """
+SELECT f.file, coalesce(b.n, 0)::BIGINT AS n_invalid, coalesce(b.n, 0) = 0 AS valid
+FROM (SELECT DISTINCT file FROM audit_records) f
+LEFT JOIN (SELECT file, count(*) AS n FROM invalid_images GROUP BY file) b USING (file)""")
+
+
 def with_ctes(*names: str, body: str) -> str:
     order: list[str] = []
 
@@ -458,4 +577,53 @@ SELECT request_id, question_type, length(prompt)::BIGINT AS prompt_len, md5(prom
     q["chat_requests"] = with_ctes("requests", body=f"""
 SELECT request_id, length(j)::BIGINT AS chat_len, md5(j) AS chat_md5
 FROM (SELECT request_id, {_chat_json("prompt", "images")} AS j FROM requests)""")
+    q["json_substring"] = with_ctes("responses", body="""
+SELECT request_id, attempt::BIGINT AS attempt, js <> '' AS has_json, length(js)::BIGINT AS json_len, md5(js) AS json_md5,
+       md5(regexp_extract(regexp_replace(text, '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f-\\x9f]', '', 'g'), '(?s)\\{.*\\}'))
+         AS sanitized_md5
+FROM (SELECT *, regexp_extract(text, '(?s)\\{.*\\}') AS js FROM responses)""")
+    q["parsed_responses"] = with_ctes("parsed", body="""
+SELECT request_id, attempt::BIGINT AS attempt, status, question, answer,
+       array_to_string(question_images, '|') AS question_images, has_question, has_answer FROM parsed""")
+    q["failed_sections"] = with_ctes("failures", body="""
+SELECT doc_id, section_idx::BIGINT AS section_idx, question_type, attempt::BIGINT AS attempt,
+       fact_number::BIGINT AS fact_number, error FROM failures""")
+    q["retry_first_success"] = with_ctes("firsts", body="""
+SELECT doc_id, section_idx::BIGINT AS section_idx, question_type, first_ok::BIGINT AS first_ok
+FROM firsts WHERE first_ok IS NOT NULL""")
+    q["still_failing"] = with_ctes("still", body="""
+SELECT doc_id, section_idx::BIGINT AS section_idx, question_type, attempts::BIGINT AS attempts, last_error,
+       fact_number::BIGINT AS fact_number FROM still""")
+    q["pending_requests"] = with_ctes("requests", "firsts", body="""
+SELECT r.request_id, (coalesce(f.last_attempt, 0) + 1)::BIGINT AS next_attempt
+FROM requests r LEFT JOIN firsts f USING (doc_id, section_idx, question_type)
+WHERE f.first_ok IS NULL AND coalesce(f.last_attempt, 0) + 1 <= 51""")
+    q["chat_records"] = with_ctes("records", body="""
+SELECT request_id, split, question_type, difficulty, length(record)::BIGINT AS record_len, md5(record) AS record_md5
+FROM records""")
+    q["quarantine"] = with_ctes("qa", body="""
+SELECT request_id, doc_id, section_idx::BIGINT AS section_idx, fact_number::BIGINT AS fact_number, question_type,
+       'missing_key' AS reason
+FROM qa WHERE NOT (coalesce(has_question, false) AND coalesce(has_answer, false))""")
+    q["train_eval_counts"] = with_ctes("records", body="""
+SELECT document_name, count(*) FILTER (WHERE split = 'train')::BIGINT AS n_train,
+       count(*) FILTER (WHERE split = 'eval')::BIGINT AS n_eval
+FROM records GROUP BY document_name""")
+    q["type_stats"] = with_ctes("requests", "records", "qa", "failures", "still", body=f"""
+SELECT question_type, difficulty, sum(req)::BIGINT AS n_requests, sum(qa)::BIGINT AS n_qa,
+       sum(quar)::BIGINT AS n_quarantined, sum(fail)::BIGINT AS n_failed_attempts, sum(still)::BIGINT AS n_still_failing
+FROM (
+  SELECT question_type, difficulty, 1 AS req, 0 AS qa, 0 AS quar, 0 AS fail, 0 AS still FROM requests
+  UNION ALL SELECT question_type, difficulty, 0, 1, 0, 0, 0 FROM records
+  UNION ALL SELECT question_type, difficulty, 0, 0, 1, 0, 0 FROM qa
+            WHERE NOT (coalesce(has_question, false) AND coalesce(has_answer, false))
+  UNION ALL SELECT f.question_type, t.difficulty, 0, 0, 0, 1, 0 FROM failures f JOIN {TYPES_SQL} USING (question_type)
+  UNION ALL SELECT s.question_type, t.difficulty, 0, 0, 0, 0, 1 FROM still s JOIN {TYPES_SQL} USING (question_type))
+GROUP BY ROLLUP (question_type, difficulty)
+HAVING question_type IS NULL OR difficulty IS NOT NULL""")
+    q["invalid_images"] = with_ctes("invalid_images", body="""
+SELECT file, rec_key AS request_id, image_url, context FROM invalid_images""")
+    q["file_verdicts"] = with_ctes("file_verdicts", body="SELECT file, n_invalid, valid FROM file_verdicts")
+    q["dataset_verdict"] = with_ctes("file_verdicts", body="""
+SELECT coalesce(bool_and(valid), true) AS all_valid, count(*)::BIGINT AS n_files FROM file_verdicts""")
     return q

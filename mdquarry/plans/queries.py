@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from ..operators import images as im
 from ..operators import neighbours as nb
 from ..operators import requests as rq
+from ..operators import responses as rs
+from ..operators import dataset as ds
+from ..operators import audit as au
 from ..operators.frontmatter import metadata_rows, missing_required_metadata
 from .corpus import Corpus
 
@@ -197,3 +200,122 @@ def q_chat_requests(spark, sf_dir):
     r = _c(spark, sf_dir).requests
     j = rq.chat_request_json(F.col("prompt"), F.col("images"))
     return r.select("request_id", F.length(j).cast("bigint").alias("chat_len"), F.md5(j).alias("chat_md5"))
+
+
+# --- responses ---------------------------------------------------------------------
+def _b(c):
+    return F.col(c).cast("bigint").alias(c)
+
+
+@query
+def q_json_substring(spark, sf_dir):
+    r = _c(spark, sf_dir).responses
+    js = rs.json_substring(F.col("text"))
+    clean = rs.json_substring(rs.sanitize(F.col("text")))
+    return r.select("request_id", _b("attempt"), (js != "").alias("has_json"),
+                    F.length(js).cast("bigint").alias("json_len"), F.md5(js).alias("json_md5"),
+                    F.md5(clean).alias("sanitized_md5"))
+
+
+@query
+def q_parsed_responses(spark, sf_dir):
+    p = _c(spark, sf_dir).parsed
+    return p.select("request_id", _b("attempt"), "status", "question", "answer",
+                    F.array_join("question_images", "|").alias("question_images"), "has_question", "has_answer")
+
+
+@query
+def q_failed_sections(spark, sf_dir):
+    f = _c(spark, sf_dir).failures
+    return f.select("doc_id", _b("section_idx"), "question_type", _b("attempt"), _b("fact_number"), "error")
+
+
+@query
+def q_retry_first_success(spark, sf_dir):
+    f = _c(spark, sf_dir).firsts
+    return f.where(F.col("first_ok").isNotNull()).select("doc_id", _b("section_idx"), "question_type",
+                                                         _b("first_ok"))
+
+
+@query
+def q_still_failing(spark, sf_dir):
+    c = _c(spark, sf_dir)
+    s = rs.still_failing(c.outcomes, c.firsts)
+    return s.select("doc_id", _b("section_idx"), "question_type", _b("attempts"), "last_error", _b("fact_number"))
+
+
+@query
+def q_pending_requests(spark, sf_dir):
+    c = _c(spark, sf_dir)
+    p = rs.pending(c.requests, c.firsts, c.max_retries)
+    return p.select("request_id", _b("next_attempt"))
+
+
+# --- dataset ------------------------------------------------------------------------
+@query
+def q_chat_records(spark, sf_dir):
+    r = _c(spark, sf_dir).records
+    return r.select("request_id", "split", "question_type", "difficulty",
+                    F.length("record").cast("bigint").alias("record_len"), F.md5("record").alias("record_md5"))
+
+
+@query
+def q_quarantine(spark, sf_dir):
+    q = _c(spark, sf_dir).quarantine
+    return q.select("request_id", "doc_id", _b("section_idx"), _b("fact_number"), "question_type", "reason")
+
+
+@query
+def q_train_eval_counts(spark, sf_dir):
+    return ds.split_counts(_c(spark, sf_dir).records).select("document_name", _b("n_train"), _b("n_eval"))
+
+
+@query
+def q_type_stats(spark, sf_dir):
+    """Per type/difficulty (and overall) requests, pairs, quarantined, failed attempts, still failing."""
+    c = _c(spark, sf_dir)
+    still = rs.still_failing(c.outcomes, c.firsts)
+    ev = (c.requests.select("question_type", "difficulty", F.lit(1).alias("req"), F.lit(0).alias("qa"),
+                            F.lit(0).alias("quar"), F.lit(0).alias("fail"), F.lit(0).alias("still"))
+          .unionByName(c.records.select("question_type", "difficulty", F.lit(0).alias("req"), F.lit(1).alias("qa"),
+                                        F.lit(0).alias("quar"), F.lit(0).alias("fail"), F.lit(0).alias("still")))
+          .unionByName(c.quarantine.join(c.requests.select("request_id", "difficulty"), "request_id")
+                       .select("question_type", "difficulty", F.lit(0).alias("req"), F.lit(0).alias("qa"),
+                               F.lit(1).alias("quar"), F.lit(0).alias("fail"), F.lit(0).alias("still")))
+          .unionByName(c.failures.join(_types(spark), "question_type")
+                       .select("question_type", "difficulty", F.lit(0).alias("req"), F.lit(0).alias("qa"),
+                               F.lit(0).alias("quar"), F.lit(1).alias("fail"), F.lit(0).alias("still")))
+          .unionByName(still.join(_types(spark), "question_type")
+                       .select("question_type", "difficulty", F.lit(0).alias("req"), F.lit(0).alias("qa"),
+                               F.lit(0).alias("quar"), F.lit(0).alias("fail"), F.lit(1).alias("still"))))
+    agg = ev.rollup("question_type", "difficulty").agg(
+        F.sum("req").alias("n_requests"), F.sum("qa").alias("n_qa"), F.sum("quar").alias("n_quarantined"),
+        F.sum("fail").alias("n_failed_attempts"), F.sum("still").alias("n_still_failing"))
+    agg = agg.where(F.col("question_type").isNull() | F.col("difficulty").isNotNull())
+    return agg.select("question_type", "difficulty", *[_b(x) for x in
+                      ("n_requests", "n_qa", "n_quarantined", "n_failed_attempts", "n_still_failing")])
+
+
+def _types(spark):
+    return F.broadcast(rq.question_types_df(spark).select("question_type", "difficulty"))  # fixed 15 rows
+
+
+# --- audit --------------------------------------------------------------------------
+@query
+def q_invalid_images(spark, sf_dir):
+    c = _c(spark, sf_dir)
+    return au.invalid_images(c.audit_records, c.manifest).select(
+        "file", F.col("rec_key").alias("request_id"), "image_url", "context")
+
+
+@query
+def q_file_verdicts(spark, sf_dir):
+    c = _c(spark, sf_dir)
+    return au.file_verdicts(c.audit_records, c.manifest)
+
+
+@query
+def q_dataset_verdict(spark, sf_dir):
+    c = _c(spark, sf_dir)
+    v = au.dataset_verdict(au.file_verdicts(c.audit_records, c.manifest))
+    return v.select("all_valid", _b("n_files"))

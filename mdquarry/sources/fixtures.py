@@ -102,25 +102,21 @@ def responses_from_requests(requests: DataFrame, sections: DataFrame, section_im
     A good answer is ``{"question": "Q <type> <section_idx>", "question_images":
     [own images], "answer": "A <md5(section)>"}``. One request in 50 never gets
     a parsable answer; otherwise attempt 3 is always good and attempts 1-2 vary
-    by ``h(request_id || attempt) % 10``: 0-5 good, 6 fenced in prose, 7 single
-    quotes, 8 prose without JSON, 9 two objects (trailing data).
+    by ``h(request_id || attempt) % 10``: 0-4 good, 5 a valid object without
+    ``answer`` (quarantined later), 6 fenced in prose, 7 single quotes, 8 prose
+    without JSON, 9 two objects (trailing data).
     """
-    imgs = section_images.groupBy("doc_id", "section_idx").agg(
-        F.sort_array(F.collect_list(F.struct("image_pos", "image_path"))).alias("im"))
     base = (
         requests.select("request_id", "doc_id", "section_idx", "question_type")
         .join(sections.select("doc_id", "section_idx", "section"), ["doc_id", "section_idx"])
-        .join(imgs, ["doc_id", "section_idx"], "left")
+        .join(section_images, ["doc_id", "section_idx"], "left")
     )
-    images_json = F.to_json(F.coalesce(F.transform("im", lambda s: s["image_path"]),
-                                       F.array().cast("array<string>")))
-    good = F.concat(
-        F.lit('{"question": "Q '), F.col("question_type"), F.lit(" "), F.col("section_idx").cast("string"),
-        F.lit('", "question_images": '), images_json,
-        F.lit(', "answer": "A '), F.md5("section"), F.lit('"}'),
-    )
-    attempts = base.select(
-        "request_id", good.alias("good"), F.explode(F.sequence(F.lit(1), F.lit(3))).alias("attempt"))
+    images_json = F.to_json(F.coalesce("image_paths", F.array().cast("array<string>")))
+    head = F.concat(F.lit('{"question": "Q '), F.col("question_type"), F.lit(" "), F.col("section_idx").cast("string"),
+                    F.lit('", "question_images": '), images_json)
+    good = F.concat(head, F.lit(', "answer": "A '), F.md5("section"), F.lit('"}'))
+    attempts = base.select("request_id", good.alias("good"), F.concat(head, F.lit("}")).alias("no_answer"),
+                           F.explode(F.sequence(F.lit(1), F.lit(3))).alias("attempt"))
     never = md5_bucket("request_id") % 50 == 0
     form = (
         F.when(never, F.lit(8))
@@ -129,10 +125,17 @@ def responses_from_requests(requests: DataFrame, sections: DataFrame, section_im
     )
     g = F.col("good")
     text = (
-        F.when(form <= 5, g)
+        F.when(form <= 4, g)
+        .when(form == 5, F.col("no_answer"))
         .when(form == 6, F.concat(F.lit("Sure. Here is the pair:\n```json\n"), g, F.lit("\n```\nHope it helps.")))
         .when(form == 7, F.translate(g, '"', "'"))
         .when(form == 8, F.lit("I am unable to produce a pair for this section."))
         .otherwise(F.concat(g, F.lit(" and "), g))
     )
     return attempts.select("request_id", F.col("attempt").cast("int").alias("attempt"), text.alias("text"))
+
+
+def audit_images(question_images, request_id):
+    """Audit fixture: every sixth image url (by ``h(url || request_id) % 6 == 0``) points nowhere."""
+    return F.transform(question_images, lambda u: F.when(
+        md5_bucket(F.concat(u, request_id)) % 6 == 0, F.concat(u, F.lit(".missing"))).otherwise(u))
