@@ -47,7 +47,7 @@ def list_items(paragraph: Column) -> Column:
     marked = F.transform(lines, lambda l: F.when(
         l.rlike(ITEM_LINE), F.concat(F.lit(SEP), F.regexp_replace(l, ITEM_PREFIX, ""))).otherwise(l))
     chunks = F.split(F.array_join(marked, "\n"), SEP, -1)
-    items = F.slice(chunks, 2, F.greatest(F.size(chunks) - 1, F.lit(0)))
+    items = F.filter(chunks, lambda c, i: i > 0)  # text before the first item line is dropped
     return F.transform(items, lambda c: F.replace(F.regexp_replace(c, "\n$", ""), F.lit("\n"), F.lit(" ")))
 
 
@@ -60,7 +60,7 @@ def list_items_linked(paragraph: Column) -> Column:
         F.concat(F.lit(SEP), F.when(l.rlike(r"(?U)^\s"), F.lit("1")).otherwise(F.lit("0")),
                  F.regexp_replace(strip_ws(l), ITEM_PREFIX, ""))).otherwise(strip_ws(l)))
     chunks = F.split(F.array_join(marked, "\n"), SEP, -1)
-    items = F.slice(chunks, 2, F.greatest(F.size(chunks) - 1, F.lit(0)))
+    items = F.filter(chunks, lambda c, i: i > 0)
     flat = F.transform(items, lambda c: F.struct(
         (F.substring(c, 1, 1) == "1").alias("sub"),
         F.regexp_extract(F.substring(c, 2, 2147483647), r"^([^\n]*)", 1).alias("head"),
@@ -77,16 +77,21 @@ def paragraphs(body: Column) -> Column:
     return F.filter(F.transform(F.split(body, r"(?U)\n\s*\n", -1), strip_ws), lambda p: p != "")
 
 
-def fact_array(body: Column, link_parents: bool = False) -> Column:
+def candidate_facts(body: Column, link_parents: bool = False) -> Column:
+    """List items and sentences of every paragraph, trimmed, longer than 10 characters."""
     items = list_items_linked if link_parents else list_items
     per_para = F.transform(paragraphs(body), lambda p: F.when(
         p.rlike(LIST_PARAGRAPH), items(p)).otherwise(sentences(p)))
-    facts = F.filter(F.transform(F.flatten(per_para), strip_ws), lambda f: F.length(f) > MIN_FACT_CHARS)
-    return F.when((F.size(facts) == 0) & (body != ""), F.array(body)).otherwise(facts)
+    return F.filter(F.transform(F.flatten(per_para), strip_ws), lambda f: F.length(f) > MIN_FACT_CHARS)
 
 
 def with_fact_array(sections: DataFrame, link_parents: bool = False) -> DataFrame:
-    return sections.withColumn("facts", fact_array(F.col("body"), link_parents))
+    """Adds ``facts``. Two projections on purpose: the candidate array is used
+    twice by the fallback rule and must be computed once (the optimizer does not
+    inline an expensive expression into several references)."""
+    s = sections.withColumn("_facts", candidate_facts(F.col("body"), link_parents))
+    return s.withColumn("facts", F.when((F.size("_facts") == 0) & (F.col("body") != ""), F.array("body"))
+                        .otherwise(F.col("_facts"))).drop("_facts")
 
 
 def explode_facts(sections: DataFrame, link_parents: bool = False,

@@ -24,9 +24,8 @@ KEY_LINE = r"^[A-Za-z_][A-Za-z0-9_ .-]*:(\s|$)"
 
 
 def _entries(block: Column) -> Column:
-    lines = F.filter(F.split(block, "\n", -1),
-                     lambda l: (strip_ws(l) != "") & ~strip_ws(l).startswith("#"))
-    raw = F.transform(lines, lambda l: F.struct(
+    lines = F.filter(F.split(block, "\n", -1), lambda l: (strip_ws(l) != "") & ~strip_ws(l).startswith("#"))
+    raw = F.transform(F.col("_lines"), lambda l: F.struct(
         strip_ws(F.regexp_extract(l, r"^([^:]*):", 1)).alias("key"),
         F.regexp_replace(strip_ws(F.regexp_extract(l, r"^[^:]*:(.*)$", 1)),
                          r"""^"(.*)"$|^'(.*)'$""", "$1$2").alias("value"),
@@ -43,20 +42,21 @@ def split_frontmatter(docs: DataFrame, raw: str = "raw") -> DataFrame:
     """Adds ``has_frontmatter``, ``fm_parsed``, ``metadata`` (ordered key/value
     array), ``content``; drops ``raw``."""
     r = F.col(raw)
-    close = F.when(r.startswith("---"), F.locate("---", r, 4)).otherwise(F.lit(0))
-    block = strip_ws(F.substring(r, F.lit(4), close - 4))
-    entries, lines = _entries(block)
-    parsed = F.forall(lines, lambda l: l.rlike(KEY_LINE))
-    ok = (close > 0) & parsed
-    after = lstrip_ws(F.substring(r, close + 3, F.lit(2147483647)))
+    close = F.col("_close")
+    # step-wise projections: each intermediate is computed once per row
+    d = docs.withColumn("_close", F.when(r.startswith("---"), F.locate("---", r, 4)).otherwise(F.lit(0)))
+    d = d.withColumn("_block", F.when(close > 0, strip_ws(F.substring(r, F.lit(4), close - 4))))
+    entries, lines = _entries(F.col("_block"))
+    d = d.withColumn("_lines", lines)
+    d = d.withColumn("_ok", (close > 0) & F.forall("_lines", lambda l: l.rlike(KEY_LINE)))
+    ok = F.col("_ok")
     return (
-        docs.withColumn("_close", close)
-        .withColumn("has_frontmatter", F.col("_close") > 0)
-        .withColumn("fm_parsed", ok | (F.col("_close") == 0))
+        d.withColumn("has_frontmatter", close > 0)
+        .withColumn("fm_parsed", ok | (close == 0))
         .withColumn("metadata", F.when(ok, entries).otherwise(
             F.array().cast("array<struct<key:string,value:string>>")))
-        .withColumn("content", F.when(ok, after).otherwise(r))
-        .drop("_close", raw)
+        .withColumn("content", F.when(ok, lstrip_ws(F.substring(r, close + 3, F.lit(2147483647)))).otherwise(r))
+        .drop("_close", "_block", "_lines", "_ok", raw)
     )
 
 

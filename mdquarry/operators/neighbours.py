@@ -166,11 +166,14 @@ class Neighbours:
     """TF-IDF neighbours of sections and of facts for one corpus."""
 
     def __init__(self, sections: DataFrame, block_size: int = 1024,
-                 max_chars: int = MAX_CHARS, max_terms: int = MAX_TERMS, k: int = K):
+                 max_chars: int = MAX_CHARS, max_terms: int = MAX_TERMS, k: int = K, keep=lambda df: df):
         self.sections = sections.select("doc_id", "document_name", "section_idx", "section")
         self.block_size, self.max_chars, self.max_terms, self.k = block_size, max_chars, max_terms, k
-        self.vocab, self.corpus_tf = vocabulary(self.sections, max_chars, max_terms)
-        self.n = self.sections.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+        vocab, tf = vocabulary(self.sections, max_chars, max_terms)
+        self.vocab, self.corpus_tf = keep(vocab), tf
+        self.n = keep(self.sections.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")))
+        self._cv = None
+        self._keep = keep
 
     def term_weights(self) -> DataFrame:
         """doc_id, section_idx, term, tf, idf, weight (normalised) of the corpus side."""
@@ -179,11 +182,14 @@ class Neighbours:
         return w.withColumn("weight", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(norm))).drop("w")
 
     def corpus_vectors(self) -> DataFrame:
-        v = vectors(self.corpus_tf, self.vocab, ["doc_id", "section_idx"])
-        # sections without any vocabulary term are zero vectors
-        return self.sections.select("doc_id", "section_idx").join(v, ["doc_id", "section_idx"], "left").select(
-            "doc_id", "section_idx", F.coalesce("term_ids", _empty("int")).alias("term_ids"),
-            F.coalesce("weights", _empty("double")).alias("weights"))
+        if self._cv is None:
+            v = vectors(self.corpus_tf, self.vocab, ["doc_id", "section_idx"])
+            # sections without any vocabulary term are zero vectors
+            self._cv = self._keep(self.sections.select("doc_id", "section_idx").join(
+                v, ["doc_id", "section_idx"], "left").select(
+                "doc_id", "section_idx", F.coalesce("term_ids", _empty("int")).alias("term_ids"),
+                F.coalesce("weights", _empty("double")).alias("weights")))
+        return self._cv
 
     def _query_vectors(self, q: DataFrame, text: str) -> DataFrame:
         keys = ["doc_id", "self_idx", "qsub"]

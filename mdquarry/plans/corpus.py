@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +34,7 @@ class Corpus:
     block_size: int = 1024
     responses_df: DataFrame | None = None  # request_id, attempt, text; derived fixture when None
     max_retries: int = rs.MAX_RETRIES
+    persist: bool = True  # keep reused intermediates (memory, spilling to disk)
     _memo: dict = field(default_factory=dict)
 
     @classmethod
@@ -44,6 +46,17 @@ class Corpus:
             self._memo[key] = build()
         return self._memo[key]
 
+    def _keep(self, df: DataFrame) -> DataFrame:
+        """Persist an intermediate that several branches read. A lost executor
+        only costs a recomputation from lineage (MEMORY_AND_DISK, no replicas)."""
+        return df.persist(StorageLevel.MEMORY_AND_DISK) if self.persist else df
+
+    def unpersist(self) -> None:
+        for v in self._memo.values():
+            if isinstance(v, DataFrame):
+                v.unpersist()
+        self._memo.clear()
+
     @property
     def spark(self) -> SparkSession:
         return self.docs_md.sparkSession
@@ -54,14 +67,14 @@ class Corpus:
         return self._m("docs", lambda: split_frontmatter(self.docs_md))
 
     @property
-    def sections(self) -> DataFrame:
-        """doc_id, document_name, section_idx, section, title, body."""
-        return self._m("sections", lambda: split_sections(self.docs))
+    def section_facts(self) -> DataFrame:
+        """Sections + ``facts`` array, persisted: every later stage starts here."""
+        return self._m("section_facts", lambda: self._keep(with_fact_array(split_sections(self.docs))))
 
     @property
-    def section_facts(self) -> DataFrame:
-        """sections + ``facts`` array column."""
-        return self._m("section_facts", lambda: with_fact_array(self.sections))
+    def sections(self) -> DataFrame:
+        """doc_id, document_name, section_idx, section, title, body."""
+        return self._m("sections", lambda: self.section_facts.drop("facts"))
 
     @property
     def facts(self) -> DataFrame:
@@ -107,15 +120,15 @@ class Corpus:
     # --- neighbours -----------------------------------------------------------
     @property
     def nn(self) -> Neighbours:
-        return self._m("nn", lambda: Neighbours(self.sections, block_size=self.block_size))
+        return self._m("nn", lambda: Neighbours(self.sections, block_size=self.block_size, keep=self._keep))
 
     @property
     def section_neighbours(self) -> DataFrame:
-        return self._m("section_neighbours", lambda: self.nn.of_sections())
+        return self._m("section_neighbours", lambda: self._keep(self.nn.of_sections()))
 
     @property
     def fact_neighbours(self) -> DataFrame:
-        return self._m("fact_neighbours", lambda: self.nn.of_facts(self.facts))
+        return self._m("fact_neighbours", lambda: self._keep(self.nn.of_facts(self.facts)))
 
     # --- requests -------------------------------------------------------------
     @property
@@ -163,7 +176,7 @@ class Corpus:
                 F.coalesce(header_title(F.col("section_b"), DEFAULT_TITLE_B), F.lit("")).alias("title_b"),
                 F.coalesce(header_body(F.col("section_b")), F.lit("")).alias("body2"),
             )
-        return self._m("section_context", build)
+        return self._m("section_context", lambda: self._keep(build()))
 
     def _slots(self, fact_rows: bool) -> dict:
         e = F.lit("")
@@ -199,15 +212,29 @@ class Corpus:
     @property
     def responses(self) -> DataFrame:
         return self._m("responses", lambda: self.responses_df if self.responses_df is not None
-                       else responses_from_requests(self.requests, self.sections, self.section_images))
+                       else self._keep(responses_from_requests(self.request_keys, self.sections,
+                                                               self.section_images)))
 
     @property
     def parsed(self) -> DataFrame:
         return self._m("parsed", lambda: rs.parse(self.responses))
 
+    @property
+    def request_keys(self) -> DataFrame:
+        """The request grid without prompts (E1-E3, E12, E13): what the response
+        stages join on. Built from sections, partners and facts only, so it
+        does not depend on the neighbour search."""
+        def build():
+            keys = ["doc_id", "section_idx"]
+            sec = self.sections.select("doc_id", "document_name", "section_idx").join(self.partners, keys, "left")
+            cols = ["doc_id", "document_name", "section_idx", "fact_number", "question_type", "difficulty", "ordinal"]
+            f = self.facts.select("doc_id", "document_name", "section_idx", "fact_number")
+            return rq.finish(rq.section_requests(sec).select(*cols).unionByName(rq.fact_requests(f).select(*cols)))
+        return self._m("request_keys", lambda: self._keep(build()))
+
     @property
     def grid(self) -> DataFrame:
-        return self._m("grid", lambda: rs.attempt_grid(self.requests, self.parsed, self.max_retries))
+        return self._m("grid", lambda: self._keep(rs.attempt_grid(self.request_keys, self.parsed, self.max_retries)))
 
     @property
     def outcomes(self) -> DataFrame:
@@ -215,7 +242,7 @@ class Corpus:
 
     @property
     def firsts(self) -> DataFrame:
-        return self._m("firsts", lambda: rs.first_success(self.outcomes))
+        return self._m("firsts", lambda: self._keep(rs.first_success(self.outcomes)))
 
     @property
     def qa(self) -> DataFrame:

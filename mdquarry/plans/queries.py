@@ -29,8 +29,16 @@ def query(fn):
     return fn
 
 
+_CORPORA: dict[tuple[int, str], Corpus] = {}
+
+
 def _c(spark: SparkSession, sf_dir: str) -> Corpus:
-    return Corpus.from_testdata(spark, sf_dir)
+    """One corpus plan per (session, data dir), so registered queries share
+    persisted intermediates instead of recomputing sections and neighbours."""
+    key = (id(spark), sf_dir)
+    if key not in _CORPORA:
+        _CORPORA[key] = Corpus.from_testdata(spark, sf_dir)
+    return _CORPORA[key]
 
 
 @query
@@ -169,7 +177,7 @@ def q_neighbour_context(spark, sf_dir):
 # --- requests ------------------------------------------------------------------------
 @query
 def q_request_grid(spark, sf_dir):
-    r = _c(spark, sf_dir).requests
+    r = _c(spark, sf_dir).request_keys
     return r.select("request_id", "doc_id", F.col("section_idx").cast("bigint").alias("section_idx"),
                     F.col("fact_number").cast("bigint").alias("fact_number"), "question_type", "difficulty",
                     "is_summary", F.col("batch_id").cast("bigint").alias("batch_id"))
@@ -247,7 +255,7 @@ def q_still_failing(spark, sf_dir):
 @query
 def q_pending_requests(spark, sf_dir):
     c = _c(spark, sf_dir)
-    p = rs.pending(c.requests, c.firsts, c.max_retries)
+    p = rs.pending(c.request_keys, c.firsts, c.max_retries)
     return p.select("request_id", _b("next_attempt"))
 
 
@@ -275,11 +283,11 @@ def q_type_stats(spark, sf_dir):
     """Per type/difficulty (and overall) requests, pairs, quarantined, failed attempts, still failing."""
     c = _c(spark, sf_dir)
     still = rs.still_failing(c.outcomes, c.firsts)
-    ev = (c.requests.select("question_type", "difficulty", F.lit(1).alias("req"), F.lit(0).alias("qa"),
+    ev = (c.request_keys.select("question_type", "difficulty", F.lit(1).alias("req"), F.lit(0).alias("qa"),
                             F.lit(0).alias("quar"), F.lit(0).alias("fail"), F.lit(0).alias("still"))
           .unionByName(c.records.select("question_type", "difficulty", F.lit(0).alias("req"), F.lit(1).alias("qa"),
                                         F.lit(0).alias("quar"), F.lit(0).alias("fail"), F.lit(0).alias("still")))
-          .unionByName(c.quarantine.join(c.requests.select("request_id", "difficulty"), "request_id")
+          .unionByName(c.quarantine.join(c.request_keys.select("request_id", "difficulty"), "request_id")
                        .select("question_type", "difficulty", F.lit(0).alias("req"), F.lit(0).alias("qa"),
                                F.lit(1).alias("quar"), F.lit(0).alias("fail"), F.lit(0).alias("still")))
           .unionByName(c.failures.join(_types(spark), "question_type")
