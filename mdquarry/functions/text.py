@@ -10,6 +10,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Python's whitespace (``str.isspace``), generated by rule: ``str.strip()`` and
+# ``re``'s ``\s`` use exactly this set. Java's ``(?U)\s`` misses 0x1c-0x1f.
+PY_WS = "".join(c for c in map(chr, range(0x110000)) if c.isspace())
+
+
+def _class(chars: str) -> str:
+    return "[" + "".join(f"\\x{{{ord(c):x}}}" for c in chars) + "]"
+
+
+WS = _class(PY_WS)  # regex character class (Java and RE2 both accept \x{h})
+DIGIT = r"\p{Nd}"  # Python's Unicode \d
+
 # Private-use control characters used as split sentinels inside one row.
 SEP = "\u0001"
 JOIN = "\u0003"
@@ -23,16 +35,12 @@ def col_(c: Column | str) -> Column:
 
 
 def strip_ws(c: Column | str) -> Column:
-    """Python ``str.strip()``: remove leading and trailing whitespace (Unicode)."""
-    return F.regexp_replace(col_(c), r"(?U)^\s+|\s+$", "")
+    """Python ``str.strip()``: a character-set trim, no regex."""
+    return F.btrim(col_(c), F.lit(PY_WS))
 
 
 def lstrip_ws(c: Column | str) -> Column:
-    return F.regexp_replace(col_(c), r"(?U)^\s+", "")
-
-
-def is_blank(c: Column | str) -> Column:
-    return ~col_(c).rlike(r"(?U)\S")
+    return F.ltrim(col_(c), F.lit(PY_WS))
 
 
 def md5_bucket(c: Column | str) -> Column:

@@ -16,11 +16,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import GUARD, JOIN, SEP, strip_ws
+from ..functions.text import DIGIT, GUARD, JOIN, SEP, WS, strip_ws
 
-LIST_PARAGRAPH = r"(?U)^\s*(\d+\.|\*|-)\s"
-ITEM_LINE = r"(?U)^(\d+\.|\*|-)\s"
-ITEM_PREFIX = r"(?U)^(\d+\.|\*|-)\s+"
+MARKER = f"({DIGIT}+\\.|\\*|-)"
+LIST_PARAGRAPH = f"^{WS}*{MARKER}{WS}"
+ITEM_LINE = f"^{MARKER}{WS}"
+ITEM_PREFIX = f"^{MARKER}{WS}+"
 MIN_FACT_CHARS = 10
 
 
@@ -29,10 +30,10 @@ def sentences(text: Column) -> Column:
     abbreviations and decimals protected, and a piece starting with a
     lower-case letter re-joined to the previous one with a single space."""
     t = F.regexp_replace(text, r"(?U)(\w\.\w\.)", "$1" + GUARD)
-    t = F.regexp_replace(t, r"(?U)(\d+\.\d+)", "$1" + GUARD)
+    t = F.regexp_replace(t, f"({DIGIT}+\\.{DIGIT}+)", "$1" + GUARD)
     t = F.regexp_replace(t, r"([A-Za-z]\.[A-Za-z]\.)", "$1" + GUARD)
-    t = F.regexp_replace(t, r"(?U)([.!?])\s+([a-z])", "$1" + JOIN + "$2")
-    t = F.regexp_replace(t, r"(?U)([.!?])\s+", "$1" + SEP)
+    t = F.regexp_replace(t, f"([.!?]){WS}+([a-z])", "$1" + JOIN + "$2")
+    t = F.regexp_replace(t, f"([.!?]){WS}+", "$1" + SEP)
     t = F.replace(F.replace(t, F.lit(GUARD), F.lit("")), F.lit(JOIN), F.lit(" "))
     return F.filter(F.split(t, SEP, -1), lambda s: strip_ws(s) != "")
 
@@ -57,7 +58,7 @@ def list_items_linked(paragraph: Column) -> Column:
     raw = F.filter(F.split(paragraph, "\n", -1), lambda l: strip_ws(l) != "")
     marked = F.transform(raw, lambda l: F.when(
         strip_ws(l).rlike(ITEM_LINE),
-        F.concat(F.lit(SEP), F.when(l.rlike(r"(?U)^\s"), F.lit("1")).otherwise(F.lit("0")),
+        F.concat(F.lit(SEP), F.when(l.rlike(f"^{WS}"), F.lit("1")).otherwise(F.lit("0")),
                  F.regexp_replace(strip_ws(l), ITEM_PREFIX, ""))).otherwise(strip_ws(l)))
     chunks = F.split(F.array_join(marked, "\n"), SEP, -1)
     items = F.filter(chunks, lambda c, i: i > 0)
@@ -74,7 +75,7 @@ def list_items_linked(paragraph: Column) -> Column:
 
 
 def paragraphs(body: Column) -> Column:
-    return F.filter(F.transform(F.split(body, r"(?U)\n\s*\n", -1), strip_ws), lambda p: p != "")
+    return F.filter(F.transform(F.split(body, f"\n{WS}*\n", -1), strip_ws), lambda p: p != "")
 
 
 def candidate_facts(body: Column, link_parents: bool = False) -> Column:

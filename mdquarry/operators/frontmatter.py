@@ -18,9 +18,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import lstrip_ws, strip_ws
+from ..functions.text import WS, lstrip_ws, strip_ws
 
-KEY_LINE = r"^[A-Za-z_][A-Za-z0-9_ .-]*:(\s|$)"
+KEY_LINE = f"^[A-Za-z_][A-Za-z0-9_ .-]*:({WS}|$)"
 
 
 def _entries(block: Column) -> Column:

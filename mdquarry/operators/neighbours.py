@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.stopwords import stop_words_df
+from ..functions.stopwords import english_stop_words
 from ..plans.templates import NO_NEIGHBOURS
 
 TOKEN = r"(?U)\w{2,}"  # maximal runs of >= 2 word chars == \b\w\w+\b
@@ -61,10 +61,10 @@ def vocabulary(sections: DataFrame, max_chars: int = MAX_CHARS, max_terms: int =
 
     vocab: doc_id, term, term_id (0-based), idf.  corpus_tf: doc_id, section_idx, term, tf.
     """
-    spark = sections.sparkSession
     toks = sections.select("doc_id", "section_idx",
                            F.explode(tokens(F.substring("section", 1, max_chars))).alias("term"))
-    toks = toks.join(F.broadcast(stop_words_df(spark)), "term", "left_anti")  # fixed 181 rows
+    # fixed 181-word set: an in-row hash-set filter (InSet), no join at all
+    toks = toks.where(~F.col("term").isin(*english_stop_words()))
     tf = toks.groupBy("doc_id", "section_idx", "term").agg(F.count(F.lit(1)).alias("tf"))
     stats = tf.groupBy("doc_id", "term").agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("dfreq"))
     top = top_k_per_group(stats, ["doc_id"], [F.col("cf").desc(), F.col("term")], max_terms,

@@ -10,14 +10,19 @@ is ASCII, so word characters are spelled ``[\\p{L}\\p{N}_]``.
 from __future__ import annotations
 
 from ..functions.stopwords import english_stop_words
+from ..functions.text import DIGIT, PY_WS, WS
 from .templates import (COMMON_PARTS, DEFAULT_DOC_TITLE, DEFAULT_TITLE_A, DEFAULT_TITLE_B, NO_NEIGHBOURS,
                         PAIR_TYPES, QUESTION_TYPES, SYSTEM_PROMPT, TEMPLATES)
 
 NL = "chr(10)"
 
 
+WS_LIT = "(" + " || ".join(f"chr({ord(c)})" for c in PY_WS) + ")"
+
+
 def _ws_strip(x: str) -> str:
-    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+    """Python ``str.strip()``."""
+    return f"trim({x}, {WS_LIT})"
 
 
 def _sq(s: str) -> str:
@@ -504,7 +509,8 @@ def with_ctes(*names: str, body: str) -> str:
     for n in names:
         visit(n)
     defs = ",\n".join(f"{n} AS ({CTES[n][1]}\n)" for n in order)
-    return f"WITH {defs}\n{body}"
+    # regex classes with Python's Unicode meaning: \s -> Python whitespace, \d -> decimal digit
+    return f"WITH {defs}\n{body}".replace("\\s", WS).replace("\\d", DIGIT)
 
 
 def oracle_queries() -> dict[str, str]:

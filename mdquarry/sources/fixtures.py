@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import md5_bucket
-from .tables import table
+from .tables import spread, table
 
 
 def md_documents(documents: DataFrame) -> DataFrame:
@@ -73,7 +73,8 @@ def md_documents(documents: DataFrame) -> DataFrame:
 
 
 def load_md_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return md_documents(table(spark, sf_dir, "documents"))
+    return md_documents(spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"),
+                               "doc_id"))
 
 
 def manifest_from_refs(refs: DataFrame, docs_root: str = "markdown_docs") -> DataFrame:

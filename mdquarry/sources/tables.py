@@ -14,3 +14,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(name)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Parallelism guard for small inputs.
+
+    A file with one row group is read by one task, and every per-row regex
+    downstream would then run on one core. When the scan yields fewer than
+    twice the default parallelism partitions, hash-partition by ``key``; at
+    cluster scale the scan already has thousands of splits and this is a
+    no-op (no extra shuffle of the raw text).
+    """
+    target = 2 * df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target, key)
+    return df
