@@ -42,29 +42,33 @@ def parse(responses: DataFrame, sanitize_text: bool = False) -> DataFrame:
     status: ``ok`` | ``no_response`` (null text) | ``no_json`` | ``bad_json``.
     Strict parsing: the object is wrapped in ``[...]`` so trailing data fails,
     single quotes are refused, and exactly one element must come back (F3).
+    Step-wise projections keep each JSON parse to one evaluation per row
+    (subexpression elimination does not reach into CASE branches).
     """
     text = sanitize(F.col("text")) if sanitize_text else F.col("text")
-    js = json_substring(text)
-    arr = F.from_json(F.concat(F.lit("["), js, F.lit("]")), PARSED_FIELDS, {"allowSingleQuotes": "false"})
-    obj = F.try_element_at(arr, F.lit(1))
-    status = (F.when(F.col("text").isNull(), F.lit("no_response"))
-              .when(js == "", F.lit("no_json"))
-              .when(arr.isNull() | (F.size(arr) != 1), F.lit("bad_json"))
-              .otherwise(F.lit("ok")))
-    keys = F.json_object_keys(js)
-    raw_imgs = obj["question_images"]
+    d = responses.select("request_id", F.col("attempt").cast("int").alias("attempt"),
+                         F.col("text").isNull().alias("_null"), json_substring(text).alias("_js"))
+    d = d.withColumn("_arr", F.from_json(F.concat(F.lit("["), F.col("_js"), F.lit("]")), PARSED_FIELDS,
+                                         {"allowSingleQuotes": "false"}))
+    d = d.withColumn("status", F.when(F.col("_null"), F.lit("no_response"))
+                     .when(F.col("_js") == "", F.lit("no_json"))
+                     .when(F.col("_arr").isNull() | (F.size("_arr") != 1), F.lit("bad_json"))
+                     .otherwise(F.lit("ok")))
+    d = d.withColumn("_obj", F.when(F.col("status") == "ok", F.col("_arr")[0]))
+    d = d.withColumn("_keys", F.when(F.col("status") == "ok", F.json_object_keys("_js")))
+    raw_imgs = F.col("_obj.question_images")
     imgs = (F.when(raw_imgs.isNull(), F.array().cast("array<string>"))
             .when(F.ltrim(raw_imgs).startswith("["), F.coalesce(F.from_json(raw_imgs, "array<string>"),
                                                                 F.array(raw_imgs)))
             .otherwise(F.array(raw_imgs)))
-    ok = status == "ok"
-    return responses.select(
-        "request_id", F.col("attempt").cast("int").alias("attempt"), status.alias("status"),
-        F.when(ok, obj["question"]).alias("question"),
-        F.when(ok, obj["answer"]).alias("answer"),
+    ok = F.col("status") == "ok"
+    return d.select(
+        "request_id", "attempt", "status",
+        F.col("_obj.question").alias("question"),
+        F.col("_obj.answer").alias("answer"),
         F.when(ok, imgs).alias("question_images"),
-        F.when(ok, F.array_contains(keys, "question")).alias("has_question"),
-        F.when(ok, F.array_contains(keys, "answer")).alias("has_answer"),
+        F.array_contains("_keys", "question").alias("has_question"),
+        F.array_contains("_keys", "answer").alias("has_answer"),
     )
 
 

@@ -64,12 +64,13 @@ class Corpus:
     @property
     def docs(self) -> DataFrame:
         """doc_id, document_name, has_frontmatter, fm_parsed, metadata, content."""
-        return self._m("docs", lambda: split_frontmatter(self.docs_md))
+        return self._m("docs", lambda: self._keep(split_frontmatter(self.docs_md)))
 
     @property
     def section_facts(self) -> DataFrame:
         """Sections + ``facts`` array, persisted: every later stage starts here."""
-        return self._m("section_facts", lambda: self._keep(with_fact_array(split_sections(self.docs))))
+        return self._m("section_facts", lambda: self._keep(with_fact_array(split_sections(
+            self.docs.select("doc_id", "document_name", "content")))))
 
     @property
     def sections(self) -> DataFrame:
@@ -93,7 +94,7 @@ class Corpus:
     @property
     def manifest(self) -> DataFrame:
         return self._m("manifest", lambda: self.manifest_df if self.manifest_df is not None
-                       else manifest_from_refs(self.content_refs, self.docs_root))
+                       else self._keep(manifest_from_refs(self.content_refs, self.docs_root)))
 
     @property
     def section_refs(self) -> DataFrame:
@@ -212,12 +213,13 @@ class Corpus:
     @property
     def responses(self) -> DataFrame:
         return self._m("responses", lambda: self.responses_df if self.responses_df is not None
-                       else self._keep(responses_from_requests(self.request_keys, self.sections,
-                                                               self.section_images)))
+                       else self._keep(responses_from_requests(
+                           self.request_keys, self.sections.select("doc_id", "section_idx", F.md5("section").alias("section_md5")),
+                           self.section_images)))
 
     @property
     def parsed(self) -> DataFrame:
-        return self._m("parsed", lambda: rs.parse(self.responses))
+        return self._m("parsed", lambda: self._keep(rs.parse(self.responses)))
 
     @property
     def request_keys(self) -> DataFrame:
@@ -246,7 +248,7 @@ class Corpus:
 
     @property
     def qa(self) -> DataFrame:
-        return self._m("qa", lambda: rs.qa_rows(self.grid, self.firsts))
+        return self._m("qa", lambda: self._keep(rs.qa_rows(self.grid, self.firsts)))
 
     @property
     def failures(self) -> DataFrame:
@@ -275,4 +277,4 @@ class Corpus:
             return rec.select(F.concat_ws("-", "split", "document_name").alias("file"),
                               F.col("request_id").alias("rec_key"),
                               F.get_json_object("record", "$.messages").alias("messages"))
-        return self._m("audit_records", build)
+        return self._m("audit_records", lambda: self._keep(build()))

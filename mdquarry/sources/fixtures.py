@@ -100,6 +100,9 @@ def manifest_from_refs(refs: DataFrame, docs_root: str = "markdown_docs") -> Dat
 def responses_from_requests(requests: DataFrame, sections: DataFrame, section_images: DataFrame) -> DataFrame:
     """``responses(request_id, attempt, text)`` for attempts 1..3.
 
+    ``sections`` holds (doc_id, section_idx, section_md5): each section text is
+    hashed once, not once per request.
+
     A good answer is ``{"question": "Q <type> <section_idx>", "question_images":
     [own images], "answer": "A <md5(section)>"}``. One request in 50 never gets
     a parsable answer; otherwise attempt 3 is always good and attempts 1-2 vary
@@ -109,13 +112,13 @@ def responses_from_requests(requests: DataFrame, sections: DataFrame, section_im
     """
     base = (
         requests.select("request_id", "doc_id", "section_idx", "question_type")
-        .join(sections.select("doc_id", "section_idx", "section"), ["doc_id", "section_idx"])
+        .join(sections.select("doc_id", "section_idx", "section_md5"), ["doc_id", "section_idx"])
         .join(section_images, ["doc_id", "section_idx"], "left")
     )
     images_json = F.to_json(F.coalesce("image_paths", F.array().cast("array<string>")))
     head = F.concat(F.lit('{"question": "Q '), F.col("question_type"), F.lit(" "), F.col("section_idx").cast("string"),
                     F.lit('", "question_images": '), images_json)
-    good = F.concat(head, F.lit(', "answer": "A '), F.md5("section"), F.lit('"}'))
+    good = F.concat(head, F.lit(', "answer": "A '), F.col("section_md5"), F.lit('"}'))
     attempts = base.select("request_id", good.alias("good"), F.concat(head, F.lit("}")).alias("no_answer"),
                            F.explode(F.sequence(F.lit(1), F.lit(3))).alias("attempt"))
     never = md5_bucket("request_id") % 50 == 0
