@@ -69,7 +69,8 @@ def vocabulary(sections: DataFrame, max_chars: int = MAX_CHARS, max_terms: int =
     stats = tf.groupBy("doc_id", "term").agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("dfreq"))
     top = top_k_per_group(stats, ["doc_id"], [F.col("cf").desc(), F.col("term")], max_terms,
                           salt=F.col("term"), rank_col="term_rank")
-    n = sections.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    # <= max_terms rows per document on the left: not a hot-key join
+    n = sections.select("doc_id", "n").where(F.col("section_idx") == 1)
     vocab = top.join(n, "doc_id").select(
         "doc_id", "term", (F.col("term_rank") - 1).cast("int").alias("term_id"),
         (F.log((F.lit(1.0) + F.col("n")) / (F.lit(1.0) + F.col("dfreq"))) + 1.0).alias("idf"))
@@ -94,15 +95,15 @@ def query_tf(queries: DataFrame, text: str, keys: list[str]) -> DataFrame:
 def _empty(t: str) -> Column:
     return F.array().cast(f"array<{t}>")
 
-_OUT_SCHEMA = "doc_id bigint, self_idx int, qsub int, nbr_idx int, sim double"
+_OUT_SCHEMA = "doc_id bigint, self_idx int, qsub int, k int, nbr_idx int, sim double"
 
 
 def _score_blocks(max_terms: int):
     def kernel(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if q.empty or c.empty:
             return pd.DataFrame({"doc_id": np.array([], np.int64), "self_idx": np.array([], np.int32),
-                                 "qsub": np.array([], np.int32), "nbr_idx": np.array([], np.int32),
-                                 "sim": np.array([], np.float64)})
+                                 "qsub": np.array([], np.int32), "k": np.array([], np.int32),
+                                 "nbr_idx": np.array([], np.int32), "sim": np.array([], np.float64)})
         c = c.sort_values("section_idx", kind="stable")
         k = int(q["k"].iloc[0])
 
@@ -124,6 +125,7 @@ def _score_blocks(max_terms: int):
             "doc_id": np.repeat(q["doc_id"].to_numpy(), kk),
             "self_idx": np.repeat(q["self_idx"].to_numpy(), kk),
             "qsub": np.repeat(q["qsub"].to_numpy(), kk),
+            "k": np.full(nq * kk, k, dtype=np.int32),
             "nbr_idx": cidx[order].reshape(-1),
             "sim": np.take_along_axis(sims, order, axis=1).reshape(-1) if nq else np.array([]),
         })
@@ -131,32 +133,33 @@ def _score_blocks(max_terms: int):
     return kernel
 
 
-def knn(queries: DataFrame, corpus: DataFrame, n_per_doc: DataFrame, k: int = K,
+def knn(queries: DataFrame, corpus: DataFrame, k: int = K,
         block_size: int = 1024, max_terms: int = MAX_TERMS) -> DataFrame:
     """Blocked exact kNN.
 
-    queries: doc_id, self_idx int, qsub int (fact number or 0), term_ids, weights
-    corpus:  doc_id, section_idx, term_ids, weights (every section of the doc)
+    queries: doc_id, n (sections in the doc), self_idx int, qsub int (fact number or 0), term_ids, weights
+    corpus:  doc_id, n, section_idx, term_ids, weights (every section of the doc)
     Returns doc_id, self_idx, qsub, rank, nbr_idx, sim (self removed).
+
+    ``n`` rides on every row (it was counted on the document row), so block
+    counts need no per-document join.
     """
-    nb = n_per_doc.select("doc_id", "n", F.least(F.lit(k), F.col("n") - 1).alias("k"),
-                          ((F.col("n") + block_size - 1) / block_size).cast("int").alias("nb"))
-    nb = nb.where(F.col("k") > 0)
-    q = (queries.join(nb, "doc_id")
+    nblocks = ((F.col("n") + block_size - 1) / block_size).cast("int")
+    q = (queries.where(F.col("n") >= 2)
+         .withColumn("k", F.least(F.lit(k), F.col("n") - 1))
          .withColumn("qb", ((F.col("self_idx") - 1) / block_size).cast("int"))
-         .withColumn("cb", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+         .withColumn("cb", F.explode(F.sequence(F.lit(0), nblocks - 1)))
          .select("doc_id", "qb", "cb", "self_idx", "qsub", "k", "term_ids", "weights"))
-    c = (corpus.join(nb, "doc_id")
+    c = (corpus.where(F.col("n") >= 2)
          .withColumn("cb", ((F.col("section_idx") - 1) / block_size).cast("int"))
-         .withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+         .withColumn("qb", F.explode(F.sequence(F.lit(0), nblocks - 1)))
          .select(F.col("doc_id").alias("c_doc"), F.col("qb").alias("c_qb"), F.col("cb").alias("c_cb"),
                  "section_idx", "term_ids", "weights"))
     # both sides share lineage: give the corpus keys fresh names (cogroup pairs keys by position)
     scored = (q.groupBy("doc_id", "qb", "cb").cogroup(c.groupBy("c_doc", "c_qb", "c_cb"))
               .applyInPandas(_score_blocks(max_terms), _OUT_SCHEMA))
     w = Window.partitionBy("doc_id", "self_idx", "qsub").orderBy(F.col("sim").desc(), F.col("nbr_idx"))
-    top = (scored.join(nb.select("doc_id", "k"), "doc_id")
-           .withColumn("r", F.row_number().over(w)).where(F.col("r") <= F.col("k"))
+    top = (scored.withColumn("r", F.row_number().over(w)).where(F.col("r") <= F.col("k"))
            .where(F.col("nbr_idx") != F.col("self_idx")))
     w2 = Window.partitionBy("doc_id", "self_idx", "qsub").orderBy("r")
     return top.withColumn("rank", F.row_number().over(w2).cast("int")).drop("r", "k")
@@ -167,11 +170,11 @@ class Neighbours:
 
     def __init__(self, sections: DataFrame, block_size: int = 1024,
                  max_chars: int = MAX_CHARS, max_terms: int = MAX_TERMS, k: int = K, keep=lambda df: df):
-        self.sections = sections.select("doc_id", "document_name", "section_idx", "section")
+        self.sections = sections.select("doc_id", "document_name", F.col("n_sections").alias("n"),
+                                        "section_idx", "section")
         self.block_size, self.max_chars, self.max_terms, self.k = block_size, max_chars, max_terms, k
         vocab, tf = vocabulary(self.sections, max_chars, max_terms)
         self.vocab, self.corpus_tf = keep(vocab), tf
-        self.n = keep(self.sections.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")))
         self._cv = None
         self._keep = keep
 
@@ -185,33 +188,31 @@ class Neighbours:
         if self._cv is None:
             v = vectors(self.corpus_tf, self.vocab, ["doc_id", "section_idx"])
             # sections without any vocabulary term are zero vectors
-            self._cv = self._keep(self.sections.select("doc_id", "section_idx").join(
+            self._cv = self._keep(self.sections.select("doc_id", "n", "section_idx").join(
                 v, ["doc_id", "section_idx"], "left").select(
-                "doc_id", "section_idx", F.coalesce("term_ids", _empty("int")).alias("term_ids"),
+                "doc_id", "n", "section_idx", F.coalesce("term_ids", _empty("int")).alias("term_ids"),
                 F.coalesce("weights", _empty("double")).alias("weights")))
         return self._cv
 
     def _query_vectors(self, q: DataFrame, text: str) -> DataFrame:
         keys = ["doc_id", "self_idx", "qsub"]
         v = vectors(query_tf(q, text, keys), self.vocab, keys)
-        return q.select(*keys).join(v, keys, "left").select(
-            *keys, F.coalesce("term_ids", _empty("int")).alias("term_ids"),
+        return q.select(*keys, "n").join(v, keys, "left").select(
+            *keys, "n", F.coalesce("term_ids", _empty("int")).alias("term_ids"),
             F.coalesce("weights", _empty("double")).alias("weights"))
 
     def of_sections(self) -> DataFrame:
         """doc_id, section_idx, rank, nbr_idx, sim."""
-        q = self.sections.select("doc_id", F.col("section_idx").alias("self_idx"),
+        q = self.sections.select("doc_id", "n", F.col("section_idx").alias("self_idx"),
                                  F.lit(0).alias("qsub"), "section")
-        r = knn(self._query_vectors(q, "section"), self.corpus_vectors(), self.n, self.k,
-                self.block_size, self.max_terms)
+        r = knn(self._query_vectors(q, "section"), self.corpus_vectors(), self.k, self.block_size, self.max_terms)
         return r.select("doc_id", F.col("self_idx").alias("section_idx"), "rank", "nbr_idx", "sim")
 
     def of_facts(self, facts: DataFrame) -> DataFrame:
         """doc_id, section_idx, fact_number, rank, nbr_idx, sim (own section removed)."""
-        q = facts.select("doc_id", F.col("section_idx").alias("self_idx"),
+        q = facts.select("doc_id", F.col("n_sections").alias("n"), F.col("section_idx").alias("self_idx"),
                          F.col("fact_number").cast("int").alias("qsub"), "fact")
-        r = knn(self._query_vectors(q, "fact"), self.corpus_vectors(), self.n, self.k,
-                self.block_size, self.max_terms)
+        r = knn(self._query_vectors(q, "fact"), self.corpus_vectors(), self.k, self.block_size, self.max_terms)
         return r.select("doc_id", F.col("self_idx").alias("section_idx"),
                         F.col("qsub").alias("fact_number"), "rank", "nbr_idx", "sim")
 

@@ -47,31 +47,13 @@ def seed_fact(section_facts: DataFrame) -> DataFrame:
 
 
 def partners(sections: DataFrame) -> DataFrame:
-    """(doc_id, section_idx, partner_idx): another section of the same document
-    whose text differs (E5, E6).
-
-    The candidate is a hash-chosen other position; when that section has the
-    same text, the fallback is the document's first section if its text
-    differs, else the first section whose text differs from the first one.
-    All steps are equi-joins and partially-aggregated group-bys: no pair
-    list, no document-wide window.
+    """(doc_id, section_idx, partner_idx) for sections that have a partner.
+
+    The partner is chosen on the document row by
+    :func:`mdquarry.operators.sections.partner_positions` and carried on each
+    section, so this is a projection: no pair list, no join.
     """
-    s = sections.select("doc_id", "section_idx", F.md5("section").alias("h"))
-    n = s.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    first = s.where(F.col("section_idx") == 1).select("doc_id", F.col("h").alias("h1"))
-    second = (s.join(first, "doc_id").where(F.col("h") != F.col("h1"))
-              .groupBy("doc_id").agg(F.min("section_idx").alias("m2")))
-    key = F.concat_ws("|", F.col("doc_id").cast("string"), F.col("section_idx").cast("string"), F.lit("partner"))
-    cand = (s.join(n, "doc_id").where(F.col("n") >= 2)
-            .withColumn("cand", ((F.col("section_idx") + md5_bucket(key) % (F.col("n") - 1)) % F.col("n") + 1)
-                        .cast("int")))
-    cand_h = s.select("doc_id", F.col("section_idx").alias("cand"), F.col("h").alias("hc"))
-    j = cand.join(cand_h, ["doc_id", "cand"]).join(first, "doc_id").join(second, "doc_id", "left")
-    partner = (F.when(F.col("hc") != F.col("h"), F.col("cand"))
-               .when(F.col("h1") != F.col("h"), F.lit(1))
-               .otherwise(F.col("m2")))
-    return j.select("doc_id", "section_idx", partner.cast("int").alias("partner_idx")).where(
-        F.col("partner_idx").isNotNull())
+    return sections.where(F.col("partner_idx").isNotNull()).select("doc_id", "section_idx", "partner_idx")
 
 
 def common_instructions(doc_title: Column) -> Column:

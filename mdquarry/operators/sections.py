@@ -1,17 +1,24 @@
-"""Section cutting.
+"""Section cutting (B1-B5) and the per-document facts every section carries.
 
 A section starts before every line that begins with one or more ``#`` and a
 space (any depth; code fences are not special). Blank sections and sections
 containing ``NO_CONTENT_HERE`` are dropped, the rest trimmed and numbered
 from 1 in document order.
+
+Document-level values that later stages need per section -- the section
+count and the partner section (E5) -- are computed on the document row
+*before* the explode, where the whole document already is, and ride along
+on every section row. No later stage has to join sections back to a
+per-document table on ``doc_id`` alone (a hot-key join when one document is
+huge).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import header_body, header_title, strip_ws
+from ..functions.text import header_body, header_title, md5_bucket, strip_ws
 
 SKIP_MARKER = "NO_CONTENT_HERE"
 
@@ -22,17 +29,44 @@ def section_array(content):
     return F.transform(kept, strip_ws)
 
 
+def partner_positions(hashes: Column, doc_id: Column) -> Column:
+    """Per section (1-based), another section of the document with different text.
+
+    Candidate = a hash-chosen other position; if its text is the same, the
+    first section when its text differs, else the first section whose text
+    differs from the first one; null when every section has the same text.
+    """
+    n = F.size(hashes)
+    h1 = F.try_element_at(hashes, F.lit(1))
+    m2 = F.array_position(F.transform(hashes, lambda x: x != h1), True)
+
+    def pick(h, i):
+        idx = i + 1
+        key = F.concat_ws("|", doc_id.cast("string"), idx.cast("string"), F.lit("partner"))
+        cand = ((idx + md5_bucket(key) % F.greatest(n - 1, F.lit(1))) % n + 1).cast("int")
+        return (F.when(n < 2, F.lit(None))
+                .when(F.try_element_at(hashes, cand) != h, cand)
+                .when(h1 != h, F.lit(1))
+                .when(m2 > 0, m2.cast("int")))
+    return F.transform(hashes, pick)
+
+
 def split_sections(docs: DataFrame, content: str = "content", keep=("doc_id", "document_name")) -> DataFrame:
-    """``(…keep, section_idx, section, title, body)``, one row per kept section.
+    """``(…keep, n_sections, section_idx, section, partner_idx, title, body)``, one row per kept section.
 
     The explode is a per-row generator: no shuffle; rows stay on the
     partition that read their document.
     """
-    s = docs.select(*keep, F.posexplode(section_array(F.col(content))).alias("pos", "section"))
+    d = docs.select(*keep, section_array(F.col(content)).alias("section"))
+    d = d.withColumn("_h", F.transform("section", F.md5))
+    d = d.withColumn("partner", partner_positions(F.col("_h"), F.col("doc_id")))
+    s = d.select(*keep, F.size("section").cast("int").alias("n_sections"),
+                 F.posexplode(F.arrays_zip("section", "partner")).alias("pos", "z"))
     return s.select(
-        *keep,
+        *keep, "n_sections",
         (F.col("pos") + 1).cast("int").alias("section_idx"),
-        "section",
-        header_title(F.col("section")).alias("title"),
-        header_body(F.col("section")).alias("body"),
+        F.col("z.section").alias("section"),
+        F.col("z.partner").cast("int").alias("partner_idx"),
+        header_title(F.col("z.section")).alias("title"),
+        header_body(F.col("z.section")).alias("body"),
     )

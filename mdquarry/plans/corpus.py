@@ -70,17 +70,18 @@ class Corpus:
     def section_facts(self) -> DataFrame:
         """Sections + ``facts`` array, persisted: every later stage starts here."""
         return self._m("section_facts", lambda: self._keep(with_fact_array(split_sections(
-            self.docs.select("doc_id", "document_name", "content")))))
+            self.docs.select("doc_id", "document_name", "metadata", "content"),
+            keep=("doc_id", "document_name", "metadata")))))
 
     @property
     def sections(self) -> DataFrame:
         """doc_id, document_name, section_idx, section, title, body."""
-        return self._m("sections", lambda: self.section_facts.drop("facts"))
+        return self._m("sections", lambda: self.section_facts.drop("facts", "metadata"))
 
     @property
     def facts(self) -> DataFrame:
         return self._m("facts", lambda: self.section_facts.select(
-            "doc_id", "document_name", "section_idx",
+            "doc_id", "document_name", "n_sections", "section_idx",
             F.posexplode("facts").alias("fact_number", "fact"),
         ).withColumn("fact_number", F.col("fact_number").cast("int")))
 
@@ -132,15 +133,12 @@ class Corpus:
         return self._m("fact_neighbours", lambda: self._keep(self.nn.of_facts(self.facts)))
 
     # --- requests -------------------------------------------------------------
-    @property
-    def doc_context(self) -> DataFrame:
-        """doc_id, doc_title, metadata_txt, instructions."""
-        def build():
-            title = fm.document_title(F.col("metadata"), DEFAULT_DOC_TITLE)
-            return self.docs.select("doc_id", title.alias("doc_title"),
-                                    fm.metadata_block(F.col("metadata")).alias("metadata_txt"),
-                                    rq.common_instructions(title).alias("instructions"))
-        return self._m("doc_context", build)
+    @staticmethod
+    def doc_context_columns() -> list:
+        """doc_title, metadata_txt, instructions (E7-E9), from the ``metadata`` every section carries."""
+        title = fm.document_title(F.col("metadata"), DEFAULT_DOC_TITLE)
+        return [title.alias("doc_title"), fm.metadata_block(F.col("metadata")).alias("metadata_txt"),
+                rq.common_instructions(title).alias("instructions")]
 
     @property
     def seeds(self) -> DataFrame:
@@ -158,11 +156,11 @@ class Corpus:
             nctx = nb.neighbour_context(self.section_neighbours, self.sections, keys, self.truncated_images)
             other = self.sections.select("doc_id", F.col("section_idx").alias("partner_idx"),
                                          F.col("section").alias("section_b"))
-            s = (self.sections.join(self.doc_context, "doc_id")
-                 .join(self.section_images, keys, "left")
+            base = self.section_facts.select("doc_id", "document_name", "section_idx", "section", "title", "body",
+                                             "partner_idx", *self.doc_context_columns())
+            s = (base.join(self.section_images, keys, "left")
                  .join(nctx, keys, "left")
                  .join(self.seeds, keys, "left")
-                 .join(self.partners, keys, "left")
                  .join(other, ["doc_id", "partner_idx"], "left"))
             own = F.coalesce("image_paths", F.array().cast("array<string>"))
             nimg = F.coalesce("neighbour_images", F.array().cast("array<string>"))
@@ -228,7 +226,7 @@ class Corpus:
         does not depend on the neighbour search."""
         def build():
             keys = ["doc_id", "section_idx"]
-            sec = self.sections.select("doc_id", "document_name", "section_idx").join(self.partners, keys, "left")
+            sec = self.sections.select("doc_id", "document_name", "section_idx", "partner_idx")
             cols = ["doc_id", "document_name", "section_idx", "fact_number", "question_type", "difficulty", "ordinal"]
             f = self.facts.select("doc_id", "document_name", "section_idx", "fact_number")
             return rq.finish(rq.section_requests(sec).select(*cols).unionByName(rq.fact_requests(f).select(*cols)))

@@ -130,14 +130,17 @@ def test_no_neighbour_fallback_text(spark):
     assert c.section_context.first()["neighbour_text"] == "No additional relevant sections found"
 
 
-def test_identical_sections_have_no_partner(spark):
+def _partners(spark, content):
     from mdquarry.operators.requests import partners
-    d = spark.createDataFrame([(1, 1, "# a\nsame"), (1, 2, "# a\nsame")], "doc_id long, section_idx int, section string")
-    assert partners(d).count() == 0
-    d = spark.createDataFrame([(1, 1, "# a\nsame"), (1, 2, "# a\nsame"), (1, 3, "# b\nother")],
-                              "doc_id long, section_idx int, section string")
-    got = {r["section_idx"]: r["partner_idx"] for r in partners(d).collect()}
+    d = spark.createDataFrame([(1, "d", content)], "doc_id long, document_name string, content string")
+    return {r["section_idx"]: r["partner_idx"] for r in partners(split_sections(d)).collect()}
+
+
+def test_identical_sections_have_no_partner(spark):
+    assert _partners(spark, "# a\nsame\n# a\nsame") == {}
+    got = _partners(spark, "# a\nsame\n# a\nsame\n# b\nother")
     assert got[1] == 3 and got[2] == 3 and got[3] in (1, 2)
+    assert _partners(spark, "# only one") == {}
 
 
 def test_json_substring(spark):
