@@ -174,7 +174,7 @@ class Neighbours:
                                         "section_idx", "section")
         self.block_size, self.max_chars, self.max_terms, self.k = block_size, max_chars, max_terms, k
         vocab, tf = vocabulary(self.sections, max_chars, max_terms)
-        self.vocab, self.corpus_tf = keep(vocab), tf
+        self.vocab, self.corpus_tf = keep(vocab), keep(tf)
         self._cv = None
         self._keep = keep
 

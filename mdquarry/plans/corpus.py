@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,7 @@ from ..operators.frontmatter import split_frontmatter
 from ..operators.neighbours import MAX_CHARS, Neighbours
 from ..operators.sections import split_sections
 from ..sources.fixtures import audit_images, load_md_documents, manifest_from_refs, responses_from_requests
+from ..session import scratch_path
 from .templates import DEFAULT_DOC_TITLE, DEFAULT_TITLE_A, DEFAULT_TITLE_B, NO_NEIGHBOURS
 
 
@@ -34,8 +37,13 @@ class Corpus:
     block_size: int = 1024
     responses_df: DataFrame | None = None  # request_id, attempt, text; derived fixture when None
     max_retries: int = rs.MAX_RETRIES
-    persist: bool = True  # keep reused intermediates (memory, spilling to disk)
+    # How reused stage outputs are kept: "table" writes them as parquet into the
+    # session's shared checkpoint folder and reads them back (lineage cut, plans
+    # stay small, survives executor loss); "memory" persists them; False recomputes.
+    persist: bool | str = "table"
     _memo: dict = field(default_factory=dict)
+    _run_dir: str | None = None
+    _n_kept: int = 0
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Corpus":
@@ -46,10 +54,25 @@ class Corpus:
             self._memo[key] = build()
         return self._memo[key]
 
-    def _keep(self, df: DataFrame) -> DataFrame:
-        """Persist an intermediate that several branches read. A lost executor
-        only costs a recomputation from lineage (MEMORY_AND_DISK, no replicas)."""
-        return df.persist(StorageLevel.MEMORY_AND_DISK) if self.persist else df
+    def _keep(self, df: DataFrame, name: str = "stage") -> DataFrame:
+        """Materialise an intermediate that several branches read.
+
+        Default: write it as a parquet table under ``spark.checkpoint.dir`` and
+        read it back. This cuts the lineage (later plans start at a scan, so
+        analysis and adaptive re-planning stay cheap), gives the optimizer real
+        sizes, lets readers prune columns, and survives lost executors.
+        """
+        if not self.persist:
+            return df
+        if self.persist == "memory":
+            return df.persist(StorageLevel.MEMORY_AND_DISK)
+        spark = df.sparkSession
+        if self._run_dir is None:
+            self._run_dir = scratch_path(spark, f"corpus-{uuid.uuid4().hex[:12]}")
+        self._n_kept += 1
+        path = f"{self._run_dir}/{self._n_kept:02d}-{name}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
     def unpersist(self) -> None:
         for v in self._memo.values():
@@ -64,14 +87,14 @@ class Corpus:
     @property
     def docs(self) -> DataFrame:
         """doc_id, document_name, has_frontmatter, fm_parsed, metadata, content."""
-        return self._m("docs", lambda: self._keep(split_frontmatter(self.docs_md)))
+        return self._m("docs", lambda: self._keep(split_frontmatter(self.docs_md), "docs"))
 
     @property
     def section_facts(self) -> DataFrame:
         """Sections + ``facts`` array, persisted: every later stage starts here."""
         return self._m("section_facts", lambda: self._keep(with_fact_array(split_sections(
             self.docs.select("doc_id", "document_name", "metadata", "content"),
-            keep=("doc_id", "document_name", "metadata")))))
+            keep=("doc_id", "document_name", "metadata"))), "section_facts"))
 
     @property
     def sections(self) -> DataFrame:
@@ -95,7 +118,7 @@ class Corpus:
     @property
     def manifest(self) -> DataFrame:
         return self._m("manifest", lambda: self.manifest_df if self.manifest_df is not None
-                       else self._keep(manifest_from_refs(self.content_refs, self.docs_root)))
+                       else self._keep(manifest_from_refs(self.content_refs, self.docs_root), "manifest"))
 
     @property
     def section_refs(self) -> DataFrame:
@@ -126,11 +149,11 @@ class Corpus:
 
     @property
     def section_neighbours(self) -> DataFrame:
-        return self._m("section_neighbours", lambda: self._keep(self.nn.of_sections()))
+        return self._m("section_neighbours", lambda: self._keep(self.nn.of_sections(), "section_neighbours"))
 
     @property
     def fact_neighbours(self) -> DataFrame:
-        return self._m("fact_neighbours", lambda: self._keep(self.nn.of_facts(self.facts)))
+        return self._m("fact_neighbours", lambda: self._keep(self.nn.of_facts(self.facts), "fact_neighbours"))
 
     # --- requests -------------------------------------------------------------
     @staticmethod
@@ -175,7 +198,7 @@ class Corpus:
                 F.coalesce(header_title(F.col("section_b"), DEFAULT_TITLE_B), F.lit("")).alias("title_b"),
                 F.coalesce(header_body(F.col("section_b")), F.lit("")).alias("body2"),
             )
-        return self._m("section_context", lambda: self._keep(build()))
+        return self._m("section_context", lambda: self._keep(build(), "section_context"))
 
     def _slots(self, fact_rows: bool) -> dict:
         e = F.lit("")
@@ -217,7 +240,7 @@ class Corpus:
 
     @property
     def parsed(self) -> DataFrame:
-        return self._m("parsed", lambda: self._keep(rs.parse(self.responses)))
+        return self._m("parsed", lambda: self._keep(rs.parse(self.responses), "parsed"))
 
     @property
     def request_keys(self) -> DataFrame:
@@ -230,23 +253,23 @@ class Corpus:
             cols = ["doc_id", "document_name", "section_idx", "fact_number", "question_type", "difficulty", "ordinal"]
             f = self.facts.select("doc_id", "document_name", "section_idx", "fact_number")
             return rq.finish(rq.section_requests(sec).select(*cols).unionByName(rq.fact_requests(f).select(*cols)))
-        return self._m("request_keys", lambda: self._keep(build()))
+        return self._m("request_keys", lambda: self._keep(build(), "request_keys"))
 
     @property
     def grid(self) -> DataFrame:
-        return self._m("grid", lambda: self._keep(rs.attempt_grid(self.request_keys, self.parsed, self.max_retries)))
+        return self._m("grid", lambda: self._keep(rs.attempt_grid(self.request_keys, self.parsed, self.max_retries), "grid"))
 
     @property
     def outcomes(self) -> DataFrame:
-        return self._m("outcomes", lambda: rs.unit_outcomes(self.grid))
+        return self._m("outcomes", lambda: self._keep(rs.unit_outcomes(self.grid), "outcomes"))
 
     @property
     def firsts(self) -> DataFrame:
-        return self._m("firsts", lambda: self._keep(rs.first_success(self.outcomes)))
+        return self._m("firsts", lambda: self._keep(rs.first_success(self.outcomes), "firsts"))
 
     @property
     def qa(self) -> DataFrame:
-        return self._m("qa", lambda: self._keep(rs.qa_rows(self.grid, self.firsts)))
+        return self._m("qa", lambda: self._keep(rs.qa_rows(self.grid, self.firsts), "qa"))
 
     @property
     def failures(self) -> DataFrame:
@@ -255,7 +278,7 @@ class Corpus:
     # --- dataset and audit -----------------------------------------------------------
     @property
     def shaped(self):
-        return self._m("shaped", lambda: ds.shape(self.qa))
+        return self._m("shaped", lambda: tuple(self._keep(x, n) for x, n in zip(ds.shape(self.qa), ("records", "quarantine"))))
 
     @property
     def records(self) -> DataFrame:
@@ -275,4 +298,4 @@ class Corpus:
             return rec.select(F.concat_ws("-", "split", "document_name").alias("file"),
                               F.col("request_id").alias("rec_key"),
                               F.get_json_object("record", "$.messages").alias("messages"))
-        return self._m("audit_records", lambda: self._keep(build()))
+        return self._m("audit_records", lambda: self._keep(build(), "audit_records"))

@@ -28,7 +28,7 @@ REQUEST_COLUMNS = ["request_id", "doc_id", "document_name", "section_idx", "fact
 
 def _process(out_dir: str, manifest: DataFrame | None, docs_root: str):
     def run(batch: DataFrame, epoch_id: int) -> None:
-        corpus = Corpus(batch, docs_root=docs_root, manifest_df=manifest)
+        corpus = Corpus(batch, docs_root=docs_root, manifest_df=manifest, persist="memory")
         try:
             (corpus.requests.select(*REQUEST_COLUMNS)
              .write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/epoch={epoch_id}"))
