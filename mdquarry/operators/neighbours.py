@@ -98,43 +98,56 @@ def _empty(t: str) -> Column:
 _OUT_SCHEMA = "doc_id bigint, self_idx int, qsub int, k int, nbr_idx int, sim double"
 
 
+def _dense(df: pd.DataFrame, width: int) -> np.ndarray:
+    m = np.zeros((len(df), width), dtype=np.float64)
+    lens = np.fromiter((len(t) for t in df["term_ids"]), dtype=np.int64, count=len(df))
+    if lens.sum():
+        rows = np.repeat(np.arange(len(df)), lens)
+        m[rows, np.concatenate(df["term_ids"].to_numpy()).astype(np.int64)] = \
+            np.concatenate(df["weights"].to_numpy()).astype(np.float64)
+    return m
+
+
+_EMPTY_OUT = {"doc_id": np.int64, "self_idx": np.int32, "qsub": np.int32, "k": np.int32,
+              "nbr_idx": np.int32, "sim": np.float64}
+
+
+def _score_one(q: pd.DataFrame, c: pd.DataFrame, width: int) -> pd.DataFrame:
+    """Top-k of one document block pair: dense (queries x corpus) product in numpy."""
+    c = c.sort_values("section_idx", kind="stable")
+    k = int(q["k"].iloc[0])
+    sims = np.round(_dense(q, width) @ _dense(c, width).T, 6)
+    kk = min(k, sims.shape[1])
+    order = np.argsort(-sims, axis=1, kind="stable")[:, :kk]  # ties -> lower section index
+    nq = len(q)
+    return pd.DataFrame({
+        "doc_id": np.repeat(q["doc_id"].to_numpy(), kk),
+        "self_idx": np.repeat(q["self_idx"].to_numpy(), kk),
+        "qsub": np.repeat(q["qsub"].to_numpy(), kk),
+        "k": np.full(nq * kk, k, dtype=np.int32),
+        "nbr_idx": c["section_idx"].to_numpy()[order].reshape(-1),
+        "sim": np.take_along_axis(sims, order, axis=1).reshape(-1),
+    })
+
+
 def _score_blocks(max_terms: int):
     def kernel(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if q.empty or c.empty:
-            return pd.DataFrame({"doc_id": np.array([], np.int64), "self_idx": np.array([], np.int32),
-                                 "qsub": np.array([], np.int32), "k": np.array([], np.int32),
-                                 "nbr_idx": np.array([], np.int32), "sim": np.array([], np.float64)})
-        c = c.sort_values("section_idx", kind="stable")
-        k = int(q["k"].iloc[0])
-
-        def dense(df: pd.DataFrame) -> np.ndarray:
-            m = np.zeros((len(df), max_terms), dtype=np.float64)
-            lens = np.fromiter((len(t) for t in df["term_ids"]), dtype=np.int64, count=len(df))
-            if lens.sum():
-                rows = np.repeat(np.arange(len(df)), lens)
-                m[rows, np.concatenate(df["term_ids"].to_numpy()).astype(np.int64)] = \
-                    np.concatenate(df["weights"].to_numpy()).astype(np.float64)
-            return m
-
-        sims = np.round(dense(q) @ dense(c).T, 6)
-        kk = min(k, sims.shape[1])
-        order = np.argsort(-sims, axis=1, kind="stable")[:, :kk]
-        cidx = c["section_idx"].to_numpy()
-        nq = len(q)
-        return pd.DataFrame({
-            "doc_id": np.repeat(q["doc_id"].to_numpy(), kk),
-            "self_idx": np.repeat(q["self_idx"].to_numpy(), kk),
-            "qsub": np.repeat(q["qsub"].to_numpy(), kk),
-            "k": np.full(nq * kk, k, dtype=np.int32),
-            "nbr_idx": cidx[order].reshape(-1),
-            "sim": np.take_along_axis(sims, order, axis=1).reshape(-1) if nq else np.array([]),
-        })
+            return pd.DataFrame({k: np.array([], t) for k, t in _EMPTY_OUT.items()})
+        c = c.rename(columns={"c_doc_id": "doc_id"})
+        # a group is one block pair of a large document, or a pack of whole small documents
+        if q["doc_id"].nunique() == 1:
+            return _score_one(q, c, max_terms)
+        cs = dict(tuple(c.groupby("doc_id", sort=False)))
+        parts = [_score_one(qd, cs[d], max_terms) for d, qd in q.groupby("doc_id", sort=False) if d in cs]
+        return pd.concat(parts, ignore_index=True) if parts else \
+            pd.DataFrame({k: np.array([], t) for k, t in _EMPTY_OUT.items()})
 
     return kernel
 
 
 def knn(queries: DataFrame, corpus: DataFrame, k: int = K,
-        block_size: int = 1024, max_terms: int = MAX_TERMS) -> DataFrame:
+        block_size: int = 1024, max_terms: int = MAX_TERMS, packs: int | None = None) -> DataFrame:
     """Blocked exact kNN.
 
     queries: doc_id, n (sections in the doc), self_idx int, qsub int (fact number or 0), term_ids, weights
@@ -142,21 +155,31 @@ def knn(queries: DataFrame, corpus: DataFrame, k: int = K,
     Returns doc_id, self_idx, qsub, rank, nbr_idx, sim (self removed).
 
     ``n`` rides on every row (it was counted on the document row), so block
-    counts need no per-document join.
+    counts need no per-document join. Documents that fit in one block are
+    packed by doc hash into ``packs`` shared groups (default: 4 x shuffle
+    partitions, so a pack is about one partition of data) to amortise the
+    per-group Arrow round trip; larger documents get one group per
+    (document, query block, corpus block).
     """
+    spark = queries.sparkSession
+    packs = packs or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     nblocks = ((F.col("n") + block_size - 1) / block_size).cast("int")
+    small = F.col("n") <= block_size
+    g1 = F.when(small, -1 - F.pmod(F.xxhash64("doc_id"), F.lit(packs))).otherwise(F.col("doc_id"))
     q = (queries.where(F.col("n") >= 2)
          .withColumn("k", F.least(F.lit(k), F.col("n") - 1))
          .withColumn("qb", ((F.col("self_idx") - 1) / block_size).cast("int"))
          .withColumn("cb", F.explode(F.sequence(F.lit(0), nblocks - 1)))
-         .select("doc_id", "qb", "cb", "self_idx", "qsub", "k", "term_ids", "weights"))
+         .withColumn("g1", g1)
+         .select("g1", "qb", "cb", "doc_id", "self_idx", "qsub", "k", "term_ids", "weights"))
     c = (corpus.where(F.col("n") >= 2)
          .withColumn("cb", ((F.col("section_idx") - 1) / block_size).cast("int"))
          .withColumn("qb", F.explode(F.sequence(F.lit(0), nblocks - 1)))
-         .select(F.col("doc_id").alias("c_doc"), F.col("qb").alias("c_qb"), F.col("cb").alias("c_cb"),
-                 "section_idx", "term_ids", "weights"))
+         .withColumn("g1", g1)
+         .select(F.col("g1").alias("c_g1"), F.col("qb").alias("c_qb"), F.col("cb").alias("c_cb"),
+                 F.col("doc_id").alias("c_doc_id"), "section_idx", "term_ids", "weights"))
     # both sides share lineage: give the corpus keys fresh names (cogroup pairs keys by position)
-    scored = (q.groupBy("doc_id", "qb", "cb").cogroup(c.groupBy("c_doc", "c_qb", "c_cb"))
+    scored = (q.groupBy("g1", "qb", "cb").cogroup(c.groupBy("c_g1", "c_qb", "c_cb"))
               .applyInPandas(_score_blocks(max_terms), _OUT_SCHEMA))
     w = Window.partitionBy("doc_id", "self_idx", "qsub").orderBy(F.col("sim").desc(), F.col("nbr_idx"))
     top = (scored.withColumn("r", F.row_number().over(w)).where(F.col("r") <= F.col("k"))

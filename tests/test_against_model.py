@@ -87,3 +87,16 @@ def test_partition_count_independence(spark, small_corpus):
     a = small_corpus.facts.select("doc_id", "section_idx", "fact_number", "fact")
     b = c2.facts.select("doc_id", "section_idx", "fact_number", "fact")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_multi_block_path_matches_model(spark, small_corpus, model):
+    """Force tiny blocks so every document spans several (query, corpus) block pairs."""
+    from mdquarry.plans.corpus import Corpus
+    c = Corpus(small_corpus.docs_md, block_size=2, persist=False)
+    stop = set(english_stop_words())
+    got = defaultdict(list)
+    for r in c.section_neighbours.orderBy("doc_id", "section_idx", "rank").collect():
+        got[(r["doc_id"], r["section_idx"])].append(r["nbr_idx"])
+    for d, (_, _, _, ss) in model.items():
+        for i, nbrs in enumerate(pm.knn(ss, ss, list(range(1, len(ss) + 1)), stop), 1):
+            assert got.get((d, i), []) == [j for j, _ in nbrs], (d, i)
