@@ -64,11 +64,16 @@ class Corpus:
         """
         if not self.persist:
             return df
+        if self.persist is True:
+            self.persist = "table"
+        spark = df.sparkSession
+        if self.persist == "table" and self._run_dir is None:
+            try:
+                self._run_dir = scratch_path(spark, f"corpus-{uuid.uuid4().hex[:12]}")
+            except RuntimeError:  # a cluster without a shared checkpoint folder: keep in memory/disk
+                self.persist = "memory"
         if self.persist == "memory":
             return df.persist(StorageLevel.MEMORY_AND_DISK)
-        spark = df.sparkSession
-        if self._run_dir is None:
-            self._run_dir = scratch_path(spark, f"corpus-{uuid.uuid4().hex[:12]}")
         self._n_kept += 1
         path = f"{self._run_dir}/{self._n_kept:02d}-{name}"
         df.write.mode("overwrite").parquet(path)

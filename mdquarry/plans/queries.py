@@ -29,13 +29,13 @@ def query(fn):
     return fn
 
 
-_CORPORA: dict[tuple[int, str], Corpus] = {}
+_CORPORA: dict[tuple[str, str], Corpus] = {}
 
 
 def _c(spark: SparkSession, sf_dir: str) -> Corpus:
     """One corpus plan per (session, data dir), so registered queries share
     persisted intermediates instead of recomputing sections and neighbours."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _CORPORA:
         _CORPORA[key] = Corpus.from_testdata(spark, sf_dir)
     return _CORPORA[key]
