@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from ..functions.text import md5_bucket
 from ..plans.templates import (COMMON_PARTS, DEFAULT_TITLE_A, DEFAULT_TITLE_B, FACT_TYPE, PAIR_TYPES,
                                QUESTION_TYPES, RECALL_TYPE, SUMMARY_TYPE, SYSTEM_PROMPT, TEMPLATES, unit_of)
-from .images import image_block
 
 BATCH_SIZE = 100
 SEED_FALLBACK_CHARS = 500

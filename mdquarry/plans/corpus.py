@@ -16,7 +16,6 @@ from ..operators import images as im
 from ..operators import neighbours as nb
 from ..operators import requests as rq
 from ..operators import responses as rs
-from ..operators import audit as au
 from ..operators import dataset as ds
 from ..operators.facts import with_fact_array
 from ..operators.frontmatter import split_frontmatter
