@@ -35,7 +35,11 @@ _CORPORA: dict[tuple[str, str], Corpus] = {}
 def _c(spark: SparkSession, sf_dir: str) -> Corpus:
     """One corpus plan per (session, data dir), so registered queries share
     persisted intermediates instead of recomputing sections and neighbours."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # Spark Connect
+        app = str(id(spark))
+    key = (app, sf_dir)
     if key not in _CORPORA:
         _CORPORA[key] = Corpus.from_testdata(spark, sf_dir)
     return _CORPORA[key]

@@ -37,7 +37,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     only invent one (a fresh temp folder) when running in local mode and the
     setting is absent, as in tests.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: only the session conf is visible
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        if not d:
+            raise RuntimeError("spark.checkpoint.dir is not set")
+        return d
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if d:
         if not sc.getCheckpointDir():

@@ -25,7 +25,9 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     cluster scale the scan already has thousands of splits and this is a
     no-op (no extra shuffle of the raw text).
     """
-    target = 2 * df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target, key)
-    return df
+    try:
+        target = 2 * df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session: leave the scan as it is
+        return df
+    return df.repartition(target, key) if parts < target else df
