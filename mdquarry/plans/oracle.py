@@ -495,6 +495,32 @@ SELECT f.file, coalesce(b.n, 0)::BIGINT AS n_invalid, coalesce(b.n, 0) = 0 AS va
 FROM (SELECT DISTINCT file FROM audit_records) f
 LEFT JOIN (SELECT file, count(*) AS n FROM invalid_images GROUP BY file) b USING (file)""")
 
+# --- paragraph-level views ----------------------------------------------------------
+cte("paras", ("sections",), f"""
+SELECT doc_id, section_idx, unnest(ps) AS p, generate_subscripts(ps, 1) AS para_idx
+FROM (SELECT doc_id, section_idx,
+             list_filter(list_transform(string_split(regexp_replace(body, {NL} || '\\s*' || {NL}, chr(1), 'g'), chr(1)),
+                                        lambda p: {_ws_strip("p")}), lambda p: p <> '') AS ps
+      FROM sections)""")
+
+LINKED = (
+    "list_transform(flat, lambda it, i: CASE WHEN it.sub THEN coalesce(list_filter(flat[1:i], lambda q: NOT q.sub)[-1].head, '')"
+    " || ' - ' || it.text ELSE it.text END)"
+)
+cte("linked_items", ("paras",), f"""
+SELECT doc_id, section_idx, para_idx, {LINKED} AS items
+FROM (SELECT doc_id, section_idx, para_idx,
+        list_transform((string_split(array_to_string(list_transform(
+            list_filter(string_split(p, {NL}), lambda l: {_ws_strip('l')} <> ''),
+            lambda l: CASE WHEN regexp_matches({_ws_strip('l')}, '^(\\d+\\.|\\*|-)\\s')
+                           THEN chr(1) || CASE WHEN regexp_matches(l, '^\\s') THEN '1' ELSE '0' END
+                                || regexp_replace({_ws_strip('l')}, '^(\\d+\\.|\\*|-)\\s+', '')
+                           ELSE {_ws_strip('l')} END), {NL}), chr(1)))[2:],
+          lambda c: {{'sub': substr(c, 1, 1) = '1',
+                      'head': regexp_extract(substr(c, 2), '^([^' || {NL} || ']*)', 1),
+                      'text': replace(regexp_replace(substr(c, 2), {NL} || '$', ''), {NL}, ' ')}}) AS flat
+      FROM paras WHERE regexp_matches(p, '^\\s*(\\d+\\.|\\*|-)\\s'))""")
+
 
 def with_ctes(*names: str, body: str) -> str:
     order: list[str] = []
@@ -632,4 +658,18 @@ SELECT file, rec_key AS request_id, image_url, context FROM invalid_images""")
     q["file_verdicts"] = with_ctes("file_verdicts", body="SELECT file, n_invalid, valid FROM file_verdicts")
     q["dataset_verdict"] = with_ctes("file_verdicts", body="""
 SELECT coalesce(bool_and(valid), true) AS all_valid, count(*)::BIGINT AS n_files FROM file_verdicts""")
+    q["list_items"] = with_ctes("paras", body=f"""
+SELECT doc_id, section_idx::BIGINT AS section_idx, para_idx::BIGINT AS para_idx,
+       generate_subscripts(items, 1)::BIGINT AS item_pos, unnest(items) AS item
+FROM (SELECT doc_id, section_idx, para_idx, {ITEMS} AS items FROM paras
+      WHERE regexp_matches(p, '^\\s*(\\d+\\.|\\*|-)\\s'))""")
+    q["list_items_linked"] = with_ctes("linked_items", body="""
+SELECT doc_id, section_idx::BIGINT AS section_idx, para_idx::BIGINT AS para_idx,
+       generate_subscripts(items, 1)::BIGINT AS item_pos, unnest(items) AS item
+FROM linked_items""")
+    q["sentences"] = with_ctes("paras", body=f"""
+SELECT doc_id, section_idx::BIGINT AS section_idx, para_idx::BIGINT AS para_idx,
+       generate_subscripts(ss, 1)::BIGINT AS sent_pos, unnest(ss) AS sentence
+FROM (SELECT doc_id, section_idx, para_idx, {SENT} AS ss FROM paras
+      WHERE NOT regexp_matches(p, '^\\s*(\\d+\\.|\\*|-)\\s'))""")
     return q

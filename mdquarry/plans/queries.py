@@ -331,3 +331,43 @@ def q_dataset_verdict(spark, sf_dir):
     c = _c(spark, sf_dir)
     v = au.dataset_verdict(au.file_verdicts(c.audit_records, c.manifest))
     return v.select("all_valid", _b("n_files"))
+
+
+# --- paragraph-level views of fact extraction ----------------------------------------
+def _paragraph_rows(spark, sf_dir):
+    from ..operators import facts as fx
+    s = _c(spark, sf_dir).sections
+    p = s.select("doc_id", "section_idx", F.posexplode(fx.paragraphs(F.col("body"))).alias("pos", "p"))
+    return p.select("doc_id", "section_idx", (F.col("pos") + 1).alias("para_idx"), "p",
+                    F.col("p").rlike(fx.LIST_PARAGRAPH).alias("is_list"))
+
+
+def _list_query(spark, sf_dir, linked: bool):
+    from ..operators import facts as fx
+    p = _paragraph_rows(spark, sf_dir).where("is_list")
+    fn = fx.list_items_linked if linked else fx.list_items
+    e = p.select("doc_id", "section_idx", "para_idx", F.posexplode(fn(F.col("p"))).alias("pos", "item"))
+    return e.select("doc_id", _b("section_idx"), _b("para_idx"), (F.col("pos") + 1).cast("bigint").alias("item_pos"),
+                    "item")
+
+
+@query
+def q_list_items(spark, sf_dir):
+    """List paragraphs -> one item per list entry, continuation lines joined."""
+    return _list_query(spark, sf_dir, False)
+
+
+@query
+def q_list_items_linked(spark, sf_dir):
+    """B10 documented option: indented items become 'parent - item'."""
+    return _list_query(spark, sf_dir, True)
+
+
+@query
+def q_sentences(spark, sf_dir):
+    """Prose paragraphs -> sentences."""
+    from ..operators import facts as fx
+    p = _paragraph_rows(spark, sf_dir).where(~F.col("is_list"))
+    e = p.select("doc_id", "section_idx", "para_idx", F.posexplode(fx.sentences(F.col("p"))).alias("pos", "sentence"))
+    return e.select("doc_id", _b("section_idx"), _b("para_idx"), (F.col("pos") + 1).cast("bigint").alias("sent_pos"),
+                    "sentence")
