@@ -156,13 +156,14 @@ def knn(queries: DataFrame, corpus: DataFrame, k: int = K,
 
     ``n`` rides on every row (it was counted on the document row), so block
     counts need no per-document join. Documents that fit in one block are
-    packed by doc hash into ``packs`` shared groups (default: 4 x shuffle
-    partitions, so a pack is about one partition of data) to amortise the
-    per-group Arrow round trip; larger documents get one group per
-    (document, query block, corpus block).
+    packed by doc hash into ``packs`` shared groups (default: 64 x shuffle
+    partitions, so a pack holds a small slice of a partition and a Python
+    worker never holds more than that) to amortise the per-group Arrow round
+    trip; larger documents get one group per (document, query block, corpus
+    block).
     """
     spark = queries.sparkSession
-    packs = packs or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    packs = packs or 64 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     nblocks = ((F.col("n") + block_size - 1) / block_size).cast("int")
     small = F.col("n") <= block_size
     g1 = F.when(small, -1 - F.pmod(F.xxhash64("doc_id"), F.lit(packs))).otherwise(F.col("doc_id"))
