@@ -100,3 +100,25 @@ def test_multi_block_path_matches_model(spark, small_corpus, model):
     for d, (_, _, _, ss) in model.items():
         for i, nbrs in enumerate(pm.knn(ss, ss, list(range(1, len(ss) + 1)), stop), 1):
             assert got.get((d, i), []) == [j for j, _ in nbrs], (d, i)
+
+
+def test_hot_document_default_blocks(spark):
+    """One document of 1,500 sections (two 1024-section blocks at the default size) vs brute force."""
+    import duckdb
+
+    from mdquarry.plans.corpus import Corpus
+    lines = [r[0] for r in duckdb.sql(
+        "SELECT unnest(string_split(text, chr(10))) AS l FROM read_parquet('/root/testdata/sf0.001/documents.parquet') "
+        "ORDER BY doc_id LIMIT 1500").fetchall()]
+    raw = "\n".join(f"# part {i}\n{ln}" for i, ln in enumerate(lines))
+    docs = spark.createDataFrame([(7, "hot", raw)], "doc_id long, document_name string, raw string")
+    c = Corpus(docs, persist=False)
+    got = defaultdict(list)
+    for r in c.section_neighbours.collect():
+        got[r["section_idx"]].append((r["rank"], r["nbr_idx"]))
+    _, content, _ = pm.frontmatter(raw)
+    ss = pm.sections(content)
+    assert len(ss) == 1500
+    want = pm.knn(ss, ss, list(range(1, len(ss) + 1)), set(english_stop_words()))
+    for i, nbrs in enumerate(want, 1):
+        assert [j for _, j in sorted(got.get(i, []))] == [j for j, _ in nbrs], i
