@@ -203,3 +203,21 @@ def test_empty_dataset_verdict_is_true(spark):
     from mdquarry.operators import audit as au
     v = spark.createDataFrame([], "file string, n_invalid long, valid boolean")
     assert au.dataset_verdict(v).first()["all_valid"] is True
+
+
+def test_missing_response_fails_unit_then_retry_succeeds(spark):
+    req = spark.createDataFrame(
+        [(f"r{i}", 1, "d", 1, i, "FACT_BASED", "easy", None) for i in range(3)],
+        "request_id string, doc_id long, document_name string, section_idx int, fact_number int, "
+        "question_type string, difficulty string, is_summary boolean")
+    ok = '{"question": "q", "answer": "a"}'
+    resp = spark.createDataFrame([("r0", 1, ok), ("r2", 1, ok)] + [(f"r{i}", 2, ok) for i in range(3)],
+                                 rs.RESPONSE_SCHEMA)
+    grid = rs.attempt_grid(req, rs.parse(resp))
+    out = rs.unit_outcomes(grid)
+    firsts = rs.first_success(out)
+    f = rs.failures(out, firsts).collect()
+    assert [(r["attempt"], r["fact_number"], r["error"]) for r in f] == [(1, 1, "no_response")]
+    qa = rs.qa_rows(grid, firsts).collect()
+    assert sorted((r["fact_number"], r["attempt"]) for r in qa) == [(0, 2), (1, 2), (2, 2)]
+    assert rs.pending(req, firsts).count() == 0
