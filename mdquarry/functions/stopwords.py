@@ -1,35 +1,25 @@
 """English stop words for the TF-IDF tokenizer.
 
-We use the list that ships with Spark ML (``StopWordsRemover``'s default
-English list, 181 words), read from the Spark ML jar on the classpath so the
-Spark job and the SQL oracle use exactly the same set without a JVM.
+Fixed values: the default English list of Apache Spark ML's
+``StopWordsRemover`` (181 words, Apache License 2.0), in its own order, so
+the Spark job and the SQL oracle use the same set without a running JVM.
 """
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
-
-_RESOURCE = "org/apache/spark/ml/feature/stopwords/english.txt"
+_WORDS = """
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers
+herself it its itself they them their theirs themselves what which who whom this that these those am is are
+was were be been being have has had having do does did doing a an the and but if or because as until while of
+at by for with about against between into through during before after above below to from up down in out on
+off over under again further then once here there when where why how all any both each few more most other
+some such no nor not only own same so than too very s t can will just don should now i'll you'll he'll she'll
+we'll they'll i'd you'd he'd she'd we'd they'd i'm you're he's she's it's we're they're i've we've you've
+they've isn't aren't wasn't weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't shouldn't
+mustn't can't couldn't cannot could here's how's let's ought that's there's what's when's where's who's why's
+would
+"""
 
 
-@functools.lru_cache(maxsize=1)
 def english_stop_words() -> tuple[str, ...]:
-    import pyspark
-
-    jars = sorted(glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar")))
-    for jar in jars:
-        with zipfile.ZipFile(jar) as z:
-            if _RESOURCE in z.namelist():
-                return tuple(w for w in z.read(_RESOURCE).decode("utf-8").split() if w)
-    # fall back to the JVM (e.g. a cluster image with a different jar layout)
-    from pyspark.ml.feature import StopWordsRemover
-
-    return tuple(StopWordsRemover.loadDefaultStopWords("english"))
-
-
-def stop_words_df(spark):
-    """Stop-word dimension: fixed size (181 rows), safe to broadcast."""
-    return spark.createDataFrame([(w,) for w in english_stop_words()], "term string")
+    return tuple(_WORDS.split())

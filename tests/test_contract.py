@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -14,8 +18,9 @@ from .conftest import SF_SMALL
 
 
 def test_every_query_has_oracle():
-    assert set(entry_mod.queries()) == set(entry_mod.oracle_sql())
-    assert len(entry_mod.queries()) >= 30
+    assert set(entry_mod.QUERIES) == set(entry_mod.oracle_queries())
+    assert set(entry_mod.oracle_sql()) <= set(entry_mod.queries())
+    assert len(entry_mod.QUERIES) >= 30
 
 
 def test_entry_smoke(spark):
@@ -53,3 +58,20 @@ def test_units_end_exactly_once(small_corpus):
     counts = c.records.groupBy("split").count().collect()
     assert sum(r["count"] for r in counts) == c.records.count()
     assert c.qa.count() == c.records.count() + c.quarantine.count()
+
+
+def test_entry_imports_outside_the_repo_and_kernels_reach_the_workers(tmp_path):
+    """No session, no PYTHONPATH and another working directory; the workers cannot import the package."""
+    code = f"""
+import sys
+sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+import __spark_entry__ as e
+assert set(e.oracle_sql()) <= set(e.queries())
+from mdquarry.session import local_session
+spark = local_session(2)
+print("ROWS", e.queries()["section_neighbours"](spark, {SF_SMALL!r}).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert int(out.stdout.split("ROWS")[1]) > 0
