@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from . import tokens
+from . import licenses, packing, tokens, topk, toxicity
 
 QUERIES = {f.__name__: f for f in (
     tokens.op4_bpe_encode_decode,
     tokens.op5_token_counts,
+    toxicity.op6_toxicity,
+    packing.op7_best_fit_packing,
+    licenses.op8_license_scan,
+    topk.op9_exact_top_k,
 )}
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op9_exact_top_k": topk.OP9_SQL}
