@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import licenses, packing, tokens, topk, toxicity
+from . import fingerprints, licenses, packing, tokens, topk, toxicity
 
 QUERIES = {f.__name__: f for f in (
+    fingerprints.op3_fingerprints,
     tokens.op4_bpe_encode_decode,
     tokens.op5_token_counts,
     toxicity.op6_toxicity,
