@@ -6,6 +6,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,3 +51,72 @@ def unpack(column: pa.Array, dtype) -> tuple[np.ndarray, np.ndarray]:
     offsets = np.zeros(len(parts) + 1, np.int64)
     np.cumsum([len(p) // np.dtype(dtype).itemsize for p in parts], out=offsets[1:])
     return np.frombuffer(b"".join(parts), dtype), offsets
+
+
+def groups(batches, key: int = 0):
+    """(rows, offsets) of whole groups from batches that are sorted by the column ``key``.
+
+    A group may go over several batches; the last group of a batch waits for
+    the next one, so memory follows the largest group.
+    """
+    held: list[pa.RecordBatch] = []
+
+    def ends(b: pa.RecordBatch) -> np.ndarray:
+        k = b.column(key)
+        if b.num_rows < 2:
+            return np.zeros(0, np.int64)
+        return np.flatnonzero(np.asarray(pa.compute.not_equal(k.slice(1), k.slice(0, b.num_rows - 1)))) + 1
+
+    def join(parts):
+        return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        if held and held[-1].column(key)[-1] != b.column(key)[0]:
+            whole = join(held)
+            yield whole, np.array([0, whole.num_rows])
+            held = []
+        cuts = ends(b)
+        if not len(cuts):
+            held.append(b)
+            continue
+        last = int(cuts[-1])
+        whole = join([*held, b.slice(0, last)])
+        before = whole.num_rows - last
+        # the first cut also ends the group that was held
+        yield whole, np.concatenate([[0], cuts + before])
+        held = [b.slice(last)]
+    if held:
+        whole = join(held)
+        yield whole, np.array([0, whole.num_rows])
+
+
+def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
+    """node, root: the smallest node of each connected component, from edges (a, b).
+
+    Alternates large stars (a node's larger neighbours move to its smallest
+    one) and small stars (its smaller neighbours do) until nothing changes;
+    every round is a written table, and no component is gathered in one place.
+    """
+    e = keep(edges.where(F.col("a") != F.col("b")).select(
+        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    state = None
+    for _ in range(rounds):
+        both = e.select("u", "v").unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = large.where(F.col("u") != F.col("v")).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u")
+        e = keep(small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(
+            small.select("u", F.col("m").alias("v"))).where(F.col("u") != F.col("v")).distinct(), "edges")
+        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if now == state:
+            break
+        state = now
+    else:
+        raise RuntimeError(f"components not stable after {rounds} rounds")
+    roots = e.select(F.col("v").alias("node")).distinct()
+    return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(
+        roots.select("node", F.col("node").alias("root")))

@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from . import bpe
 from .common import binary, id_and_text, keep, read
@@ -155,7 +156,8 @@ def assign(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         raise ValueError("piece lengths must be between 1 and the capacity")
     t = _tables(plan_bins(counts, capacity))
     names = pieces.columns
-    schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
+    schema = StructType([*pieces.schema.fields, StructField("sequence_id", LongType()),
+                         StructField("offset", LongType())])
 
     def run(batches):
         for b in batches:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import fingerprints, licenses, packing, tokens, topk, toxicity
+from . import fingerprints, licenses, ngram_join, packing, substrings, tokens, topk, toxicity
 
 QUERIES = {f.__name__: f for f in (
+    substrings.op1_substring_dedup,
+    ngram_join.op2_ngram_jaccard_join,
     fingerprints.op3_fingerprints,
     tokens.op4_bpe_encode_decode,
     tokens.op5_token_counts,
@@ -14,4 +16,4 @@ QUERIES = {f.__name__: f for f in (
     topk.op9_exact_top_k,
 )}
 
-ORACLES = {"op9_exact_top_k": topk.OP9_SQL}
+ORACLES = {"op2_ngram_jaccard_join": ngram_join.OP2_SQL, "op9_exact_top_k": topk.OP9_SQL}

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from . import bpe
 from .common import binary, id_and_text, read, unpack
@@ -51,7 +52,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
 def decode(tokens: DataFrame, path: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
     """Adds the text that the ids stand for; bytes that are no UTF-8 become U+FFFD. Null ids give an empty text."""
     names = [c for c in tokens.columns if c != to]
-    schema = tokens.select(*names).schema.add(to, "string")
+    schema = StructType([*(f for f in tokens.schema.fields if f.name != to), StructField(to, StringType())])
 
     def run(batches):
         v = bpe.Vocabulary.load(path)

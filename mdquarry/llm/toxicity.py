@@ -34,7 +34,7 @@ STEMS = (4, 5)
 MAX_POSITIVE = 2000
 MAX_NEGATIVE = 6000
 FACTORS = 4
-EPOCHS = 8
+VISITS = 64000  # rows seen in training, the sample as often as that takes
 THRESHOLD = 0.7
 
 
@@ -81,7 +81,7 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
 
 
-def fit(places: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, epochs: int = EPOCHS,
+def fit(places: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, visits: int = VISITS,
         alpha: float = 3.0, beta: float = 1.0, l1: float = 6.0, l2: float = 0.01, seed: int = 7) -> Machine:
     """Learns from texts given as arrays of distinct places."""
     none = np.zeros(0, np.int64)
@@ -100,14 +100,14 @@ def fit(places: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, ep
         zf = z[f]
         return np.where(np.abs(zf) <= l1, 0.0, -(zf - np.sign(zf) * l1) / ((beta + np.sqrt(n[f])) / alpha + l2))
 
-    for _ in range(epochs):
+    for _ in range(max(1, round(visits / len(docs)))):
         for i in rng.permutation(len(docs)):
             f = docs[i]
             w = weights(f)
             on = f[w != 0]
             fresh = on[~born[on]]
             if len(fresh):
-                v[fresh] = rng.normal(0, 0.02, (len(fresh), factors))
+                v[fresh] = rng.normal(0, 0.1, (len(fresh), factors))
                 born[fresh] = True
             vf = v[on]
             total = vf.sum(0)
@@ -119,9 +119,9 @@ def fit(places: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, ep
             z[f] += g - (more - np.sqrt(n[f])) / alpha * w
             n[f] += g * g
             if len(on):
-                gv = g * (total - vf) + 0.02 * vf
+                gv = g * (total - vf) + 1e-4 * vf
                 vn[on] += gv * gv
-                v[on] -= 0.05 * gv / np.sqrt(vn[on])
+                v[on] -= 0.1 * gv / np.sqrt(vn[on])
     w = weights(np.arange(len(used)))
     live = w != 0
     return Machine(bias, used[live], w[live], v[live])
