@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import fingerprints, licenses, ngram_join, packing, substrings, tokens, topk, toxicity
+from . import fingerprints, licenses, lm_scoring, ngram_join, packing, substrings, tokens, topk, toxicity
 
 QUERIES = {f.__name__: f for f in (
     substrings.op1_substring_dedup,
@@ -14,6 +14,7 @@ QUERIES = {f.__name__: f for f in (
     packing.op7_best_fit_packing,
     licenses.op8_license_scan,
     topk.op9_exact_top_k,
+    lm_scoring.op10_lm_scoring,
 )}
 
 ORACLES = {"op2_ngram_jaccard_join": ngram_join.OP2_SQL, "op9_exact_top_k": topk.OP9_SQL}

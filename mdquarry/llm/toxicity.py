@@ -82,7 +82,7 @@ class Machine:
 
 
 def fit(places: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, visits: int = VISITS,
-        alpha: float = 3.0, beta: float = 1.0, l1: float = 6.0, l2: float = 0.01, seed: int = 7) -> Machine:
+        alpha: float = 5.0, beta: float = 1.0, l1: float = 4.0, l2: float = 0.01, seed: int = 7) -> Machine:
     """Learns from texts given as arrays of distinct places."""
     none = np.zeros(0, np.int64)
     if not len(labels) or labels.min() == labels.max():
@@ -197,13 +197,15 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
-def keep_harmless(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def keep_harmless(docs: DataFrame, labels: DataFrame, learn_from: DataFrame | None = None,
+                  threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that are not rejected, with all their columns.
 
-    The score is computed beside the row, so repeated ids and null ids keep
-    their own verdict.
+    ``learn_from`` holds the labelled texts (``docs`` itself by default). The
+    score is computed beside the row, so repeated ids and null ids keep their
+    own verdict.
     """
-    model = learn(docs, labels, ~held_out())
+    model = learn(docs if learn_from is None else learn_from, labels, ~held_out())
     sent = docs.sparkSession.sparkContext.broadcast((model.bias, model.place, model.weight, model.factor))
     at_text = docs.columns.index("text")
 
