@@ -7,6 +7,7 @@ operators must agree with it on small inputs.
 
 from __future__ import annotations
 
+import itertools
 import re
 
 import numpy as np
@@ -45,54 +46,72 @@ def title_body(sec: str, default: str = "Section"):
     return title, body
 
 
+def _is_word(ch: str) -> bool:
+    return ch.isalnum() or ch == "_"
+
+
 def sentences(text: str) -> list[str]:
-    mark = "\x00P"
-    for pat in (r"(\w\.\w\.)", r"(\d+\.\d+)", r"([A-Za-z]\.[A-Za-z]\.)"):
-        text = re.sub(pat, lambda m: m.group(1) + mark, text)
-    out: list[str] = []
-    for piece in re.split(r"(?<=[.!?])\s+", text):
-        piece = piece.replace(mark, "")
-        if not piece.strip():
-            continue
-        if out and re.match(r"[a-z]", piece):
-            out[-1] = out[-1] + " " + piece
+    """Character scanner: a sentence ends where white space follows . ! or ?, but not after an abbreviation like x.y."""
+    pieces, begin, i, guarded = [], 0, 0, -1
+    while i < len(text):
+        quad = text[i:i + 4]
+        if i > guarded and len(quad) == 4 and _is_word(quad[0]) and _is_word(quad[2]) and quad[1] == quad[3] == ".":
+            guarded = i + 3  # the second dot; scanning for the next abbreviation goes on behind it
+        if text[i].isspace() and i > begin and text[i - 1] in ".!?" and i - 1 != guarded:
+            pieces.append(text[begin:i])
+            while i < len(text) and text[i].isspace():
+                i += 1
+            begin = i
         else:
-            out.append(piece)
-    return out
+            i += 1
+    pieces.append(text[begin:])
+    joined: list[str] = []
+    for starts_low, run in itertools.groupby(filter(str.strip, pieces), key=lambda p: "a" <= p[0] <= "z"):
+        run = list(run)
+        if starts_low and joined:
+            run = [" ".join([joined.pop(), *run])]
+        joined += [" ".join(run)] if starts_low else run
+    return joined
+
+
+def _marker_length(line: str) -> int:
+    """Length of a list marker and the white space behind it; 0 for any other line."""
+    head = line.split(None, 1)[0] if line.strip() else ""
+    if head in ("*", "-") or (head.endswith(".") and head[:-1].isdecimal()):
+        rest = line[len(head):]
+        return len(head) + len(rest) - len(rest.lstrip()) if rest[:1].isspace() else 0
+    return 0
 
 
 def list_items(par: str, link_parents: bool = False) -> list[str]:
-    items: list[str] = []
-    parent = ""
-    for raw in par.split("\n"):
-        line = raw.strip()
-        if not line:
-            continue
-        m = re.match(r"(\d+\.|\*|-)\s+(.*)", line)
-        if m:
-            indented = link_parents and raw[:1].isspace()
-            if indented:
-                items.append(f"{parent} - {m.group(2)}")
-            else:
-                items.append(m.group(2))
-                parent = m.group(2)
-        elif items:
-            items[-1] += " " + line
-    return items
+    """Every line gets the number of the item it belongs to; item 0 stands before the first marker."""
+    lines = [(ln[:1].isspace(), ln.strip()) for ln in par.split("\n") if ln.strip()]
+    marks = [_marker_length(ln) for _, ln in lines]
+    number = list(itertools.accumulate(int(m > 0) for m in marks))
+    texts = [ln[m:] for (_, ln), m in zip(lines, marks)]
+    out = []
+    for item in range(1, max(number, default=0) + 1):
+        mine = [i for i, n in enumerate(number) if n == item]
+        text = " ".join(texts[i] for i in mine)
+        if link_parents and lines[mine[0]][0]:
+            above = [i for i in range(mine[0]) if marks[i] and not lines[i][0]]
+            text = f"{texts[above[-1]] if above else ''} - {text}"
+        out.append(text)
+    return out
 
 
 def facts(body: str, link_parents: bool = False) -> list[str]:
-    out: list[str] = []
-    for par in re.split(r"\n\s*\n", body):
-        par = par.strip()
-        if not par:
-            continue
-        if re.match(r"\s*(\d+\.|\*|-)\s", par):
-            out += list_items(par, link_parents)
+    """Paragraphs are what blank lines separate; each is a list or prose by its first line."""
+    blocks = [[]]
+    for ln in body.split("\n"):
+        if ln.strip():
+            blocks[-1].append(ln)
         else:
-            out += sentences(par)
-    out = [f.strip() for f in out if len(f.strip()) > 10]
-    return out if out or not body.strip() else [body.strip()]
+            blocks.append([])
+    whole = ["\n".join(b).strip() for b in blocks if b]
+    found = [x for p in whole for x in (list_items(p, link_parents) if _marker_length(p) else sentences(p))]
+    long = [x.strip() for x in found if len(x.strip()) > 10]
+    return long or ([body.strip()] if body.strip() else [])
 
 
 def image_refs(text: str) -> list[str]:

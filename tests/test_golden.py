@@ -73,9 +73,9 @@ def test_bare_marker_line_is_not_an_item(spark):
 
 
 def test_sub_items_default_and_linked(spark):
-    text = "1. Main point\n   - Subpoint"
-    assert one(spark, fx.list_items(F.col("v")), text) == ["Main point", "Subpoint"]
-    assert one(spark, fx.list_items_linked(F.col("v")), text) == ["Main point", "Main point - Subpoint"]
+    text = "2. Brew the tea\n   - Warm the pot"
+    assert one(spark, fx.list_items(F.col("v")), text) == ["Brew the tea", "Warm the pot"]
+    assert one(spark, fx.list_items_linked(F.col("v")), text) == ["Brew the tea", "Brew the tea - Warm the pot"]
 
 
 def test_sentences(spark):
@@ -97,8 +97,8 @@ def test_fact_length_rule_and_fallback(spark):
 
 def test_image_refs(spark):
     from mdquarry.operators.images import REF_PATTERN
-    got = one(spark, F.regexp_extract_all(F.col("v"), F.lit(REF_PATTERN), 1), "See {{FIGURE_1.2}} and {{TABLE_3}}")
-    assert got == ["FIGURE_1.2", "TABLE_3"]
+    got = one(spark, F.regexp_extract_all(F.col("v"), F.lit(REF_PATTERN), 1), "Compare {{map-7}} with {{chart_b.4}}")
+    assert got == ["map-7", "chart_b.4"]
 
 
 def test_image_priority(spark):

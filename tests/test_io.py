@@ -18,26 +18,26 @@ from mdquarry.plans.corpus import Corpus
 from mdquarry.sources.markdown import read_markdown_dir
 
 A_MD = """---
-title: Signal Timing Guide
-description: How to time signals
-domain: traffic
+title: Sourdough Baking Guide
+description: How to bake with a starter
+domain: baking
 source: manual
 version: 1.0
 last_updated: 2024-01-01
-audience: engineers
-keywords: [timing, signals]
+audience: bakers
+keywords: [starter, dough]
 ---
 
-# Cycle length
-The cycle length is the total time for all phases. It is measured in seconds.
+# Proofing time
+The proofing time is the total rest of the dough. It is measured in hours.
 
-- Short cycles reduce delay for light traffic volumes.
-- Long cycles serve heavy traffic at the cost of waiting.
+- Short rests suit a warm kitchen and a young starter.
+- Long rests give more flavour at the cost of waiting.
 
-See {{FIGURE_1.1}} for an example.
+See {{crumb_1.1}} for an example.
 
-# Offsets
-Offsets coordinate adjacent signals along a corridor. They are set relative to a master clock.
+# Steam
+Steam keeps the crust soft while the loaf still rises. It is let out after twenty minutes.
 """
 
 
@@ -55,7 +55,7 @@ def corpus_dir():
         f.write("# not markdown\n")
     with open(os.path.join(docs, "sub", "d.md"), "w") as f:
         f.write("# nested\nnot read\n")
-    with open(os.path.join(root, "a", "FIGURE_1.1.png"), "wb") as f:
+    with open(os.path.join(root, "a", "crumb_1.1.png"), "wb") as f:
         f.write(b"\x89PNG fake bytes")
     return root
 
@@ -64,18 +64,18 @@ def test_markdown_dir(spark, corpus_dir):
     d = read_markdown_dir(spark, os.path.join(corpus_dir, "markdown_docs"))
     rows = {r["document_name"]: r["raw"] for r in d.collect()}
     assert sorted(rows) == ["a", "b.c"]
-    assert rows["a"].startswith("---\ntitle: Signal Timing Guide")
+    assert rows["a"].startswith("---\ntitle: Sourdough Baking Guide")
 
 
 def test_end_to_end_on_files(spark, corpus_dir):
     docs = read_markdown_dir(spark, os.path.join(corpus_dir, "markdown_docs"))
     manifest = im.manifest_from_dir(spark, corpus_dir)
-    assert [r["path"] for r in manifest.collect()] == ["a/FIGURE_1.1.png"]
+    assert [r["path"] for r in manifest.collect()] == ["a/crumb_1.1.png"]
     c = Corpus(docs, manifest_df=manifest, persist=False)
     meta = {e["key"]: e["value"] for e in c.docs.where("document_name = 'a'").first()["metadata"]}
-    assert meta["title"] == "Signal Timing Guide" and meta["keywords"] == "[timing, signals]"
+    assert meta["title"] == "Sourdough Baking Guide" and meta["keywords"] == "[starter, dough]"
     imgs = c.section_images.collect()
-    assert [r["image_paths"] for r in imgs] == [["a/FIGURE_1.1.png"]]
+    assert [r["image_paths"] for r in imgs] == [["a/crumb_1.1.png"]]
     # data URL of the attached image
     urls = im.data_urls(spark, c.section_resolved.select("image_path"), corpus_dir).collect()
     assert urls[0]["data_url"].startswith("data:image/png;base64,")
@@ -85,7 +85,7 @@ def test_end_to_end_on_files(spark, corpus_dir):
                req.where("question_type <> 'FACT_BASED'").groupBy("document_name").agg(F.count("*").alias("n")).collect()}
     assert per_doc == {"a": 2 * 14, "b.c": 12}
     p = req.where("document_name = 'a' AND section_idx = 1 AND question_type = 'INFERENCE'").first()
-    assert "Signal Timing Guide" in p["prompt"] and "- image FIGURE_1.1: a/FIGURE_1.1.png" in p["prompt"]
+    assert "Sourdough Baking Guide" in p["prompt"] and "- image crumb_1.1: a/crumb_1.1.png" in p["prompt"]
 
 
 def _fake_model(batches):
@@ -127,7 +127,7 @@ def test_audit_reads_json_arrays(spark, corpus_dir):
     d = tempfile.mkdtemp(prefix="mdq-audit-")
     rec = {"messages": [{"role": "user", "content": [
         {"type": "text", "text": "q"},
-        {"type": "image_url", "image_url": {"url": "a/FIGURE_1.1.png"}},
+        {"type": "image_url", "image_url": {"url": "a/crumb_1.1.png"}},
         {"type": "image_url", "image_url": {"url": "a/missing.png"}}]},
         {"role": "assistant", "content": "x" * 150}]}
     with open(os.path.join(d, "train-a.json"), "w") as f:
