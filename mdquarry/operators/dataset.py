@@ -61,18 +61,24 @@ def split_counts(records: DataFrame) -> DataFrame:
         F.count_if(F.col("split") == "eval").alias("n_eval"))
 
 
-def write_dataset(records: DataFrame, out_dir: str, run_id: str | None = None) -> str:
+def write_dataset(records: DataFrame, out_dir: str, run_id: str | None = None,
+                  sections_per_file: int = 10_000) -> str:
     """JSON Lines per (split, document): ``out/run=<ts>/split=…/document_name=…/part-*.json``.
 
     The record goes out as a VARIANT so ``content`` keeps its list-or-string
     shape; partitioning by split and document keeps files the reference's
-    one-file-per-(split, document) layout while writing in parallel (A7).
+    one-file-per-(split, document) layout while writing in parallel (A7). Rows
+    are dealt by split, document and run of ``sections_per_file`` sections, so the
+    number of files follows the documents, not the tasks, and a large document is
+    written by several tasks.
     """
     run = run_id or records.sparkSession.range(1).select(
         F.date_format(F.current_timestamp(), "yyyy-MM-dd_HH-mm-ss")).first()[0]
     path = f"{out_dir.rstrip('/')}/run={run}"
     v = F.parse_json("record")
-    (records.select("split", "document_name", F.variant_get(v, "$.messages", "variant").alias("messages"),
-                    "question_type", "difficulty")
+    part = F.floor(F.col("section_idx") / sections_per_file)
+    (records.repartition("split", "document_name", part)
+     .select("split", "document_name", F.variant_get(v, "$.messages", "variant").alias("messages"),
+             "question_type", "difficulty")
      .write.mode("overwrite").partitionBy("split", "document_name").json(path))
     return path

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import DIGIT, GUARD, JOIN, SEP, WS, strip_ws
 
+# The patterns decide what a list, an item and a sentence is.
 MARKER = f"({DIGIT}+\\.|\\*|-)"
 LIST_PARAGRAPH = f"^{WS}*{MARKER}{WS}"
 ITEM_LINE = f"^{MARKER}{WS}"
@@ -29,7 +30,7 @@ def sentences(text: Column) -> Column:
     """Sentence split after ``.``/``!``/``?`` + whitespace, with ``x.y.``
     abbreviations and decimals protected, and a piece starting with a
     lower-case letter re-joined to the previous one with a single space."""
-    t = F.regexp_replace(text, r"(?U)(\w\.\w\.)", "$1" + GUARD)
+    t = F.regexp_replace(text, r"([\p{L}\p{N}_]\.[\p{L}\p{N}_]\.)", "$1" + GUARD)
     t = F.regexp_replace(t, f"({DIGIT}+\\.{DIGIT}+)", "$1" + GUARD)
     t = F.regexp_replace(t, r"([A-Za-z]\.[A-Za-z]\.)", "$1" + GUARD)
     t = F.regexp_replace(t, f"([.!?]){WS}+([a-z])", "$1" + JOIN + "$2")
@@ -67,11 +68,13 @@ def list_items_linked(paragraph: Column) -> Column:
         F.regexp_extract(F.substring(c, 2, 2147483647), r"^([^\n]*)", 1).alias("head"),
         F.replace(F.regexp_replace(F.substring(c, 2, 2147483647), "\n$", ""), F.lit("\n"), F.lit(" ")).alias("text"),
     ))
-    return F.transform(flat, lambda it, i: F.when(
-        it["sub"],
-        F.concat(F.coalesce(F.try_element_at(F.filter(F.slice(flat, 1, i + 1), lambda p: ~p["sub"]), F.lit(-1))["head"],
-                            F.lit("")), F.lit(" - "), it["text"]),
-    ).otherwise(it["text"]))
+    # one pass that carries the latest parent; the items are evaluated once
+    start = F.struct(F.lit("").alias("parent"), F.array().cast("array<string>").alias("out"))
+    done = F.aggregate(flat, start, lambda acc, it: F.struct(
+        F.when(it["sub"], acc["parent"]).otherwise(it["head"]).alias("parent"),
+        F.concat(acc["out"], F.array(F.when(it["sub"], F.concat(acc["parent"], F.lit(" - "), it["text"]))
+                                     .otherwise(it["text"]))).alias("out")))
+    return done["out"]
 
 
 def paragraphs(body: Column) -> Column:

@@ -8,7 +8,8 @@ Rules (reader of one markdown file):
 * with no closing marker the metadata is empty and the content unchanged;
 * the block is read as a flat ``key: value`` mapping (comments and blank
   lines skipped, surrounding quotes removed, a repeated key keeps its first
-  position and its last value). A block with any other line does not parse:
+  position and its last value). A key without a value may be followed by
+  ``- item`` lines; its value is then ``[item, item]``. A block with any other line does not parse:
   metadata stays empty and the content keeps its frontmatter, as a YAML
   error does. Values stay raw text (YAML would turn ``1.10`` into ``1.1``).
 """
@@ -18,24 +19,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import WS, lstrip_ws, strip_ws
+from ..functions.text import SEP, WS, lstrip_ws, strip_ws
 
-KEY_LINE = f"^[A-Za-z_][A-Za-z0-9_ .-]*:({WS}|$)"
+KEY_LINE = f"^[A-Za-z_][A-Za-z0-9_ .-]*:({WS}[^{SEP}]*$|[ \t]*{SEP}|$)"
 
 
-def _entries(block: Column) -> Column:
-    lines = F.filter(F.split(block, "\n", -1), lambda l: (strip_ws(l) != "") & ~strip_ws(l).startswith("#"))
-    raw = F.transform(F.col("_lines"), lambda l: F.struct(
-        strip_ws(F.regexp_extract(l, r"^([^:]*):", 1)).alias("key"),
-        F.regexp_replace(strip_ws(F.regexp_extract(l, r"^[^:]*:(.*)$", 1)),
-                         r"""^"(.*)"$|^'(.*)'$""", "$1$2").alias("value"),
-    ))
-    # first position, last value (Python dict insertion semantics)
-    firsts = F.filter(raw, lambda e, i: ~F.exists(F.slice(raw, 1, i), lambda p: p["key"] == e["key"]))
-    return F.transform(firsts, lambda e: F.struct(
-        e["key"].alias("key"),
-        F.try_element_at(F.filter(raw, lambda p: p["key"] == e["key"]), F.lit(-1))["value"].alias("value"),
-    )), lines
+def _lines(block: Column) -> Column:
+    """Lines that count; list items are moved up to the line of their key, behind a separator."""
+    joined = F.regexp_replace(block, r"\n[ \t]*-[ \t]+", SEP)
+    return F.filter(F.split(joined, "\n", -1), lambda l: (strip_ws(l) != "") & ~strip_ws(l).startswith("#"))
+
+
+def _pairs(lines: Column) -> Column:
+    def value(l):
+        v = strip_ws(F.regexp_extract(l, r"^[^:]*:(.*)$", 1))
+        items = F.array_join(F.transform(F.split(F.substring(v, 2, 2147483647), SEP, -1), strip_ws), ", ")
+        return F.when(v.startswith(SEP), F.concat(F.lit("["), items, F.lit("]"))).otherwise(
+            F.regexp_replace(v, r"""^"(.*)"$|^'(.*)'$""", "$1$2"))
+    return F.transform(lines, lambda l: F.struct(
+        strip_ws(F.regexp_extract(l, r"^([^:]*):", 1)).alias("key"), value(l).alias("value")))
+
+
+def _unique(pairs: Column) -> Column:
+    """First position, last value of every key (Python dict insertion semantics)."""
+    keys = F.array_distinct(F.transform(pairs, lambda e: e["key"]))
+    return F.transform(keys, lambda k: F.struct(
+        k.alias("key"), F.try_element_at(F.filter(pairs, lambda p: p["key"] == k), F.lit(-1))["value"].alias("value")))
 
 
 def split_frontmatter(docs: DataFrame, raw: str = "raw") -> DataFrame:
@@ -46,17 +55,17 @@ def split_frontmatter(docs: DataFrame, raw: str = "raw") -> DataFrame:
     # step-wise projections: each intermediate is computed once per row
     d = docs.withColumn("_close", F.when(r.startswith("---"), F.locate("---", r, 4)).otherwise(F.lit(0)))
     d = d.withColumn("_block", F.when(close > 0, strip_ws(F.substring(r, F.lit(4), close - 4))))
-    entries, lines = _entries(F.col("_block"))
-    d = d.withColumn("_lines", lines)
+    d = d.withColumn("_lines", _lines(F.col("_block")))
     d = d.withColumn("_ok", (close > 0) & F.forall("_lines", lambda l: l.rlike(KEY_LINE)))
+    d = d.withColumn("_pairs", _pairs(F.col("_lines")))
     ok = F.col("_ok")
     return (
         d.withColumn("has_frontmatter", close > 0)
         .withColumn("fm_parsed", ok | (close == 0))
-        .withColumn("metadata", F.when(ok, entries).otherwise(
+        .withColumn("metadata", F.when(ok, _unique(F.col("_pairs"))).otherwise(
             F.array().cast("array<struct<key:string,value:string>>")))
         .withColumn("content", F.when(ok, lstrip_ws(F.substring(r, close + 3, F.lit(2147483647)))).otherwise(r))
-        .drop("_close", "_block", "_lines", "_ok", raw)
+        .drop("_close", "_block", "_lines", "_pairs", "_ok", raw)
     )
 
 

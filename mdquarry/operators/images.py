@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import basename, drop_last_extension
 
+# Fixed value: what a reference looks like.
 REF_PATTERN = r"\{\{([^}]+)\}\}"
 # Candidate suffixes in priority order (first under the
 # document folder, then under the corpus root).

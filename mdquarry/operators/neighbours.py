@@ -2,43 +2,44 @@
 
 Semantics (per document, ``n`` sections):
 
-* corpus text = the first 2000 characters of each section; tokens are the
-  lower-cased runs of two or more word characters, minus English stop words;
-* vocabulary = the 500 terms with the highest total count in the document
-  (ties by term); ``idf = ln((1 + n) / (1 + df)) + 1``; vectors are ``tf * idf``,
-  L2-normalised;
-* a query (a whole section, or a fact) is vectorised over that vocabulary
-  from its *full* text;
+* corpus text = each whole section; tokens are the lower-cased runs of two or
+  more word characters, minus English stop words;
+* vocabulary = all terms of the document; ``idf = ln((1 + n) / (1 + df)) + 1``;
+  vectors are ``tf * idf``, L2-normalised;
+* a query (a whole section, or a fact) is vectorised over that vocabulary;
 * the ``k = min(3, n - 1)`` nearest corpus sections by cosine -- the query's
   own section included, ties (similarity rounded to 6 places) by index --
   are taken, then the query's own section is removed.
 
+``max_chars`` and ``max_terms`` limit the corpus text to a prefix and the
+vocabulary to the most frequent terms (ties by term); by default nothing is cut.
+
 Execution plan. Term statistics are aggregations with map-side partial
 combine (``groupBy``), so a hot document never lands whole in one task.
-The top-500 vocabulary is a two-stage top-k salted by term hash. Scoring is
-blocked: each document's sections are cut into blocks of ``block_size``;
-every (query block, corpus block) pair of a document is one cogroup whose
-Arrow batch is scored densely with numpy (at most ``block_size`` x 500
-weights per side) and only the per-block top-k survives. A final top-k over
-the blocks' survivors gives the answer. The number of rows shuffled is
-``O(sections x blocks)`` rather than ``O(sections^2)`` for a term join, and
-no pair list of a document is ever materialised.
+Scoring is blocked and streamed: a document's sections are cut into corpus
+blocks; rows are sorted so that a block's corpus rows come first and its
+queries follow, and the queries are scored slice by slice against the block's
+postings. A task holds one corpus block and one slice, however many queries
+(facts) a section or document has. Queries go to every corpus block of their
+document; only the per-block top-k survives, and a final top-k over the
+blocks' survivors gives the answer. No pair list of a document is ever
+materialised.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stopwords import english_stop_words
 from ..plans.templates import NO_NEIGHBOURS
 
-TOKEN = r"(?U)\w{2,}"  # maximal runs of >= 2 word chars == \b\w\w+\b
-MAX_CHARS = 2000
-MAX_TERMS = 500
+TOKEN = r"[\p{L}\p{N}_]{2,}"  # Python's \w: letters, numbers and the underscore
 K = 3
+SLICE_ROWS = 1024  # queries scored at once
+SLICE_POSTINGS = 1 << 22  # or fewer, if they meet more postings than this
 
 
 def tokens(text: Column) -> Column:
@@ -56,29 +57,38 @@ def top_k_per_group(df: DataFrame, group: list[str], order: list[Column], k: int
     return s.withColumn(rank_col, F.row_number().over(w2)).where(F.col(rank_col) <= k)
 
 
-def vocabulary(sections: DataFrame, max_chars: int = MAX_CHARS, max_terms: int = MAX_TERMS) -> tuple[DataFrame, DataFrame]:
+def _without_stop_words(toks: DataFrame) -> DataFrame:
+    # fixed 181-word set: an in-row hash-set filter (InSet), no join at all
+    return toks.where(~F.col("term").isin(*english_stop_words()))
+
+
+def prefix(text: str, max_chars: int | None) -> Column:
+    return F.col(text) if max_chars is None else F.substring(text, 1, max_chars)
+
+
+def vocabulary(sections: DataFrame, max_chars: int | None = None,
+               max_terms: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Returns (vocab, corpus_tf).
 
-    vocab: doc_id, term, term_id (0-based), idf.  corpus_tf: doc_id, section_idx, term, tf.
+    vocab: doc_id, term, term_id (a hash of the term), idf.  corpus_tf: doc_id, section_idx, term, tf.
     """
-    toks = sections.select("doc_id", "section_idx",
-                           F.explode(tokens(F.substring("section", 1, max_chars))).alias("term"))
-    # fixed 181-word set: an in-row hash-set filter (InSet), no join at all
-    toks = toks.where(~F.col("term").isin(*english_stop_words()))
+    toks = _without_stop_words(sections.select(
+        "doc_id", "section_idx", F.explode(tokens(prefix("section", max_chars))).alias("term")))
     tf = toks.groupBy("doc_id", "section_idx", "term").agg(F.count(F.lit(1)).alias("tf"))
     stats = tf.groupBy("doc_id", "term").agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("dfreq"))
-    top = top_k_per_group(stats, ["doc_id"], [F.col("cf").desc(), F.col("term")], max_terms,
-                          salt=F.col("term"), rank_col="term_rank")
-    # <= max_terms rows per document on the left: not a hot-key join
+    if max_terms is not None:
+        stats = top_k_per_group(stats, ["doc_id"], [F.col("cf").desc(), F.col("term")], max_terms,
+                                salt=F.col("term"))
+    # one row for each document on the right; a document with very many terms is split by AQE
     n = sections.select("doc_id", "n").where(F.col("section_idx") == 1)
-    vocab = top.join(n, "doc_id").select(
-        "doc_id", "term", (F.col("term_rank") - 1).cast("int").alias("term_id"),
+    vocab = stats.join(n, "doc_id").select(
+        "doc_id", "term", F.xxhash64("term").alias("term_id"),
         (F.log((F.lit(1.0) + F.col("n")) / (F.lit(1.0) + F.col("dfreq"))) + 1.0).alias("idf"))
     return vocab, tf
 
 
 def vectors(tf: DataFrame, vocab: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys…, term_ids array<int>, weights array<double>) L2-normalised tf-idf."""
+    """(keys…, term_ids array<bigint>, weights array<double>) L2-normalised tf-idf."""
     w = tf.join(vocab, ["doc_id", "term"]).select(*keys, "term_id", (F.col("tf") * F.col("idf")).alias("w"))
     return w.groupBy(*keys).agg(
         F.collect_list(F.struct("term_id", "w")).alias("v"),
@@ -88,100 +98,111 @@ def vectors(tf: DataFrame, vocab: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def query_tf(queries: DataFrame, text: str, keys: list[str]) -> DataFrame:
-    t = queries.select(*keys, F.explode(tokens(F.col(text))).alias("term"))
+    t = _without_stop_words(queries.select(*keys, F.explode(tokens(F.col(text))).alias("term")))
     return t.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def _empty(t: str) -> Column:
     return F.array().cast(f"array<{t}>")
 
-_OUT_SCHEMA = "doc_id bigint, self_idx int, qsub int, k int, nbr_idx int, sim double"
 
-
-def _dense(df: pd.DataFrame, width: int) -> np.ndarray:
-    m = np.zeros((len(df), width), dtype=np.float64)
-    lens = np.fromiter((len(t) for t in df["term_ids"]), dtype=np.int64, count=len(df))
-    if lens.sum():
-        rows = np.repeat(np.arange(len(df)), lens)
-        m[rows, np.concatenate(df["term_ids"].to_numpy()).astype(np.int64)] = \
-            np.concatenate(df["weights"].to_numpy()).astype(np.float64)
-    return m
-
-
-_EMPTY_OUT = {"doc_id": np.int64, "self_idx": np.int32, "qsub": np.int32, "k": np.int32,
-              "nbr_idx": np.int32, "sim": np.float64}
-
-
-def _score_one(q: pd.DataFrame, c: pd.DataFrame, width: int) -> pd.DataFrame:
-    """Top-k of one document block pair: dense (queries x corpus) product in numpy."""
-    c = c.sort_values("section_idx", kind="stable")
-    k = int(q["k"].iloc[0])
-    sims = np.round(_dense(q, width) @ _dense(c, width).T, 6)
-    kk = min(k, sims.shape[1])
-    order = np.argsort(-sims, axis=1, kind="stable")[:, :kk]  # ties -> lower section index
-    nq = len(q)
-    return pd.DataFrame({
-        "doc_id": np.repeat(q["doc_id"].to_numpy(), kk),
-        "self_idx": np.repeat(q["self_idx"].to_numpy(), kk),
-        "qsub": np.repeat(q["qsub"].to_numpy(), kk),
-        "k": np.full(nq * kk, k, dtype=np.int32),
-        "nbr_idx": c["section_idx"].to_numpy()[order].reshape(-1),
-        "sim": np.take_along_axis(sims, order, axis=1).reshape(-1),
-    })
-
-
-def _score_blocks(max_terms: int):
-    def kernel(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or c.empty:
-            return pd.DataFrame({k: np.array([], t) for k, t in _EMPTY_OUT.items()})
-        c = c.rename(columns={"c_doc_id": "doc_id"})
-        # a group is one block pair of a large document, or a pack of whole small documents
-        if q["doc_id"].nunique() == 1:
-            return _score_one(q, c, max_terms)
-        cs = dict(tuple(c.groupby("doc_id", sort=False)))
-        parts = [_score_one(qd, cs[d], max_terms) for d, qd in q.groupby("doc_id", sort=False) if d in cs]
-        return pd.concat(parts, ignore_index=True) if parts else \
-            pd.DataFrame({k: np.array([], t) for k, t in _EMPTY_OUT.items()})
-
-    return kernel
-
-
-def knn(queries: DataFrame, corpus: DataFrame, k: int = K,
-        block_size: int = 1024, max_terms: int = MAX_TERMS, packs: int | None = None) -> DataFrame:
+_OUT_SCHEMA = "doc_id bigint, self_idx int, qsub int, k int, nbr_idx int, sim double"
+_IN = ["doc_id", "cb", "qb", "side", "idx", "qsub", "k", "term_ids", "weights"]
+
+
+def _scorer(slice_rows: int, slice_postings: int):
+    """Sorted rows (block, side, ...) to each query's top-k of the block; self-contained, it runs in the workers."""
+    names = ["doc_id", "self_idx", "qsub", "k", "nbr_idx", "sim"]
+
+    def run(batches):
+        key, parts, block = None, [], None
+        for b in batches:
+            col = [b.column(i).to_numpy(zero_copy_only=False) for i in range(7)]
+            lists = b.column(7)
+            off = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            terms = lists.flatten().to_numpy(zero_copy_only=False)
+            weights = b.column(8).flatten().to_numpy(zero_copy_only=False)
+            change = np.zeros(b.num_rows, bool)
+            for c in col[:4]:
+                change[1:] |= c[1:] != c[:-1]
+            cuts = np.concatenate([[0], np.flatnonzero(change), [b.num_rows]])
+            for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                if a == z:
+                    continue
+                here = tuple(int(c[a]) for c in col[:3])
+                if col[3][a] == 0:
+                    if here != key:
+                        key, parts = here, []
+                    parts.append((col[4][a:z], np.diff(off[a:z + 1]), terms[off[a]:off[z]], weights[off[a]:off[z]]))
+                    block = None
+                    continue
+                if here != key:
+                    continue
+                if block is None:  # the block's postings, by term
+                    idx = np.concatenate([p[0] for p in parts])
+                    at = np.repeat(np.arange(len(idx)), np.concatenate([p[1] for p in parts]))
+                    t = np.concatenate([p[2] for p in parts])
+                    order = np.argsort(t, kind="stable")
+                    block = idx, t[order], at[order], np.concatenate([p[3] for p in parts])[order]
+                idx, t, at, w = block
+                lo = np.searchsorted(t, terms[off[a]:off[z]], "left")
+                met = np.searchsorted(t, terms[off[a]:off[z]], "right") - lo
+                per_row = np.add.reduceat(np.append(met, 0), off[a:z] - off[a]) * (np.diff(off[a:z + 1]) > 0)
+                total = np.concatenate([[0], np.cumsum(per_row)])
+                at_row = 0
+                while at_row < z - a:
+                    stop = max(at_row + 1, min(at_row + slice_rows, int(np.searchsorted(
+                        total, total[at_row] + slice_postings, "right")) - 1))
+                    x, y = int(off[a + at_row] - off[a]), int(off[a + stop] - off[a])
+                    n = met[x:y]
+                    ends = np.cumsum(n)
+                    hit = np.repeat(lo[x:y] - (ends - n), n) + np.arange(int(n.sum()))
+                    row = np.repeat(np.repeat(np.arange(stop - at_row), np.diff(off[a + at_row:a + stop + 1])), n)
+                    score = np.repeat(weights[off[a] + x:off[a] + y], n) * w[hit]
+                    sims = np.bincount(row * len(idx) + at[hit], score, (stop - at_row) * len(idx))
+                    # (no match at all gives integers)
+                    sims = np.round(sims.astype(np.float64).reshape(stop - at_row, len(idx)), 6)
+                    k = int(col[6][a])
+                    best = np.argsort(-sims, axis=1, kind="stable")[:, :min(k, len(idx))]  # ties: lower section
+                    rows = np.repeat(np.arange(a + at_row, a + stop), best.shape[1])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(col[0][rows]), pa.array(col[4][rows]), pa.array(col[5][rows]), pa.array(col[6][rows]),
+                         pa.array(idx[best].reshape(-1)), pa.array(np.take_along_axis(sims, best, axis=1).reshape(-1))],
+                        names)
+                    at_row = stop
+
+    return run
+
+
+def knn(queries: DataFrame, corpus: DataFrame, k: int = K, block_size: int = 512,
+        query_block: int = 4096) -> DataFrame:
     """Blocked exact kNN.
 
     queries: doc_id, n (sections in the doc), self_idx int, qsub int (fact number or 0), term_ids, weights
     corpus:  doc_id, n, section_idx, term_ids, weights (every section of the doc)
     Returns doc_id, self_idx, qsub, rank, nbr_idx, sim (self removed).
 
-    ``n`` rides on every row (it was counted on the document row), so block
-    counts need no per-document join. Documents that fit in one block are
-    packed by doc hash into ``packs`` shared groups (default: 64 x shuffle
-    partitions, so a pack holds a small slice of a partition and a Python
-    worker never holds more than that) to amortise the per-group Arrow round
-    trip; larger documents get one group per (document, query block, corpus
-    block).
+    A key is (document, corpus block, run of ``query_block`` sections whose
+    queries it serves). Every query is sent to the corpus blocks of its document,
+    a corpus row to as many keys as there are runs, so both sides of a large
+    document are spread over tasks. ``n`` rides on every row, so block counts need
+    no per-document join.
     """
-    spark = queries.sparkSession
-    packs = packs or 64 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    nblocks = ((F.col("n") + block_size - 1) / block_size).cast("int")
-    small = F.col("n") <= block_size
-    g1 = F.when(small, -1 - F.pmod(F.xxhash64("doc_id"), F.lit(packs))).otherwise(F.col("doc_id"))
-    q = (queries.where(F.col("n") >= 2)
-         .withColumn("k", F.least(F.lit(k), F.col("n") - 1))
-         .withColumn("qb", ((F.col("self_idx") - 1) / block_size).cast("int"))
-         .withColumn("cb", F.explode(F.sequence(F.lit(0), nblocks - 1)))
-         .withColumn("g1", g1)
-         .select("g1", "qb", "cb", "doc_id", "self_idx", "qsub", "k", "term_ids", "weights"))
-    c = (corpus.where(F.col("n") >= 2)
-         .withColumn("cb", ((F.col("section_idx") - 1) / block_size).cast("int"))
-         .withColumn("qb", F.explode(F.sequence(F.lit(0), nblocks - 1)))
-         .withColumn("g1", g1)
-         .select(F.col("g1").alias("c_g1"), F.col("qb").alias("c_qb"), F.col("cb").alias("c_cb"),
-                 F.col("doc_id").alias("c_doc_id"), "section_idx", "term_ids", "weights"))
-    # both sides share lineage: give the corpus keys fresh names (cogroup pairs keys by position)
-    scored = (q.groupBy("g1", "qb", "cb").cogroup(c.groupBy("c_g1", "c_qb", "c_cb"))
-              .applyInPandas(_score_blocks(max_terms), _OUT_SCHEMA))
+    def block(c, size):
+        return F.floor((F.col(c) - 1) / size).cast("int")
+
+    last = F.floor((F.col("n") - 1) / block_size).cast("int")
+    q = queries.where(F.col("n") >= 2).withColumn("cb", F.explode(F.sequence(F.lit(0), last))).select(
+        "doc_id", "cb", block("self_idx", query_block).alias("qb"), F.lit(1).alias("side"),
+        F.col("self_idx").alias("idx"), "qsub", F.least(F.lit(k), F.col("n") - 1).cast("int").alias("k"),
+        "term_ids", "weights")
+    runs = F.floor((F.col("n") - 1) / query_block).cast("int")
+    c = corpus.where(F.col("n") >= 2).withColumn("qb", F.explode(F.sequence(F.lit(0), runs))).select(
+        "doc_id", block("section_idx", block_size).alias("cb"), "qb", F.lit(0).alias("side"),
+        F.col("section_idx").alias("idx"), F.lit(0).alias("qsub"), F.lit(0).alias("k"), "term_ids", "weights")
+    rows = c.unionByName(q).select(*_IN).repartition("doc_id", "cb", "qb") \
+        .sortWithinPartitions("doc_id", "cb", "qb", "side", "idx", "qsub")
+    scored = rows.mapInArrow(_scorer(SLICE_ROWS, SLICE_POSTINGS), _OUT_SCHEMA)
     w = Window.partitionBy("doc_id", "self_idx", "qsub").orderBy(F.col("sim").desc(), F.col("nbr_idx"))
     top = (scored.withColumn("r", F.row_number().over(w)).where(F.col("r") <= F.col("k"))
            .where(F.col("nbr_idx") != F.col("self_idx")))
@@ -192,11 +213,11 @@ def knn(queries: DataFrame, corpus: DataFrame, k: int = K,
 class Neighbours:
     """TF-IDF neighbours of sections and of facts for one corpus."""
 
-    def __init__(self, sections: DataFrame, block_size: int = 1024,
-                 max_chars: int = MAX_CHARS, max_terms: int = MAX_TERMS, k: int = K, keep=lambda df: df):
+    def __init__(self, sections: DataFrame, block_size: int = 512, max_chars: int | None = None,
+                 max_terms: int | None = None, k: int = K, keep=lambda df: df):
         self.sections = sections.select("doc_id", "document_name", F.col("n_sections").alias("n"),
                                         "section_idx", "section")
-        self.block_size, self.max_chars, self.max_terms, self.k = block_size, max_chars, max_terms, k
+        self.block_size, self.k = block_size, k
         vocab, tf = vocabulary(self.sections, max_chars, max_terms)
         self.vocab, self.corpus_tf = keep(vocab), keep(tf)
         self._cv = None
@@ -214,7 +235,7 @@ class Neighbours:
             # sections without any vocabulary term are zero vectors
             self._cv = self._keep(self.sections.select("doc_id", "n", "section_idx").join(
                 v, ["doc_id", "section_idx"], "left").select(
-                "doc_id", "n", "section_idx", F.coalesce("term_ids", _empty("int")).alias("term_ids"),
+                "doc_id", "n", "section_idx", F.coalesce("term_ids", _empty("bigint")).alias("term_ids"),
                 F.coalesce("weights", _empty("double")).alias("weights")))
         return self._cv
 
@@ -222,35 +243,35 @@ class Neighbours:
         keys = ["doc_id", "self_idx", "qsub"]
         v = vectors(query_tf(q, text, keys), self.vocab, keys)
         return q.select(*keys, "n").join(v, keys, "left").select(
-            *keys, "n", F.coalesce("term_ids", _empty("int")).alias("term_ids"),
+            *keys, "n", F.coalesce("term_ids", _empty("bigint")).alias("term_ids"),
             F.coalesce("weights", _empty("double")).alias("weights"))
 
     def of_sections(self) -> DataFrame:
         """doc_id, section_idx, rank, nbr_idx, sim."""
         q = self.sections.select("doc_id", "n", F.col("section_idx").alias("self_idx"),
                                  F.lit(0).alias("qsub"), "section")
-        r = knn(self._query_vectors(q, "section"), self.corpus_vectors(), self.k, self.block_size, self.max_terms)
+        r = knn(self._query_vectors(q, "section"), self.corpus_vectors(), self.k, self.block_size)
         return r.select("doc_id", F.col("self_idx").alias("section_idx"), "rank", "nbr_idx", "sim")
 
     def of_facts(self, facts: DataFrame) -> DataFrame:
         """doc_id, section_idx, fact_number, rank, nbr_idx, sim (own section removed)."""
         q = facts.select("doc_id", F.col("n_sections").alias("n"), F.col("section_idx").alias("self_idx"),
                          F.col("fact_number").cast("int").alias("qsub"), "fact")
-        r = knn(self._query_vectors(q, "fact"), self.corpus_vectors(), self.k, self.block_size, self.max_terms)
+        r = knn(self._query_vectors(q, "fact"), self.corpus_vectors(), self.k, self.block_size)
         return r.select("doc_id", F.col("self_idx").alias("section_idx"),
                         F.col("qsub").alias("fact_number"), "rank", "nbr_idx", "sim")
 
 
 def neighbour_context(nbrs: DataFrame, sections: DataFrame, keys: list[str],
-                      nbr_images: DataFrame | None = None, max_chars: int = MAX_CHARS) -> DataFrame:
+                      nbr_images: DataFrame | None = None, max_chars: int | None = None) -> DataFrame:
     """(keys…, neighbour_text, neighbour_images) -- D9/D10.
 
-    Neighbour text = truncated neighbour sections in rank order joined by a
-    blank line; images = images referenced in the truncated neighbour text,
-    in neighbour order. Rows per key are bounded by k.
+    Neighbour text = neighbour sections (their first ``max_chars`` characters, if
+    given) in rank order joined by a blank line; images = images referenced in
+    that text, in neighbour order. Rows per key are bounded by k.
     """
     s = sections.select("doc_id", F.col("section_idx").alias("nbr_idx"),
-                        F.substring("section", 1, max_chars).alias("ntext"))
+                        prefix("section", max_chars).alias("ntext"))
     j = nbrs.join(s, ["doc_id", "nbr_idx"])
     if nbr_images is not None:
         j = j.join(nbr_images.withColumnRenamed("section_idx", "nbr_idx"), ["doc_id", "nbr_idx"], "left")

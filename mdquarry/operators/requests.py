@@ -18,7 +18,6 @@ from ..plans.templates import (COMMON_PARTS, DEFAULT_TITLE_A, DEFAULT_TITLE_B, F
                                QUESTION_TYPES, RECALL_TYPE, SUMMARY_TYPE, SYSTEM_PROMPT, TEMPLATES, unit_of)
 
 BATCH_SIZE = 100
-SEED_FALLBACK_CHARS = 500
 
 
 def question_types_df(spark: SparkSession) -> DataFrame:
@@ -38,11 +37,11 @@ def _type_array(types) -> Column:
 
 
 def seed_fact(section_facts: DataFrame) -> DataFrame:
-    """(doc_id, section_idx, seed_fact): a hash-sampled fact, else the body's first 500 chars."""
+    """(doc_id, section_idx, seed_fact): a hash-sampled fact, else the body."""
     key = F.concat_ws("|", F.col("doc_id").cast("string"), F.col("section_idx").cast("string"), F.lit(RECALL_TYPE))
     pick = F.try_element_at("facts", (md5_bucket(key) % F.greatest(F.size("facts"), F.lit(1)) + 1).cast("int"))
     return section_facts.select("doc_id", "section_idx", F.when(F.size("facts") > 0, pick).otherwise(
-        F.substring("body", 1, SEED_FALLBACK_CHARS)).alias("seed_fact"))
+        F.col("body")).alias("seed_fact"))
 
 
 def partners(sections: DataFrame) -> DataFrame:
@@ -60,10 +59,10 @@ def common_instructions(doc_title: Column) -> Column:
                       for p in ([F.lit(lit)] if lit else []) + ([doc_title] if slot else [])])
 
 
-def render(slots: dict[str, Column], question_type: Column) -> Column:
+def render(slots: dict[str, Column], question_type: Column, templates: dict | None = None) -> Column:
     """One CASE over the compiled templates; every slot must be non-null."""
     expr = None
-    for t, parts in TEMPLATES.items():
+    for t, parts in (templates or TEMPLATES).items():
         pieces = []
         for lit, slot in parts:
             if lit:
@@ -75,13 +74,13 @@ def render(slots: dict[str, Column], question_type: Column) -> Column:
     return expr
 
 
-def section_requests(ctx: DataFrame) -> DataFrame:
+def section_requests(ctx: DataFrame, types=QUESTION_TYPES) -> DataFrame:
     """Section-level and pair-level requests from the section context table.
 
     ctx must hold: doc_id, document_name, section_idx, partner_idx (nullable)
     and the slot columns used by :func:`render`.
     """
-    types = [t for t in QUESTION_TYPES if unit_of(t[1]) != "fact"]
+    types = [t for t in types if unit_of(t[1]) != "fact"]
     g = ctx.withColumn("qt", F.explode(_type_array(types)))
     g = g.where(~F.col("qt.question_type").isin(*PAIR_TYPES) | F.col("partner_idx").isNotNull())
     return g.select("*", F.col("qt.question_type").alias("question_type"), F.col("qt.difficulty").alias("difficulty"),
@@ -94,13 +93,13 @@ def fact_requests(facts_ctx: DataFrame) -> DataFrame:
                             F.lit(o).alias("ordinal"))
 
 
-def finish(req: DataFrame) -> DataFrame:
-    """Adds request_id, is_summary, batch_id."""
+def finish(req: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
+    """Adds request_id, is_summary, batch_id: runs of ``batch_size`` sections."""
     return req.withColumn(
         "request_id", request_id(F.col("doc_id"), F.col("section_idx"), F.col("question_type"), F.col("fact_number"))
     ).withColumn(
         "is_summary", F.when(F.col("question_type") == SUMMARY_TYPE, F.lit(True))
-    ).withColumn("batch_id", F.floor((F.col("section_idx") - 1) / BATCH_SIZE).cast("int"))
+    ).withColumn("batch_id", F.floor((F.col("section_idx") - 1) / batch_size).cast("int"))
 
 
 def payload(prompt: Column, images: Column) -> Column:
@@ -108,17 +107,29 @@ def payload(prompt: Column, images: Column) -> Column:
     return F.struct(prompt.alias("text"), F.when(F.size(images) > 0, images).alias("images"))
 
 
-def chat_request_json(prompt: Column, images: Column, image_url: Column | None = None,
-                      system_prompt: str = SYSTEM_PROMPT) -> Column:
+def with_data_urls(requests: DataFrame, urls: DataFrame) -> DataFrame:
+    """Adds ``image_urls``: the data URL of each of the request's images, in order; unreadable ones are left out.
+
+    ``urls`` holds (image_path, data_url), see ``operators.images.data_urls``.
+    """
+    each = requests.select("request_id", F.posexplode("images").alias("pos", "image_path"))
+    found = each.join(urls, "image_path").groupBy("request_id").agg(F.transform(
+        F.sort_array(F.collect_list(F.struct("pos", "data_url"))), lambda x: x["data_url"]).alias("image_urls"))
+    return requests.join(found, "request_id", "left").withColumn(
+        "image_urls", F.coalesce("image_urls", F.array().cast("array<string>")))
+
+
+def chat_request_json(prompt: Column, images: Column, system_prompt: str = SYSTEM_PROMPT) -> Column:
     """Chat request JSON: a system message, then the user's text part and one
-    image part per image (data URL when a mapping is given, else the path) (E14).
+    image part per entry of ``images`` -- paths, or the data URLs of
+    :func:`with_data_urls` (E14).
 
     Null struct fields are omitted by ``to_json``, so one part type serves
     both text and image parts.
     """
     def img(p):
         return F.struct(F.lit("image_url").alias("type"), F.lit(None).cast("string").alias("text"),
-                        F.struct((p if image_url is None else image_url).alias("url")).alias("image_url"))
+                        F.struct(p.alias("url")).alias("image_url"))
     text_part = F.struct(F.lit("text").alias("type"), prompt.alias("text"),
                          F.lit(None).cast("struct<url:string>").alias("image_url"))
     user = F.concat(F.array(text_part), F.transform(images, img))

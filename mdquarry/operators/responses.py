@@ -18,8 +18,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
-
 MAX_RETRIES = 50
 UNIT = ["doc_id", "section_idx", "question_type"]
 PARSED_FIELDS = "array<struct<question:string,question_images:string,answer:string>>"
@@ -46,8 +44,8 @@ def parse(responses: DataFrame, sanitize_text: bool = False) -> DataFrame:
     (subexpression elimination does not reach into CASE branches).
     """
     text = sanitize(F.col("text")) if sanitize_text else F.col("text")
-    d = responses.select("request_id", F.col("attempt").cast("int").alias("attempt"),
-                         F.col("text").isNull().alias("_null"), json_substring(text).alias("_js"))
+    d = one_per_attempt(responses)
+    d = d.select("request_id", "attempt", F.col("text").isNull().alias("_null"), json_substring(text).alias("_js"))
     d = d.withColumn("_arr", F.from_json(F.concat(F.lit("["), F.col("_js"), F.lit("]")), PARSED_FIELDS,
                                          {"allowSingleQuotes": "false"}))
     d = d.withColumn("status", F.when(F.col("_null"), F.lit("no_response"))
@@ -72,27 +70,43 @@ def parse(responses: DataFrame, sanitize_text: bool = False) -> DataFrame:
     )
 
 
-def attempt_grid(requests: DataFrame, parsed: DataFrame, max_retries: int = MAX_RETRIES) -> DataFrame:
-    """Every request of a unit at every attempt the unit has a response for;
-    a request without an answer in that attempt is ``no_response``."""
-    cap = 1 + max_retries
-    req = requests.select("request_id", *UNIT, "document_name", "fact_number", "difficulty", "is_summary")
-    p = parsed.where(F.col("attempt") <= cap)
-    unit_attempts = p.join(req.select("request_id", *UNIT), "request_id").select(*UNIT, "attempt").distinct()
-    g = req.join(unit_attempts, UNIT).join(p, ["request_id", "attempt"], "left")
-    return g.withColumn("status", F.coalesce("status", F.lit("no_response")))
+def one_per_attempt(responses: DataFrame) -> DataFrame:
+    """One row per (request_id, attempt): responders may deliver an answer twice.
+
+    Of different texts the smallest is kept, a text before none.
+    """
+    return responses.groupBy("request_id", F.col("attempt").cast("int").alias("attempt")).agg(F.min("text").alias("text"))
+
+
+def answered(requests: DataFrame, parsed: DataFrame) -> DataFrame:
+    """Parsed responses with the columns of their request; one join on the request id, no hot key.
 
+    ``requests`` carry ``unit_size``, the number of requests of their unit.
+    """
+    req = requests.select("request_id", *UNIT, "document_name", "fact_number", "difficulty", "is_summary", "unit_size")
+    return parsed.join(req, "request_id")
 
-def unit_outcomes(grid: DataFrame) -> DataFrame:
-    """(unit…, attempt, ok, bad_fact, error): one row per unit attempt."""
+
+def unit_outcomes(answers: DataFrame, requests: DataFrame) -> DataFrame:
+    """(unit…, attempt, ok, fact_number, error): one row per unit attempt.
+
+    An attempt is ok if all ``unit_size`` requests of the unit parsed. The first
+    request without an answer is looked up for those attempts only in which
+    answers are missing.
+    """
     bad = F.when(F.col("status") != "ok", F.struct(F.coalesce("fact_number", F.lit(-1)).alias("f"),
                                                     F.col("status").alias("e")))
-    return grid.groupBy(*UNIT, "attempt").agg(
-        F.bool_and(F.col("status") == "ok").alias("ok"),
-        F.min(bad).alias("first_bad"),
-    ).select(*UNIT, "attempt", "ok",
-             F.when(F.col("first_bad.f") >= 0, F.col("first_bad.f")).alias("fact_number"),
-             F.col("first_bad.e").alias("error"))
+    units = answers.groupBy(*UNIT, "attempt").agg(
+        (F.count_if(F.col("status") == "ok") == F.max("unit_size")).alias("ok"),
+        (F.count(F.lit(1)) < F.max("unit_size")).alias("short"), F.min(bad).alias("first_bad"))
+    short = units.where("short").select(*UNIT, "attempt")
+    expected = short.join(requests.select(*UNIT, "request_id", "fact_number"), UNIT)
+    missing = expected.join(answers.select("request_id", "attempt"), ["request_id", "attempt"], "left_anti")
+    missing = missing.groupBy(*UNIT, "attempt").agg(F.min(F.struct(
+        F.coalesce("fact_number", F.lit(-1)).alias("f"), F.lit("no_response").alias("e"))).alias("first_missing"))
+    worst = F.least("first_bad", "first_missing")
+    return units.join(missing, [*UNIT, "attempt"], "left").select(
+        *UNIT, "attempt", "ok", F.when(worst["f"] >= 0, worst["f"]).alias("fact_number"), worst["e"].alias("error"))
 
 
 def first_success(outcomes: DataFrame) -> DataFrame:
@@ -108,10 +122,10 @@ def failures(outcomes: DataFrame, firsts: DataFrame) -> DataFrame:
         .select(*UNIT, "attempt", "fact_number", "error")
 
 
-def qa_rows(grid: DataFrame, firsts: DataFrame) -> DataFrame:
+def qa_rows(answers: DataFrame, firsts: DataFrame) -> DataFrame:
     """Parsed pairs of each unit's first successful attempt, request metadata merged."""
-    j = grid.join(firsts.where(F.col("first_ok").isNotNull()), UNIT)
-    return j.where(F.col("attempt") == F.col("first_ok")).drop("first_ok", "last_attempt", "status")
+    j = answers.join(firsts.where(F.col("first_ok").isNotNull()), UNIT)
+    return j.where(F.col("attempt") == F.col("first_ok")).drop("first_ok", "last_attempt", "status", "unit_size")
 
 
 def still_failing(outcomes: DataFrame, firsts: DataFrame) -> DataFrame:
@@ -147,26 +161,46 @@ def respond(pending_requests: DataFrame, responder: Responder) -> DataFrame:
     return src.mapInPandas(responder, RESPONSE_SCHEMA)
 
 
-def run_live(requests: DataFrame, responder: Responder, responses_path: str | None = None,
+def _exists(spark, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def run_live(requests: DataFrame, responder: Responder, responses_path: str,
              max_retries: int = MAX_RETRIES) -> DataFrame:
     """Ask, parse and re-ask until every unit succeeds or the cap is reached.
 
-    Each pass appends the new responses to a parquet table *before* parsing,
-    so an interrupted run resumes without re-asking (F12); the table lives in
-    the shared checkpoint folder unless a path is given. The driver only
-    loops over passes (at most ``1 + max_retries``) and reads one count per
-    pass; rows never leave the executors.
+    Each pass writes its answers to ``responses_path/pass=<n>`` *before* parsing,
+    so a run that starts again with the same path asks nothing twice (F12). The
+    answers on disk are parsed once at the start; then only those of the pass
+    just made are, and the next pass asks the units it left open. The driver
+    only loops over passes (at most ``1 + max_retries``) and makes one emptiness
+    test for each; rows never leave the executors.
     """
     spark = requests.sparkSession
-    path = responses_path or scratch_path(spark, "responses")
-    for _ in range(1 + max_retries):
-        try:
-            answered = spark.read.schema(RESPONSE_SCHEMA).parquet(path)
-        except Exception:  # first pass: nothing written yet
-            answered = spark.createDataFrame([], RESPONSE_SCHEMA)
-        firsts = first_success(unit_outcomes(attempt_grid(requests, parse(answered), max_retries)))
-        todo = pending(requests, firsts, max_retries).checkpoint()
+    base = responses_path.rstrip("/")
+
+    def firsts(responses):
+        answers = answered(requests, parse(responses))
+        return first_success(unit_outcomes(answers, requests))
+
+    done = 0
+    todo = requests.withColumn("next_attempt", F.lit(1))
+    if _exists(spark, base):
+        # the number of a pass is part of its path; a pass that was cut short left no answers
+        old = spark.read.schema(f"{RESPONSE_SCHEMA}, pass int").parquet(base)
+        done = old.agg(F.coalesce(F.max("pass"), F.lit(0))).first()[0]
+        todo = pending(requests, firsts(old), max_retries)
+    while done <= max_retries:
+        todo = todo.checkpoint()
         if todo.isEmpty():
             break
-        respond(todo, responder).write.mode("append").parquet(path)
-    return spark.read.schema(RESPONSE_SCHEMA).parquet(path)
+        done += 1
+        path = f"{base}/pass={done}"
+        respond(todo, responder).write.mode("overwrite").parquet(path)
+        new = firsts(spark.read.schema(RESPONSE_SCHEMA).parquet(path))
+        # units that this pass did not finish are asked once more
+        open_ = todo.join(new.where(F.col("first_ok").isNotNull()).select(*UNIT), UNIT, "left_anti")
+        todo = open_.where(F.col("next_attempt") <= max_retries).withColumn(
+            "next_attempt", F.col("next_attempt") + 1)
+    return spark.read.schema(RESPONSE_SCHEMA).parquet(base) if done else spark.createDataFrame([], RESPONSE_SCHEMA)

@@ -38,9 +38,9 @@ def partner_positions(hashes: Column, doc_id: Column) -> Column:
     """
     n = F.size(hashes)
     h1 = F.try_element_at(hashes, F.lit(1))
-    m2 = F.array_position(F.transform(hashes, lambda x: x != h1), True)
+    other = F.array_position(F.transform(hashes, lambda x: x != h1), True)
 
-    def pick(h, i):
+    def pick(h, i, m2):
         idx = i + 1
         key = F.concat_ws("|", doc_id.cast("string"), idx.cast("string"), F.lit("partner"))
         cand = ((idx + md5_bucket(key) % F.greatest(n - 1, F.lit(1))) % n + 1).cast("int")
@@ -48,7 +48,8 @@ def partner_positions(hashes: Column, doc_id: Column) -> Column:
                 .when(F.try_element_at(hashes, cand) != h, cand)
                 .when(h1 != h, F.lit(1))
                 .when(m2 > 0, m2.cast("int")))
-    return F.transform(hashes, pick)
+    # ``other`` scans the document once: it is bound before the sections are walked through
+    return F.element_at(F.transform(F.array(other), lambda m: F.transform(hashes, lambda h, i: pick(h, i, m))), 1)
 
 
 def split_sections(docs: DataFrame, content: str = "content", keep=("doc_id", "document_name")) -> DataFrame:

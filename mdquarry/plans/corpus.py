@@ -19,11 +19,24 @@ from ..operators import responses as rs
 from ..operators import dataset as ds
 from ..operators.facts import with_fact_array
 from ..operators.frontmatter import split_frontmatter
-from ..operators.neighbours import MAX_CHARS, Neighbours
+from ..operators.neighbours import Neighbours
 from ..operators.sections import split_sections
-from ..sources.fixtures import audit_images, load_md_documents, manifest_from_refs, responses_from_requests
 from ..session import scratch_path
-from .templates import DEFAULT_DOC_TITLE, DEFAULT_TITLE_A, DEFAULT_TITLE_B, NO_NEIGHBOURS
+from .templates import (DEFAULT_DOC_TITLE, DEFAULT_TITLE_A, DEFAULT_TITLE_B, NO_NEIGHBOURS, QUESTION_TYPES, TEMPLATES,
+                        compile_template)
+
+
+@dataclass(frozen=True)
+class Bounds:
+    """Limits of the neighbour search and the prompts; by default nothing is cut."""
+
+    max_chars: int | None = None  # characters of a section that are compared and shown as a neighbour
+    max_terms: int | None = None  # terms of a document's vocabulary
+    k: int = 3  # neighbours before the own section is dropped
+
+
+# The bounds that published datasets of this kind were made with.
+REFERENCE_BOUNDS = Bounds(max_chars=2000, max_terms=500)
 
 
 @dataclass
@@ -32,22 +45,23 @@ class Corpus:
 
     docs_md: DataFrame  # doc_id, document_name, raw
     docs_root: str = "markdown_docs"
-    manifest_df: DataFrame | None = None  # path; derived from the corpus when None
-    block_size: int = 1024
-    responses_df: DataFrame | None = None  # request_id, attempt, text; derived fixture when None
+    manifest_df: DataFrame | None = None  # path of every existing image
+    block_size: int = 512
+    responses_df: DataFrame | None = None  # request_id, attempt, text
+    bounds: Bounds = Bounds()
+    # further section-level question types: (name, difficulty, task text with slots, see templates.compile_template)
+    extra_types: tuple[tuple[str, str, str], ...] = ()
+    batch_size: int = rq.BATCH_SIZE
     max_retries: int = rs.MAX_RETRIES
     # How reused stage outputs are kept: "table" writes them as parquet into the
     # session's shared checkpoint folder and reads them back (lineage cut, plans
-    # stay small, survives executor loss); "memory" persists them; False recomputes.
-    persist: bool | str = "table"
+    # stay small, survives executor loss); "memory" persists them; "none" recomputes.
+    persist: str = "table"
     _memo: dict = field(default_factory=dict)
+    _cached: list = field(default_factory=list)
     _run_dir: str | None = None
     _n_kept: int = 0
 
-    @classmethod
-    def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Corpus":
-        return cls(load_md_documents(spark, sf_dir))
-
     def _m(self, key, build):
         if key not in self._memo:
             self._memo[key] = build()
@@ -61,27 +75,28 @@ class Corpus:
         analysis and adaptive re-planning stay cheap), gives the optimizer real
         sizes, lets readers prune columns, and survives lost executors.
         """
-        if not self.persist:
+        if self.persist == "none":
             return df
-        if self.persist is True:
-            self.persist = "table"
-        spark = df.sparkSession
-        if self.persist == "table" and self._run_dir is None:
-            try:
-                self._run_dir = scratch_path(spark, f"corpus-{uuid.uuid4().hex[:12]}")
-            except RuntimeError:  # a cluster without a shared checkpoint folder: keep in memory/disk
-                self.persist = "memory"
         if self.persist == "memory":
-            return df.persist(StorageLevel.MEMORY_AND_DISK)
+            self._cached.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+            return self._cached[-1]
+        spark = df.sparkSession
+        if self._run_dir is None:
+            self._run_dir = scratch_path(spark, f"corpus-{uuid.uuid4().hex[:12]}")
         self._n_kept += 1
         path = f"{self._run_dir}/{self._n_kept:02d}-{name}"
         df.write.mode("overwrite").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
     def unpersist(self) -> None:
-        for v in self._memo.values():
-            if isinstance(v, DataFrame):
-                v.unpersist()
+        """Frees every frame that was persisted, also those that other stages hold, and deletes the written tables."""
+        for df in self._cached:
+            df.unpersist()
+        self._cached.clear()
+        if self._run_dir is not None:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self._run_dir)
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self._run_dir = None
         self._memo.clear()
 
     @property
@@ -108,7 +123,7 @@ class Corpus:
     @property
     def facts(self) -> DataFrame:
         return self._m("facts", lambda: self.section_facts.select(
-            "doc_id", "document_name", "n_sections", "section_idx",
+            "doc_id", "document_name", "n_sections", "section_idx", F.size("facts").alias("unit_size"),
             F.posexplode("facts").alias("fact_number", "fact"),
         ).withColumn("fact_number", F.col("fact_number").cast("int")))
 
@@ -121,8 +136,10 @@ class Corpus:
 
     @property
     def manifest(self) -> DataFrame:
-        return self._m("manifest", lambda: self.manifest_df if self.manifest_df is not None
-                       else self._keep(manifest_from_refs(self.content_refs, self.docs_root), "manifest"))
+        """path of every existing image; must be given (see ``operators.images.manifest_from_dir``)."""
+        if self.manifest_df is None:
+            raise ValueError("no image manifest: give manifest_df (a table of existing paths, empty if there are none)")
+        return self.manifest_df
 
     @property
     def section_refs(self) -> DataFrame:
@@ -140,16 +157,20 @@ class Corpus:
 
     @property
     def truncated_images(self) -> DataFrame:
-        """Images of the first 2000 characters of each section (what a neighbour contributes)."""
+        """Images of the part of each section that it contributes as a neighbour."""
+        if self.bounds.max_chars is None:
+            return self.section_images
+
         def build():
-            refs = im.extract_refs(self.sections, F.substring("section", 1, MAX_CHARS), self.SKEYS)
+            refs = im.extract_refs(self.sections, nb.prefix("section", self.bounds.max_chars), self.SKEYS)
             return im.attach(im.resolve(refs, self.manifest, self.SKEYS, self.docs_root), ["doc_id", "section_idx"])
         return self._m("truncated_images", build)
 
     # --- neighbours -----------------------------------------------------------
     @property
     def nn(self) -> Neighbours:
-        return self._m("nn", lambda: Neighbours(self.sections, block_size=self.block_size, keep=self._keep))
+        return self._m("nn", lambda: Neighbours(
+            self.sections, self.block_size, self.bounds.max_chars, self.bounds.max_terms, self.bounds.k, self._keep))
 
     @property
     def section_neighbours(self) -> DataFrame:
@@ -160,6 +181,15 @@ class Corpus:
         return self._m("fact_neighbours", lambda: self._keep(self.nn.of_facts(self.facts), "fact_neighbours"))
 
     # --- requests -------------------------------------------------------------
+    @property
+    def question_types(self) -> tuple[tuple[int, str, str], ...]:
+        first = max(o for o, _, _ in QUESTION_TYPES) + 1
+        return (*QUESTION_TYPES, *((first + i, t, d) for i, (t, d, _) in enumerate(self.extra_types)))
+
+    @property
+    def templates(self) -> dict:
+        return {**TEMPLATES, **{t: compile_template(task) for t, _, task in self.extra_types}}
+
     @staticmethod
     def doc_context_columns() -> list:
         """doc_title, metadata_txt, instructions (E7-E9), from the ``metadata`` every section carries."""
@@ -180,7 +210,8 @@ class Corpus:
         """One row per section with every prompt slot (joins at section grain)."""
         def build():
             keys = ["doc_id", "section_idx"]
-            nctx = nb.neighbour_context(self.section_neighbours, self.sections, keys, self.truncated_images)
+            nctx = nb.neighbour_context(self.section_neighbours, self.sections, keys, self.truncated_images,
+                                        self.bounds.max_chars)
             other = self.sections.select("doc_id", F.col("section_idx").alias("partner_idx"),
                                          F.col("section").alias("section_b"))
             base = self.section_facts.select("doc_id", "document_name", "section_idx", "section", "title", "body",
@@ -221,26 +252,27 @@ class Corpus:
         ordinal, is_summary, batch_id, prompt, images (E1-E13)."""
         def build():
             ctx = self.section_context
-            srq = rq.section_requests(ctx)
-            srq = srq.withColumn("prompt", rq.render(self._slots(False), F.col("question_type")))
+            srq = rq.section_requests(ctx, self.question_types)
+            srq = srq.withColumn("prompt", rq.render(self._slots(False), F.col("question_type"), self.templates)) \
+                .withColumn("unit_size", F.lit(1))
             fkeys = ["doc_id", "section_idx", "fact_number"]
-            fctx = nb.neighbour_context(self.fact_neighbours, self.sections, fkeys)
+            fctx = nb.neighbour_context(self.fact_neighbours, self.sections, fkeys, max_chars=self.bounds.max_chars)
             f = (self.facts.join(ctx.drop("document_name"), ["doc_id", "section_idx"])
                  .join(fctx.select(*fkeys, F.col("neighbour_text").alias("fact_neighbour_text")), fkeys, "left")
                  .withColumn("fact_neighbour_text", F.coalesce("fact_neighbour_text", F.lit(NO_NEIGHBOURS))))
-            frq = rq.fact_requests(f).withColumn("prompt", rq.render(self._slots(True), F.col("question_type")))
+            frq = rq.fact_requests(f).withColumn("prompt", rq.render(self._slots(True), F.col("question_type"), self.templates))
             cols = ["doc_id", "document_name", "section_idx", "fact_number", "question_type", "difficulty",
-                    "ordinal", "prompt", F.col("all_images").alias("images")]
-            return rq.finish(srq.select(*cols).unionByName(frq.select(*cols)))
+                    "ordinal", "unit_size", "prompt", F.col("all_images").alias("images")]
+            return rq.finish(srq.select(*cols).unionByName(frq.select(*cols)), self.batch_size)
         return self._m("requests", build)
 
     # --- responses ----------------------------------------------------------------
     @property
     def responses(self) -> DataFrame:
-        return self._m("responses", lambda: self.responses_df if self.responses_df is not None
-                       else self._keep(responses_from_requests(
-                           self.request_keys, self.sections.select("doc_id", "section_idx", F.md5("section").alias("section_md5")),
-                           self.section_images)))
+        """request_id, attempt, text of the model's answers; must be given (see ``operators.responses.run_live``)."""
+        if self.responses_df is None:
+            raise ValueError("no responses: give responses_df (request_id, attempt, text)")
+        return self.responses_df
 
     @property
     def parsed(self) -> DataFrame:
@@ -253,19 +285,23 @@ class Corpus:
         does not depend on the neighbour search."""
         def build():
             keys = ["doc_id", "section_idx"]
-            sec = self.sections.select("doc_id", "document_name", "section_idx", "partner_idx")
-            cols = ["doc_id", "document_name", "section_idx", "fact_number", "question_type", "difficulty", "ordinal"]
-            f = self.facts.select("doc_id", "document_name", "section_idx", "fact_number")
-            return rq.finish(rq.section_requests(sec).select(*cols).unionByName(rq.fact_requests(f).select(*cols)))
+            sec = self.sections.select("doc_id", "document_name", "section_idx", "partner_idx",
+                                       F.lit(1).alias("unit_size"))
+            cols = ["doc_id", "document_name", "section_idx", "fact_number", "question_type", "difficulty", "ordinal",
+                    "unit_size"]
+            f = self.facts.select("doc_id", "document_name", "section_idx", "fact_number", "unit_size")
+            return rq.finish(rq.section_requests(sec, self.question_types).select(*cols)
+                             .unionByName(rq.fact_requests(f).select(*cols)), self.batch_size)
         return self._m("request_keys", lambda: self._keep(build(), "request_keys"))
 
     @property
-    def grid(self) -> DataFrame:
-        return self._m("grid", lambda: self._keep(rs.attempt_grid(self.request_keys, self.parsed, self.max_retries), "grid"))
+    def answered(self) -> DataFrame:
+        """Parsed responses with their request's unit."""
+        return self._m("answered", lambda: self._keep(rs.answered(self.request_keys, self.parsed), "answered"))
 
     @property
     def outcomes(self) -> DataFrame:
-        return self._m("outcomes", lambda: self._keep(rs.unit_outcomes(self.grid), "outcomes"))
+        return self._m("outcomes", lambda: self._keep(rs.unit_outcomes(self.answered, self.request_keys), "outcomes"))
 
     @property
     def firsts(self) -> DataFrame:
@@ -273,7 +309,7 @@ class Corpus:
 
     @property
     def qa(self) -> DataFrame:
-        return self._m("qa", lambda: self._keep(rs.qa_rows(self.grid, self.firsts), "qa"))
+        return self._m("qa", lambda: self._keep(rs.qa_rows(self.answered, self.firsts), "qa"))
 
     @property
     def failures(self) -> DataFrame:
@@ -291,15 +327,3 @@ class Corpus:
     @property
     def quarantine(self) -> DataFrame:
         return self.shaped[1]
-
-    @property
-    def audit_records(self) -> DataFrame:
-        """Dataset records whose images partly point nowhere (audit fixture): file, rec_key, messages."""
-        def build():
-            qa = self.qa.withColumn("question_images", audit_images(
-                F.coalesce("question_images", F.array().cast("array<string>")), F.col("request_id")))
-            rec, _ = ds.shape(qa)
-            return rec.select(F.concat_ws("-", "split", "document_name").alias("file"),
-                              F.col("request_id").alias("rec_key"),
-                              F.get_json_object("record", "$.messages").alias("messages"))
-        return self._m("audit_records", lambda: self._keep(build(), "audit_records"))

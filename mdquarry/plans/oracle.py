@@ -1,7 +1,8 @@
 """Independent DuckDB SQL for every registered query (the correctness oracle).
 
-Each query is written against the driver's parquet views with no shared
-code path to the Spark side: named CTE fragments (below) are assembled per
+Each query is written against the driver's parquet views. Rules are written
+anew in SQL; prompt templates, instructions, stop words and white space are
+taken from the package (golden tests cover these): named CTE fragments (below) are assembled per
 query together with their dependencies. RE2 has no look-around, so the
 splits use the sentinel trick (insert ``chr(1)`` and split on it); RE2 ``\\w``
 is ASCII, so word characters are spelled ``[\\p{L}\\p{N}_]``.
@@ -49,13 +50,15 @@ SELECT doc_id, 'doc_' || doc_id AS document_name,
   (CASE WHEN doc_id % 3 = 0 THEN ''
         WHEN doc_id % 30 = 1 THEN '---' || {NL} || 'title: Doc --- ' || doc_id || {NL} || 'lang: ' || lang || {NL} || '---' || {NL}
         WHEN doc_id % 30 = 2 THEN '---' || {NL} || 'title: Doc ' || doc_id || {NL}
+        WHEN doc_id % 30 = 4 THEN '---' || {NL} || 'title: Doc ' || doc_id || {NL} || 'keywords:' || {NL} || '  - ' || lang
+                                  || {NL} || '  - corpus' || {NL} || '---' || {NL}
         ELSE '---' || {NL} || 'title: Doc ' || doc_id || {NL} || 'lang: ' || lang || {NL} || 'source: ' || source || {NL} || '---' || {NL} END)
   || array_to_string(list_transform(string_split(text, {NL}), lambda l, j:
        CASE (j - 1) % 4
          WHEN 0 THEN repeat('#', (1 + ((j - 1) // 4) % 3)::INT) || ' ' || substr(l, 1, 60) || {NL} || l
                      || CASE WHEN (j - 1) % 28 = 4 THEN ' NO_CONTENT_HERE' ELSE '' END
          WHEN 1 THEN {NL} || l
-         WHEN 2 THEN {NL} || '- ' || replace(l, '. ', '.' || {NL} || '- ')
+         WHEN 2 THEN {NL} || '- ' || replace(l, '. ', '.' || {NL} || CASE WHEN doc_id % 4 = 1 THEN '  - ' ELSE '- ' END)
          ELSE l || CASE WHEN doc_id % 5 = 0 THEN ' {{{{FIGURE_' || (doc_id % 7) || '.' || (j - 1) || '}}}}' ELSE '' END
        END), {NL}) AS raw
 FROM documents""")
@@ -68,15 +71,19 @@ SELECT doc_id, document_name, raw,
 FROM md_documents""")
 
 cte("fm1", ("fm0",), f"""
-SELECT *, list_filter(string_split({_ws_strip("substr(raw, 4, close_pos - 4)")}, {NL}),
+SELECT *, list_filter(string_split(regexp_replace({_ws_strip("substr(raw, 4, close_pos - 4)")},
+                                                  {NL} || '[ \t]*-[ \t]+', chr(1), 'g'), {NL}),
             lambda l: {_ws_strip("l")} <> '' AND NOT starts_with({_ws_strip("l")}, '#')) AS lines
 FROM fm0""")
 
 cte("fm2", ("fm1",), f"""
 SELECT *, coalesce(list_bool_and(list_transform(lines, lambda l:
-            regexp_matches(l, '^[A-Za-z_][A-Za-z0-9_ .-]*:(\\s|$)'))), true) AS lines_ok,
+            regexp_matches(l, '^[A-Za-z_][A-Za-z0-9_ .-]*:(\\s[^' || chr(1) || ']*$|[ \t]*' || chr(1) || '|$)'))), true) AS lines_ok,
   list_transform(lines, lambda l: {{'key': {_ws_strip("regexp_extract(l, '^([^:]*):', 1)")},
-     'value': regexp_replace({_ws_strip("regexp_extract(l, '^[^:]*:(.*)$', 1)")}, '^"(.*)"$|^''(.*)''$', '\\1\\2')}}) AS kv
+     'value': CASE WHEN starts_with({_ws_strip("regexp_extract(l, '^[^:]*:(.*)$', 1)")}, chr(1))
+        THEN '[' || array_to_string(list_transform(string_split(substr({_ws_strip("regexp_extract(l, '^[^:]*:(.*)$', 1)")}, 2), chr(1)),
+                                                   lambda x: {_ws_strip("x")}), ', ') || ']'
+        ELSE regexp_replace({_ws_strip("regexp_extract(l, '^[^:]*:(.*)$', 1)")}, '^"(.*)"$|^''(.*)''$', '\\1\\2') END}}) AS kv
 FROM fm1""")
 
 cte("frontmatter", ("fm2",), f"""
@@ -162,7 +169,7 @@ FROM (SELECT doc_id, document_name, section_idx, regexp_extract_all(section, {RE
 
 cte("trunc_refs", ("sections",), f"""
 SELECT doc_id, document_name, section_idx, unnest(r) AS ref, generate_subscripts(r, 1) AS ref_pos
-FROM (SELECT doc_id, document_name, section_idx, regexp_extract_all(substr(section, 1, 2000), {REF_RE}, 1) AS r FROM sections)""")
+FROM (SELECT doc_id, document_name, section_idx, regexp_extract_all(section, {REF_RE}, 1) AS r FROM sections)""")
 
 CANDS = """(VALUES (1, '', '.png'), (2, '', '.jpg'), (3, '', '.jpeg'),
         (4, 'markdown_docs/', '.png'), (5, 'markdown_docs/', '.jpg'), (6, 'markdown_docs/', '.jpeg')) c(prio, pre, ext)"""
@@ -191,17 +198,14 @@ STOP = "(" + ", ".join("'" + w.replace("'", "''") + "'" for w in english_stop_wo
 cte("nsec", ("sections",), "SELECT doc_id, count(*) AS n FROM sections GROUP BY doc_id")
 cte("ctf", ("sections",), f"""
 SELECT doc_id, section_idx, term, count(*) AS tf
-FROM (SELECT doc_id, section_idx, unnest(regexp_extract_all(lower(substr(section, 1, 2000)), {TOK_RE})) AS term FROM sections)
+FROM (SELECT doc_id, section_idx, unnest(regexp_extract_all(lower(section), {TOK_RE})) AS term FROM sections)
 WHERE term NOT IN {STOP}
 GROUP BY ALL""")
 cte("vocab", ("ctf", "nsec"), """
-SELECT v.doc_id, v.term, v.rn - 1 AS term_id, ln((1.0 + n) / (1.0 + dfreq)) + 1 AS idf
-FROM (SELECT doc_id, term, sum(tf) AS cf, count(*) AS dfreq,
-             row_number() OVER (PARTITION BY doc_id ORDER BY sum(tf) DESC, term) AS rn
-      FROM ctf GROUP BY doc_id, term) v JOIN nsec USING (doc_id)
-WHERE v.rn <= 500""")
+SELECT v.doc_id, v.term, ln((1.0 + n) / (1.0 + dfreq)) + 1 AS idf
+FROM (SELECT doc_id, term, count(*) AS dfreq FROM ctf GROUP BY doc_id, term) v JOIN nsec USING (doc_id)""")
 cte("cw", ("ctf", "vocab"), """
-SELECT doc_id, section_idx, term, tf, term_id, idf,
+SELECT doc_id, section_idx, term, tf, idf,
        tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY doc_id, section_idx)) AS weight
 FROM ctf JOIN vocab USING (doc_id, term)""")
 cte("qw", ("sections", "vocab"), f"""
@@ -249,7 +253,7 @@ SELECT s.doc_id, s.section_idx,
   coalesce(si.image_paths, []) AS own_images
 FROM sections s
 LEFT JOIN (SELECT nb.doc_id, nb.section_idx,
-             string_agg(substr(t.section, 1, 2000), {NL} || {NL} ORDER BY nb.rank) AS ntext,
+             string_agg(t.section, {NL} || {NL} ORDER BY nb.rank) AS ntext,
              flatten(list(coalesce(ti.image_paths, []) ORDER BY nb.rank)) AS nimgs
            FROM section_neighbours nb
            JOIN sections t ON t.doc_id = nb.doc_id AND t.section_idx = nb.nbr_idx
@@ -295,7 +299,7 @@ FROM (SELECT doc_id,
 cte("seeds", ("fact_arrays",), f"""
 SELECT doc_id, section_idx,
   CASE WHEN len(facts) > 0 THEN facts[({_h("doc_id || '|' || section_idx || '|FACTUAL_RECALL'")} % len(facts)) + 1]
-       ELSE substr(body, 1, 500) END AS seed_fact
+       ELSE body END AS seed_fact
 FROM fact_arrays""")
 
 cte("ph", ("sections",), "SELECT doc_id, section_idx, md5(section) AS h FROM sections")
@@ -332,7 +336,7 @@ LEFT JOIN sections b ON b.doc_id = s.doc_id AND b.section_idx = p.partner_idx"""
 
 cte("fact_nctx", ("fact_neighbours", "sections"), f"""
 SELECT fn.doc_id, fn.section_idx, fn.fact_number,
-       string_agg(substr(t.section, 1, 2000), {NL} || {NL} ORDER BY fn.rank) AS fact_neighbour_text
+       string_agg(t.section, {NL} || {NL} ORDER BY fn.rank) AS fact_neighbour_text
 FROM fact_neighbours fn JOIN sections t ON t.doc_id = fn.doc_id AND t.section_idx = fn.nbr_idx
 GROUP BY fn.doc_id, fn.section_idx, fn.fact_number""")
 
@@ -383,6 +387,7 @@ SELECT request_id, attempt,
   CASE WHEN form <= 4 THEN good WHEN form = 5 THEN no_answer
        WHEN form = 6 THEN 'Sure. Here is the pair:' || {NL} || '```json' || {NL} || good || {NL} || '```' || {NL} || 'Hope it helps.'
        WHEN form = 7 THEN replace(good, '"', chr(39))
+       WHEN form = 8 AND attempt = 1 THEN NULL
        WHEN form = 8 THEN 'I am unable to produce a pair for this section.'
        ELSE good || ' and ' || good END AS text
 FROM (
@@ -417,7 +422,7 @@ SELECT r.request_id, r.doc_id, r.section_idx, r.question_type, r.document_name,
        p.question_images, p.has_question, p.has_answer
 FROM requests r
 JOIN (SELECT DISTINCT r2.doc_id, r2.section_idx, r2.question_type, p2.attempt
-      FROM parsed p2 JOIN requests r2 ON r2.request_id = p2.request_id WHERE p2.attempt <= 51) ua
+      FROM parsed p2 JOIN requests r2 ON r2.request_id = p2.request_id) ua
   ON ua.doc_id = r.doc_id AND ua.section_idx = r.section_idx AND ua.question_type = r.question_type
 LEFT JOIN parsed p ON p.request_id = r.request_id AND p.attempt = ua.attempt""")
 
@@ -483,7 +488,7 @@ cte("audit_records", ("audit_qa",), "SELECT split || '-' || document_name AS fil
 cte("image_uses", ("audit_records",), """
 SELECT file, rec_key, p.image_url.url AS image_url, context
 FROM (SELECT file, rec_key, context, unnest(from_json(m.content, '[{"type":"VARCHAR","image_url":{"url":"VARCHAR"}}]')) AS p
-      FROM (SELECT file, rec_key, substr(json_extract_string(messages, '$[1].content'), 1, 100) AS context,
+      FROM (SELECT file, rec_key, json_extract_string(messages, '$[1].content') AS context,
                    unnest(from_json(messages, '[{"role":"VARCHAR","content":"JSON"}]')) AS m
             FROM audit_records)
       WHERE m.role = 'user')
@@ -491,7 +496,7 @@ WHERE p.type = 'image_url'""")
 cte("invalid_images", ("image_uses", "manifest"), """
 SELECT * FROM image_uses WHERE image_url NOT IN (SELECT path FROM manifest)""")
 cte("file_verdicts", ("audit_records", "invalid_images"), """
-SELECT f.file, coalesce(b.n, 0)::BIGINT AS n_invalid, coalesce(b.n, 0) = 0 AS valid
+SELECT f.file, coalesce(b.n, 0)::BIGINT AS n_invalid, true AS readable, coalesce(b.n, 0) = 0 AS valid
 FROM (SELECT DISTINCT file FROM audit_records) f
 LEFT JOIN (SELECT file, count(*) AS n FROM invalid_images GROUP BY file) b USING (file)""")
 
@@ -582,7 +587,7 @@ SELECT doc_id, section_idx::BIGINT AS section_idx,
             WHEN 'jpeg' THEN 'image/jpeg' ELSE 'application/octet-stream' END AS mime_type
 FROM (SELECT *, regexp_extract(image_path, '[^/]*$') AS b FROM section_resolved)""")
     q["term_weights"] = with_ctes("cw", body="""
-SELECT doc_id, section_idx::BIGINT AS section_idx, term, tf::BIGINT AS tf, term_id::BIGINT AS term_id,
+SELECT doc_id, section_idx::BIGINT AS section_idx, term, tf::BIGINT AS tf,
        round(idf * 1e6)::BIGINT AS idf_e6, round(weight * 1e6)::BIGINT AS weight_e6 FROM cw""")
     q["section_neighbours"] = with_ctes("section_neighbours", body="""
 SELECT doc_id, section_idx::BIGINT AS section_idx, rank, nbr_idx::BIGINT AS nbr_idx,
@@ -654,8 +659,8 @@ FROM (
 GROUP BY ROLLUP (question_type, difficulty)
 HAVING question_type IS NULL OR difficulty IS NOT NULL""")
     q["invalid_images"] = with_ctes("invalid_images", body="""
-SELECT file, rec_key AS request_id, image_url, context FROM invalid_images""")
-    q["file_verdicts"] = with_ctes("file_verdicts", body="SELECT file, n_invalid, valid FROM file_verdicts")
+SELECT file, rec_key AS request_id, image_url, context, substr(context, 1, 100) AS preview FROM invalid_images""")
+    q["file_verdicts"] = with_ctes("file_verdicts", body="SELECT file, n_invalid, readable, valid FROM file_verdicts")
     q["dataset_verdict"] = with_ctes("file_verdicts", body="""
 SELECT coalesce(bool_and(valid), true) AS all_valid, count(*)::BIGINT AS n_files FROM file_verdicts""")
     q["list_items"] = with_ctes("paras", body=f"""

@@ -19,6 +19,7 @@ from ..operators import responses as rs
 from ..operators import dataset as ds
 from ..operators import audit as au
 from ..operators.frontmatter import metadata_rows, missing_required_metadata
+from ..sources.fixtures import audit_images, load_md_documents, manifest_from_refs, responses_from_requests
 from .corpus import Corpus
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +30,33 @@ def query(fn):
     return fn
 
 
+class DerivedCorpus(Corpus):
+    """The corpus derived from the driver's ``documents`` (see ``sources.fixtures``): its image manifest,
+    model responses and audited records are derived from it by rule, so every query grows with the table."""
+
+    @property
+    def manifest(self) -> DataFrame:
+        return self._m("manifest", lambda: self._keep(manifest_from_refs(self.content_refs, self.docs_root), "manifest"))
+
+    @property
+    def responses(self) -> DataFrame:
+        return self._m("responses", lambda: self._keep(responses_from_requests(
+            self.request_keys, self.sections.select("doc_id", "section_idx", F.md5("section").alias("section_md5")),
+            self.section_images), "responses"))
+
+    @property
+    def audit_records(self) -> DataFrame:
+        """Dataset records whose images partly point nowhere: file, rec_key, messages."""
+        def build():
+            qa = self.qa.withColumn("question_images", audit_images(
+                F.coalesce("question_images", F.array().cast("array<string>")), F.col("request_id")))
+            rec, _ = ds.shape(qa)
+            return rec.select(F.concat_ws("-", "split", "document_name").alias("file"),
+                              F.col("request_id").alias("rec_key"),
+                              F.get_json_object("record", "$.messages").alias("messages"))
+        return self._m("audit_records", lambda: self._keep(build(), "audit_records"))
+
+
 _CORPORA: dict[tuple[str, str], Corpus] = {}
 
 
@@ -41,7 +69,7 @@ def _c(spark: SparkSession, sf_dir: str) -> Corpus:
         app = str(id(spark))
     key = (app, sf_dir)
     if key not in _CORPORA:
-        _CORPORA[key] = Corpus.from_testdata(spark, sf_dir)
+        _CORPORA[key] = DerivedCorpus(load_md_documents(spark, sf_dir))
     return _CORPORA[key]
 
 
@@ -140,7 +168,7 @@ def _e6(c):
 def q_term_weights(spark, sf_dir):
     w = _c(spark, sf_dir).nn.term_weights()
     return w.select("doc_id", F.col("section_idx").cast("bigint").alias("section_idx"), "term",
-                    F.col("tf").cast("bigint").alias("tf"), F.col("term_id").cast("bigint").alias("term_id"),
+                    F.col("tf").cast("bigint").alias("tf"),
                     _e6("idf").alias("idf_e6"), _e6("weight").alias("weight_e6"))
 
 
@@ -165,7 +193,7 @@ def q_fact_neighbours(spark, sf_dir):
 def q_neighbour_context(spark, sf_dir):
     c = _c(spark, sf_dir)
     keys = ["doc_id", "section_idx"]
-    ctx = nb.neighbour_context(c.section_neighbours, c.sections, keys, c.truncated_images)
+    ctx = nb.neighbour_context(c.section_neighbours, c.sections, keys, c.truncated_images, c.bounds.max_chars)
     base = c.sections.select(*keys).join(c.section_images, keys, "left").select(
         *keys, F.coalesce("image_paths", F.array().cast("array<string>")).alias("own_images"))
     full = nb.with_neighbour_context(base, ctx, keys)
@@ -317,7 +345,7 @@ def _types(spark):
 def q_invalid_images(spark, sf_dir):
     c = _c(spark, sf_dir)
     return au.invalid_images(c.audit_records, c.manifest).select(
-        "file", F.col("rec_key").alias("request_id"), "image_url", "context")
+        "file", F.col("rec_key").alias("request_id"), "image_url", "context", "preview")
 
 
 @query

@@ -1,7 +1,7 @@
 """Question types, difficulties and prompt templates.
 
 The question-type catalogue is a small dimension (15 rows) that users can
-extend; templates are plain format strings with named slots that are
+extend (``Corpus(extra_types=...)``); templates are plain format strings with named slots that are
 compiled into one ``CASE question_type WHEN … THEN concat(…)`` expression, so
 rendering stays a JVM-side projection (no string ``replace`` chains, hence no
 accidental substitution inside inserted text).
@@ -106,7 +106,7 @@ _TASKS: dict[str, str] = {
                     "{context}" + _ONE,
     "CRITICAL_ANALYSIS": "Ask for a critical assessment of a claim or method in the section; weigh strengths and weaknesses."
                          "{context}" + _ONE,
-    "TECHNICAL_EXPLANATION": "Ask for a technical explanation of a mechanism in the section and give a precise one."
+    "TECHNICAL_EXPLANATION": "Ask how a complex process in the section works; explain it in plain words that a lay reader follows."
                              "{context}" + _ONE,
     "PROCESS_WORKFLOW": "Ask about the order of steps of a process in the section; answer with numbered steps."
                         "{context}" + _ONE,
@@ -126,6 +126,11 @@ def _expand(fmt: str) -> str:
     return fmt.replace("{context}", _CONTEXT) + _JSON_SHAPE
 
 
-TEMPLATES: dict[str, list[tuple[str, str | None]]] = {t: parse(_expand(f)) for t, f in _TASKS.items()}
+def compile_template(task: str) -> list[tuple[str, str | None]]:
+    """A template from a task text; it may use the slots of ``SLOTS`` and ``{context}`` (section, neighbours, images)."""
+    return parse(_expand(task))
+
+
+TEMPLATES: dict[str, list[tuple[str, str | None]]] = {t: compile_template(f) for t, f in _TASKS.items()}
 COMMON_PARTS = parse(_COMMON)
 SLOTS = sorted({f for parts in TEMPLATES.values() for _, f in parts if f})

@@ -11,12 +11,14 @@ line ``i`` (0-based) of the text becomes
   characters of the line, then the line; ``i % 28 == 4`` also appends the
   ``NO_CONTENT_HERE`` marker,
 * ``i % 4 == 1``: a new paragraph,
-* ``i % 4 == 2``: a bulleted list, one bullet per ``. `` sentence break,
+* ``i % 4 == 2``: a bulleted list, one bullet per ``. `` sentence break; every
+  bullet after the first is indented in documents with ``doc_id % 4 == 1``,
 * ``i % 4 == 3``: a continuation line of the last bullet; documents with
   ``doc_id % 5 == 0`` get an image reference ``{{FIGURE_<doc_id % 7>.<i>}}``.
 
 Frontmatter by ``doc_id``: none (``% 3 == 0``), a ``---`` inside the title
-value (``% 30 == 1``), never closed (``% 30 == 2``), else title/lang/source.
+value (``% 30 == 1``), never closed (``% 30 == 2``), a list of keywords
+(``% 30 == 4``), else title/lang/source.
 
 The manifest of existing image files and the model responses are derived
 the same way, so every stage grows with the input table.
@@ -43,7 +45,8 @@ def md_documents(documents: DataFrame) -> DataFrame:
             F.when(i % 28 == 4, F.lit(" NO_CONTENT_HERE")).otherwise(F.lit("")),
         )
         para = F.concat(F.lit("\n"), line)
-        bullets = F.concat(F.lit("\n- "), F.replace(line, F.lit(". "), F.lit(".\n- ")))
+        bullets = F.concat(F.lit("\n- "), F.replace(line, F.lit(". "), F.when(
+            F.col("doc_id") % 4 == 1, F.lit(".\n  - ")).otherwise(F.lit(".\n- "))))
         cont = F.concat(
             line,
             F.when(
@@ -62,6 +65,8 @@ def md_documents(documents: DataFrame) -> DataFrame:
         .when(F.col("doc_id") % 30 == 1,
               F.concat(F.lit("---\ntitle: Doc --- "), did, F.lit("\nlang: "), F.col("lang"), F.lit("\n---\n")))
         .when(F.col("doc_id") % 30 == 2, F.concat(F.lit("---\ntitle: Doc "), did, F.lit("\n")))
+        .when(F.col("doc_id") % 30 == 4, F.concat(F.lit("---\ntitle: Doc "), did, F.lit("\nkeywords:\n  - "),
+                                                  F.col("lang"), F.lit("\n  - corpus\n---\n")))
         .otherwise(F.concat(F.lit("---\ntitle: Doc "), did, F.lit("\nlang: "), F.col("lang"),
                             F.lit("\nsource: "), F.col("source"), F.lit("\n---\n")))
     )
@@ -107,8 +112,8 @@ def responses_from_requests(requests: DataFrame, sections: DataFrame, section_im
     [own images], "answer": "A <md5(section)>"}``. One request in 50 never gets
     a parsable answer; otherwise attempt 3 is always good and attempts 1-2 vary
     by ``h(request_id || attempt) % 10``: 0-4 good, 5 a valid object without
-    ``answer`` (quarantined later), 6 fenced in prose, 7 single quotes, 8 prose
-    without JSON, 9 two objects (trailing data).
+    ``answer`` (quarantined later), 6 fenced in prose, 7 single quotes, 8 prose without JSON (on attempt 1 no
+    text at all), 9 two objects (trailing data).
     """
     base = (
         requests.select("request_id", "doc_id", "section_idx", "question_type")
@@ -133,6 +138,7 @@ def responses_from_requests(requests: DataFrame, sections: DataFrame, section_im
         .when(form == 5, F.col("no_answer"))
         .when(form == 6, F.concat(F.lit("Sure. Here is the pair:\n```json\n"), g, F.lit("\n```\nHope it helps.")))
         .when(form == 7, F.translate(g, '"', "'"))
+        .when((form == 8) & (F.col("attempt") == 1), F.lit(None))
         .when(form == 8, F.lit("I am unable to produce a pair for this section."))
         .otherwise(F.concat(g, F.lit(" and "), g))
     )

@@ -1,7 +1,7 @@
 """Markdown corpus source (A1, A2).
 
 Every ``*.md`` file directly inside a directory (not recursive), read whole as
-UTF-8 text; the document name is the file name without its last extension.
+UTF-8 text with its line ends (CR LF, CR) read as LF; the document name is the file name without its last extension.
 ``doc_id`` is a hash of the full path, stable across runs (resume-friendly).
 """
 
@@ -19,7 +19,7 @@ def _shape(df: DataFrame) -> DataFrame:
     return df.select(
         F.xxhash64(F.col("_metadata.file_path")).alias("doc_id"),
         drop_last_extension(F.col("_metadata.file_name")).alias("document_name"),
-        F.col("value").alias("raw"),
+        F.regexp_replace("value", "\r\n?", "\n").alias("raw"),
     )
 
 

@@ -17,17 +17,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Parallelism guard for small inputs.
+    """Deals rows by ``key`` over the shuffle partitions.
 
-    A file with one row group is read by one task, and every per-row regex
-    downstream would then run on one core. When the scan yields fewer than
-    twice the default parallelism partitions, hash-partition by ``key``; at
-    cluster scale the scan already has thousands of splits and this is a
-    no-op (no extra shuffle of the raw text).
+    For the derived markdown corpus only: its table may be one row group, which
+    one task would read and expand alone.
     """
-    try:
-        target = 2 * df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # e.g. a Spark Connect session: leave the scan as it is
-        return df
-    return df.repartition(target, key) if parts < target else df
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)

@@ -9,8 +9,9 @@ self-contained and needs no state across batches.
 
 Exactly-once output: the checkpoint records which files were consumed, and
 each epoch writes into its own ``epoch=<id>`` folder with overwrite, so a
-replayed epoch replaces its output instead of duplicating it. Checkpoint and
-output default to the session's shared ``spark.checkpoint.dir``.
+replayed epoch replaces its output instead of duplicating it. Output and
+checkpoint are explicit shared paths, so a run that starts again finds them;
+``manifest`` lists the images that exist.
 """
 
 from __future__ import annotations
@@ -19,14 +20,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.corpus import Corpus
-from ..session import scratch_path
 from ..sources.markdown import stream_markdown_dir
 
 REQUEST_COLUMNS = ["request_id", "doc_id", "document_name", "section_idx", "fact_number", "question_type",
                    "difficulty", "is_summary", "batch_id", "prompt", "images"]
 
 
-def _process(out_dir: str, manifest: DataFrame | None, docs_root: str):
+def _process(out_dir: str, manifest: DataFrame, docs_root: str):
     def run(batch: DataFrame, epoch_id: int) -> None:
         corpus = Corpus(batch, docs_root=docs_root, manifest_df=manifest, persist="memory")
         try:
@@ -37,18 +37,16 @@ def _process(out_dir: str, manifest: DataFrame | None, docs_root: str):
     return run
 
 
-def start(spark: SparkSession, source_dir: str, out_dir: str | None = None, checkpoint: str | None = None,
-          manifest: DataFrame | None = None, docs_root: str = "markdown_docs",
+def start(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str, manifest: DataFrame,
+          docs_root: str = "markdown_docs",
           available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the incremental request builder; returns the streaming query.
 
     ``available_now=True`` processes what is there and stops (a restartable
     batch job); ``False`` keeps watching the folder.
     """
-    out = out_dir or scratch_path(spark, "requests")
-    ckpt = checkpoint or scratch_path(spark, "requests-checkpoint")
     w = (stream_markdown_dir(spark, source_dir, max_files_per_trigger).writeStream
-         .foreachBatch(_process(out, manifest, docs_root)).option("checkpointLocation", ckpt))
+         .foreachBatch(_process(out_dir, manifest, docs_root)).option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
 

@@ -20,6 +20,7 @@ def spark():
 
 @pytest.fixture(scope="session")
 def small_corpus(spark):
-    from mdquarry.plans.corpus import Corpus
+    from mdquarry.plans.queries import DerivedCorpus
+    from mdquarry.sources.fixtures import load_md_documents
 
-    return Corpus.from_testdata(spark, SF_SMALL)
+    return DerivedCorpus(load_md_documents(spark, SF_SMALL))

@@ -22,11 +22,21 @@ def frontmatter(raw: str):
     end = raw.find("---", 3)
     if end < 0:
         return [], raw, True
-    lines = [ln for ln in raw[3:end].strip().split("\n") if ln.strip() and not ln.strip().startswith("#")]
-    if not all(re.match(r"[A-Za-z_][A-Za-z0-9_ .-]*:(\s|$)", ln) for ln in lines):
+    entries: list[tuple[str, list[str]]] = []  # a line and the list items below it
+    for i, ln in enumerate(raw[3:end].strip().split("\n")):
+        if i and re.match(r"[ \t]*-[ \t]+", ln):
+            entries[-1][1].append(ln.strip()[1:].strip())
+        else:
+            entries.append((ln, []))
+    entries = [(ln, items) for ln, items in entries if (ln.strip() or items) and not ln.strip().startswith("#")]
+    if not all(re.match(r"[A-Za-z_][A-Za-z0-9_ .-]*:" + (r"[ \t]*$" if items else r"(\s|$)"), ln)
+               for ln, items in entries):
         return [], raw, False
     meta: dict[str, str] = {}
-    for ln in lines:
+    for ln, items in entries:
+        if items:
+            meta[ln.partition(":")[0].strip()] = "[" + ", ".join(items) + "]"
+            continue
         k, _, v = ln.partition(":")
         v = v.strip()
         if len(v) >= 2 and v[0] == v[-1] and v[0] in "\"'":
@@ -123,8 +133,8 @@ def tokens(text: str) -> list[str]:
 
 
 def knn(secs: list[str], queries: list[str], self_idx: list[int], stop: set[str],
-        k: int = 3, max_chars: int = 2000, max_terms: int = 500) -> list[list[tuple[int, float]]]:
-    """TF-IDF cosine kNN of each query over the truncated sections (1-based result indices)."""
+        k: int = 3, max_chars: int | None = None, max_terms: int | None = None) -> list[list[tuple[int, float]]]:
+    """TF-IDF cosine kNN of each query over the sections (1-based result indices)."""
     n = len(secs)
     kk = min(k, n - 1)
     if kk <= 0:

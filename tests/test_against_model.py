@@ -83,7 +83,7 @@ def test_linked_list_option(spark):
 def test_partition_count_independence(spark, small_corpus):
     """Same sections and facts whatever the partitioning of the input."""
     from mdquarry.plans.corpus import Corpus
-    c2 = Corpus(small_corpus.docs_md.repartition(3), persist=False)
+    c2 = Corpus(small_corpus.docs_md.repartition(3), persist="none")
     a = small_corpus.facts.select("doc_id", "section_idx", "fact_number", "fact")
     b = c2.facts.select("doc_id", "section_idx", "fact_number", "fact")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
@@ -92,7 +92,7 @@ def test_partition_count_independence(spark, small_corpus):
 def test_multi_block_path_matches_model(spark, small_corpus, model):
     """Force tiny blocks so every document spans several (query, corpus) block pairs."""
     from mdquarry.plans.corpus import Corpus
-    c = Corpus(small_corpus.docs_md, block_size=2, persist=False)
+    c = Corpus(small_corpus.docs_md, block_size=2, persist="none")
     stop = set(english_stop_words())
     got = defaultdict(list)
     for r in c.section_neighbours.orderBy("doc_id", "section_idx", "rank").collect():
@@ -103,7 +103,7 @@ def test_multi_block_path_matches_model(spark, small_corpus, model):
 
 
 def test_hot_document_default_blocks(spark):
-    """One document of 1,500 sections (two 1024-section blocks at the default size) vs brute force."""
+    """One document of 1,500 sections (three blocks at the default size) vs brute force."""
     import duckdb
 
     from mdquarry.plans.corpus import Corpus
@@ -112,7 +112,7 @@ def test_hot_document_default_blocks(spark):
         "ORDER BY doc_id LIMIT 1500").fetchall()]
     raw = "\n".join(f"# part {i}\n{ln}" for i, ln in enumerate(lines))
     docs = spark.createDataFrame([(7, "hot", raw)], "doc_id long, document_name string, raw string")
-    c = Corpus(docs, persist=False)
+    c = Corpus(docs, persist="none")
     got = defaultdict(list)
     for r in c.section_neighbours.collect():
         got[r["section_idx"]].append((r["rank"], r["nbr_idx"]))
@@ -122,3 +122,48 @@ def test_hot_document_default_blocks(spark):
     want = pm.knn(ss, ss, list(range(1, len(ss) + 1)), set(english_stop_words()))
     for i, nbrs in enumerate(want, 1):
         assert [j for _, j in sorted(got.get(i, []))] == [j for j, _ in nbrs], i
+
+
+def _long_document():
+    import duckdb
+    lines = [r[0] for r in duckdb.sql(
+        "SELECT unnest(string_split(text, chr(10))) AS l FROM read_parquet('/root/testdata/sf0.001/documents.parquet') "
+        "ORDER BY doc_id LIMIT 600").fetchall()]
+    return "\n".join(f"# part {i}\n" + "\n".join(lines[20 * i:20 * i + 20]) for i in range(30))
+
+
+def test_reference_bounds_cut_and_the_default_does_not(spark):
+    from mdquarry.plans.corpus import REFERENCE_BOUNDS, Bounds, Corpus
+    raw = _long_document()
+    ss = pm.sections(raw)
+    assert max(map(len, ss)) > 2000 and len({t for s in ss for t in pm.tokens(s)}) > 500
+    docs = spark.createDataFrame([(7, "long", raw)], "doc_id long, document_name string, raw string")
+    seen = []
+    for bounds in (Bounds(), REFERENCE_BOUNDS):
+        c = Corpus(docs, bounds=bounds, persist="none")
+        got = defaultdict(list)
+        for r in c.section_neighbours.orderBy("section_idx", "rank").collect():
+            got[r["section_idx"]].append((r["nbr_idx"], round(r["sim"], 6)))
+        want = pm.knn(ss, ss, list(range(1, len(ss) + 1)), set(english_stop_words()),
+                      max_chars=bounds.max_chars, max_terms=bounds.max_terms)
+        assert [got.get(i, []) for i in range(1, len(ss) + 1)] == [[(j, round(s, 6)) for j, s in n] for n in want]
+        seen.append(got)
+    assert seen[0] != seen[1]
+
+
+def test_a_section_with_very_many_facts(spark, monkeypatch):
+    """20,000 facts of one section go through a block in slices; the slice size doesn't show."""
+    from mdquarry.operators import neighbours as nb
+    from mdquarry.plans.corpus import Corpus
+    raw = "# a\nred green blue words\n# b\nblue yellow words\n# c\n" + "\n".join(
+        f"- item {i} is {'red' if i % 2 else 'yellow'} and long" for i in range(20000))
+    docs = spark.createDataFrame([(7, "facts", raw)], "doc_id long, document_name string, raw string")
+    seen = []
+    for rows, postings in ((1024, 1 << 22), (7, 50)):
+        monkeypatch.setattr(nb, "SLICE_ROWS", rows)
+        monkeypatch.setattr(nb, "SLICE_POSTINGS", postings)
+        c = Corpus(docs, persist="none")
+        seen.append(sorted(tuple(r) for r in c.fact_neighbours.where("section_idx = 3 AND rank = 1")
+                           .select("fact_number", "nbr_idx").collect()))
+    assert seen[0] == seen[1] and len(seen[0]) == 20000
+    assert all(n == (1 if f % 2 else 2) for f, n in seen[0])

@@ -126,7 +126,8 @@ def test_neighbour_counts_by_n(spark):
 
 def test_no_neighbour_fallback_text(spark):
     c = Corpus(spark.createDataFrame([(1, "d", "# only\nsection text here")],
-                                     "doc_id long, document_name string, raw string"), persist=False)
+                                     "doc_id long, document_name string, raw string"),
+               manifest_df=spark.createDataFrame([], "path string"), persist="none")
     assert c.section_context.first()["neighbour_text"] == "No additional relevant sections found"
 
 
@@ -166,13 +167,13 @@ def test_sanitize(spark):
 
 def test_all_or_nothing_facts(spark):
     req = spark.createDataFrame(
-        [(f"r{i}", 1, "d", 1, i, "FACT_BASED", "easy", None) for i in range(3)],
+        [(f"r{i}", 1, "d", 1, i, "FACT_BASED", "easy", None, 3) for i in range(3)],
         "request_id string, doc_id long, document_name string, section_idx int, fact_number int, "
-        "question_type string, difficulty string, is_summary boolean")
+        "question_type string, difficulty string, is_summary boolean, unit_size int")
     ok = '{"question": "q", "answer": "a"}'
     resp = spark.createDataFrame([("r0", 1, ok), ("r1", 1, "nope"), ("r2", 1, ok)], rs.RESPONSE_SCHEMA)
-    grid = rs.attempt_grid(req, rs.parse(resp))
-    out = rs.unit_outcomes(grid)
+    grid = rs.answered(req, rs.parse(resp))
+    out = rs.unit_outcomes(grid, req)
     firsts = rs.first_success(out)
     assert rs.qa_rows(grid, firsts).count() == 0
     f = rs.failures(out, firsts).collect()
@@ -207,17 +208,46 @@ def test_empty_dataset_verdict_is_true(spark):
 
 def test_missing_response_fails_unit_then_retry_succeeds(spark):
     req = spark.createDataFrame(
-        [(f"r{i}", 1, "d", 1, i, "FACT_BASED", "easy", None) for i in range(3)],
+        [(f"r{i}", 1, "d", 1, i, "FACT_BASED", "easy", None, 3) for i in range(3)],
         "request_id string, doc_id long, document_name string, section_idx int, fact_number int, "
-        "question_type string, difficulty string, is_summary boolean")
+        "question_type string, difficulty string, is_summary boolean, unit_size int")
     ok = '{"question": "q", "answer": "a"}'
-    resp = spark.createDataFrame([("r0", 1, ok), ("r2", 1, ok)] + [(f"r{i}", 2, ok) for i in range(3)],
+    resp = spark.createDataFrame([("r0", 1, ok), ("r2", 1, ok)] + [(f"r{i}", 2, ok) for i in range(3)]
+                                 + [("r1", 2, ok), ("r2", 2, None)],  # delivered twice
                                  rs.RESPONSE_SCHEMA)
-    grid = rs.attempt_grid(req, rs.parse(resp))
-    out = rs.unit_outcomes(grid)
+    grid = rs.answered(req, rs.parse(resp))
+    out = rs.unit_outcomes(grid, req)
     firsts = rs.first_success(out)
     f = rs.failures(out, firsts).collect()
     assert [(r["attempt"], r["fact_number"], r["error"]) for r in f] == [(1, 1, "no_response")]
     qa = rs.qa_rows(grid, firsts).collect()
     assert sorted((r["fact_number"], r["attempt"]) for r in qa) == [(0, 2), (1, 2), (2, 2)]
     assert rs.pending(req, firsts).count() == 0
+
+
+def test_block_lists_in_frontmatter(spark):
+    raw = "---\ntitle: Bread\ntags:\n  - rye\n- wheat\nlang: en\n---\n# A\ntext"
+    from mdquarry.operators.frontmatter import split_frontmatter
+    row = split_frontmatter(spark.createDataFrame([(1, raw), (2, "---\ntitle: x\n- stray\n---\nrest")],
+                                                  "doc_id long, raw string")).orderBy("doc_id").collect()
+    assert [(m["key"], m["value"]) for m in row[0]["metadata"]] == [
+        ("title", "Bread"), ("tags", "[rye, wheat]"), ("lang", "en")]
+    assert row[0]["content"] == "# A\ntext"
+    assert row[1]["fm_parsed"] is False and row[1]["content"].startswith("---")
+
+
+def test_words_of_decomposed_letters(spark):
+    from mdquarry.operators.neighbours import tokens
+    assert one(spark, tokens(F.col("v")), "cafe\u0301 na_1 x") == ["cafe", "na_1"]
+
+
+def test_many_equal_sections_and_linked_items_stay_fast(spark):
+    import time
+    from mdquarry.operators.sections import split_sections
+    doc = spark.createDataFrame([(1, "d", "# same\nbody text\n" * 20000)],
+                                "doc_id long, document_name string, content string")
+    begin = time.time()
+    assert split_sections(doc).where("partner_idx is null").count() == 20000
+    items = "- parent one\n" + "  - child\n" * 2000
+    assert len(one(spark, fx.list_items_linked(F.col("v")), items)) == 2001
+    assert time.time() - begin < 60

@@ -71,7 +71,7 @@ def test_end_to_end_on_files(spark, corpus_dir):
     docs = read_markdown_dir(spark, os.path.join(corpus_dir, "markdown_docs"))
     manifest = im.manifest_from_dir(spark, corpus_dir)
     assert [r["path"] for r in manifest.collect()] == ["a/crumb_1.1.png"]
-    c = Corpus(docs, manifest_df=manifest, persist=False)
+    c = Corpus(docs, manifest_df=manifest, persist="none")
     meta = {e["key"]: e["value"] for e in c.docs.where("document_name = 'a'").first()["metadata"]}
     assert meta["title"] == "Sourdough Baking Guide" and meta["keywords"] == "[starter, dough]"
     imgs = c.section_images.collect()
@@ -99,7 +99,7 @@ def _fake_model(batches):
 
 def test_live_loop_and_dataset_files(spark, corpus_dir):
     docs = read_markdown_dir(spark, os.path.join(corpus_dir, "markdown_docs"))
-    c = Corpus(docs, manifest_df=im.manifest_from_dir(spark, corpus_dir), persist=False)
+    c = Corpus(docs, manifest_df=im.manifest_from_dir(spark, corpus_dir), persist="none")
     store = tempfile.mkdtemp(prefix="mdq-resp-") + "/responses"
     answers = rs.run_live(c.requests, _fake_model, store, max_retries=3)
     n_req = c.request_keys.count()
@@ -107,7 +107,7 @@ def test_live_loop_and_dataset_files(spark, corpus_dir):
     # a second run resumes: nothing left to ask
     again = rs.run_live(c.requests, _fake_model, store, max_retries=3)
     assert again.count() == 2 * n_req
-    c2 = Corpus(docs, manifest_df=im.manifest_from_dir(spark, corpus_dir), persist=False, responses_df=answers)
+    c2 = Corpus(docs, manifest_df=im.manifest_from_dir(spark, corpus_dir), persist="none", responses_df=answers)
     n_units = c.request_keys.select(*rs.UNIT).distinct().count()
     assert c2.records.count() == n_req and c2.failures.count() == n_units  # one failure row per unit
     out = tempfile.mkdtemp(prefix="mdq-out-")
@@ -117,9 +117,9 @@ def test_live_loop_and_dataset_files(spark, corpus_dir):
     splits = {r["split"] for r in back.select("split").distinct().collect()}
     assert splits == {"train", "eval"}
     # audit over the written files: no images referenced -> every file valid
-    recs = au.read_dataset_dir(spark, path)
+    recs, files = au.read_dataset_dir(spark, path + "/*/*")
     assert recs.count() == n_req
-    v = au.dataset_verdict(au.file_verdicts(recs, im.manifest_from_dir(spark, corpus_dir))).first()
+    v = au.dataset_verdict(au.file_verdicts(recs, im.manifest_from_dir(spark, corpus_dir), files)).first()
     assert v["all_valid"] is True and v["n_files"] >= 3
 
 
@@ -134,11 +134,14 @@ def test_audit_reads_json_arrays(spark, corpus_dir):
         json.dump([rec, rec], f, indent=2)
     with open(os.path.join(d, "notes.txt"), "w") as f:
         f.write("ignored")
-    recs = au.read_dataset_dir(spark, d)
+    os.makedirs(os.path.join(d, "deeper"))
+    with open(os.path.join(d, "deeper", "train-z.json"), "w") as f:
+        f.write("not read")
+    recs, files = au.read_dataset_dir(spark, d)
     bad = au.invalid_images(recs, im.manifest_from_dir(spark, corpus_dir)).collect()
     assert [b["image_url"] for b in bad] == ["a/missing.png", "a/missing.png"]
-    assert bad[0]["context"] == "x" * 100
-    v = au.file_verdicts(recs, im.manifest_from_dir(spark, corpus_dir)).first()
+    assert bad[0]["context"] == "x" * 150 and bad[0]["preview"] == "x" * 100
+    v, = au.file_verdicts(recs, im.manifest_from_dir(spark, corpus_dir), files).collect()
     assert v["n_invalid"] == 2 and v["valid"] is False
 
 
@@ -149,14 +152,78 @@ def test_streaming_incremental(spark, corpus_dir):
     ckpt = tempfile.mkdtemp(prefix="mdq-stream-ckpt-")
     with open(os.path.join(src, "a.md"), "w") as f:
         f.write(A_MD)
-    q = start(spark, src, out, ckpt)
+    images = spark.createDataFrame([], "path string")
+    q = start(spark, src, out, ckpt, images)
     q.awaitTermination(300)
     first = read_requests(spark, out).count()
     assert first > 0
     with open(os.path.join(src, "b.md"), "w") as f:
         f.write("# Only\nA second document arrives later. It has two sentences.\n")
-    q = start(spark, src, out, ckpt)  # restart: only the new file is processed
+    q = start(spark, src, out, ckpt, images)  # restart: only the new file is processed
     q.awaitTermination(300)
     names = {r["document_name"] for r in read_requests(spark, out).select("document_name").distinct().collect()}
     assert names == {"a", "b"}
     assert read_requests(spark, out).where("document_name = 'a'").count() == first
+
+
+def test_unreadable_dataset_files_are_not_valid(spark):
+    d = tempfile.mkdtemp(prefix="mdq-audit-")
+    good = {"messages": [{"role": "user", "content": [{"type": "text", "text": "q"}]},
+                         {"role": "assistant", "content": "a"}]}
+    text = {"messages": [{"role": "user", "content": "plain"}, {"role": "assistant", "content": "a"}]}
+    for name, body in {"array": json.dumps([good]), "lines": "\n".join([json.dumps(good)] * 3), "empty": "[]",
+                       "cut": json.dumps([good, good])[:-9], "cut_lines": json.dumps(good) + "\n" + json.dumps(good)[:-9],
+                       "other": json.dumps([{"a": 1}]), "text": json.dumps([text])}.items():
+        with open(os.path.join(d, name + ".json"), "w") as f:
+            f.write(body)
+    recs, files = au.read_dataset_dir(spark, d)
+    v = au.file_verdicts(recs, spark.createDataFrame([], "path string"), files)
+    valid = {os.path.basename(r["file"])[:-5]: r["valid"] for r in v.collect()}
+    assert valid == {"array": True, "lines": True, "empty": True, "cut": False, "cut_lines": False, "other": False,
+                     "text": False}
+    assert au.dataset_verdict(v).first()["all_valid"] is False
+
+
+def test_line_ends_are_normalised(spark):
+    d = tempfile.mkdtemp(prefix="mdq-eol-")
+    with open(os.path.join(d, "a.md"), "wb") as f:
+        f.write(b"# One\r\ntext\r\n# Two\rmore")
+    assert read_markdown_dir(spark, d).first()["raw"] == "# One\ntext\n# Two\nmore"
+
+
+def test_inputs_that_are_not_given_are_an_error(spark, corpus_dir):
+    c = Corpus(read_markdown_dir(spark, os.path.join(corpus_dir, "markdown_docs")), persist="none")
+    with pytest.raises(ValueError):
+        c.manifest
+    with pytest.raises(ValueError):
+        c.responses
+
+
+def test_every_image_has_its_own_data_url(spark):
+    from mdquarry.operators import requests as rq
+    r = spark.createDataFrame([("r1", "p", ["a.png", "gone.png", "b.jpg"]), ("r2", "p", [])],
+                              "request_id string, prompt string, images array<string>")
+    urls = spark.createDataFrame([("a.png", "data:A"), ("b.jpg", "data:B")], "image_path string, data_url string")
+    got = rq.with_data_urls(r, urls).select("request_id", rq.chat_request_json(
+        F.col("prompt"), F.col("image_urls")).alias("j")).collect()
+    parts = {g["request_id"]: json.loads(g["j"])[1]["content"] for g in got}
+    assert [p["image_url"]["url"] for p in parts["r1"][1:]] == ["data:A", "data:B"] and len(parts["r2"]) == 1
+
+
+def test_memory_frames_are_freed(spark, corpus_dir):
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    c = Corpus(read_markdown_dir(spark, os.path.join(corpus_dir, "markdown_docs")),
+               manifest_df=im.manifest_from_dir(spark, corpus_dir), persist="memory")
+    c.requests.count()
+    c.unpersist()
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == before
+
+
+def test_a_sixteenth_question_type_without_editing_the_package(spark, corpus_dir):
+    docs = read_markdown_dir(spark, os.path.join(corpus_dir, "markdown_docs"))
+    c = Corpus(docs, manifest_df=im.manifest_from_dir(spark, corpus_dir), persist="none", batch_size=1,
+               extra_types=(("ANALOGY", "medium", "Explain {title} by an analogy.{context}\n{body}\n"),))
+    rows = c.requests.where("question_type = 'ANALOGY'").collect()
+    assert len(rows) == c.sections.count() == c.request_keys.where("question_type = 'ANALOGY'").count()
+    assert all(r["prompt"].startswith("Explain ") and r["ordinal"] == 16 for r in rows)
+    assert {r["batch_id"] for r in rows} == {r["section_idx"] - 1 for r in rows}
