@@ -24,7 +24,7 @@ import json
 
 import numpy as np
 
-from .ragged import (LETTER, OTHER, SEGMENT, SPACE, KeyTable, Prefix, char_classes, expand, flat, mix, once, packs,
+from .ragged import (SEGMENT, SPACE, KeyTable, Prefix, char_classes, expand, flat, mix, once, packs,
                      segments)
 
 KEEP = 1 << 21  # distinct pre-tokens remembered by a task

@@ -24,7 +24,6 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .common import id_and_text, read
 from .ragged import LETTER, NUMBER, KeyTable, Prefix, char_classes, flat, packs

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import binary, id_and_text, read, unpack
+from .common import binary, id_and_text, read
 from .ragged import LETTER, Prefix, char_classes, flat, packs
 
 BITS = 22
