@@ -75,7 +75,7 @@ def cut(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_
 
 def fullest(counts: dict[int, int], room: int) -> dict[int, int]:
     """How many of each length fill ``room`` best; among equals longer ones are preferred."""
-    sizes = sorted(n for n in counts if n <= room and counts[n] > 0)
+    sizes = sorted((n for n in counts if n <= room and counts[n] > 0), reverse=True)
     full = (1 << (room + 1)) - 1
     reach = [1]  # bit s: the sum s can be made of the lengths so far
     for n in sizes:
@@ -86,7 +86,7 @@ def fullest(counts: dict[int, int], room: int) -> dict[int, int]:
             left -= step
             step *= 2
         reach.append(bits)
-        if bits >> room & 1:
+        if bits >> room & 1:  # full without any shorter length
             break
     goal = reach[-1].bit_length() - 1
     out: dict[int, int] = {}
