@@ -166,16 +166,13 @@ class Network:
         return np.tanh(h)
 
 
-def _softmax(rows: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities, and the logarithm of what they were divided by together with the largest score."""
-    z = h @ rows[:, :WIDTH].T + rows[:, WIDTH]
-    top = z.max(axis=1, keepdims=True)
-    z -= top
-    p = np.exp(z)
-    total = p.sum(axis=1, keepdims=True)
-    z -= np.log(total)
-    p /= total
-    return p, z
+def _softmax(rows: np.ndarray, h: np.ndarray) -> np.ndarray:
+    p = h @ rows[:, :WIDTH].T
+    p += rows[:, WIDTH]
+    p -= p.max(axis=1, keepdims=True)
+    np.exp(p, out=p)
+    p /= p.sum(axis=1, keepdims=True)
+    return p
 
 
 def around(ids: np.ndarray, off: np.ndarray, outside: int) -> np.ndarray:
@@ -187,22 +184,30 @@ def around(ids: np.ndarray, off: np.ndarray, outside: int) -> np.ndarray:
     return np.stack([padded[slot + o] for o in _PLACES], axis=1)
 
 
+def _log_of(rows: np.ndarray, h: np.ndarray, pick: np.ndarray) -> np.ndarray:
+    """Log of the softmax at one place of each row."""
+    z = h @ rows[:, :WIDTH].T
+    z += rows[:, WIDTH]
+    z -= z.max(axis=1, keepdims=True)
+    got = z[np.arange(len(pick)), pick]
+    np.exp(z, out=z)
+    return got - np.log(z.sum(axis=1))
+
+
 def log_probabilities(net: Network, ids: np.ndarray, context: np.ndarray) -> np.ndarray:
     """Log probability of every word given the words around it."""
     out = np.zeros(len(ids))
     size = net.words.size
-    for at in range(0, len(ids), BATCH):
-        target = ids[at:at + BATCH]
-        h = net.hidden(context[at:at + BATCH])
+    for at in range(0, len(ids), 4 * BATCH):
+        target = ids[at:at + 4 * BATCH]
+        h = net.hidden(context[at:at + 4 * BATCH])
         kind, place = target // size, target % size
-        _, z = _softmax(net.class_rows, h)
-        score = z[np.arange(len(target)), kind].astype(float)
+        score = _log_of(net.class_rows, h, kind).astype(float)
         order = np.argsort(kind, kind="stable")
         cuts = np.flatnonzero(np.diff(kind[order])) + 1
         for part in np.split(order, cuts):
-            _, z = _softmax(net.word_rows[kind[part[0]]], h[part])
-            score[part] += z[np.arange(len(part)), place[part]]
-        out[at:at + BATCH] = score - net.words.spread[target]
+            score[part] += _log_of(net.word_rows[kind[part[0]]], h[part], place[part])
+        out[at:at + 4 * BATCH] = score - net.words.spread[target]
     return out
 
 
@@ -212,7 +217,7 @@ def _learn(net: Network, squares: np.ndarray, touched: np.ndarray, target: np.nd
     h = net.hidden(context)
     kind, place = target // size, target % size
     one = np.concatenate([h, np.ones((len(h), 1), np.float32)], axis=1)
-    p, _ = _softmax(net.class_rows, h)
+    p = _softmax(net.class_rows, h)
     p[np.arange(len(target)), kind] -= 1
     back = p @ net.class_rows[:, :WIDTH]
     rows, grads = [np.arange(e, e + c)], [p.T @ one]
@@ -220,7 +225,7 @@ def _learn(net: Network, squares: np.ndarray, touched: np.ndarray, target: np.nd
     order = np.argsort(kind, kind="stable")
     for part in np.split(order, np.flatnonzero(np.diff(kind[order])) + 1):
         k = kind[part[0]]
-        p, _ = _softmax(net.word_rows[k], h[part])
+        p = _softmax(net.word_rows[k], h[part])
         p[np.arange(len(part)), place[part]] -= 1
         back[part] += p @ net.word_rows[k][:, :WIDTH]
         mine = e + c + k * size + np.arange(size)
