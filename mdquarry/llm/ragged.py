@@ -18,7 +18,7 @@ import unicodedata
 
 import numpy as np
 
-SEGMENT = 1 << 20  # characters handled at once
+SEGMENT = 1 << 18  # characters handled at once
 
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 # fixed values: the code points with the Unicode property White_Space
@@ -55,7 +55,7 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
         a[:, 0] = 1
         return np.cumprod(a, axis=1, dtype=np.uint64)
 
-    bits = max(21, bits)
+    bits = max(19, bits)
     got = once(("powers", bits), build)
     return got[0], got[1]
 
