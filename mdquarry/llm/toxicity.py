@@ -87,29 +87,30 @@ def fit(places: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, vi
     none = np.zeros(0, np.int64)
     if not len(labels) or labels.min() == labels.max():
         return Machine(-35.0, none, none.astype(float), np.zeros((0, factors)))
-    used, back = np.unique(np.concatenate(places), return_inverse=True)
-    ends = np.cumsum([len(p) for p in places])
-    docs = [back[e - len(p):e] for e, p in zip(ends, places)]
     rng = np.random.default_rng(seed)
-    z, n = np.zeros(len(used)), np.zeros(len(used))
-    v, vn = np.zeros((len(used), factors)), np.full((len(used), factors), 1e-2)
-    born = np.zeros(len(used), bool)
+    z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    slot = np.full(1 << BITS, -1, np.int32)  # where a place's factors are, once its weight has left zero
+    v, vn, born = np.zeros((1024, factors)), np.full((1024, factors), 1e-2), 0
     bias, bias_n = 0.0, 1.0
 
     def weights(f):
         zf = z[f]
         return np.where(np.abs(zf) <= l1, 0.0, -(zf - np.sign(zf) * l1) / ((beta + np.sqrt(n[f])) / alpha + l2))
 
-    for _ in range(max(1, round(visits / len(docs)))):
-        for i in rng.permutation(len(docs)):
-            f = docs[i]
+    for _ in range(max(1, round(visits / len(places)))):
+        for i in rng.permutation(len(places)):
+            f = places[i]
             w = weights(f)
             on = f[w != 0]
-            fresh = on[~born[on]]
+            fresh = on[slot[on] < 0]
             if len(fresh):
-                v[fresh] = rng.normal(0, 0.1, (len(fresh), factors))
-                born[fresh] = True
-            vf = v[on]
+                while born + len(fresh) > len(v):
+                    v, vn = np.concatenate([v, np.zeros_like(v)]), np.concatenate([vn, np.full_like(vn, 1e-2)])
+                slot[fresh] = np.arange(born, born + len(fresh))
+                v[born:born + len(fresh)] = rng.normal(0, 0.1, (len(fresh), factors))
+                born += len(fresh)
+            at = slot[on]
+            vf = v[at]
             total = vf.sum(0)
             score = bias + w.sum() + 0.5 * float((total * total - (vf * vf).sum(0)).sum())
             g = 1 / (1 + np.exp(-np.clip(score, -35, 35))) - labels[i]
@@ -120,11 +121,12 @@ def fit(places: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, vi
             n[f] += g * g
             if len(on):
                 gv = g * (total - vf) + 1e-4 * vf
-                vn[on] += gv * gv
-                v[on] -= 0.1 * gv / np.sqrt(vn[on])
-    w = weights(np.arange(len(used)))
-    live = w != 0
-    return Machine(bias, used[live], w[live], v[live])
+                vn[at] += gv * gv
+                v[at] -= 0.1 * gv / np.sqrt(vn[at])
+    live = np.flatnonzero(slot >= 0)
+    w = weights(live)
+    live, w = live[w != 0], w[w != 0]
+    return Machine(bias, live, w, v[slot[live]])
 
 
 def sample(docs: DataFrame, labels: DataFrame, allowed=None) -> DataFrame:
@@ -159,7 +161,7 @@ def learn(docs: DataFrame, labels: DataFrame, allowed=None) -> Machine:
     t = s.schema["doc_id"].dataType.simpleString()
     rows = s.mapInArrow(run, f"doc_id {t}, toxic int, terms binary").collect()
     rows.sort(key=lambda r: (str(r["doc_id"]), bytes(r["terms"])))
-    return fit([np.frombuffer(r["terms"], "<i4").astype(np.int64) for r in rows],
+    return fit([np.frombuffer(r["terms"], "<i4") for r in rows],
                np.array([r["toxic"] for r in rows], float))
 
 
