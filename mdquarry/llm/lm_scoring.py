@@ -1,4 +1,4 @@
-"""Masked pseudo-likelihood of documents by a bidirectional window network.
+"""Pseudo-likelihood of documents by a bidirectional window network.
 
 A network predicts a word from the two words on each side of it: the context
 words' vectors (one table for each place) are added and squashed to a hidden
@@ -12,11 +12,11 @@ Everything comes from the whole corpus:
 * word counts of all documents (added up in the tasks, then by a shuffle) give
   the vocabulary, the frequency classes and the starting biases; other words
   share ``RARE`` hashed places, each word of a place equally likely;
-* training is data-parallel: in each of ``ROUNDS`` rounds every task starts from
-  the same weights, masks one word in ``MASK`` (chosen by a hash of the word's
-  surroundings, other ones in each round) in all of its documents and learns to
-  predict the masked words; the weights of the tasks are then averaged row by
-  row, each by how often it was touched. What a task returns is bounded by the
+* training is data-parallel and learns to predict every word of all documents
+  once: a hash of the word's surroundings deals the words out to ``ROUNDS``
+  rounds. In each round every task starts from the same weights and learns the
+  round's words of its documents; the weights of the tasks are then averaged row
+  by row, each by how often it was touched. What a task returns is bounded by the
   network, what all return grows with the corpus.
 
 Edge cases: a null or empty text has no words, pll 0 and no mean; repeated rows
@@ -38,7 +38,6 @@ VOCABULARY = 8192
 RARE = 256
 WIDTH = 16
 SIDE = 2
-MASK = 8
 ROUNDS = 2
 BATCH = 8192
 RATE = 0.3
@@ -212,7 +211,7 @@ def log_probabilities(net: Network, ids: np.ndarray, context: np.ndarray) -> np.
 
 
 def _learn(net: Network, squares: np.ndarray, touched: np.ndarray, target: np.ndarray, context: np.ndarray) -> None:
-    """One step of AdaGrad on a batch of masked words."""
+    """One step of AdaGrad on a batch of words."""
     size, e, c = net.words.size, net.shape[0], net.words.classes
     h = net.hidden(context)
     kind, place = target // size, target % size
@@ -248,15 +247,15 @@ def _learn(net: Network, squares: np.ndarray, touched: np.ndarray, target: np.nd
     net.rows[rows] -= RATE * grads / np.sqrt(squares[rows] + 1e-6)
 
 
-def _masked(ids: np.ndarray, context: np.ndarray, turn: int) -> np.ndarray:
-    """Places that a round masks: a hash of the words in the window, so the choice doesn't depend on the task."""
+def _of_round(ids: np.ndarray, context: np.ndarray, turn: int, rounds: int = ROUNDS) -> np.ndarray:
+    """Places that a round learns: a hash of the words in the window, so the choice doesn't depend on the task."""
     h = ids.astype(np.uint64)
     for k in range(context.shape[1]):
         h = mix(h * np.uint64(0x9E3779B97F4A7C15) + context[:, k].astype(np.uint64))
-    return np.flatnonzero((h % np.uint64(MASK)).astype(np.int64) == turn % MASK)
+    return np.flatnonzero((h % np.uint64(rounds)).astype(np.int64) == turn)
 
 
-def _round(docs: DataFrame, net: Network, turn: int) -> Network:
+def _round(docs: DataFrame, net: Network, turn: int, rounds: int) -> Network:
     """One round of training over all documents."""
     sent = docs.sparkSession.sparkContext.broadcast(net.state())
     names = [f"v{i}" for i in range(WIDTH + 1)]
@@ -284,7 +283,7 @@ def _round(docs: DataFrame, net: Network, turn: int) -> Network:
             for _, h, _, _, off in word_rows(b.column(0).to_pylist()):
                 ids = base.words.ids(table, h)
                 context = around(ids, off, len(base.words))
-                at = _masked(ids, context, turn)
+                at = _of_round(ids, context, turn, rounds)
                 wait.append((ids[at], context[at]))
                 learn(BATCH)
         learn(1)
@@ -313,7 +312,7 @@ def train(docs: DataFrame, size: int = VOCABULARY, rounds: int = ROUNDS) -> Netw
         return None
     net = Network(words)
     for turn in range(rounds):
-        net = _round(docs, net, turn)
+        net = _round(docs, net, turn, rounds)
     return net
 
 

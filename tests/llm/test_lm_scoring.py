@@ -99,3 +99,26 @@ def test_tables_without_words(spark, docs_of, tmp_path):
         docs_of(rows).write.parquet(f"{tmp_path}/{i}/documents.parquet")
         got = lm.op10_lm_scoring(spark, f"{tmp_path}/{i}").collect()
         assert [(r.n_tokens, r.pll) for r in got] == [(0, 0.0)] * len(rows)
+
+
+def test_the_rounds_learn_every_word_once(docs_of, monkeypatch):
+    rng = np.random.default_rng(7)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 300, 400))) for i in range(4)]
+    seen = []
+    round_ = lm._round
+
+    def spied(docs, net, *turn):
+        after = round_(docs, net, *turn)
+        seen.append((np.abs(after.context - net.context) > 0).any(axis=1))
+        return after
+
+    monkeypatch.setattr(lm, "_round", spied)
+    net = lm.train(docs_of(rows))
+    h, _, _, off = words([t for _, t in rows])
+    ids = net.words.ids(net.words.table(), h)
+    around = lm.around(ids, off, len(net.words))
+    moved = np.any(seen, axis=0)
+    # the words that stand next to any place are learned from
+    assert all(moved[k * (len(net.words) + 1) + around[:, k]].all() for k in range(around.shape[1]))
+    places = np.concatenate([lm._of_round(ids, around, t) for t in range(lm.ROUNDS)])
+    assert sorted(places.tolist()) == list(range(len(ids)))
