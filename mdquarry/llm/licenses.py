@@ -151,28 +151,40 @@ def occurrences(index: Index, h: np.ndarray, band: int = BAND, coverage: float =
     for t, seeds in sorted(by_template.items()):
         seeds.sort()
         runs: list[list] = []
-        for d, _ in seeds:
-            if runs and d - runs[-1][-1] <= band:
-                runs[-1].append(d)
+        for d, i in seeds:
+            if runs and d - runs[-1][-1][0] <= band:
+                runs[-1].append((d, i))
             else:
-                runs.append([d])
-        w, found = index.words[t], []
+                runs.append([(d, i)])
+        w, slices = index.words[t], []
         for run in runs:
-            lo, hi = run[0], run[-1]
             # a long chain of nearby diagonals is cut, so that the band stays narrow
-            for d in range(lo, hi + 1, 2 * band):
-                mine = [x for x in run if d <= x < d + 2 * band]
+            for d in range(run[0][0], run[-1][0] + 1, 2 * band):
+                mine = [x for x in run if d <= x[0] < d + 2 * band]
                 if mine:
-                    base, wide = (mine[0] + mine[-1]) // 2, band + (mine[-1] - mine[0] + 1) // 2
-                    low = max(0, base - wide)
-                    n, b, e = align(w, h[low:base + wide + len(w)], base - low, wide)
+                    lo, hi = mine[0][0], mine[-1][0]
+                    slices.append(((lo + hi) // 2, band + (hi - lo + 1) // 2, np.array([i for _, i in mine])))
+        used, tried, taken = np.zeros(len(h), bool), set(), []
+        # what an occurrence leaves of a slice is aligned again, as the template may stand there several times
+        while slices:
+            found, again = [], []
+            for base, wide, places in slices:
+                low, high = max(0, base - wide), min(len(h), base + wide + len(w))
+                free = np.flatnonzero(np.diff(np.concatenate([[True], used[low:high], [True]]).astype(np.int8))) + low
+                for s, e in zip(free[::2].tolist(), free[1::2].tolist()):
+                    if (base, s, e) in tried or not ((places >= s) & (places < e)).any():
+                        continue
+                    tried.add((base, s, e))
+                    n, x, y = align(w, h[s:e], base - s, wide)
                     if n >= coverage * len(w):
-                        found.append((n, low + b, low + e))
-        # overlapping finds of one template are one occurrence: the best, then the first
-        taken: list[tuple] = []
-        for n, b, e in sorted(found, key=lambda x: (-x[0], x[2] - x[1], x[1])):
-            if all(e <= b2 or b >= e2 for _, b2, e2 in taken):
-                taken.append((n, b, e))
+                        found.append((n, s + x, s + y))
+                        again.append((base, wide, places))
+            # overlapping finds of one template are one occurrence: the best, then the first
+            for n, b, e in sorted(found, key=lambda x: (-x[0], x[2] - x[1], x[1])):
+                if not used[b:e].any():
+                    used[b:e] = True
+                    taken.append((n, b, e))
+            slices = list({x[0]: x for x in again}.values())
         for n, b, e in sorted(taken, key=lambda x: x[1]):
             yield t, n, b, e
 

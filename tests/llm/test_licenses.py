@@ -73,3 +73,13 @@ def test_odd_texts_repeated_rows_and_empty_table(spark, docs_of):
     assert sorted(str(r.doc_id) for r in lic.scan(docs_of(rows)).collect()) == ["50", "50", "None"]
     assert lic.scan(docs_of([])).count() == 0
     assert lic.scan(docs_of(rows), templates=()).count() == 0
+
+
+def test_notices_that_follow_each_other_directly(spark, docs_of):
+    notice = dict(lic.TEMPLATES)
+    for name in ("All-rights-reserved", "MIT-short", "CC-BY-NC-4.0-short", "Apache-2.0-short"):
+        line = notice[name]
+        for times in (2, 3, 40):
+            text = " ".join([line] * times)
+            want = [(1, name, k * (len(line) + 1), k * (len(line) + 1) + len(line) - 1) for k in range(times)]
+            assert _found(lic.scan(docs_of([(1, text)]))) == want
