@@ -6,7 +6,11 @@ kept, and an inverted index leads from it to its places in the templates. In a
 text, every gram that the index knows gives a seed (template, diagonal); seeds
 of a template on nearby diagonals make one candidate, whose words are aligned to
 the template's within a band around those diagonals. An occurrence is reported
-if the matched words cover ``COVERAGE`` of the template.
+if the matched words cover ``COVERAGE`` of the template and it has the template's
+version and variant words (``TELLING``), no more and no fewer.
+
+The registered templates are short notices and headers; the bodies of licenses,
+and notices worded otherwise, are found only if they are handed in as templates.
 
 The index holds the templates only, so it is as large as its parameter; texts
 are scanned once, without a shuffle, whole and in order.
@@ -57,7 +61,36 @@ TEMPLATES = (
     ("BSD-redistribution", "Redistribution and use in source and binary forms, with or without modification, are "
      "permitted provided that the following conditions are met:"),
     ("All-rights-reserved", "All rights reserved."),
+    ("GPL-2.0-short", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0-header", "This program is free software; you can redistribute it and/or modify it under the terms of "
+     "the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, "
+     "or (at your option) any later version."),
+    ("LGPL-2.1-short", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-2.1-header", "This library is free software; you can redistribute it and/or modify it under the terms of "
+     "the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the "
+     "License, or (at your option) any later version."),
+    ("LGPL-3.0-short", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-3.0-header", "This program is free software: you can redistribute it and/or modify it under the terms of "
+     "the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the "
+     "License, or (at your option) any later version."),
+    ("AGPL-3.0-short", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0-header", "This program is free software: you can redistribute it and/or modify it under the terms of "
+     "the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the "
+     "License, or (at your option) any later version."),
+    ("MPL-2.0-header", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy "
+     "of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("ISC-permission", "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+     "without fee is hereby granted, provided that the above copyright notice and this permission notice appear in "
+     "all copies."),
+    ("CC-BY-4.0-short", "Licensed under CC BY 4.0."),
+    ("CC-BY-SA-4.0-short", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-ND-4.0-short", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-NC-SA-4.0-short", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-ND-4.0-short", "Licensed under CC BY-NC-ND 4.0."),
+    ("CC0-1.0-short", "Licensed under CC0 1.0."),
 )
+# words that tell versions and variants of a license apart: an occurrence has those of its template and no other
+TELLING = (*"0123456789", "lesser", "library", "affero", "nc", "nd", "sa", "noncommercial", "noderivatives", "sharealike")
 
 
 def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -94,6 +127,8 @@ class Index:
         self.names = [n for n, _ in templates]
         h, _, _, off = tokens([t for _, t in templates])
         self.words = [h[a:z] for a, z in zip(off, off[1:])]
+        self.telling = np.unique(tokens([" ".join(TELLING)])[0])
+        self.marks = [w[np.isin(w, self.telling)] for w in self.words]
         self.grams = sorted({min(gram, len(w)) for w in self.words if len(w)})
         self.table, self.places = KeyTable(), []
         found = defaultdict(list)
@@ -107,6 +142,11 @@ class Index:
             self.table.put(np.array(list(found), np.uint64), np.arange(len(found)))
             self.places = list(found.values())
 
+    def same_marks(self, t: int, h: np.ndarray, start: int, end: int) -> bool:
+        """Whether words start to end name the version and variant that template t names."""
+        span = h[start:end]
+        return np.array_equal(span[np.isin(span, self.telling)], self.marks[t])
+
     def seeds(self, h: np.ndarray):
         """(place in the text, template, place in the template) of all known grams."""
         prefix = Prefix(h >> np.uint64(1))
@@ -176,7 +216,7 @@ def occurrences(index: Index, h: np.ndarray, band: int = BAND, coverage: float =
                         continue
                     tried.add((base, s, e))
                     n, x, y = align(w, h[s:e], base - s, wide)
-                    if n >= coverage * len(w):
+                    if n >= coverage * len(w) and index.same_marks(t, h, s + x, s + y):
                         found.append((n, s + x, s + y))
                         again.append((base, wide, places))
             # overlapping finds of one template are one occurrence: the best, then the first

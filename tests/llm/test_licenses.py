@@ -83,3 +83,14 @@ def test_notices_that_follow_each_other_directly(spark, docs_of):
             text = " ".join([line] * times)
             want = [(1, name, k * (len(line) + 1), k * (len(line) + 1) + len(line) - 1) for k in range(times)]
             assert _found(lic.scan(docs_of([(1, text)]))) == want
+
+
+def test_versions_and_variants_keep_their_names(spark, docs_of):
+    # every registered notice is found under its own name; those that lie in it have the same words
+    rows = [(i, f"some words. {t} More words") for i, (_, t) in enumerate(lic.TEMPLATES)]
+    inside = {("Apache-2.0-header", "Apache-2.0-short")}
+    got = {(lic.TEMPLATES[r.doc_id][0], r.license) for r in lic.scan(docs_of(rows)).collect()}
+    assert got - inside == {(n, n) for n, _ in lic.TEMPLATES}
+    gpl = dict(lic.TEMPLATES)["GPL-3.0-short"]
+    other = [(1, gpl.replace("3", "1")), (2, gpl.replace("General", "Library General"))]
+    assert lic.scan(docs_of(other)).count() == 0
