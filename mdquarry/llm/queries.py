@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import fingerprints, licenses, lm_scoring, ngram_join, packing, substrings, tokens, topk, toxicity
+from . import (fingerprints, licenses, lm_scoring, ngram_join, packing, periods, substrings, token_files, tokens, topk,
+               toxicity, whitening)
 
 QUERIES = {f.__name__: f for f in (
     substrings.op1_substring_dedup,
@@ -15,6 +16,9 @@ QUERIES = {f.__name__: f for f in (
     licenses.op8_license_scan,
     topk.op9_exact_top_k,
     lm_scoring.op10_lm_scoring,
+    whitening.op11_embedding_whitening,
+    periods.op12_periodic_runs,
+    token_files.op13_token_files,
 )}
 
 ORACLES = {"op2_ngram_jaccard_join": ngram_join.OP2_SQL, "op9_exact_top_k": topk.OP9_SQL}
