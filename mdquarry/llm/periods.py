@@ -323,7 +323,7 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.select(
         "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"),
         F.col("best.length").alias("length"), F.col("best.period").alias("period"),
-        F.floor(F.col("best.length") * 1000 / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
         F.sha2(F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), "").cast("binary"), 256)
         .alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))

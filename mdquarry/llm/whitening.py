@@ -25,8 +25,8 @@ Edge cases: vectors that are null, empty, or hold null or non-finite entries,
 or entries that are no 64-bit number once scaled, take no part; of vectors of
 different sizes the most frequent size takes part (ties: the smaller one);
 repeated ids and rows count as often as they occur, null ids are handed on;
-components without variance are left out, so one vector, or equal vectors
-only, give no rows, like an empty table; a deviation beyond 64 bits is null;
+components without variance (within double precision of the whole) are left
+out, so one vector, or equal vectors only, give no rows, like an empty table; a deviation beyond 64 bits is null;
 other columns are not read.
 """
 
@@ -76,7 +76,7 @@ def _secular(d: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         origin = np.where(right, top, d)
         gap = d[:, None] - origin[None, :]
         low, high = np.where(right, middle - top, 0.0), np.where(right, 0.0, middle - d)
-        high[-1] = top[-1] - d[-1]
+        high[-1] = z2.sum()  # not top - d, which is 0 for a small z beside a large d
         for _ in range(80):
             t = (low + high) / 2
             below = 1 + (z2[:, None] / (gap - t[None, :])).sum(axis=0) < 0
