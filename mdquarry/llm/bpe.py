@@ -15,7 +15,8 @@ are looked up in a table that is emptied when it reaches ``KEEP`` entries.
 
 Edge cases: null and empty texts have no tokens; the strings of added tokens
 inside a text become their ids, as the library does by default; texts of any
-length are handled in segments (see :mod:`.ragged`).
+length are handled in segments (see :mod:`.ragged`); a pre-token of any length
+takes time in proportion to it.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from .ragged import (SEGMENT, SPACE, KeyTable, Prefix, char_classes, expand, fla
                      segments)
 
 KEEP = 1 << 21  # distinct pre-tokens remembered by a task
+WINDOW, OVERLAP = 2048, 256  # bytes of a long pre-token that are merged together, and that two windows share
+LONG_WALK = 512  # bytes of a pre-token that is walked by itself
 _NONE = np.int32(2**31 - 1)
 
 
@@ -72,11 +75,14 @@ class Vocabulary:
         self.left[made], self.right[made] = left, right
         self.pairs = KeyTable()
         self.pairs.put(_pair(left, right), made)
-        # tokens by the hash of their bytes, for the longest match
+        # beginnings of tokens by the hash of their bytes, for the longest match; the token that ends there, or -1
         plain = np.array(sorted(set(ids.values()) - set(self.special.values())), np.int64)
-        self.tokens = KeyTable()
-        self.tokens.put(Prefix(self.bytes).slices(self.start[plain], self.start[plain] + self.length[plain]), plain)
-        self.longest = int(self.length[plain].max())
+        prefix, size = Prefix(self.bytes), self.length[plain]
+        head = np.repeat(self.start[plain], size)
+        self.beginnings = KeyTable()
+        number, _ = self.beginnings.number(prefix.slices(head, head + 1 + expand(np.zeros(len(plain), np.int64), size)))
+        self.ends_in = np.full(self.beginnings.n, -1, np.int32)
+        self.ends_in[number[np.cumsum(size) - 1]] = plain
 
     @classmethod
     def load(cls, path: str) -> "Vocabulary":
@@ -147,9 +153,56 @@ def pretokens(pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
 def merge(v: Vocabulary, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Token ids of many pre-tokens, flat, and their number for each: rank-synchronous merging.
 
-    Every round finds the lowest-rank pair of each pre-token and merges all of
-    its places from the left; pre-tokens without a mergeable pair leave.
+    A pre-token of more than ``WINDOW`` bytes goes as windows that overlap, which
+    are merged like others and joined at a boundary that both have and that is
+    compatible (so every adjacent pair is, and the tokens are those of the whole).
     """
+    long = np.flatnonzero(end - begin > WINDOW)
+    if not len(long):
+        return _merge_rows(v, data, begin, end)
+    of, first, last = [np.flatnonzero(end - begin <= WINDOW)], [], []
+    first.append(begin[of[0]])
+    last.append(end[of[0]])
+    for r in long.tolist():
+        at = np.arange(begin[r], end[r] - OVERLAP, WINDOW - OVERLAP)
+        of.append(np.full(len(at), r))
+        first.append(at)
+        last.append(np.minimum(at + WINDOW, end[r]))
+    of, first, last = (np.concatenate(x) for x in (of, first, last))
+    tok, n = _merge_rows(v, data, first, last)
+    ends = np.cumsum(n)
+    parts, rows = [tok[:int(n[:len(begin) - len(long)].sum())]], [np.repeat(of, n)[:int(n[:len(begin) - len(long)].sum())]]
+    for r in long.tolist():
+        mine = np.flatnonzero(of == r)
+        whole = _joined(v, [tok[ends[i] - n[i]:ends[i]] for i in mine], first[mine] - begin[r])
+        if whole is None:
+            whole = _merge_rows(v, data, begin[r:r + 1], end[r:r + 1])[0]
+        parts.append(whole)
+        rows.append(np.full(len(whole), r))
+    row = np.concatenate(rows)
+    return np.concatenate(parts)[np.argsort(row, kind="stable")], np.bincount(row, minlength=len(begin))
+
+
+def _joined(v: Vocabulary, windows: list[np.ndarray], starts: np.ndarray) -> np.ndarray | None:
+    """Tokens of the whole from those of overlapping windows; None if two windows have no boundary to join at."""
+    out, tok, at = [], windows[0], starts[0]
+    begins = at + np.cumsum(v.length[tok]) - v.length[tok]
+    for new, start in zip(windows[1:], starts[1:].tolist()):
+        new_begins = start + np.cumsum(v.length[new]) - v.length[new]
+        end = begins[-1] + v.length[tok[-1]]
+        both, i, j = np.intersect1d(np.append(begins, end), new_begins, assume_unique=True, return_indices=True)
+        ok = np.flatnonzero((i > 0) & compatible(v, tok[np.maximum(i - 1, 0)], new[j]))
+        if not len(ok):
+            return None
+        pick = ok[len(ok) // 2]
+        out.append(tok[:i[pick]])
+        tok, begins = new[j[pick]:], new_begins[j[pick]:]
+    return np.concatenate([*out, tok])
+
+
+def _merge_rows(v: Vocabulary, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every round finds the lowest-rank pair of each pre-token and merges all of its places from the left;
+    pre-tokens without a mergeable pair leave."""
     n = end - begin
     sym = v.of_byte[data[expand(begin, n)]]
     row = np.repeat(np.arange(len(n)), n)
@@ -218,24 +271,46 @@ def compatible(v: Vocabulary, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def propose(v: Vocabulary, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Greedy longest match of all pre-tokens: tokens flat, and their number for each."""
+    """Greedy longest match of all pre-tokens: tokens flat, and their number for each.
+
+    The longest token that starts at each byte is found for all bytes at once, by
+    lengthening the beginnings of tokens as long as there are any; then every
+    pre-token is walked from match to match.
+    """
+    size = end - begin
+    place = expand(begin, size)
     prefix = Prefix(data)
-    at, row = begin.copy(), np.arange(len(begin))
+    room = np.repeat(end, size)
+    longest, open_ = np.full(len(place), -1, np.int32), np.arange(len(place))
+    length = 0
+    while len(open_):
+        length += 1
+        open_ = open_[place[open_] + length <= room[open_]]
+        number = v.beginnings.find(prefix.slices(place[open_], place[open_] + length))
+        open_, number = open_[number >= 0], number[number >= 0]
+        token = v.ends_in[number]
+        longest[open_[token >= 0]] = token[token >= 0]
+    step = v.length[longest]
+    at = np.cumsum(size) - size  # of each pre-token among the bytes looked at
+    stop = at + size
+    row = np.arange(len(begin))
     rows, toks = [], []
+    wide = np.flatnonzero(size > LONG_WALK)
+    for r in wide.tolist():  # one by one: their walks are long
+        steps, i, walk = step[at[r]:stop[r]].tolist(), 0, []
+        while i < len(steps):
+            walk.append(i)
+            i += steps[i]
+        rows.append(np.full(len(walk), r))
+        toks.append(longest[at[r] + np.array(walk)])
+    short = size <= LONG_WALK
+    at, stop, row = at[short], stop[short], row[short]
     while len(row):
-        size = np.minimum(end[row] - at, v.longest)
-        tok = np.full(len(row), -1, np.int32)
-        open_ = np.arange(len(row))
-        while len(open_):
-            got = v.tokens.find(prefix.slices(at[open_], at[open_] + size[open_]))
-            tok[open_] = got
-            open_ = open_[got < 0]
-            size[open_] -= 1
         rows.append(row)
-        toks.append(tok)
-        at = at + size
-        live = at < end[row]
-        at, row = at[live], row[live]
+        toks.append(longest[at])
+        at = at + step[at]
+        live = at < stop
+        at, stop, row = at[live], stop[live], row[live]
     if not rows:
         return np.zeros(0, np.int32), np.zeros(len(begin), np.int64)
     row, tok = np.concatenate(rows), np.concatenate(toks)

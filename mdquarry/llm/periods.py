@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import id_and_text, read
-from .ragged import SEGMENT, mix, packs
+from .ragged import SEGMENT, mix, modulo, packs
 
 MIN_LENGTH = 24
 MIN_POWER = 3
@@ -47,7 +47,7 @@ WINDOW = 8  # words of the screen, at most
 GAP = r"[ \t-\r]+"
 _WORDS = re.compile(r"[^ \t-\r]+")
 _GAPS = re.compile(r"[ \t-\r]")
-_PRIME = np.uint64((1 << 31) - 1)
+_PRIME = np.uint64((1 << 31) - 1)  # what modulo() divides by
 # fixed values: two bases of fingerprints modulo the prime
 _BASES = (1_220_703_125, 630_360_016)
 
@@ -159,40 +159,33 @@ def lyndon(rank: list[int], high_first: bool = True) -> list[int]:
     return length
 
 
-def _reduce(x: np.ndarray) -> np.ndarray:
-    """Modulo 2**31 - 1."""
-    x = (x & _PRIME) + (x >> np.uint64(31))
-    x = (x & _PRIME) + (x >> np.uint64(31))
-    return np.where(x >= _PRIME, x - _PRIME, x)
-
-
 class Matcher:
     """Longest common extensions within one sequence, many at once."""
 
     def __init__(self, s: np.ndarray):
         self.n = len(s)
-        code = _reduce(mix(s.astype(np.uint64) + np.uint64(1)))
+        code = modulo(mix(s.astype(np.uint64) + np.uint64(1)))
         self._sum, self._up = [], []
         for base in _BASES:
             up = np.ones(self.n + 1, np.uint64)
             k = 1
             power = np.uint64(base)
             while k <= self.n:  # base ** i by doubling
-                up[k:2 * k] = _reduce(up[:min(k, self.n + 1 - k)] * power)
-                power = _reduce(np.array([power * power], np.uint64))[0]
+                up[k:2 * k] = modulo(up[:min(k, self.n + 1 - k)] * power)
+                power = modulo(np.array([power * power], np.uint64))[0]
                 k *= 2
             total = np.zeros(self.n + 1, np.uint64)
-            np.cumsum(_reduce(code * up[:-1]), out=total[1:])
-            self._sum.append(_reduce(total))
+            np.cumsum(modulo(code * up[:-1]), out=total[1:])
+            self._sum.append(modulo(total))
             self._up.append(up)
 
     def equal(self, i: np.ndarray, j: np.ndarray, length: np.ndarray) -> np.ndarray:
         """Whether the slices of that length at i and at j (i < j) have one fingerprint."""
         out = np.ones(len(i), bool)
         for total, up in zip(self._sum, self._up):
-            a = _reduce(total[i + length] + _PRIME - total[i])
-            b = _reduce(total[j + length] + _PRIME - total[j])
-            out &= _reduce(a * up[j - i]) == b
+            a = modulo(total[i + length] + _PRIME - total[i])
+            b = modulo(total[j + length] + _PRIME - total[j])
+            out &= modulo(a * up[j - i]) == b
         return out
 
     def forward(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:

@@ -70,18 +70,84 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+_PRIME = np.uint64((1 << 31) - 1)
+_PRIME_BASE = 1_220_703_125
+_PRIME_INVERSE = pow(_PRIME_BASE, -1, (1 << 31) - 1)
+
+
+def modulo(x: np.ndarray) -> np.ndarray:
+    """64-bit words modulo the prime 2**31 - 1, by shifts."""
+    x = (x & _PRIME) + (x >> np.uint64(31))
+    x = (x & _PRIME) + (x >> np.uint64(31))
+    return np.where(x >= _PRIME, x - _PRIME, x)
+
+
+def prime_powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a base and of its inverse modulo 2**31 - 1, at least 2**bits of them."""
+    def build():
+        out = np.ones((2, 1 << bits), np.uint64)
+        for row, base in zip(out, (_PRIME_BASE, _PRIME_INVERSE)):
+            k, power = 1, base
+            while k < len(row):  # by doubling
+                row[k:2 * k] = modulo(row[:k] * np.uint64(power))
+                power = power * power % int(_PRIME)
+                k *= 2
+        return out
+
+    bits = max(19, bits)
+    got = once(("prime powers", bits), build)
+    return got[0], got[1]
+
+
 class Prefix:
-    """Hashes of arbitrary slices of a flat array by differences of prefix sums."""
+    """Hashes of arbitrary slices of a flat array by differences of prefix sums.
+
+    Sums modulo 2**64 have collisions of a known kind between long slices (two
+    letters that alternate as in the Thue-Morse sequence, from 1,024 letters on).
+    So slices of ``LONG`` values or more also take in a sum modulo a prime.
+    """
+
+    LONG = 32
 
     def __init__(self, values: np.ndarray):
+        self._values, self._prime_sum = values, None
         up, self._down = _powers(int(len(values)).bit_length())
         self._sum = np.empty(len(values) + 1, np.uint64)
         self._sum[0] = 0
         np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[:len(values)], out=self._sum[1:])
 
+    @staticmethod
+    def _terms(values: np.ndarray, powers: np.ndarray) -> np.ndarray:
+        """values * powers, folded below 2**33."""
+        v = values.astype(np.uint64)
+        if values.dtype.itemsize == 8:
+            v = (v & _PRIME) + ((v >> np.uint64(31)) & _PRIME) + (v >> np.uint64(62))
+        v = (v + np.uint64(1)) * powers
+        return (v & _PRIME) + (v >> np.uint64(31))
+
+    def _modulo_prime(self, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Sum of value times power modulo the prime, of each slice."""
+        bits = int(max(len(self._values), 1)).bit_length()
+        up, down = prime_powers(bits)
+        total = int(size.sum())
+        if self._prime_sum is None and total < len(self._values):  # few long slices
+            first = np.cumsum(size) - size
+            place = np.arange(total) - np.repeat(first, size)
+            terms = self._terms(self._values[np.repeat(start, size) + place], up[place])
+            return modulo(np.add.reduceat(terms, first))
+        if self._prime_sum is None:
+            self._prime_sum = np.zeros(len(self._values) + 1, np.uint64)
+            np.cumsum(self._terms(self._values, up[:len(self._values)]), out=self._prime_sum[1:])
+        return modulo(modulo(self._prime_sum[start + size] - self._prime_sum[start]) * down[start])
+
     def slices(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        h = (self._sum[end] - self._sum[start]) * self._down[start]
-        h = mix(h + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        size = end - start
+        h = (self._sum[end] - self._sum[start]) * self._down[start] + size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        long = np.flatnonzero(size >= self.LONG)
+        if len(long):
+            start, size = np.asarray(start)[long], size[long]
+            h[long] += self._modulo_prime(start, size) * np.uint64(0x9FB21C651E98DF25)
+        h = mix(h)
         h[h == 0] = 1
         return h
 

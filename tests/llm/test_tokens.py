@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -45,6 +46,49 @@ def test_long_texts_are_cut_at_safe_places(library, monkeypatch):
     assert got == [want] and enc.counts([text]).tolist() == [len(want)]
 
 
+def _alternating(n, x, y):
+    return "".join((x, y)[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("method", [bpe.merge, bpe.speculate])
+@pytest.mark.parametrize("n", [1024, 2048, 8192])
+def test_texts_whose_sums_collide_modulo_a_power_of_two(library, method, n):
+    texts = [_alternating(n, "a", "b"), _alternating(n, "b", "a")]
+    enc = bpe.Encoder(bpe.Vocabulary.load(tokens.vocabulary_path()), method)
+    got = [ids[a:z].tolist() for _, ids, off in enc.encode(texts) for a, z in zip(off, off[1:])]
+    assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)] and got[0] != got[1]
+
+
+def _long_runs():
+    rng = random.Random(6)
+    return {"chinese": "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(100_000)),
+            "letters": "".join(rng.choice("etaoinshrdlu") for _ in range(20_000)), "one": "a" * 50_001,
+            "two": "ab" * 20_000, "signs": "".join(rng.choice("!?.-=_*#") for _ in range(30_000)),
+            "words": "theofandtoinisthatforit" * 1000, "digits": "".join(rng.choice("0123456789") for _ in range(20_000))}
+
+
+@pytest.mark.parametrize("method", [bpe.merge, bpe.speculate])
+@pytest.mark.parametrize("name", list(_long_runs()))
+def test_long_runs_take_time_in_proportion(library, method, name):
+    text = _long_runs()[name]
+    enc = bpe.Encoder(bpe.Vocabulary.load(tokens.vocabulary_path()), method)
+    began = time.process_time()
+    (_, ids, _), = enc.encode([text])
+    assert time.process_time() - began < 10  # a second here; minutes where every length was tried at every token
+    assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_windows_without_a_common_boundary_are_merged_whole(library, monkeypatch):
+    monkeypatch.setattr(bpe, "WINDOW", 40)
+    monkeypatch.setattr(bpe, "OVERLAP", 3)
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("etaoinaaab ") for _ in range(400)) for _ in range(50)] + ["a" * 333, "=" * 1000]
+    enc = bpe.Encoder(bpe.Vocabulary.load(tokens.vocabulary_path()), bpe.merge)
+    texts = [t.replace(" ", "") for t in texts]
+    got = [ids[a:z].tolist() for _, ids, off in enc.encode(texts) for a, z in zip(off, off[1:])]
+    assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_a_full_table_is_emptied(library, monkeypatch):
     monkeypatch.setattr(bpe, "KEEP", 5)
     texts = _random_texts(50)
