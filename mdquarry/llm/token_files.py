@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import bpe
-from .common import binary, groups, id_and_text, read, unpack
-from .ragged import expand
+from .common import binary, groups, id_and_text, read
+from .ragged import expand, once
 from .tokens import vocabulary_path
 
 END_ID = 0
@@ -197,7 +197,8 @@ def _shards(vocabulary: str, end_id: int, block: int, id_type: pa.DataType):
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        enc = bpe.Encoder(bpe.Vocabulary.load(vocabulary))
+        # one for all tasks of a worker process, so that its table of pre-tokens (bounded) is not learned anew by each
+        enc = once(("merging encoder", vocabulary), lambda: bpe.Encoder(bpe.Vocabulary.load(vocabulary), bpe.merge))
         number = first = 0
 
         def shard(held: list[np.ndarray], keys: list, before: int | None = None):
