@@ -33,6 +33,17 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, each with underscores added until no column (compared without case) has it."""
+    taken, out = {c.lower() for c in columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def binary(flat: np.ndarray, offsets: np.ndarray) -> pa.Array:
     """An Arrow binary column from one flat array: row i holds items offsets[i] to offsets[i+1]."""
     flat = np.ascontiguousarray(flat)

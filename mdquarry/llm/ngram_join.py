@@ -4,23 +4,30 @@ A document is the set of its runs of five words (a text of one to four words
 has one run of all its words). Documents with equal sets form a node, and
 everything below works on nodes.
 
-1. A node's set is embedded as ``TOKENS`` min-hashes. In each of ``RUNS``
-   independent trees a node goes from the root to the children of the tokens it
-   samples: token t of path p is taken if hash(p, t) is below 1 / (threshold *
-   TOKENS). Sampling depends on path and token only, so similar nodes take the
-   same turns. A child with at most ``SMALL`` nodes is done; larger ones are
-   split again, up to ``DEPTH`` times.
-2. Nodes of one bucket are compared by brute force on their min-hashes, large
-   buckets in pairs of blocks. Likely pairs connect nodes to clusters.
-3. Within a cluster the exact similarity of every pair of sets is computed,
-   large clusters again in pairs of blocks; a pair is a link if it reaches the
-   threshold. Only counts and one edge per node and block leave a task, never
-   the pairs.
-
-A pair at similarity s >= threshold takes a common first turn in a run with
-probability about 1 - exp(-s / threshold) >= 0.63, so ``RUNS`` = 12 miss it
-with probability below 1e-5; the loose test of step 2 (``LOOSE`` of the
-min-hashes equal) misses a pair at 0.8 with probability below 1e-4.
+1. A node's set is embedded as ``TOKENS`` min-hashes. In each run a node goes
+   from the root of a tree to the children of the tokens it samples: token t of
+   path p is taken if hash(p, t) is below 1 / (threshold * TOKENS). Sampling
+   depends on path and token only, so similar nodes take the same turns. A child
+   with at most ``SMALL`` nodes is done; larger ones are split again, up to
+   ``DEPTH`` times.
+2. Runs are repeated until the target recall: a pair at the threshold meets d
+   turns deep with probability p(d) = 1 - exp(-p(d - 1)), p(0) = 1, so
+   log(1 - recall) / log(1 - p(d)) runs are needed (:func:`runs_for`). All nodes
+   go through the runs for one turn; nodes that met a bucket that was split go
+   through as many more as the deepest turn asks for.
+3. Nodes of one bucket are compared by brute force on their min-hashes; likely
+   pairs connect nodes to clusters. A large bucket is cut into blocks. First
+   every block is compared with itself; only if the bucket's nodes aren't all
+   connected by then, each block is compared with the others, and only pairs
+   that connect two components of the bucket are handed on.
+4. Within a cluster the exact similarity of every pair of sets is computed, by
+   blocks in the same way: a pair is a link if it reaches the threshold. What
+   leaves a task is the number of links of each node of its block, and the pairs
+   that connect components, never the pairs of a group.
+
+At the default recall a pair is missed with probability below 1e-5 by step 2,
+and below 1e-4 by the loose test of step 3 (``LOOSE`` of the min-hashes equal) if
+its similarity is 0.8; pairs of larger similarity are missed less often.
 
 Edge cases: null texts and texts without words link to nothing and stay their
 own class; equal rows are documents of one node; ids may be null or repeated,
@@ -35,12 +42,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from .common import binary, connected, groups, id_and_text, keep, read, unpack
+from .common import binary, connected, groups, id_and_text, keep, read, unpack, unused
 from .ragged import mix, shingles, word_rows
 
 THRESHOLD = 0.8
 TOKENS = 64
-RUNS = 12
+RECALL = 0.99999  # share of the pairs at the threshold that meet in a bucket
 SMALL = 256
 DEPTH = 3
 LOOSE = 0.58
@@ -108,7 +115,15 @@ def signatures(docs: DataFrame, with_tokens: bool = True) -> DataFrame:
                         + (", tokens binary" if with_tokens else ""))
 
 
-def _turns(threshold: float):
+def runs_for(depth: int, recall: float = RECALL) -> int:
+    """Runs after which a pair at the threshold has met in a bucket ``depth`` turns deep with probability ``recall``."""
+    p = 1.0
+    for _ in range(depth):
+        p = 1 - np.exp(-p)
+    return int(np.ceil(np.log(1 - recall) / np.log(1 - p)))
+
+
+def _turns(threshold: float, runs: range):
     """Children that each node takes from its paths: rows (path or null, node, tokens) to (path, node)."""
     limit = np.uint64(min(2**64 - 1, int(2**64 / (threshold * TOKENS))))
 
@@ -118,7 +133,7 @@ def _turns(threshold: float):
             t = flat.reshape(-1, TOKENS).astype(np.uint64)
             t = mix(t + (np.arange(1, TOKENS + 1, dtype=np.uint64) << np.uint64(32)))
             if b.column(0).null_count:
-                starts = mix(np.arange(1, RUNS + 1, dtype=np.uint64) * _ODD)
+                starts = mix(np.arange(runs.start + 1, runs.stop + 1, dtype=np.uint64) * _ODD)
                 paths = [np.full(len(t), p) for p in starts]
             else:
                 paths = [b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)]
@@ -142,8 +157,45 @@ def _labels(near: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _likely(loose: float):
-    """Sorted rows (group, node, tokens) to edges (a, b) that connect likely similar nodes."""
+def _blocks(rows: DataFrame, group: str, size: str, extra: list[str]) -> DataFrame:
+    """Rows of ``group`` with its number of blocks ``_n`` and their own ``_block``: of at most about ``BLOCK`` nodes."""
+    n = F.ceil(F.col(size) / BLOCK).cast("int")
+    mine = F.pmod(F.xxhash64("node", F.lit(11), group), n).cast("int")
+    return rows.select(group, "node", *extra, n.alias("_n"), mine.alias("_block"))
+
+
+def _own(rows: DataFrame, group: str, extra: list[str]) -> DataFrame:
+    """Every block by itself: sorted rows (_key, node, extra)."""
+    r = rows.select(F.xxhash64(group, "_block", F.lit(12)).alias("_key"), "node", *extra)
+    return r.repartition("_key").sortWithinPartitions("_key", "node")
+
+
+def _others(rows: DataFrame, group: str, extra: list[str], later_only: bool) -> DataFrame:
+    """Every block with the other (or only the later) blocks of its group: sorted rows (_part, _key, _side, node, extra).
+
+    The block's own rows come first (_side 0), then those of the others, block
+    by block; _part tells these parts from each other, so a task holds two blocks.
+    """
+    r = rows.where(F.col("_n") > 1)
+    last = F.col("_block") if later_only else F.col("_n") - 1
+    r = r.withColumn("_to", F.explode(F.sequence(F.lit(0), last)))
+    own = F.col("_to") == F.col("_block")
+    r = r.withColumn("_key", F.xxhash64(group, "_to", F.lit(13))).withColumn("_side", F.when(own, 0).otherwise(1))
+    r = r.withColumn("_part", F.xxhash64("_key", "_side", "_block"))
+    return r.repartition("_key").sortWithinPartitions("_key", "_side", "_block", "node").select(
+        "_part", "_key", "_side", "node", *extra)
+
+
+def _equal_tokens(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Number of equal min-hashes of every row of a and of b."""
+    equal = np.zeros((len(a), len(b)), np.uint16)
+    for i in range(TOKENS):
+        equal += a[:, i][:, None] == b[:, i][None, :]
+    return equal
+
+
+def _likely_own(loose: float):
+    """Sorted rows (block, node, tokens) to edges (a, b) that connect likely similar nodes of a block: one a node."""
     def run(batches):
         for b, off in groups(batches):
             nodes = b.column(1)
@@ -158,11 +210,7 @@ def _likely(loose: float):
                         left.append(a)
                         right.append(a + 1)
                     continue
-                m = t[a:z]
-                equal = np.zeros((z - a, z - a), np.uint16)
-                for i in range(TOKENS):
-                    equal += m[:, i][:, None] == m[:, i][None, :]
-                label = _labels(equal >= loose * TOKENS)
+                label = _labels(_equal_tokens(t[a:z], t[a:z]) >= loose * TOKENS)
                 far = np.flatnonzero(label != np.arange(z - a))
                 left += (a + label[far]).tolist()
                 right += (a + far).tolist()
@@ -172,86 +220,143 @@ def _likely(loose: float):
     return run
 
 
-def _in_blocks(rows: DataFrame, group: str, size: str, extra: list[str]) -> DataFrame:
-    """Rows dealt to pairs of blocks of their group: _key, node, extra columns, _block, _cross.
+class _Joined:
+    """Which components a task has connected so far; says which pairs of components are news."""
 
-    A group of up to ``BLOCK`` rows is one block; of larger ones every pair of
-    blocks is a key of its own, so a task holds two blocks at a time. Within a
-    pair of different blocks only pairs across them count (_cross).
-    """
-    n = F.ceil(F.col(size) / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("node", F.lit(11)), n).cast("int")
-    r = rows.withColumn("_n", n).withColumn("_block", mine)
-    r = r.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    low, high = F.least("_block", "_other"), F.greatest("_block", "_other")
-    return r.select(F.xxhash64(group, low, high, F.lit(12)).alias("_key"), "node", *extra, "_block",
-                    (low != high).alias("_cross"))
+    def __init__(self):
+        self.up: dict[bytes, bytes] = {}
 
+    def top(self, x: bytes) -> bytes:
+        while x in self.up:
+            x = self.up[x]
+        return x
 
-def _by_key(rows: DataFrame) -> DataFrame:
-    return rows.repartition("_key").sortWithinPartitions("_key", "node")
+    def news(self, near: np.ndarray, left: list[bytes], right: list[bytes]):
+        """(left component, right component) of near pairs, each connection once."""
+        code: dict[bytes, int] = {}
+        a, b = (np.array([code.setdefault(x, len(code)) for x in side]) for side in (left, right))
+        i, j = np.nonzero(near)
+        _, first = np.unique(a[i] * len(code) + b[j], return_index=True)
+        for k in first.tolist():
+            x, y = self.top(left[i[k]]), self.top(right[j[k]])
+            if x != y:
+                self.up[max(x, y)] = min(x, y)
+                yield left[i[k]], right[j[k]]
 
 
-def candidate_clusters(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """node, root of the clusters of nodes that are likely similar; nodes without a partner are left out."""
+def _likely_others(loose: float):
+    """Sorted rows (part, key, side, node, tokens, root) to edges (a, b) between components."""
+    def run(batches):
+        held = held_roots = joined = key = None
+        for b, off in groups(batches):
+            flat, _ = unpack(b.column(4), "<u4")
+            t = flat.reshape(-1, TOKENS)
+            roots, side, keys = b.column(5).to_pylist(), b.column(2).to_numpy(), b.column(1).to_numpy()
+            left, right = [], []
+            for a, z in zip(off.tolist(), off[1:].tolist()):
+                if side[a] == 0:
+                    held, held_roots, joined, key = t[a:z].copy(), roots[a:z], _Joined(), keys[a]
+                    continue
+                if keys[a] != key:  # a block without nodes
+                    continue
+                near = _equal_tokens(held, t[a:z]) >= loose * TOKENS
+                for x, y in joined.news(near, held_roots, roots[a:z]):
+                    left.append(x)
+                    right.append(y)
+            if left:
+                yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
+    return run
+
+
+def _rooted(rows: DataFrame, root: DataFrame) -> DataFrame:
+    """Rows with ``root``, the component of their node (itself if it has none)."""
+    return rows.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _in_buckets(nodes: DataFrame, threshold: float, runs: range) -> tuple[DataFrame, DataFrame | None, int]:
+    """Buckets (path, node, tokens, size) of these runs; the nodes that met a split bucket; the deepest turn."""
     step = nodes.select(F.lit(None).cast("bigint").alias("path"), "node", "tokens")
-    done: list[DataFrame] = []
-    for depth in range(DEPTH):
-        paths = keep(step.mapInArrow(_turns(threshold), "path long, node binary"), "paths")
+    done, split = [], None
+    for depth in range(1, DEPTH + 1):
+        paths = keep(step.mapInArrow(_turns(threshold, runs), "path long, node binary"), "paths")
         size = paths.groupBy("path").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
-        both = paths.join(size, "path").join(nodes, "node").select("path", "node", "tokens", "size")
-        both = keep(both, "buckets")
-        last = depth + 1 == DEPTH
+        both = keep(paths.join(size, "path").join(nodes, "node").select("path", "node", "tokens", "size"), "buckets")
+        last = depth == DEPTH
         done.append(both if last else both.where(F.col("size") <= SMALL))
         step = both.where(F.col("size") > SMALL).select("path", "node", "tokens")
-        if not last and step.isEmpty():
+        if last or step.isEmpty():
             break
+        split = step if split is None else split.unionAll(step)
     buckets = done[0]
     for d in done[1:]:
         buckets = buckets.unionAll(d)
-    rows = _in_blocks(buckets, "path", "size", ["tokens"]).select("_key", "node", "tokens")
-    edges = _by_key(rows).mapInArrow(_likely(LOOSE), "a binary, b binary")
-    return connected(edges)
-
-
-def _exact(threshold: float):
-    """Sorted rows (key, node, copies, set, block, cross) to (a, b, links): links of a within the group, an edge to b."""
-    def similar(sets: list[np.ndarray]) -> np.ndarray:
-        size = np.array([len(s) for s in sets])
-        flat = np.concatenate(sets)
-        row = np.repeat(np.arange(len(sets)), size)
-        order = np.argsort(flat, kind="stable")
-        flat, row = flat[order], row[order]
-        new = np.ones(len(flat), bool)
-        new[1:] = flat[1:] != flat[:-1]
-        place = np.cumsum(new) - 1
-        # members of one set only cannot add to a common part
-        shared = np.bincount(place)[place] > 1
-        place, row = place[shared], row[shared]
-        _, place = np.unique(place, return_inverse=True)
-        common = np.zeros((len(sets), len(sets)), np.float32)
-        width = 8192
-        for at in range(0, int(place.max(initial=-1)) + 1, width):
-            a, z = np.searchsorted(place, [at, at + width])
-            m = np.zeros((len(sets), width), np.float32)
-            m[row[a:z], place[a:z] - at] = 1
-            common += m @ m.T
-        union = size[:, None] + size[None, :] - common
-        return common >= threshold * union - 1e-6
+    return buckets, split, depth
 
+
+def candidate_clusters(nodes: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """node, root of the clusters of nodes that are likely similar; nodes without a partner are left out."""
+    first = runs_for(1, recall)
+    buckets, split, depth = _in_buckets(nodes, threshold, range(first))
+    if split is not None:
+        again = keep(split.select("node", "tokens").dropDuplicates(["node"]), "again")
+        more, _, deeper = _in_buckets(again, threshold, range(first, runs_for(depth, recall)))
+        buckets = buckets.unionAll(more)
+        if deeper > depth:  # the few more runs that a deeper turn asks for
+            last, _, _ = _in_buckets(again, threshold, range(runs_for(depth, recall), runs_for(deeper, recall)))
+            buckets = buckets.unionAll(last)
+    rows = _blocks(buckets, "path", "size", ["tokens"])
+    edges = keep(_own(rows, "path", ["tokens"]).mapInArrow(_likely_own(LOOSE), "a binary, b binary"), "edges")
+    root = connected(edges)
+    large = rows.where(F.col("_n") > 1)
+    if split is None and large.isEmpty():
+        return root
+    large = keep(_rooted(large, root), "large")
+    apart = large.groupBy("path").agg(F.min("root").alias("x"), F.max("root").alias("y")).where(F.col("x") != F.col("y"))
+    large = large.join(apart.select("path"), "path", "left_semi")
+    others = _others(large, "path", ["tokens", "root"], later_only=True)
+    between = others.mapInArrow(_likely_others(LOOSE), "a binary, b binary")
+    star = root.where(F.col("node") != F.col("root")).select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return connected(star.unionAll(between))
+
+
+def _similar(left: list[np.ndarray], right: list[np.ndarray], threshold: float) -> np.ndarray:
+    """Which sets of the left list reach the threshold with which of the right one."""
+    sizes = [np.array([len(s) for s in x]) for x in (left, right)]
+    flat = np.concatenate([*left, *right])
+    row = np.repeat(np.arange(len(left) + len(right)), np.concatenate(sizes))
+    order = np.argsort(flat, kind="stable")
+    flat, row = flat[order], row[order]
+    new = np.ones(len(flat), bool)
+    new[1:] = flat[1:] != flat[:-1]
+    place = np.cumsum(new) - 1
+    # members of one set only cannot add to a common part
+    shared = np.bincount(place)[place] > 1
+    place, row = place[shared], row[shared]
+    _, place = np.unique(place, return_inverse=True)
+    common = np.zeros((len(left), len(right)), np.float32)
+    width = 8192
+    for at in range(0, int(place.max(initial=-1)) + 1, width):
+        a, z = np.searchsorted(place, [at, at + width])
+        m = np.zeros((len(left) + len(right), width), np.float32)
+        m[row[a:z], place[a:z] - at] = 1
+        common += m[:len(left)] @ m[len(left):].T
+    union = sizes[0][:, None] + sizes[1][None, :] - common
+    return common >= threshold * union - 1e-6
+
+
+def _exact_own(threshold: float):
+    """Sorted rows (block, node, copies, set) to (a, b, links): links of a within its block, an edge to b."""
     def run(batches):
         for b, off in groups(batches):
-            nodes, copies, blocks, cross = (b.column(i) for i in (1, 2, 4, 5))
-            copies, blocks = copies.to_numpy(), blocks.to_numpy()
+            nodes, copies = b.column(1), b.column(2).to_numpy()
             flat, at = unpack(b.column(3), "<u8")
             rows, roots, links = [], [], []
             for a, z in zip(off, off[1:]):
                 if z - a < 2:
                     continue
-                near = similar([flat[at[i]:at[i + 1]] for i in range(a, z)])
+                sets = [flat[at[i]:at[i + 1]] for i in range(a, z)]
+                near = _similar(sets, sets, threshold)
                 np.fill_diagonal(near, True)
-                if cross[int(a)].as_py():
-                    near &= (blocks[a:z][:, None] != blocks[a:z][None, :]) | np.eye(z - a, dtype=bool)
                 label = _labels(near)
                 n = near @ copies[a:z] - copies[a:z]
                 hit = np.flatnonzero(n > 0)
@@ -265,6 +370,41 @@ def _exact(threshold: float):
     return run
 
 
+def _exact_others(threshold: float):
+    """Sorted rows (part, key, side, node, copies, set, root) to (a, b, links): the links of each node of a block to
+    all other blocks (b is the node itself), and edges between components (without links)."""
+    def run(batches):
+        held = None
+
+        def out(edges, with_links):
+            rows = [(x, y, 0) for x, y in edges]
+            if with_links and held is not None:
+                rows += [(x, x, n) for x, n in zip(held["nodes"], held["links"].tolist()) if n]
+            if rows:
+                a, b, n = zip(*rows)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()),
+                                                  pa.array(n, pa.int64())], ["a", "b", "links"])
+
+        for b, off in groups(batches):
+            side, nodes, roots = b.column(2).to_numpy(), b.column(3).to_pylist(), b.column(6).to_pylist()
+            copies, keys = b.column(4).to_numpy(), b.column(1).to_numpy()
+            flat, at = unpack(b.column(5), "<u8")
+            for a, z in zip(off.tolist(), off[1:].tolist()):
+                sets = [flat[at[i]:at[i + 1]] for i in range(a, z)]
+                if side[a] == 0:
+                    yield from out([], True)
+                    held = {"key": keys[a], "nodes": nodes[a:z], "roots": roots[a:z], "sets": [s.copy() for s in sets],
+                            "links": np.zeros(z - a, np.int64), "joined": _Joined()}
+                    continue
+                if held is None or keys[a] != held["key"]:  # a block without nodes
+                    continue
+                near = _similar(held["sets"], sets, threshold)
+                held["links"] += near @ copies[a:z]
+                yield from out(list(held["joined"].news(near, held["roots"], roots[a:z])), False)
+        yield from out([], True)
+    return run
+
+
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """node, cluster, size, copies, members of every wanted node, read again from the text of its first document."""
     def run(batches):
@@ -286,19 +426,25 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return s.groupBy("node").agg(*(F.first(c).alias(c) for c in ("cluster", "size", "copies", "members")))
 
 
-def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+def classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> tuple[DataFrame, DataFrame]:
     """Documents (doc_id, node, n) and nodes (node, class_id, first_id, copies, n_links)."""
     signed = keep(signatures(docs), "signatures")
     nodes = keep(signed.where(F.col("n") > 0).groupBy("node").agg(
         F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.min("tokens").alias("tokens")), "nodes")
-    cluster = keep(candidate_clusters(nodes.select("node", "tokens"), threshold), "clusters")
+    cluster = keep(candidate_clusters(nodes.select("node", "tokens"), threshold, recall), "clusters")
     size = cluster.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
     wanted = cluster.join(size, "root").join(nodes.drop("tokens"), "node").select(
         "node", F.col("root").alias("cluster"), "size", "first_id", "copies")
-    rows = _in_blocks(_sets(docs, wanted), "cluster", "size", ["copies", "members"])
-    found = keep(_by_key(rows).mapInArrow(_exact(threshold), "a binary, b binary, links long"), "links")
-    links = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
+    rows = keep(_blocks(_sets(docs, wanted), "cluster", "size", ["copies", "members"]), "sets")
+    found = keep(_own(rows, "cluster", ["copies", "members"]).mapInArrow(
+        _exact_own(threshold), "a binary, b binary, links long"), "links")
     root = connected(found.select("a", "b"))
+    large = rows.where(F.col("_n") > 1)
+    if not large.isEmpty():
+        others = _others(_rooted(large, root), "cluster", ["copies", "members", "root"], later_only=False)
+        found = found.unionAll(keep(others.mapInArrow(_exact_others(threshold), "a binary, b binary, links long"), "links"))
+        root = connected(found.select("a", "b"))
+    links = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     every = nodes.drop("tokens").join(links, "node", "left").join(root, "node", "left").withColumn(
         "root", F.coalesce("root", "node"))
     name = every.groupBy("root").agg(F.min("first_id").alias("class_id"))
@@ -330,9 +476,10 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """
     _, nodes = classes(docs, threshold)
     best = nodes.groupBy("root").agg(F.min(F.struct(F.col("first_id").isNull(), "first_id", "node")).alias("best"))
-    best = best.select(F.col("best.first_id").alias("_first"), F.col("best.node").alias("_best"))
     names, at = docs.columns, docs.columns.index("text")
-    schema = StructType([*docs.schema.fields, StructField("_node", BinaryType())])
+    node_, first_, best_ = unused(names, "_node", "_first", "_best")
+    best = best.select(F.col("best.first_id").alias(first_), F.col("best.node").alias(best_))
+    schema = StructType([*docs.schema.fields, StructField(node_, BinaryType())])
 
     def run(batches):
         for b in batches:
@@ -341,12 +488,12 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                 node = binary(set_names(s, off).reshape(-1), np.arange(rows + 1) * 2)
                 empty = pa.array(np.diff(off) == 0)
                 node = pa.compute.if_else(empty, pa.scalar(None, pa.binary()), node)
-                yield pa.RecordBatch.from_arrays([*b.slice(first, rows).columns, node], [*names, "_node"])
+                yield pa.RecordBatch.from_arrays([*b.slice(first, rows).columns, node], [*names, node_])
 
     d = docs.mapInArrow(run, schema)
-    same = F.col("doc_id").eqNullSafe(F.col("_first")) & (F.col("_node") == F.col("_best"))
-    stay = d.where(F.col("_node").isNotNull()).join(best, same).dropDuplicates(["doc_id", "_node"])
-    return stay.select(*names).unionAll(d.where(F.col("_node").isNull()).select(*names))
+    same = F.col("doc_id").eqNullSafe(F.col(first_)) & (F.col(node_) == F.col(best_))
+    stay = d.where(F.col(node_).isNotNull()).join(best, same).dropDuplicates(["doc_id", node_])
+    return stay.select(*names).unionAll(d.where(F.col(node_).isNull()).select(*names))
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,6 +64,55 @@ def planted():
     return [(int(i), t) for i, t in zip(rng.permutation(len(texts)), texts)]
 
 
+def test_runs_for_the_target_recall():
+    assert [nj.runs_for(d) for d in (1, 2, 3)] == [12, 19, 25]
+    assert nj.runs_for(1, 0.9) == 3
+
+
+def test_recall_where_buckets_are_split(spark, docs_of, monkeypatch):
+    """Pairs near the threshold that share a very frequent passage: their buckets are split up to three times."""
+    monkeypatch.setattr(nj, "SMALL", 8)
+    rng = np.random.default_rng(4)
+    common = [f"c{x}" for x in range(60)]
+    rows = []
+    for i in range(120):
+        own = [f"w{x}" for x in rng.integers(0, 10**6, 60)]
+        rows.append((2 * i, " ".join(common + own)))
+        own[int(rng.integers(0, 60))] = "edit"
+        own[int(rng.integers(0, 60))] = "edit"
+        rows.append((2 * i + 1, " ".join(common + own)))
+    want, got = _brute(rows), _got(nj.join(docs_of(rows)))
+    linked = [w for w in want if w[2]]
+    assert len(linked) > 150 and sum(w in got for w in linked) >= 0.99 * len(linked)
+    assert all(g[2] <= w[2] for g, w in zip(got, want))
+
+
+def test_edges_follow_the_nodes_of_a_large_group(spark, docs_of, monkeypatch):
+    """One group of near copies over many blocks: every node is named about once in each run, not once a block."""
+    monkeypatch.setattr(nj, "SMALL", 8)
+    monkeypatch.setattr(nj, "BLOCK", 8)
+    made = []
+    plain = nj.keep
+    monkeypatch.setattr(nj, "keep", lambda df, name: made.append((name, plain(df, name))) or made[-1][1])
+    base = [f"w{x}" for x in range(300)]
+    rng = np.random.default_rng(5)
+    rows = list(enumerate(_variants(rng, base, 200, 1)))
+    assert _got(nj.join(docs_of(rows))) == _brute(rows)
+    links = [df.count() for name, df in made if name == "links"]
+    assert len(links) == 2 and links[0] <= 200 and links[1] <= 200 + 25 * 24
+
+
+def test_scratch_columns_with_the_names_of_the_table(spark, docs_of, planted):
+    rows = planted[:60]
+    d = docs_of(rows)
+    plain = sorted(r.doc_id for r in nj.keep_one(d).collect())
+    from pyspark.sql import functions as F
+    clash = d.select("*", *(F.lit(c).alias(c) for c in ("_node", "_first", "_best", "node", "n", "root", "tokens")))
+    got = nj.keep_one(clash)
+    assert got.columns == clash.columns and sorted(r.doc_id for r in got.collect()) == plain
+    assert {r._node for r in got.collect()} == {"_node"}
+
+
 @pytest.mark.parametrize("small,block", [(256, 256), (4, 8)])
 def test_planted_groups(spark, docs_of, planted, monkeypatch, small, block):
     monkeypatch.setattr(nj, "SMALL", small)
