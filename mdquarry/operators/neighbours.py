@@ -20,10 +20,12 @@ Scoring is blocked and streamed: a document's sections are cut into corpus
 blocks; rows are sorted so that a block's corpus rows come first and its
 queries follow, and the queries are scored slice by slice against the block's
 postings. A task holds one corpus block and one slice, however many queries
-(facts) a section or document has. Queries go to every corpus block of their
-document; only the per-block top-k survives, and a final top-k over the
-blocks' survivors gives the answer. No pair list of a document is ever
-materialised.
+(facts) a section or document has. In a document of several blocks every block
+has an upper bound for a query (the query's product with the block's maximal
+weights); a query goes to the block with the highest bound first and then only
+to those blocks whose bound reaches its k-th similarity so far. Only the
+per-block top-k survives, and a final top-k over the survivors gives the
+answer. No pair list of a document is ever materialised.
 """
 
 from __future__ import annotations
@@ -174,8 +176,94 @@ def _scorer(slice_rows: int, slice_postings: int):
     return run
 
 
+def _block(c: str, size: int) -> Column:
+    return F.floor((F.col(c) - 1) / size).cast("int")
+
+
+def _scored(corpus: DataFrame, queries: DataFrame) -> DataFrame:
+    """Each query's top-k of each corpus block it is sent to.
+
+    corpus:  doc_id, cb, qb, idx, term_ids, weights; queries: the same with qsub and k.
+    A key is (document, corpus block cb, run of queries qb).
+    """
+    c = corpus.select("doc_id", "cb", "qb", F.lit(0).alias("side"), "idx", F.lit(0).alias("qsub"), F.lit(0).alias("k"),
+                      "term_ids", "weights")
+    q = queries.select("doc_id", "cb", "qb", F.lit(1).alias("side"), "idx", "qsub", "k", "term_ids", "weights")
+    rows = c.unionByName(q).select(*_IN).repartition("doc_id", "cb", "qb") \
+        .sortWithinPartitions("doc_id", "cb", "qb", "side", "idx", "qsub")
+    return rows.mapInArrow(_scorer(SLICE_ROWS, SLICE_POSTINGS), _OUT_SCHEMA)
+
+
+_QUERY = ["doc_id", "self_idx", "qsub"]
+GROUP_BLOCKS = 256  # blocks whose maximal weights a task holds
+MARGIN = 2e-6  # similarities and bounds are rounded to 6 places
+
+
+def _best(scored: DataFrame) -> DataFrame:
+    w = Window.partitionBy(*_QUERY).orderBy(F.col("sim").desc(), F.col("nbr_idx"))
+    return scored.withColumn("r", F.row_number().over(w)).where(F.col("r") <= F.col("k"))
+
+
+def block_bounds(queries: DataFrame, blocks: DataFrame, query_block: int) -> DataFrame:
+    """doc_id, self_idx, qsub, cb, bound: no section of the block is more similar to the query than ``bound``.
+
+    A block's bound is the query's product with the block's maximal weight of each
+    term: a vector like a section's, so the same scorer gives all blocks' bounds,
+    ``GROUP_BLOCKS`` blocks at a time. Blocks that share no term are left out,
+    except the first ones (``n_first``), whose sections come first among those of
+    similarity 0.
+
+    queries: doc_id, n_blocks, n_first, self_idx, qsub, term_ids, weights;
+    blocks: doc_id, n, cb, idx, term_ids, weights.
+    """
+    terms = blocks.select("doc_id", "n", "cb", F.explode(F.arrays_zip("term_ids", "weights")).alias("t"))
+    top = terms.groupBy("doc_id", "cb", F.col("t.term_ids").alias("term"), "n").agg(F.max("t.weights").alias("w"))
+    top = top.groupBy("doc_id", "cb", "n").agg(F.collect_list(F.struct("term", "w")).alias("v"))
+    runs = F.floor((F.col("n") - 1) / query_block).cast("int")
+    c = top.select("doc_id", (F.floor(F.col("cb") / GROUP_BLOCKS)).cast("int").alias("cb"), F.col("cb").alias("idx"),
+                   F.explode(F.sequence(F.lit(0), runs)).alias("qb"), F.transform("v", lambda e: e["term"]).alias("term_ids"),
+                   F.transform("v", lambda e: e["w"]).alias("weights"))
+    groups = F.floor((F.col("n_blocks") - 1) / GROUP_BLOCKS).cast("int")
+    q = queries.select("doc_id", F.explode(F.sequence(F.lit(0), groups)).alias("cb"), _block("self_idx", query_block).alias("qb"),
+                       F.col("self_idx").alias("idx"), "qsub", F.lit(GROUP_BLOCKS).alias("k"), "term_ids", "weights")
+    found = _scored(c, q).where(F.col("sim") > 0).select(*_QUERY, F.col("nbr_idx").alias("cb"), F.col("sim").alias("bound"))
+    first = queries.select(*_QUERY, F.explode(F.sequence(F.lit(0), F.col("n_first") - 1)).alias("cb"),
+                           F.lit(0.0).alias("bound"))
+    return found.unionByName(first).groupBy(*_QUERY, "cb").agg(F.max("bound").alias("bound"))
+
+
+def _pruned(queries: DataFrame, corpus: DataFrame, k: int, block_size: int, query_block: int, keep) -> DataFrame:
+    """Top-k of the queries of documents with several corpus blocks: blocks that can't reach it are skipped.
+
+    Every query is scored against the block with its highest bound first; the
+    k-th similarity there is its threshold, and it goes only to those other blocks
+    whose bound reaches the threshold.
+    """
+    n_blocks = (F.floor((F.col("n") - 1) / block_size) + 1).cast("int")
+    always = -(-k // block_size)  # blocks that hold the first k sections
+    q = queries.withColumn("n_blocks", n_blocks).withColumn("n_first", F.least(F.lit(always), "n_blocks")) \
+        .withColumn("k", F.least(F.lit(k), F.col("n") - 1).cast("int"))
+    blocks = corpus.withColumn("cb", _block("section_idx", block_size)).withColumnRenamed("section_idx", "idx")
+    bounds = keep(block_bounds(q, blocks, query_block))
+    home = bounds.groupBy(*_QUERY).agg(F.max_by("cb", F.struct("bound", -F.col("cb"))).alias("cb"))
+    runs = F.floor((F.col("n") - 1) / query_block).cast("int")
+    c = blocks.withColumn("qb", F.explode(F.sequence(F.lit(0), runs)))
+
+    def sent(to: DataFrame) -> DataFrame:
+        j = q.join(to, _QUERY)
+        return j.withColumn("qb", _block("self_idx", query_block)).withColumnRenamed("self_idx", "idx")
+
+    first = keep(_scored(c, sent(home)))
+    kth = first.groupBy(*_QUERY).agg(F.min("sim").alias("kth"), F.count(F.lit(1)).alias("found"), F.max("k").alias("k"))
+    # fewer than k sections in the first block set no threshold
+    floor = kth.select(*_QUERY, F.when(F.col("found") >= F.col("k"), F.col("kth")).otherwise(F.lit(0.0)).alias("floor"))
+    rest = bounds.join(home.select(*_QUERY, F.col("cb").alias("home")), _QUERY).where(F.col("cb") != F.col("home")) \
+        .join(floor, _QUERY).where((F.col("cb") < always) | (F.col("bound") >= F.col("floor") - MARGIN))
+    return first.unionByName(_scored(c, sent(rest.select(*_QUERY, "cb"))))
+
+
 def knn(queries: DataFrame, corpus: DataFrame, k: int = K, block_size: int = 512,
-        query_block: int = 4096) -> DataFrame:
+        query_block: int = 4096, keep=lambda df: df) -> DataFrame:
     """Blocked exact kNN.
 
     queries: doc_id, n (sections in the doc), self_idx int, qsub int (fact number or 0), term_ids, weights
@@ -183,31 +271,25 @@ def knn(queries: DataFrame, corpus: DataFrame, k: int = K, block_size: int = 512
     Returns doc_id, self_idx, qsub, rank, nbr_idx, sim (self removed).
 
     A key is (document, corpus block, run of ``query_block`` sections whose
-    queries it serves). Every query is sent to the corpus blocks of its document,
-    a corpus row to as many keys as there are runs, so both sides of a large
-    document are spread over tasks. ``n`` rides on every row, so block counts need
-    no per-document join.
+    queries it serves), so both sides of a large document are spread over tasks.
+    Documents of one block are scored at once; in larger ones a query skips the
+    blocks whose bound is below its threshold (:func:`_pruned`). ``n`` rides on
+    every row, so block counts need no per-document join. ``keep`` writes the
+    tables that the larger documents' steps share.
     """
-    def block(c, size):
-        return F.floor((F.col(c) - 1) / size).cast("int")
-
-    last = F.floor((F.col("n") - 1) / block_size).cast("int")
-    q = queries.where(F.col("n") >= 2).withColumn("cb", F.explode(F.sequence(F.lit(0), last))).select(
-        "doc_id", "cb", block("self_idx", query_block).alias("qb"), F.lit(1).alias("side"),
-        F.col("self_idx").alias("idx"), "qsub", F.least(F.lit(k), F.col("n") - 1).cast("int").alias("k"),
-        "term_ids", "weights")
-    runs = F.floor((F.col("n") - 1) / query_block).cast("int")
-    c = corpus.where(F.col("n") >= 2).withColumn("qb", F.explode(F.sequence(F.lit(0), runs))).select(
-        "doc_id", block("section_idx", block_size).alias("cb"), "qb", F.lit(0).alias("side"),
-        F.col("section_idx").alias("idx"), F.lit(0).alias("qsub"), F.lit(0).alias("k"), "term_ids", "weights")
-    rows = c.unionByName(q).select(*_IN).repartition("doc_id", "cb", "qb") \
-        .sortWithinPartitions("doc_id", "cb", "qb", "side", "idx", "qsub")
-    scored = rows.mapInArrow(_scorer(SLICE_ROWS, SLICE_POSTINGS), _OUT_SCHEMA)
-    w = Window.partitionBy("doc_id", "self_idx", "qsub").orderBy(F.col("sim").desc(), F.col("nbr_idx"))
-    top = (scored.withColumn("r", F.row_number().over(w)).where(F.col("r") <= F.col("k"))
-           .where(F.col("nbr_idx") != F.col("self_idx")))
-    w2 = Window.partitionBy("doc_id", "self_idx", "qsub").orderBy("r")
-    return top.withColumn("rank", F.row_number().over(w2).cast("int")).drop("r", "k")
+    several = F.col("n") > block_size
+    one = queries.where((F.col("n") >= 2) & ~several)
+    q = one.select("doc_id", F.lit(0).alias("cb"), F.lit(0).alias("qb"), F.col("self_idx").alias("idx"), "qsub",
+                   F.least(F.lit(k), F.col("n") - 1).cast("int").alias("k"), "term_ids", "weights")
+    c = corpus.where((F.col("n") >= 2) & ~several).select(
+        "doc_id", F.lit(0).alias("cb"), F.lit(0).alias("qb"), F.col("section_idx").alias("idx"), "term_ids", "weights")
+    scored = _scored(c, q)
+    large = corpus.where(several)
+    if not large.isEmpty():
+        scored = scored.unionByName(_pruned(queries.where(several), large, k, block_size, query_block, keep))
+    top = _best(scored).where(F.col("nbr_idx") != F.col("self_idx"))
+    w = Window.partitionBy(*_QUERY).orderBy("r")
+    return top.withColumn("rank", F.row_number().over(w).cast("int")).drop("r", "k")
 
 
 class Neighbours:
@@ -217,7 +299,7 @@ class Neighbours:
                  max_terms: int | None = None, k: int = K, keep=lambda df: df):
         self.sections = sections.select("doc_id", "document_name", F.col("n_sections").alias("n"),
                                         "section_idx", "section")
-        self.block_size, self.k = block_size, k
+        self.block_size, self.k, self.whole = block_size, k, max_chars is None and max_terms is None
         vocab, tf = vocabulary(self.sections, max_chars, max_terms)
         self.vocab, self.corpus_tf = keep(vocab), keep(tf)
         self._cv = None
@@ -248,16 +330,21 @@ class Neighbours:
 
     def of_sections(self) -> DataFrame:
         """doc_id, section_idx, rank, nbr_idx, sim."""
-        q = self.sections.select("doc_id", "n", F.col("section_idx").alias("self_idx"),
-                                 F.lit(0).alias("qsub"), "section")
-        r = knn(self._query_vectors(q, "section"), self.corpus_vectors(), self.k, self.block_size)
+        if self.whole:  # a section as a query has the vector that it has in the corpus
+            q = self.corpus_vectors().withColumnRenamed("section_idx", "self_idx").withColumn("qsub", F.lit(0))
+        else:
+            q = self.sections.select("doc_id", "n", F.col("section_idx").alias("self_idx"),
+                                     F.lit(0).alias("qsub"), "section")
+            q = self._keep(self._query_vectors(q, "section"))
+        r = knn(q, self.corpus_vectors(), self.k, self.block_size, keep=self._keep)
         return r.select("doc_id", F.col("self_idx").alias("section_idx"), "rank", "nbr_idx", "sim")
 
     def of_facts(self, facts: DataFrame) -> DataFrame:
         """doc_id, section_idx, fact_number, rank, nbr_idx, sim (own section removed)."""
         q = facts.select("doc_id", F.col("n_sections").alias("n"), F.col("section_idx").alias("self_idx"),
                          F.col("fact_number").cast("int").alias("qsub"), "fact")
-        r = knn(self._query_vectors(q, "fact"), self.corpus_vectors(), self.k, self.block_size)
+        r = knn(self._keep(self._query_vectors(q, "fact")), self.corpus_vectors(), self.k, self.block_size,
+                keep=self._keep)
         return r.select("doc_id", F.col("self_idx").alias("section_idx"),
                         F.col("qsub").alias("fact_number"), "rank", "nbr_idx", "sim")
 

@@ -527,25 +527,54 @@ FROM (SELECT doc_id, section_idx, para_idx,
       FROM paras WHERE regexp_matches(p, '^\\s*(\\d+\\.|\\*|-)\\s'))""")
 
 
-def with_ctes(*names: str, body: str) -> str:
+def with_ctes(*names: str, body: str, instead: dict[str, tuple[tuple[str, ...], str]] | None = None) -> str:
+    """The body after the named fragments and all they need; ``instead`` replaces fragments."""
+    ctes = {**CTES, **(instead or {})}
     order: list[str] = []
 
     def visit(n: str) -> None:
         if n in order:
             return
-        for d in CTES[n][0]:
+        for d in ctes[n][0]:
             visit(d)
         order.append(n)
 
     for n in names:
         visit(n)
-    defs = ",\n".join(f"{n} AS ({CTES[n][1]}\n)" for n in order)
+    defs = ",\n".join(f"{n} AS ({ctes[n][1]}\n)" for n in order)
     # regex classes with Python's Unicode meaning: \s -> Python whitespace, \d -> decimal digit
     return f"WITH {defs}\n{body}".replace("\\s", WS).replace("\\d", DIGIT)
 
 
+# sections of volumes of 500 documents, numbered through
+VOLUMES = {"plain_sections": CTES["sections"], "sections": (("plain_sections",), """
+SELECT doc_id // 500 AS doc_id, row_number() OVER (PARTITION BY doc_id // 500 ORDER BY doc_id, section_idx) AS section_idx,
+       section
+FROM plain_sections""")}
+
+# the limits of published datasets: 2,000 characters of a section, 500 terms of a document
+BOUNDED = {"ctf": (("sections",), f"""
+SELECT doc_id, section_idx, term, count(*) AS tf
+FROM (SELECT doc_id, section_idx, unnest(regexp_extract_all(lower(substr(section, 1, 2000)), {TOK_RE})) AS term
+      FROM sections)
+WHERE term NOT IN {STOP}
+GROUP BY ALL"""), "vocab": (("ctf", "nsec"), """
+SELECT v.doc_id, v.term, ln((1.0 + n) / (1.0 + dfreq)) + 1 AS idf
+FROM (SELECT doc_id, term, count(*) AS dfreq FROM ctf GROUP BY doc_id, term
+      QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY sum(tf) DESC, term) <= 500) v JOIN nsec USING (doc_id)""")}
+
+
 def oracle_queries() -> dict[str, str]:
     q: dict[str, str] = {}
+    neighbours = """
+SELECT doc_id, section_idx::BIGINT AS section_idx, rank, nbr_idx::BIGINT AS nbr_idx,
+       round(round(sim, 6) * 1e6)::BIGINT AS sim_e6 FROM section_neighbours"""
+    q["volume_section_neighbours"] = with_ctes("section_neighbours", instead=VOLUMES, body=neighbours.replace(
+        "doc_id,", "doc_id AS volume_id,", 1))
+    q["bounded_section_neighbours"] = with_ctes("section_neighbours", instead=BOUNDED, body=neighbours)
+    q["bounded_term_weights"] = with_ctes("cw", instead=BOUNDED, body="""
+SELECT doc_id, section_idx::BIGINT AS section_idx, term, tf::BIGINT AS tf,
+       round(idf * 1e6)::BIGINT AS idf_e6, round(weight * 1e6)::BIGINT AS weight_e6 FROM cw""")
     q["document_names"] = with_ctes("md_documents", body="""
 SELECT doc_id, document_name, length(raw)::BIGINT AS raw_len, md5(raw) AS raw_md5 FROM md_documents""")
     q["frontmatter_split"] = with_ctes("frontmatter", body="""

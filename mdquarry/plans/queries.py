@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import images as im
@@ -20,7 +20,7 @@ from ..operators import dataset as ds
 from ..operators import audit as au
 from ..operators.frontmatter import metadata_rows, missing_required_metadata
 from ..sources.fixtures import audit_images, load_md_documents, manifest_from_refs, responses_from_requests
-from .corpus import Corpus
+from .corpus import REFERENCE_BOUNDS, Corpus
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -57,19 +57,33 @@ class DerivedCorpus(Corpus):
         return self._m("audit_records", lambda: self._keep(build(), "audit_records"))
 
 
-_CORPORA: dict[tuple[str, str], Corpus] = {}
+    def volumes(self, documents: int = 500) -> DataFrame:
+        """Sections of volumes of so many documents, numbered through: documents of several blocks of sections."""
+        volume = F.floor(F.col("doc_id") / documents)
+        first = self.sections.where(F.col("section_idx") == 1).select("doc_id", "n_sections")
+        w = Window.partitionBy(volume)
+        before = F.sum("n_sections").over(w.orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1))
+        first = first.select("doc_id", F.coalesce(before, F.lit(0)).alias("before"),
+                             F.sum("n_sections").over(w).cast("int").alias("n"))
+        s = self.sections.select("doc_id", "section_idx", "section").join(first, "doc_id")
+        return s.select(volume.cast("long").alias("doc_id"), F.concat(F.lit("volume_"), volume).alias("document_name"),
+                        F.col("n").alias("n_sections"),
+                        (F.col("before") + F.col("section_idx")).cast("int").alias("section_idx"), "section")
 
 
-def _c(spark: SparkSession, sf_dir: str) -> Corpus:
-    """One corpus plan per (session, data dir), so registered queries share
+_CORPORA: dict[tuple, Corpus] = {}
+
+
+def _c(spark: SparkSession, sf_dir: str, **settings) -> Corpus:
+    """One corpus plan per (session, data dir, settings), so registered queries share
     persisted intermediates instead of recomputing sections and neighbours."""
     try:
         app = spark.sparkContext.applicationId
     except Exception:  # Spark Connect
         app = str(id(spark))
-    key = (app, sf_dir)
+    key = (app, sf_dir, *sorted(settings.items()))
     if key not in _CORPORA:
-        _CORPORA[key] = DerivedCorpus(load_md_documents(spark, sf_dir))
+        _CORPORA[key] = DerivedCorpus(load_md_documents(spark, sf_dir), **settings)
     return _CORPORA[key]
 
 
@@ -164,22 +178,47 @@ def _e6(c):
     return F.round(F.col(c) * 1e6).cast("bigint")
 
 
-@query
-def q_term_weights(spark, sf_dir):
-    w = _c(spark, sf_dir).nn.term_weights()
+def _weights(w):
     return w.select("doc_id", F.col("section_idx").cast("bigint").alias("section_idx"), "term",
                     F.col("tf").cast("bigint").alias("tf"),
                     _e6("idf").alias("idf_e6"), _e6("weight").alias("weight_e6"))
 
 
 @query
-def q_section_neighbours(spark, sf_dir):
-    n = _c(spark, sf_dir).section_neighbours
-    return n.select("doc_id", F.col("section_idx").cast("bigint").alias("section_idx"),
+def q_term_weights(spark, sf_dir):
+    return _weights(_c(spark, sf_dir).nn.term_weights())
+
+
+@query
+def q_bounded_term_weights(spark, sf_dir):
+    """The first 2,000 characters of each section, the 500 most frequent terms of each document."""
+    return _weights(_c(spark, sf_dir, bounds=REFERENCE_BOUNDS).nn.term_weights())
+
+
+def _section_neighbours(n, name="doc_id"):
+    return n.select(F.col("doc_id").alias(name), F.col("section_idx").cast("bigint").alias("section_idx"),
                     F.col("rank").cast("bigint").alias("rank"), F.col("nbr_idx").cast("bigint").alias("nbr_idx"),
                     _e6("sim").alias("sim_e6"))
 
 
+@query
+def q_section_neighbours(spark, sf_dir):
+    return _section_neighbours(_c(spark, sf_dir).section_neighbours)
+
+
+@query
+def q_bounded_section_neighbours(spark, sf_dir):
+    """Whole sections as queries against cut ones."""
+    return _section_neighbours(_c(spark, sf_dir, bounds=REFERENCE_BOUNDS).section_neighbours)
+
+
+@query
+def q_volume_section_neighbours(spark, sf_dir):
+    """D7 over documents of several blocks (volumes of 500 documents): blocks out of reach are skipped."""
+    c = _c(spark, sf_dir)
+    return _section_neighbours(nb.Neighbours(c.volumes(), c.block_size, keep=c._keep).of_sections(), "volume_id")
+
+
 @query
 def q_fact_neighbours(spark, sf_dir):
     n = _c(spark, sf_dir).fact_neighbours

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -167,3 +168,52 @@ def test_a_section_with_very_many_facts(spark, monkeypatch):
                            .select("fact_number", "nbr_idx").collect()))
     assert seen[0] == seen[1] and len(seen[0]) == 20000
     assert all(n == (1 if f % 2 else 2) for f, n in seen[0])
+
+
+def _themes(n, size):
+    """Sections of ``n`` themes one after another, each with its own words, and one word that all share."""
+    rng = np.random.default_rng(3)
+    out = []
+    for t in range(n):
+        for i in range(size):
+            words = " ".join(f"t{t}w{x}" for x in rng.integers(0, 40, 12))
+            out.append(f"# s{t} {i}\ncommon {words}")
+    return out
+
+
+def test_blocks_that_cannot_reach_the_threshold_are_skipped(spark, monkeypatch):
+    from mdquarry.operators import neighbours as nb
+    from mdquarry.plans.corpus import Corpus
+    ss = _themes(10, 50)
+    docs = spark.createDataFrame([(7, "themes", "\n".join(ss)), (8, "one", "# a\nx y\n# b\nx z")],
+                                 "doc_id long, document_name string, raw string")
+    sent, plain = [], nb._scored
+
+    def counted(corpus, queries):
+        sent.append(queries.count())
+        return plain(corpus, queries)
+
+    monkeypatch.setattr(nb, "_scored", counted)
+    c = Corpus(docs, block_size=25, persist="none")
+    got = defaultdict(list)
+    for r in c.section_neighbours.where("doc_id = 7").collect():
+        got[r["section_idx"]].append((r["rank"], r["nbr_idx"], round(r["sim"], 6)))
+    sections = pm.sections("\n".join(ss))
+    want = pm.knn(sections, sections, list(range(1, len(ss) + 1)), set(english_stop_words()))
+    assert [[(j, s) for _, j, s in sorted(got[i])] for i in range(1, len(ss) + 1)] == [
+        [(j, round(s, 6)) for j, s in n] for n in want]
+    one, bounds, home, rest = sent
+    assert (one, bounds, home) == (2, 500, 500)
+    assert rest < 500 * 19 / 4  # of 19 other blocks each, most share the common word only
+
+
+def test_queries_without_any_neighbour_get_the_first_sections(spark):
+    from mdquarry.plans.corpus import Corpus
+    ss = [f"# h{i}\nown{i} word{i}" for i in range(12)]
+    docs = spark.createDataFrame([(1, "apart", "\n".join(ss))], "doc_id long, document_name string, raw string")
+    for size in (2, 5, 512):
+        c = Corpus(docs, block_size=size, persist="none")
+        got = sorted((r["section_idx"], r["rank"], r["nbr_idx"]) for r in c.section_neighbours.collect())
+        assert got == sorted(
+            (i, k, j) for i in range(1, 13)
+            for k, j in enumerate([x for x in sorted(range(1, 13), key=lambda x: (x != i, x))[:3] if x != i], 1))
