@@ -10,10 +10,11 @@ list-or-string.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..plans.templates import SUMMARY_TYPE
+from ..plans.templates import QUESTION_TYPES, SUMMARY_TYPE
+from ..sources.array_files import write_arrays
 
 
 def chat_json(question: Column, answer: Column, images: Column, question_type: Column,
@@ -61,6 +62,39 @@ def split_counts(records: DataFrame) -> DataFrame:
         F.count_if(F.col("split") == "eval").alias("n_eval"))
 
 
+def write_array_files(records: DataFrame, out_dir: str, run_id: str | None = None,
+                      sections_per_file: int = 10_000) -> tuple[str, dict[str, int]]:
+    """One JSON array for each split and document: ``<split>-<document>-synthetic-data-<run>.json``.
+
+    Every document gets a train and an eval file; a split without records is an
+    empty array. Documents of more sections than ``sections_per_file`` go on in
+    files with ``.part-<n>`` in their name, so that no task writes a large
+    document alone. Returns the run's id and the statistics (G8) that the pass
+    over the records observed: the number of records, in all, for each split and
+    for each type and difficulty.
+    """
+    run = run_id or records.sparkSession.range(1).select(
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd_HH-mm-ss")).first()[0]
+    seen = Observation()
+    kinds = [(t, d) for _, t, d in QUESTION_TYPES]
+    known = F.concat_ws("/", "question_type", "difficulty").isin(*(f"{t}/{d}" for t, d in kinds))
+    r = records.observe(
+        seen, F.count(F.lit(1)).alias("records"), *(F.count_if(F.col("split") == x).alias(x) for x in ("train", "eval")),
+        *(F.count_if((F.col("question_type") == t) & (F.col("difficulty") == d)).alias(f"{t}/{d}") for t, d in kinds),
+        F.count_if(~known).alias("other"))
+    rows = r.select("split", "document_name", F.floor(F.col("section_idx") / sections_per_file).cast("int").alias("part"),
+                    "record", "section_idx", "question_type", "fact_number")
+    both = F.explode(F.array(F.lit("train"), F.lit("eval")))
+    none = records.select("document_name").distinct().select(both.alias("split"), "document_name").select(
+        "split", "document_name", F.lit(0).alias("part"), F.lit(None).cast("string").alias("record"),
+        F.lit(-1).alias("section_idx"), F.lit(None).cast("string").alias("question_type"),
+        F.lit(None).cast("int").alias("fact_number"))
+    rows = rows.unionByName(none).repartition("split", "document_name", "part").sortWithinPartitions(
+        "split", "document_name", "part", "section_idx", "question_type", "fact_number")
+    write_arrays(rows.select("split", "document_name", "part", "record"), out_dir, run)
+    return run, dict(seen.get)
+
+
 def write_dataset(records: DataFrame, out_dir: str, run_id: str | None = None,
                   sections_per_file: int = 10_000) -> str:
     """JSON Lines per (split, document): ``out/run=<ts>/split=…/document_name=…/part-*.json``.

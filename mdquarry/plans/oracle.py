@@ -667,6 +667,11 @@ WHERE f.first_ok IS NULL AND coalesce(f.last_attempt, 0) + 1 <= 51""")
     q["chat_records"] = with_ctes("records", body="""
 SELECT request_id, split, question_type, difficulty, length(record)::BIGINT AS record_len, md5(record) AS record_md5
 FROM records""")
+    q["dataset_array_files"] = with_ctes("records", body="""
+SELECT s.split || '-' || d.document_name AS name, true AS complete, coalesce(n, 0)::BIGINT AS n_records, records_md5
+FROM (SELECT DISTINCT document_name FROM records) d CROSS JOIN (VALUES ('train'), ('eval')) s(split)
+LEFT JOIN (SELECT split, document_name, count(*) AS n, md5(string_agg(md5(record), '' ORDER BY md5(record))) AS records_md5
+           FROM records GROUP BY ALL) r ON r.document_name = d.document_name AND r.split = s.split""")
     q["quarantine"] = with_ctes("qa", body="""
 SELECT request_id, doc_id, section_idx::BIGINT AS section_idx, fact_number::BIGINT AS fact_number, question_type,
        'missing_key' AS reason

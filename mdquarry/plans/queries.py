@@ -7,6 +7,7 @@ oracle SQL in :mod:`mdquarry.plans.oracle`.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -19,6 +20,8 @@ from ..operators import responses as rs
 from ..operators import dataset as ds
 from ..operators import audit as au
 from ..operators.frontmatter import metadata_rows, missing_required_metadata
+from ..session import scratch_path
+from ..sources.array_files import read_arrays
 from ..sources.fixtures import audit_images, load_md_documents, manifest_from_refs, responses_from_requests
 from .corpus import REFERENCE_BOUNDS, Corpus
 
@@ -349,6 +352,22 @@ def q_train_eval_counts(spark, sf_dir):
     return ds.split_counts(_c(spark, sf_dir).records).select("document_name", _b("n_train"), _b("n_eval"))
 
 
+@query
+def q_dataset_array_files(spark, sf_dir):
+    """The dataset written as one JSON array for each split and document, and read back from these files."""
+    folder = scratch_path(spark, f"dataset-{uuid.uuid4().hex[:12]}")
+    run, _ = ds.write_array_files(_c(spark, sf_dir).records, folder)
+    elements, files = read_arrays(spark, folder)
+    name = F.regexp_extract(F.url_decode(F.regexp_extract("file", "([^/]*)$", 1)), f"^(.*)-synthetic-data-{run}", 1)
+    entry = F.trim(F.translate("entry", "\n", ""))
+    found = elements.where(entry != "").select("file", F.md5(entry).alias("m"))
+    found = found.groupBy("file").agg(F.count(F.lit(1)).alias("n_records"),
+                                      F.md5(F.array_join(F.sort_array(F.collect_list("m")), "")).alias("records_md5"))
+    return files.join(found, "file", "left").groupBy(name.alias("name")).agg(
+        F.bool_and("complete").alias("complete"), F.sum(F.coalesce("n_records", F.lit(0))).alias("n_records"),
+        F.max("records_md5").alias("records_md5"))
+
+
 @query
 def q_type_stats(spark, sf_dir):
     """Per type/difficulty (and overall) requests, pairs, quarantined, failed attempts, still failing."""
