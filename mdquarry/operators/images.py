@@ -5,8 +5,8 @@ has six candidate files in priority order -- ``doc/name.png|.jpg|.jpeg`` and
 the same under the corpus root -- and the first candidate that exists wins;
 unresolved references are dropped (and reported).
 
-Existence is an equi-join against a ``manifest(path)`` table (a
-``binaryFile`` listing on a cluster, see :func:`manifest_from_dir`). The
+Existence is an equi-join against a ``manifest(path)`` table (a folder's
+listing, see :func:`manifest_from_dir`). The
 manifest grows with the corpus, so it is *not* force-broadcast: Spark/AQE
 broadcast it only when its measured size is under the threshold and fall
 back to a shuffle join otherwise.
@@ -14,10 +14,12 @@ back to a shuffle join otherwise.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import basename, drop_last_extension
+from ..sources.files import file_system, folder_files
 
 # Fixed value: what a reference looks like.
 REF_PATTERN = r"\{\{([^}]+)\}\}"
@@ -79,33 +81,42 @@ def image_block(paths: Column) -> Column:
         F.lit("\nRefer to an image only where it helps the question.\n\n"))).otherwise(F.lit(""))
 
 
-def manifest_from_dir(spark: SparkSession, root: str) -> DataFrame:
-    """``manifest(path)`` from a directory listing (A6); only paths are read."""
-    df = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-          .option("pathGlobFilter", "*.{png,jpg,jpeg}").load(root).select("path"))
-    prefix = root.rstrip("/") + "/"
-    return df.select(F.regexp_replace(F.regexp_replace("path", r"^file:", ""), "^" + _re_escape(prefix), "")
-                     .alias("path"))
+IMAGE_SUFFIXES = (".png", ".jpg", ".jpeg")
 
 
-def data_urls(spark: SparkSession, paths: DataFrame, root: str = "") -> DataFrame:
-    """(image_path, data_url) for readable images (A5, C10); unreadable ones are dropped.
+def manifest_from_dir(spark: SparkSession, root: str) -> DataFrame:
+    """``manifest(path)``: paths within ``root`` of all its images, from a listing that the tasks share.
 
-    ``paths`` holds image paths relative to ``root``; the image folder is read
-    with the binaryFile source and joined on the relative path, so a missing
-    or unreadable file simply has no row.
+    ``root`` may be relative or of any scheme of ``sources.files``; no bytes are read.
     """
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.{png,jpg,jpeg}").load(root))
-    prefix = root.rstrip("/") + "/"
-    rel = F.regexp_replace(F.regexp_replace("path", r"^file:", ""), "^" + _re_escape(prefix), "")
-    f = files.select(rel.alias("image_path"), "content")
-    return (paths.select("image_path").distinct().join(f, "image_path")
-            .select("image_path", F.concat(F.lit("data:"), mime_type(F.col("image_path")), F.lit(";base64,"),
-                                           F.base64("content")).alias("data_url")))
+    return folder_files(spark, root, IMAGE_SUFFIXES, recursive=True).select("path")
 
 
-def _re_escape(s: str) -> str:
-    import re
+def image_bytes(paths: DataFrame, root: str = "") -> DataFrame:
+    """(image_path, content) of the images that can be read (A5).
 
-    return re.escape(s)
+    Tasks open just the given paths (relative to ``root``, or whole URIs), one
+    at a time; one that isn't there or can't be read has no row.
+    """
+    def run(batches):
+        for b in batches:
+            for path in b.column(0).to_pylist():
+                try:
+                    whole = path if not root or "://" in path else f"{root.rstrip('/')}/{path}"
+                    system, at = file_system(whole)
+                    with system.open_input_stream(at) as f:
+                        data = f.read()
+                except OSError:
+                    continue
+                yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([data], pa.binary())],
+                                                 ["image_path", "content"])
+
+    wanted = paths.where(F.col("image_path").isNotNull()).select("image_path").distinct()
+    return wanted.mapInArrow(run, "image_path string, content binary")
+
+
+def data_urls(paths: DataFrame, root: str = "") -> DataFrame:
+    """(image_path, data_url) for readable images (C10); unreadable ones are dropped."""
+    return image_bytes(paths, root).select(
+        "image_path", F.concat(F.lit("data:"), mime_type(F.col("image_path")), F.lit(";base64,"),
+                               F.base64("content")).alias("data_url"))

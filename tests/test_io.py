@@ -77,7 +77,7 @@ def test_end_to_end_on_files(spark, corpus_dir):
     imgs = c.section_images.collect()
     assert [r["image_paths"] for r in imgs] == [["a/crumb_1.1.png"]]
     # data URL of the attached image
-    urls = im.data_urls(spark, c.section_resolved.select("image_path"), corpus_dir).collect()
+    urls = im.data_urls(c.section_resolved.select("image_path"), corpus_dir).collect()
     assert urls[0]["data_url"].startswith("data:image/png;base64,")
     # requests: 2 sections in a -> all 15 types incl. pairs, 1 section in b.c -> no pair types
     req = c.requests
@@ -227,3 +227,62 @@ def test_a_sixteenth_question_type_without_editing_the_package(spark, corpus_dir
     assert len(rows) == c.sections.count() == c.request_keys.where("question_type = 'ANALOGY'").count()
     assert all(r["prompt"].startswith("Explain ") and r["ordinal"] == 16 for r in rows)
     assert {r["batch_id"] for r in rows} == {r["section_idx"] - 1 for r in rows}
+
+
+def test_every_name_in_a_folder(spark, tmp_path):
+    texts = {"_x": "# u", ".x": "# d", "sp ace": "# s\nsee {{pic 1}} and {{fig_1}}", "100%": "# p", "a+b": "# +", "a%20b": "# c",
+             "empty": "", "a.b": "# ab", "é": "# e"}
+    docs = tmp_path / "docs"
+    docs.mkdir()
+    for name, text in texts.items():
+        (docs / f"{name}.md").write_text(text)
+    (docs / "bad.md").write_bytes(b"# x\xff")
+    (docs / "UPPER.MD").write_text("not read")
+    (docs / ".md").write_text("# only an ending")
+    (docs / "sub.md").mkdir()
+    for root in (str(docs), f"file://{docs}", f"file:{docs}/"):
+        rows = read_markdown_dir(spark, root).collect()
+        got = {r["document_name"]: r["raw"] for r in rows}
+        assert got == {**texts, "bad": "# x\ufffd", ".md": "# only an ending"}
+        assert len({r["doc_id"] for r in rows}) == len(rows)
+    (docs / "sp ace").mkdir()
+    (docs / "sp ace" / "fig_1.png").write_bytes(b"png")
+    (docs / "_under").mkdir()
+    (docs / "_under" / ".hidden.jpg").write_bytes(b"")
+    (docs / "top.jpeg").write_bytes(b"1")
+    for root in (str(docs), os.path.relpath(docs), f"file://{docs}"):
+        manifest = im.manifest_from_dir(spark, root)
+        assert sorted(r["path"] for r in manifest.collect()) == ["_under/.hidden.jpg", "sp ace/fig_1.png", "top.jpeg"]
+    c = Corpus(read_markdown_dir(spark, str(docs)), manifest_df=im.manifest_from_dir(spark, str(docs)), persist="none")
+    assert [r["image_path"] for r in c.section_resolved.where("image_path is not null").collect()] == ["sp ace/fig_1.png"]
+    assert c.sections.where("document_name = 'empty'").count() == 0
+
+
+def test_batch_and_stream_agree_on_names_and_ids(spark, tmp_path):
+    from mdquarry.sources.markdown import stream_markdown_dir
+    (tmp_path / "in").mkdir()
+    for name in ("sp ace", "100%", "a+b", "plain"):
+        (tmp_path / "in" / f"{name}.md").write_text(f"# {name}")
+    q = stream_markdown_dir(spark, str(tmp_path / "in")).writeStream.format("memory").queryName("seen_names") \
+        .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    want = sorted(map(tuple, read_markdown_dir(spark, str(tmp_path / "in")).collect()))
+    assert sorted(map(tuple, spark.table("seen_names").collect())) == want and len(want) == 4
+
+
+def test_a_folder_without_documents(spark, tmp_path):
+    docs = read_markdown_dir(spark, str(tmp_path))
+    assert docs.columns == ["doc_id", "document_name", "raw"] and docs.count() == 0
+    assert im.manifest_from_dir(spark, str(tmp_path)).count() == 0
+
+
+def test_only_the_bytes_of_needed_images_are_read(spark, tmp_path):
+    (tmp_path / "a.png").write_bytes(b"\x00\x01")
+    (tmp_path / "sp ace.jpg").write_bytes(b"")
+    os.mkfifo(tmp_path / "never.png")  # opening this one would wait for ever
+    (tmp_path / "folder.png").mkdir()
+    paths = spark.createDataFrame([("a.png",), ("a.png",), ("gone.png",), ("sp ace.jpg",), ("folder.png",), (None,)],
+                                  "image_path string")
+    for root in (str(tmp_path), f"file://{tmp_path}"):
+        got = {r["image_path"]: r["data_url"] for r in im.data_urls(paths, root).collect()}
+        assert got == {"a.png": "data:image/png;base64,AAE=", "sp ace.jpg": "data:image/jpeg;base64,"}
