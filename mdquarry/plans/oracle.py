@@ -52,6 +52,7 @@ SELECT doc_id, 'doc_' || doc_id AS document_name,
         WHEN doc_id % 30 = 2 THEN '---' || {NL} || 'title: Doc ' || doc_id || {NL}
         WHEN doc_id % 30 = 4 THEN '---' || {NL} || 'title: Doc ' || doc_id || {NL} || 'keywords:' || {NL} || '  - ' || lang
                                   || {NL} || '  - corpus' || {NL} || '---' || {NL}
+        WHEN doc_id % 30 = 7 THEN '---' || {NL} || 'title: Doc ' || doc_id || {NL} || 'no mapping here' || {NL} || '---' || {NL}
         ELSE '---' || {NL} || 'title: Doc ' || doc_id || {NL} || 'lang: ' || lang || {NL} || 'source: ' || source || {NL} || '---' || {NL} END)
   || array_to_string(list_transform(string_split(text, {NL}), lambda l, j:
        CASE (j - 1) % 4
@@ -386,7 +387,7 @@ cte("responses", ("requests", "sections", "section_images"), f"""
 SELECT request_id, attempt,
   CASE WHEN form <= 4 THEN good WHEN form = 5 THEN no_answer
        WHEN form = 6 THEN 'Sure. Here is the pair:' || {NL} || '```json' || {NL} || good || {NL} || '```' || {NL} || 'Hope it helps.'
-       WHEN form = 7 THEN replace(good, '"', chr(39))
+       WHEN form = 7 THEN '{{' || chr(7) || substr(replace(good, '"', chr(39)), 2)
        WHEN form = 8 AND attempt = 1 THEN NULL
        WHEN form = 8 THEN 'I am unable to produce a pair for this section.'
        ELSE good || ' and ' || good END AS text
@@ -394,12 +395,13 @@ FROM (
   SELECT request_id, attempt, head || ', "answer": "A ' || md5(section) || '"}}' AS good, head || '}}' AS no_answer,
          CASE WHEN {_h("request_id")} % 50 = 0 THEN 8 WHEN attempt = 3 THEN 0
               ELSE {_h("request_id || attempt")} % 10 END AS form
-  FROM (SELECT r.request_id, s.section,
+  FROM (SELECT r.request_id, s.section, s.doc_id, s.section_idx,
                '{{"question": "Q ' || r.question_type || ' ' || r.section_idx || '", "question_images": '
                || to_json(coalesce(si.image_paths, []::VARCHAR[])) AS head
         FROM requests r JOIN sections s ON s.doc_id = r.doc_id AND s.section_idx = r.section_idx
         LEFT JOIN section_images si ON si.doc_id = r.doc_id AND si.section_idx = r.section_idx),
-       (VALUES (1), (2), (3)) a(attempt))""")
+       (VALUES (1), (2), (3)) a(attempt)
+  WHERE attempt < 3 OR {_h("concat_ws('|', doc_id, section_idx)")} % 7 <> 0)""")
 
 cte("parsed", ("responses",), """
 SELECT request_id, attempt, status,
@@ -664,6 +666,12 @@ SELECT doc_id, section_idx::BIGINT AS section_idx, question_type, attempts::BIGI
 SELECT r.request_id, (coalesce(f.last_attempt, 0) + 1)::BIGINT AS next_attempt
 FROM requests r LEFT JOIN firsts f USING (doc_id, section_idx, question_type)
 WHERE f.first_ok IS NULL AND coalesce(f.last_attempt, 0) + 1 <= 51""")
+    q["capped_pending_requests"] = with_ctes("requests", "firsts", body="""
+SELECT r.request_id, (coalesce(f.last_attempt, 0) + 1)::BIGINT AS next_attempt
+FROM requests r LEFT JOIN firsts f USING (doc_id, section_idx, question_type)
+WHERE f.first_ok IS NULL AND coalesce(f.last_attempt, 0) + 1 <= 3""")
+    q["request_batches"] = with_ctes("requests", body="""
+SELECT request_id, ((section_idx - 1) // 5)::BIGINT AS batch_id FROM requests""")
     q["chat_records"] = with_ctes("records", body="""
 SELECT request_id, split, question_type, difficulty, length(record)::BIGINT AS record_len, md5(record) AS record_md5
 FROM records""")

@@ -333,6 +333,19 @@ def q_pending_requests(spark, sf_dir):
     return p.select("request_id", _b("next_attempt"))
 
 
+@query
+def q_capped_pending_requests(spark, sf_dir):
+    """with two retries, units that failed a third time are not asked again."""
+    c = _c(spark, sf_dir)
+    return rs.pending(c.request_keys, c.firsts, 2).select("request_id", _b("next_attempt"))
+
+
+@query
+def q_request_batches(spark, sf_dir):
+    """Batches of five sections."""
+    return _c(spark, sf_dir, batch_size=5).request_keys.select("request_id", _b("batch_id"))
+
+
 # --- dataset ------------------------------------------------------------------------
 @query
 def q_chat_records(spark, sf_dir):

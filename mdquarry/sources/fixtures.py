@@ -18,7 +18,8 @@ line ``i`` (0-based) of the text becomes
 
 Frontmatter by ``doc_id``: none (``% 3 == 0``), a ``---`` inside the title
 value (``% 30 == 1``), never closed (``% 30 == 2``), a list of keywords
-(``% 30 == 4``), else title/lang/source.
+(``% 30 == 4``), a line that is no mapping (``% 30 == 7``), else
+title/lang/source.
 
 The manifest of existing image files and the model responses are derived
 the same way, so every stage grows with the input table.
@@ -67,6 +68,7 @@ def md_documents(documents: DataFrame) -> DataFrame:
         .when(F.col("doc_id") % 30 == 2, F.concat(F.lit("---\ntitle: Doc "), did, F.lit("\n")))
         .when(F.col("doc_id") % 30 == 4, F.concat(F.lit("---\ntitle: Doc "), did, F.lit("\nkeywords:\n  - "),
                                                   F.col("lang"), F.lit("\n  - corpus\n---\n")))
+        .when(F.col("doc_id") % 30 == 7, F.concat(F.lit("---\ntitle: Doc "), did, F.lit("\nno mapping here\n---\n")))
         .otherwise(F.concat(F.lit("---\ntitle: Doc "), did, F.lit("\nlang: "), F.col("lang"),
                             F.lit("\nsource: "), F.col("source"), F.lit("\n---\n")))
     )
@@ -113,7 +115,9 @@ def responses_from_requests(requests: DataFrame, sections: DataFrame, section_im
     a parsable answer; otherwise attempt 3 is always good and attempts 1-2 vary
     by ``h(request_id || attempt) % 10``: 0-4 good, 5 a valid object without
     ``answer`` (quarantined later), 6 fenced in prose, 7 single quotes, 8 prose without JSON (on attempt 1 no
-    text at all), 9 two objects (trailing data).
+    text at all), 9 two objects (trailing data). Form 7 holds a control
+    character. Sections with ``h(doc_id | section_idx) % 7 == 0`` were not asked a
+    third time.
     """
     base = (
         requests.select("request_id", "doc_id", "section_idx", "question_type")
@@ -124,8 +128,9 @@ def responses_from_requests(requests: DataFrame, sections: DataFrame, section_im
     head = F.concat(F.lit('{"question": "Q '), F.col("question_type"), F.lit(" "), F.col("section_idx").cast("string"),
                     F.lit('", "question_images": '), images_json)
     good = F.concat(head, F.lit(', "answer": "A '), F.col("section_md5"), F.lit('"}'))
+    twice = md5_bucket(F.concat_ws("|", "doc_id", "section_idx")) % 7 == 0
     attempts = base.select("request_id", good.alias("good"), F.concat(head, F.lit("}")).alias("no_answer"),
-                           F.explode(F.sequence(F.lit(1), F.lit(3))).alias("attempt"))
+                           F.explode(F.sequence(F.lit(1), F.when(twice, 2).otherwise(3))).alias("attempt"))
     never = md5_bucket("request_id") % 50 == 0
     form = (
         F.when(never, F.lit(8))
@@ -137,7 +142,7 @@ def responses_from_requests(requests: DataFrame, sections: DataFrame, section_im
         F.when(form <= 4, g)
         .when(form == 5, F.col("no_answer"))
         .when(form == 6, F.concat(F.lit("Sure. Here is the pair:\n```json\n"), g, F.lit("\n```\nHope it helps.")))
-        .when(form == 7, F.translate(g, '"', "'"))
+        .when(form == 7, F.concat(F.lit("{\u0007"), F.substring(F.translate(g, '"', "'"), 2, 1 << 30)))
         .when((form == 8) & (F.col("attempt") == 1), F.lit(None))
         .when(form == 8, F.lit("I am unable to produce a pair for this section."))
         .otherwise(F.concat(g, F.lit(" and "), g))
