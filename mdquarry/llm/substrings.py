@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import binary, groups, id_and_text, keep, read, unpack
+from .common import binary, groups, id_and_text, keep, read, unpack, unused
 from .ragged import Prefix, expand, mix, shingles, word_rows
 
 WIDTH = 5
@@ -387,13 +387,18 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without the passages that repeat an earlier document's; n_chars follows the text.
 
     A row of which no word is left goes; rows without a repeated passage stay
-    as they are.
+    as they are. A row is known by its id and its text, so places found in one
+    text of an id are not cut out of another one; rows without an id keep their
+    text. Equal rows are one document.
     """
-    spans = passages(docs).groupBy("doc_id").agg(
-        F.collect_set(F.struct("start", "end")).alias("_spans")).withColumnRenamed("doc_id", "_id")
     names = docs.columns
+    key_, spans_, mine_ = unused(names, "_key", "_spans", "_mine")
+    mine = F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
+    known = docs.where(F.col("doc_id").isNotNull())
+    spans = passages(known.select(mine.alias("doc_id"), "text")).groupBy("doc_id").agg(
+        F.collect_set(F.struct("start", "end")).alias(spans_)).withColumnRenamed("doc_id", key_)
     at = names.index("text")
-    j = docs.join(spans, F.col("doc_id") == F.col("_id"), "left").select(*names, "_spans")
+    j = docs.withColumn(mine_, mine).join(spans, F.col(mine_).eqNullSafe(F.col(key_)), "left").select(*names, spans_)
     schema = docs.schema
 
     def run(batches):

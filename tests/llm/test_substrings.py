@@ -131,6 +131,30 @@ def test_cutting(spark, docs_of, planted):
         assert got[i].text == before[i]
 
 
+def test_places_of_one_text_are_not_cut_out_of_another_of_its_id(spark, docs_of):
+    rng = np.random.default_rng(21)
+    passage = _prose(rng, 80)
+    clean = [" ".join(_prose(rng, 200)) for _ in range(6)]
+    rows = [(1, " ".join(_prose(rng, 50) + passage)), (9, " ".join(_prose(rng, 30) + passage + _prose(rng, 30)))]
+    rows += [(9, t) for t in clean[:4]] + [(1, clean[4]), (9, clean[5] + " " + " ".join(passage))]
+    got = sorted((r.doc_id, r.text) for r in sub.cut_repeats(docs_of(rows)).collect())
+    kept = {t for _, t in got}
+    assert {rows[0][1], *clean[:5]} <= kept and len(got) == len(rows)
+    other = [t for i, t in got if i == 9 and t not in clean]
+    assert [len(t.split()) for t in other] == [60] and clean[5] in kept
+
+
+def test_scratch_columns_with_the_names_of_the_table(spark, docs_of, planted):
+    from pyspark.sql import functions as F
+    d = docs_of(planted)
+    plain = sorted((r.doc_id, r.text) for r in sub.cut_repeats(d).collect())
+    clash = d.select("*", *(F.lit(c).alias(c) for c in ("_id", "_spans", "_key", "_mine", "src", "key", "tile")))
+    got = sub.cut_repeats(clash)
+    assert got.columns == clash.columns
+    rows = got.collect()
+    assert sorted((r.doc_id, r.text) for r in rows) == plain and {r._spans for r in rows} == {"_spans"}
+
+
 def test_repeated_rows_and_empty_table(spark, docs_of, planted):
     rows = [planted[30], planted[30], planted[31], planted[31], planted[31]]
     spans = {(r.doc_id, r.src_doc_id) for r in sub.passages(docs_of(rows)).collect()}
