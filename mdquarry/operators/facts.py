@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import DIGIT, GUARD, JOIN, SEP, WS, strip_ws
+from ..functions.text import DIGIT, GUARD, JOIN, SEP, WS, lstrip_ws, strip_ws
 
 # The patterns decide what a list, an item and a sentence is.
 MARKER = f"({DIGIT}+\\.|\\*|-)"
@@ -54,27 +54,36 @@ def list_items(paragraph: Column) -> Column:
 
 
 def list_items_linked(paragraph: Column) -> Column:
-    """Documented variant: an indented item becomes ``"parent - item"`` where
-    the parent is the latest unindented item (option ``link_parents``)."""
+    """Documented variant: an indented item becomes ``"parent - item"`` (option ``link_parents``).
+
+    The parent is the first line of the nearest item before it that is indented
+    less; a stack of the open items is carried through one ``aggregate``, so lists
+    may be nested to any depth. An indented item without such an item before it
+    has an empty parent.
+    """
     raw = F.filter(F.split(paragraph, "\n", -1), lambda l: strip_ws(l) != "")
     marked = F.transform(raw, lambda l: F.when(
         strip_ws(l).rlike(ITEM_LINE),
-        F.concat(F.lit(SEP), F.when(l.rlike(f"^{WS}"), F.lit("1")).otherwise(F.lit("0")),
+        F.concat(F.lit(SEP), (F.length(l) - F.length(lstrip_ws(l))).cast("string"), F.lit(":"),
                  F.regexp_replace(strip_ws(l), ITEM_PREFIX, ""))).otherwise(strip_ws(l)))
     chunks = F.split(F.array_join(marked, "\n"), SEP, -1)
-    items = F.filter(chunks, lambda c, i: i > 0)
+    items = F.transform(F.filter(chunks, lambda c, i: i > 0), lambda c: F.split(c, ":", 2))
     flat = F.transform(items, lambda c: F.struct(
-        (F.substring(c, 1, 1) == "1").alias("sub"),
-        F.regexp_extract(F.substring(c, 2, 2147483647), r"^([^\n]*)", 1).alias("head"),
-        F.replace(F.regexp_replace(F.substring(c, 2, 2147483647), "\n$", ""), F.lit("\n"), F.lit(" ")).alias("text"),
+        F.get(c, 0).cast("int").alias("indent"),
+        F.regexp_extract(F.get(c, 1), r"^([^\n]*)", 1).alias("head"),
+        F.replace(F.regexp_replace(F.get(c, 1), "\n$", ""), F.lit("\n"), F.lit(" ")).alias("text"),
     ))
-    # one pass that carries the latest parent; the items are evaluated once
-    start = F.struct(F.lit("").alias("parent"), F.array().cast("array<string>").alias("out"))
-    done = F.aggregate(flat, start, lambda acc, it: F.struct(
-        F.when(it["sub"], acc["parent"]).otherwise(it["head"]).alias("parent"),
-        F.concat(acc["out"], F.array(F.when(it["sub"], F.concat(acc["parent"], F.lit(" - "), it["text"]))
-                                     .otherwise(it["text"]))).alias("out")))
-    return done["out"]
+    start = F.struct(F.array().cast("array<struct<indent:int,head:string>>").alias("open"),
+                     F.array().cast("array<string>").alias("out"))
+
+    def step(acc, it):
+        shallower = F.filter(acc["open"], lambda p: p["indent"] < it["indent"])
+        parent = F.coalesce(F.try_element_at(shallower, F.lit(-1))["head"], F.lit(""))
+        return F.struct(
+            F.concat(shallower, F.array(F.struct(it["indent"].alias("indent"), it["head"].alias("head")))).alias("open"),
+            F.concat(acc["out"], F.array(F.when(it["indent"] > 0, F.concat(parent, F.lit(" - "), it["text"]))
+                                         .otherwise(it["text"]))).alias("out"))
+    return F.aggregate(flat, start, step)["out"]
 
 
 def paragraphs(body: Column) -> Column:

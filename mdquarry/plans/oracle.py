@@ -59,7 +59,8 @@ SELECT doc_id, 'doc_' || doc_id AS document_name,
          WHEN 0 THEN repeat('#', (1 + ((j - 1) // 4) % 3)::INT) || ' ' || substr(l, 1, 60) || {NL} || l
                      || CASE WHEN (j - 1) % 28 = 4 THEN ' NO_CONTENT_HERE' ELSE '' END
          WHEN 1 THEN {NL} || l
-         WHEN 2 THEN {NL} || '- ' || replace(l, '. ', '.' || {NL} || CASE WHEN doc_id % 4 = 1 THEN '  - ' ELSE '- ' END)
+         WHEN 2 THEN {NL} || '- ' || replace(replace(l, '. ', '.' || {NL} || CASE WHEN doc_id % 4 = 1 THEN '  - ' ELSE '- ' END),
+                                             CASE WHEN doc_id % 8 = 5 THEN ' the ' ELSE chr(2) END, ' the' || {NL} || '    - ')
          ELSE l || CASE WHEN doc_id % 5 = 0 THEN ' {{{{FIGURE_' || (doc_id % 7) || '.' || (j - 1) || '}}}}' ELSE '' END
        END), {NL}) AS raw
 FROM documents""")
@@ -511,8 +512,8 @@ FROM (SELECT doc_id, section_idx,
       FROM sections)""")
 
 LINKED = (
-    "list_transform(flat, lambda it, i: CASE WHEN it.sub THEN coalesce(list_filter(flat[1:i], lambda q: NOT q.sub)[-1].head, '')"
-    " || ' - ' || it.text ELSE it.text END)"
+    "list_transform(flat, lambda it, i: CASE WHEN it.indent > 0 THEN "
+    "coalesce(list_filter(flat[1:i - 1], lambda q: q.indent < it.indent)[-1].head, '') || ' - ' || it.text ELSE it.text END)"
 )
 cte("linked_items", ("paras",), f"""
 SELECT doc_id, section_idx, para_idx, {LINKED} AS items
@@ -520,12 +521,12 @@ FROM (SELECT doc_id, section_idx, para_idx,
         list_transform((string_split(array_to_string(list_transform(
             list_filter(string_split(p, {NL}), lambda l: {_ws_strip('l')} <> ''),
             lambda l: CASE WHEN regexp_matches({_ws_strip('l')}, '^(\\d+\\.|\\*|-)\\s')
-                           THEN chr(1) || CASE WHEN regexp_matches(l, '^\\s') THEN '1' ELSE '0' END
+                           THEN chr(1) || (length(l) - length(regexp_replace(l, '^\\s+', ''))) || ':'
                                 || regexp_replace({_ws_strip('l')}, '^(\\d+\\.|\\*|-)\\s+', '')
                            ELSE {_ws_strip('l')} END), {NL}), chr(1)))[2:],
-          lambda c: {{'sub': substr(c, 1, 1) = '1',
-                      'head': regexp_extract(substr(c, 2), '^([^' || {NL} || ']*)', 1),
-                      'text': replace(regexp_replace(substr(c, 2), {NL} || '$', ''), {NL}, ' ')}}) AS flat
+          lambda c: {{'indent': regexp_extract(c, '^([0-9]+):', 1)::INT,
+                      'head': regexp_extract(regexp_replace(c, '^[0-9]+:', ''), '^([^' || {NL} || ']*)', 1),
+                      'text': replace(regexp_replace(regexp_replace(c, '^[0-9]+:', ''), {NL} || '$', ''), {NL}, ' ')}}) AS flat
       FROM paras WHERE regexp_matches(p, '^\\s*(\\d+\\.|\\*|-)\\s'))""")
 
 

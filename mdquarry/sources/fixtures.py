@@ -12,7 +12,9 @@ line ``i`` (0-based) of the text becomes
   ``NO_CONTENT_HERE`` marker,
 * ``i % 4 == 1``: a new paragraph,
 * ``i % 4 == 2``: a bulleted list, one bullet per ``. `` sentence break; every
-  bullet after the first is indented in documents with ``doc_id % 4 == 1``,
+  bullet after the first is indented in documents with ``doc_id % 4 == 1``; in
+  those with ``doc_id % 8 == 5`` every `` the `` ends an item and opens one of a
+  third level,
 * ``i % 4 == 3``: a continuation line of the last bullet; documents with
   ``doc_id % 5 == 0`` get an image reference ``{{FIGURE_<doc_id % 7>.<i>}}``.
 
@@ -46,8 +48,10 @@ def md_documents(documents: DataFrame) -> DataFrame:
             F.when(i % 28 == 4, F.lit(" NO_CONTENT_HERE")).otherwise(F.lit("")),
         )
         para = F.concat(F.lit("\n"), line)
-        bullets = F.concat(F.lit("\n- "), F.replace(line, F.lit(". "), F.when(
-            F.col("doc_id") % 4 == 1, F.lit(".\n  - ")).otherwise(F.lit(".\n- "))))
+        items = F.replace(line, F.lit(". "), F.when(
+            F.col("doc_id") % 4 == 1, F.lit(".\n  - ")).otherwise(F.lit(".\n- ")))
+        bullets = F.concat(F.lit("\n- "), F.when(
+            F.col("doc_id") % 8 == 5, F.replace(items, F.lit(" the "), F.lit(" the\n    - "))).otherwise(items))
         cont = F.concat(
             line,
             F.when(

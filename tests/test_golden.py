@@ -78,6 +78,16 @@ def test_sub_items_default_and_linked(spark):
     assert one(spark, fx.list_items_linked(F.col("v")), text) == ["Brew the tea", "Brew the tea - Warm the pot"]
 
 
+def test_items_of_any_depth_name_their_nearest_parent(spark):
+    text = "- Tea\n  - Leaf\n      - Green: fine\n      - Black\n   more\n    - Bag\n  - Pot\n- Coffee\n\t- Bean"
+    assert one(spark, fx.list_items_linked(F.col("v")), text) == [
+        "Tea", "Tea - Leaf", "Leaf - Green: fine", "Leaf - Black more", "Leaf - Bag", "Tea - Pot", "Coffee",
+        "Coffee - Bean"]
+    flat = "- one\n- two\n* three\n4. four"
+    assert one(spark, fx.list_items_linked(F.col("v")), flat) == ["one", "two", "three", "four"]
+    assert one(spark, fx.list_items_linked(F.col("v")), "  - first\n- second") == [" - first", "second"]
+
+
 def test_sentences(spark):
     s = lambda t: one(spark, fx.sentences(F.col("v")), t)
     assert len(s("It is 12.5. Then go.")) == 1
