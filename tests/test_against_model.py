@@ -32,7 +32,7 @@ def test_frontmatter_and_sections(small_corpus, model):
         secs[r["doc_id"]].append((r["section"], r["title"], r["body"]))
     for d, (_, _, _, ss) in model.items():
         assert secs.get(d, []) == [(s, *pm.title_body(s)) for s in ss], d
-    assert sum(len(v) for v in secs.values()) == 418  # FIXTURES §2.1
+    assert sum(len(v) for v in secs.values()) == 425  # FIXTURES, changes of round 3: seven blocks that do not parse stay as sections
 
 
 def test_facts(small_corpus, model):
