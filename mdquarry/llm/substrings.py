@@ -14,6 +14,10 @@ are about 2 n / SPAN of them for n tokens.
 * Interval join: links between two documents whose places lie near one
   diagonal and follow each other form a candidate if at least ``ENOUGH`` hash
   functions support it.
+* Sides: where the windows of a signature have different surroundings, each is
+  also linked to the first window with the same ``SIDES`` tokens before or after
+  its centre, so earlier documents that hold other words around the signature
+  take no link. Windows with equal surroundings are one class and looked up once.
 * Exact runs: the windows of the first hash function hold every run of ``SPAN``
   tokens once. Where the windows of a signature have different surroundings,
   each run in them is linked to the first document that holds the same run (its
@@ -25,11 +29,13 @@ are about 2 n / SPAN of them for n tokens.
 
 A passage that two documents share with similarity s gets a link from each hash
 function with probability s, so at 0.8 a candidate is missed with probability
-0.0067, an exact repeat never. Not so for a passage without a run of ``SPAN``
-equal tokens (an edit in every 50 words): an earlier document that holds other
-words around the same signature takes its link of that hash function. Nor
-for a text that repeats a token over and over: it keeps one window in ``SLACK``
-places of such a run, so an exact run that lies in it can lack its own link.
+0.0067, an exact repeat never. Where earlier documents hold parts of it, a
+centre in a stretch of 41 equal tokens (an edit in every 46 words) has equal
+sides of 21 tokens, in one of 21 equal tokens equal sides of 11; a passage without a
+run of ``SPAN`` equal tokens loses such a link only to an earlier document with
+that very side. Not covered is a text that repeats a token over and over: it
+keeps one window in ``SLACK`` places of such a run, so an exact run that lies in
+it can lack its own link.
 
 Edge cases: null texts and texts below ``MIN_WORDS`` words have no passage;
 rows without an id take no part; rows with one id are one document, repeats
@@ -56,8 +62,10 @@ THRESHOLD = 0.8
 STRETCH = 1 << 17
 TILE = 64  # tokens of a stored piece of a sequence
 GAPS = (2 * WIDTH + 2, WIDTH + 3, WIDTH + 1, 3, 1)  # steps between matching tokens of a passage, tried in turn
+SIDES = (11, 21)  # tokens from a centre on, its own with them, that link two windows
 SLACK = 24  # how far places may leave their diagonal
 _SALTS = mix(np.arange(1, HASHES + 1, dtype=np.uint64))
+_SIDES = [f"side{i}" for i in range(2 * len(SIDES))]
 
 
 def compact_windows(values: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -93,10 +101,11 @@ def compact_windows(values: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarr
 
 
 def _windows_of(s: np.ndarray, off: np.ndarray):
-    """(hash function, row, key, around, centre, left, right) of the windows of several token sequences.
+    """(hash function, row, key, around, sides, centre, left, right) of the windows of several token sequences.
 
-    ``around`` is a hash of the tokens of a window less than ``SPAN`` from its
-    centre; 0 but for the first hash function.
+    ``sides`` are hashes of the ``SIDES`` tokens up to and from the centre, 0
+    where the text has fewer; ``around`` is a hash of the tokens of a window
+    less than ``SPAN`` from its centre and of the sides.
     """
     whole = Prefix(s)
     # long sequences in overlapping stretches; a passage that crosses an edge lies whole in one or long in both
@@ -150,28 +159,36 @@ def _windows_of(s: np.ndarray, off: np.ndarray):
             mine = r[piece[c]]
             base = off[mine]
             c, left, right = where[c], where[left], where[right]
-            near = np.zeros(len(c), np.uint64)
-            if i == 0:
-                low, high = np.maximum(left, c - SPAN + 1), np.minimum(right, c + SPAN - 1)
-                near = mix(whole.slices(low, high + 1) + (c - low).astype(np.uint64))
-            yield i, mine, mix(s[c] ^ _SALTS[i]), near, c - base, left - base, right - base
+            low, high = np.maximum(left, c - SPAN + 1), np.minimum(right, c + SPAN - 1)
+            near = mix(whole.slices(low, high + 1) + (c - low).astype(np.uint64))
+            sides = []
+            for wide in SIDES:
+                for a in (c - wide + 1, c):
+                    inside = (a >= base) & (a + wide <= off[mine + 1])
+                    side = np.zeros(len(c), np.uint64)
+                    side[inside] = mix(whole.slices(a[inside], a[inside] + wide) + np.uint64(len(sides)))
+                    near = mix(near ^ side)
+                    sides.append(side)
+            yield i, mine, mix(s[c] ^ _SALTS[i]), near, sides, c - base, left - base, right - base
 
 
 def windows(docs: DataFrame) -> DataFrame:
-    """key, hash, around, doc_id, centre, left, right: the compact windows of every document."""
+    """key, hash, around, doc_id, centre, left, right, side0, ...: the compact windows of every document."""
     def run(batches):
         for b in batches:
             for first, h, _, _, off in word_rows(b.column(1).to_pylist()):
                 s, off = shingles(h, off, WIDTH)
-                for i, row, key, near, *places in _windows_of(s, off):
+                for i, row, key, near, sides, *places in _windows_of(s, off):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(key.view(np.int64)), pa.array(np.full(len(row), i, np.int8)),
-                         pa.array(near.view(np.int64)), b.column(0).take(pa.array(first + row)), *(pa.array(p.astype(np.int32)) for p in places)],
-                        ["key", "hash", "around", "doc_id", "centre", "left", "right"])
+                         pa.array(near.view(np.int64)), b.column(0).take(pa.array(first + row)),
+                         *(pa.array(p.astype(np.int32)) for p in places), *(pa.array(x.view(np.int64)) for x in sides)],
+                        ["key", "hash", "around", "doc_id", "centre", "left", "right", *_SIDES])
 
     d = id_and_text(docs).where(F.col("doc_id").isNotNull())
     t = d.schema["doc_id"].dataType.simpleString()
-    return d.mapInArrow(run, f"key long, hash byte, around long, doc_id {t}, centre int, left int, right int")
+    return d.mapInArrow(run, f"key long, hash byte, around long, doc_id {t}, centre int, left int, right int, "
+                        + ", ".join(f"{x} long" for x in _SIDES))
 
 
 def tiles(docs: DataFrame) -> DataFrame:
@@ -227,15 +244,38 @@ def _runs_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return d.mapInArrow(run, f"run long, doc_id {t}, place int, key long, around long, at int")
 
 
-def exact_links(docs: DataFrame, w: DataFrame) -> DataFrame:
+def classes_of(w: DataFrame) -> DataFrame:
+    """key, around, hash, first, a, z: windows with equal surroundings as one class, its first window stands for it."""
+    return keep(w.groupBy("key", "around", "hash").agg(
+        F.min(F.struct("doc_id", "centre", "left", "right", *_SIDES)).alias("first"),
+        F.min("doc_id").alias("a"), F.max("doc_id").alias("z")), "classes")
+
+
+def side_links(classes: DataFrame, w: DataFrame) -> DataFrame:
+    """hash, doc_id, src, centre, src_centre, back, on: windows, each to the first one with its signature and a side."""
+    each = classes.select("key", "around", "first", "z", F.explode(F.array(*(f"first.{x}" for x in _SIDES))).alias("side")) \
+        .where("side != 0")
+    place = F.struct("first.doc_id", "first.centre", "first.left", "first.right")
+    src = each.groupBy("key", "side").agg(F.min(place).alias("src"), F.max("z").alias("last"))
+    src = src.where(F.col("src.doc_id") != F.col("last")).drop("last")
+    to = each.join(src, ["key", "side"]).select("key", "around", "src").distinct()
+    # the first window of the signature is linked already
+    links = w.join(to, ["key", "around"]).where(
+        (F.col("doc_id") > F.col("src.doc_id"))
+        & ((F.col("src.doc_id") != F.col("first.doc_id")) | (F.col("src.centre") != F.col("first.centre"))))
+    back = F.least(F.col("centre") - F.col("left"), F.col("src.centre") - F.col("src.left"))
+    on = F.least(F.col("right") - F.col("centre"), F.col("src.right") - F.col("src.centre"))
+    return links.where(back + on + 1 >= SPAN).select(
+        "hash", "doc_id", F.col("src.doc_id").alias("src"), "centre", F.col("src.centre").alias("src_centre"),
+        back.alias("back"), on.alias("on"))
+
+
+def exact_links(docs: DataFrame, classes: DataFrame, w: DataFrame) -> DataFrame:
     """doc_id, src, centre, src_centre, back, on: exact runs of ``SPAN`` tokens, each to the first document with it.
 
-    ``w`` are the windows of the first hash function whose signatures have several surroundings.
+    ``w`` are the windows of the first hash function whose signatures have
+    several surroundings, ``classes`` their classes.
     """
-    # windows with equal surroundings are one class; the first of them stands for it
-    classes = w.groupBy("key", "around").agg(F.min(F.struct("doc_id", "centre", "left", "right")).alias("first"),
-                                             F.min("doc_id").alias("a"), F.max("doc_id").alias("z"))
-    classes = keep(classes, "classes")
     low, high = F.col("first.centre") - (SPAN - 1), F.col("first.centre") + (SPAN - 1)
     wanted = classes.select(
         "key", "around", "first.doc_id", "first.centre", F.greatest("first.left", low).alias("low"),
@@ -267,14 +307,18 @@ def candidates(docs: DataFrame) -> DataFrame:
         "mixed": F.min("around").over(same) != F.max("around").over(same)})
     w = w.where(F.col("first.doc_id") != F.col("last")).drop("last")
     w = keep(w.where(F.col("mixed") | (F.col("doc_id") != F.col("first.doc_id"))), "windows")
+    several = w.where("mixed")
+    classes = classes_of(several)
     star = w.where(F.col("doc_id") != F.col("first.doc_id"))
     back = F.least(F.col("centre") - F.col("left"), F.col("first.centre") - F.col("first.left"))
     on = F.least(F.col("right") - F.col("centre"), F.col("first.right") - F.col("first.centre"))
     links = star.where(back + on + 1 >= SPAN).select(
         "hash", "doc_id", F.col("first.doc_id").alias("src"), "centre", F.col("first.centre").alias("src_centre"),
         back.alias("back"), on.alias("on"), ((F.col("hash") == 0) & ~F.col("mixed")).alias("exact"))
-    runs = exact_links(docs, w.where("mixed")).withColumns({"hash": F.lit(0).cast("byte"), "exact": F.lit(True)})
-    links = links.unionByName(runs)
+    sides = side_links(classes, several).withColumn("exact", F.lit(False))
+    runs = exact_links(docs, classes.where("hash = 0"), several.where("hash = 0")).withColumns(
+        {"hash": F.lit(0).cast("byte"), "exact": F.lit(True)})
+    links = links.unionByName(sides).unionByName(runs)
     links = links.withColumn("diagonal", F.col("centre") - F.col("src_centre"))
 
     def cut(df, by, order, start, name):

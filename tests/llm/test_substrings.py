@@ -180,3 +180,32 @@ def test_an_earlier_part_of_a_passage_hides_no_repeat(spark, docs_of):
     missed = [x for x in want if not _covered(spans, *x, 0)]
     assert not missed
     assert {(r.doc_id, r.src_doc_id) for r in got} >= {(200 + k, 100 + k) for k in range(12)}
+
+
+def _jaccard(x, y):
+    a, b = ({tuple(w[p:p + 5]) for p in range(len(w) - 4)} for w in (x, y))
+    return len(a & b) / len(a | b)
+
+
+@pytest.mark.parametrize("earlier", [0, 1, 3, 10])
+def test_earlier_variants_hide_no_near_passage(spark, docs_of, earlier):
+    """Passages with an edit in every 47 words; earlier documents hold variants that are too far away."""
+    rng = np.random.default_rng(31)
+    rows, want = [], []
+    for k in range(150):
+        p = _prose(rng, 140)
+        near = [w if (i + 23) % 47 else f"near{k}" for i, w in enumerate(p)]
+        assert _jaccard(p, near) >= sub.THRESHOLD
+        for v in range(earlier):
+            far = [w if (i + 5 * v) % 12 else f"far{v}" for i, w in enumerate(p)]
+            assert _jaccard(p, far) < 0.5
+            rows.append((k * 20 + v, " ".join(_prose(rng, 40) + far + _prose(rng, 40))))
+        rows.append((10_000 + k, " ".join(_prose(rng, 30) + p + _prose(rng, 30))))
+        rows.append((20_000 + k, " ".join(_prose(rng, 50) + near + _prose(rng, 10))))
+        want.append((20_000 + k, 50, 190, 10_000 + k))
+    got = sub.passages(docs_of(rows)).collect()
+    spans = _spans(got)
+    links = {(r.doc_id, r.src_doc_id) for r in got}
+    found = [x for x in want if (x[0], x[3]) in links and _covered(spans, *x[:3], 28)]
+    assert len(found) >= 0.99 * len(want)
+    assert {d for d, _ in links} == {x[0] for x in want}
