@@ -65,7 +65,6 @@ GAPS = (2 * WIDTH + 2, WIDTH + 3, WIDTH + 1, 3, 1)  # steps between matching tok
 SIDES = (11, 21)  # tokens from a centre on, its own with them, that link two windows
 SLACK = 24  # how far places may leave their diagonal
 _SALTS = mix(np.arange(1, HASHES + 1, dtype=np.uint64))
-_SIDES = [f"side{i}" for i in range(2 * len(SIDES))]
 
 
 def compact_windows(values: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -101,11 +100,11 @@ def compact_windows(values: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarr
 
 
 def _windows_of(s: np.ndarray, off: np.ndarray):
-    """(hash function, row, key, around, sides, centre, left, right) of the windows of several token sequences.
+    """(hash function, row, key, around, centre, left, right) of the windows of several token sequences.
 
-    ``sides`` are hashes of the ``SIDES`` tokens up to and from the centre, 0
-    where the text has fewer; ``around`` is a hash of the tokens of a window
-    less than ``SPAN`` from its centre and of the sides.
+    ``around`` is a hash of the tokens of a window less than ``SPAN`` from its
+    centre and of the text's tokens on both sides; 32 bits but for the first
+    hash function, on which the exact runs rest.
     """
     whole = Prefix(s)
     # long sequences in overlapping stretches; a passage that crosses an edge lies whole in one or long in both
@@ -161,34 +160,29 @@ def _windows_of(s: np.ndarray, off: np.ndarray):
             c, left, right = where[c], where[left], where[right]
             low, high = np.maximum(left, c - SPAN + 1), np.minimum(right, c + SPAN - 1)
             near = mix(whole.slices(low, high + 1) + (c - low).astype(np.uint64))
-            sides = []
-            for wide in SIDES:
-                for a in (c - wide + 1, c):
-                    inside = (a >= base) & (a + wide <= off[mine + 1])
-                    side = np.zeros(len(c), np.uint64)
-                    side[inside] = mix(whole.slices(a[inside], a[inside] + wide) + np.uint64(len(sides)))
-                    near = mix(near ^ side)
-                    sides.append(side)
-            yield i, mine, mix(s[c] ^ _SALTS[i]), near, sides, c - base, left - base, right - base
+            low, high = np.maximum(base, c - SIDES[-1] + 1), np.minimum(off[mine + 1], c + SIDES[-1])
+            near = mix(near ^ mix(whole.slices(low, high) + (c - low).astype(np.uint64)))
+            if i:
+                near >>= np.uint64(32)
+            yield i, mine, mix(s[c] ^ _SALTS[i]), near, c - base, left - base, right - base
 
 
 def windows(docs: DataFrame) -> DataFrame:
-    """key, hash, around, doc_id, centre, left, right, side0, ...: the compact windows of every document."""
+    """key, hash, around, doc_id, centre, left, right: the compact windows of every document."""
     def run(batches):
         for b in batches:
             for first, h, _, _, off in word_rows(b.column(1).to_pylist()):
                 s, off = shingles(h, off, WIDTH)
-                for i, row, key, near, sides, *places in _windows_of(s, off):
+                for i, row, key, near, *places in _windows_of(s, off):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(key.view(np.int64)), pa.array(np.full(len(row), i, np.int8)),
                          pa.array(near.view(np.int64)), b.column(0).take(pa.array(first + row)),
-                         *(pa.array(p.astype(np.int32)) for p in places), *(pa.array(x.view(np.int64)) for x in sides)],
-                        ["key", "hash", "around", "doc_id", "centre", "left", "right", *_SIDES])
+                         *(pa.array(p.astype(np.int32)) for p in places)],
+                        ["key", "hash", "around", "doc_id", "centre", "left", "right"])
 
     d = id_and_text(docs).where(F.col("doc_id").isNotNull())
     t = d.schema["doc_id"].dataType.simpleString()
-    return d.mapInArrow(run, f"key long, hash byte, around long, doc_id {t}, centre int, left int, right int, "
-                        + ", ".join(f"{x} long" for x in _SIDES))
+    return d.mapInArrow(run, f"key long, hash byte, around long, doc_id {t}, centre int, left int, right int")
 
 
 def tiles(docs: DataFrame) -> DataFrame:
@@ -213,7 +207,11 @@ def tiles(docs: DataFrame) -> DataFrame:
 
 
 def _runs_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """run, doc_id, place, key, around, at: every run of ``SPAN`` tokens in the wanted windows, ``at`` from the centre."""
+    """run, kind, doc_id, place, key, around, at: what the wanted windows are looked up by.
+
+    Kind 0: every run of ``SPAN`` tokens from ``low`` to ``high``, ``at`` from
+    the centre; others: the sides, whose ``run`` takes in the signature.
+    """
     lists = wanted.groupBy("doc_id").agg(
         F.collect_list(F.struct("key", "around", "centre", "low", "high")).alias("_wanted"))
     d = id_and_text(docs).join(lists, "doc_id").select("doc_id", "text", "_wanted")
@@ -233,32 +231,51 @@ def _runs_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 n = np.maximum(np.minimum(high, np.diff(off)[row] - 1) - low - SPAN + 2, 0).astype(np.int64)
                 place = expand(low.astype(np.int64), n)
                 start = place + np.repeat(off[row], n)
-                got = Prefix(s).slices(start, start + SPAN)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(got.view(np.int64)), b.column(0).take(pa.array(first + np.repeat(row, n))),
-                     pa.array(place.astype(np.int32)), pa.array(np.repeat(key, n)), pa.array(np.repeat(near, n)),
-                     pa.array((place - np.repeat(centre, n)).astype(np.int32))],
-                    ["run", "doc_id", "place", "key", "around", "at"])
+                whole = Prefix(s)
+                got = whole.slices(start, start + SPAN)
+                yield rows(b, got, 0, first + np.repeat(row, n), place, np.repeat(key, n), np.repeat(near, n),
+                           place - np.repeat(centre, n))
+                at = off[row] + centre
+                for k, wide in enumerate(SIDES):
+                    for kind, begins in ((2 * k + 1, at - wide + 1), (2 * k + 2, at)):
+                        ok = (begins >= off[row]) & (begins + wide <= off[row + 1])
+                        got = whole.slices(begins[ok], begins[ok] + wide)
+                        got = mix(got ^ mix(key[ok].view(np.uint64) + np.uint64(kind)))
+                        yield rows(b, got, kind, first + row[ok], centre[ok], key[ok], near[ok], np.zeros(ok.sum()))
+
+    def rows(b, run, kind, row, place, key, near, at):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(run.view(np.int64)), pa.array(np.full(len(run), kind, np.int8)), b.column(0).take(pa.array(row)),
+             pa.array(place.astype(np.int32)), pa.array(key), pa.array(near), pa.array(at.astype(np.int32))],
+            ["run", "kind", "doc_id", "place", "key", "around", "at"])
 
     t = d.schema["doc_id"].dataType.simpleString()
-    return d.mapInArrow(run, f"run long, doc_id {t}, place int, key long, around long, at int")
+    return d.mapInArrow(run, f"run long, kind byte, doc_id {t}, place int, key long, around long, at int")
 
 
 def classes_of(w: DataFrame) -> DataFrame:
     """key, around, hash, first, a, z: windows with equal surroundings as one class, its first window stands for it."""
     return keep(w.groupBy("key", "around", "hash").agg(
-        F.min(F.struct("doc_id", "centre", "left", "right", *_SIDES)).alias("first"),
+        F.min(F.struct("doc_id", "centre", "left", "right")).alias("first"),
         F.min("doc_id").alias("a"), F.max("doc_id").alias("z")), "classes")
 
 
-def side_links(classes: DataFrame, w: DataFrame) -> DataFrame:
+def looked_up(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The runs and sides of the first window of every class; runs only for the first hash function."""
+    low, high = F.col("first.centre") - (SPAN - 1), F.col("first.centre") + (SPAN - 1)
+    low = F.greatest("first.left", low)
+    return keep(_runs_of(docs, classes.select(
+        "key", "around", "first.doc_id", "first.centre", low.alias("low"),
+        F.when(F.col("hash") == 0, F.least("first.right", high)).otherwise(low).alias("high"))), "runs")
+
+
+def side_links(classes: DataFrame, runs: DataFrame, w: DataFrame) -> DataFrame:
     """hash, doc_id, src, centre, src_centre, back, on: windows, each to the first one with its signature and a side."""
-    each = classes.select("key", "around", "first", "z", F.explode(F.array(*(f"first.{x}" for x in _SIDES))).alias("side")) \
-        .where("side != 0")
-    place = F.struct("first.doc_id", "first.centre", "first.left", "first.right")
-    src = each.groupBy("key", "side").agg(F.min(place).alias("src"), F.max("z").alias("last"))
+    each = runs.where("kind > 0").select("run", "key", "around").distinct().join(
+        classes.select("key", "around", "first", "z"), ["key", "around"])
+    src = each.groupBy("run").agg(F.min("first").alias("src"), F.max("z").alias("last"))
     src = src.where(F.col("src.doc_id") != F.col("last")).drop("last")
-    to = each.join(src, ["key", "side"]).select("key", "around", "src").distinct()
+    to = each.join(src, "run").select("key", "around", "src").distinct()
     # the first window of the signature is linked already
     links = w.join(to, ["key", "around"]).where(
         (F.col("doc_id") > F.col("src.doc_id"))
@@ -270,17 +287,13 @@ def side_links(classes: DataFrame, w: DataFrame) -> DataFrame:
         back.alias("back"), on.alias("on"))
 
 
-def exact_links(docs: DataFrame, classes: DataFrame, w: DataFrame) -> DataFrame:
+def exact_links(classes: DataFrame, runs: DataFrame, w: DataFrame) -> DataFrame:
     """doc_id, src, centre, src_centre, back, on: exact runs of ``SPAN`` tokens, each to the first document with it.
 
     ``w`` are the windows of the first hash function whose signatures have
     several surroundings, ``classes`` their classes.
     """
-    low, high = F.col("first.centre") - (SPAN - 1), F.col("first.centre") + (SPAN - 1)
-    wanted = classes.select(
-        "key", "around", "first.doc_id", "first.centre", F.greatest("first.left", low).alias("low"),
-        F.least("first.right", high).alias("high"))
-    runs = keep(_runs_of(docs, wanted), "runs")
+    runs = runs.where("kind = 0")
     first = runs.groupBy("run").agg(F.min(F.struct("doc_id", "place")).alias("src"), F.max("doc_id").alias("z"))
     first = first.where(F.col("src.doc_id") != F.col("z")).select("run", "src")
     many = runs.join(first, "run").groupBy(
@@ -315,8 +328,9 @@ def candidates(docs: DataFrame) -> DataFrame:
     links = star.where(back + on + 1 >= SPAN).select(
         "hash", "doc_id", F.col("first.doc_id").alias("src"), "centre", F.col("first.centre").alias("src_centre"),
         back.alias("back"), on.alias("on"), ((F.col("hash") == 0) & ~F.col("mixed")).alias("exact"))
-    sides = side_links(classes, several).withColumn("exact", F.lit(False))
-    runs = exact_links(docs, classes.where("hash = 0"), several.where("hash = 0")).withColumns(
+    looked = looked_up(docs, classes)
+    sides = side_links(classes, looked, several).withColumn("exact", F.lit(False))
+    runs = exact_links(classes.where("hash = 0"), looked, several.where("hash = 0")).withColumns(
         {"hash": F.lit(0).cast("byte"), "exact": F.lit(True)})
     links = links.unionByName(sides).unionByName(runs)
     links = links.withColumn("diagonal", F.col("centre") - F.col("src_centre"))
