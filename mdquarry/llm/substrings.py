@@ -15,8 +15,8 @@ are about 2 n / SPAN of them for n tokens.
   diagonal and follow each other form a candidate if at least ``ENOUGH`` hash
   functions support it.
 * Sides: where the windows of a signature have different surroundings, each is
-  also linked to the first window with the same ``SIDES`` tokens before or after
-  its centre, so earlier documents that hold other words around the signature
+  also linked to the first window with the same ``SIDE`` tokens up to its
+  centre or from it on, so earlier documents that hold other words around the signature
   take no link. Windows with equal surroundings are one class and looked up once.
 * Exact runs: the windows of the first hash function hold every run of ``SPAN``
   tokens once. Where the windows of a signature have different surroundings,
@@ -30,12 +30,13 @@ are about 2 n / SPAN of them for n tokens.
 A passage that two documents share with similarity s gets a link from each hash
 function with probability s, so at 0.8 a candidate is missed with probability
 0.0067, an exact repeat never. Where earlier documents hold parts of it, a
-centre in a stretch of 41 equal tokens (an edit in every 46 words) has equal
-sides of 21 tokens, in one of 21 equal tokens equal sides of 11; a passage without a
-run of ``SPAN`` equal tokens loses such a link only to an earlier document with
-that very side. Not covered is a text that repeats a token over and over: it
-keeps one window in ``SLACK`` places of such a run, so an exact run that lies in
-it can lack its own link.
+centre in a stretch of 41 equal tokens (an edit in every 46 words) has an equal
+side of 21 tokens, and loses its link only to an earlier document with that very
+side. Not covered are passages whose equal stretches are shorter (50 to 90 words
+with an edit in the middle) where earlier documents hold other words around the
+same signatures, and texts that repeat a token over and over: they keep one
+window in ``SLACK`` places of such a run, so an exact run that lies in it can
+lack its own link.
 
 Edge cases: null texts and texts below ``MIN_WORDS`` words have no passage;
 rows without an id take no part; rows with one id are one document, repeats
@@ -62,7 +63,7 @@ THRESHOLD = 0.8
 STRETCH = 1 << 17
 TILE = 64  # tokens of a stored piece of a sequence
 GAPS = (2 * WIDTH + 2, WIDTH + 3, WIDTH + 1, 3, 1)  # steps between matching tokens of a passage, tried in turn
-SIDES = (11, 21)  # tokens from a centre on, its own with them, that link two windows
+SIDE = 21  # tokens from a centre on, its own with them, that link two windows
 SLACK = 24  # how far places may leave their diagonal
 _SALTS = mix(np.arange(1, HASHES + 1, dtype=np.uint64))
 
@@ -160,7 +161,7 @@ def _windows_of(s: np.ndarray, off: np.ndarray):
             c, left, right = where[c], where[left], where[right]
             low, high = np.maximum(left, c - SPAN + 1), np.minimum(right, c + SPAN - 1)
             near = mix(whole.slices(low, high + 1) + (c - low).astype(np.uint64))
-            low, high = np.maximum(base, c - SIDES[-1] + 1), np.minimum(off[mine + 1], c + SIDES[-1])
+            low, high = np.maximum(base, c - SIDE + 1), np.minimum(off[mine + 1], c + SIDE)
             near = mix(near ^ mix(whole.slices(low, high) + (c - low).astype(np.uint64)))
             if i:
                 near >>= np.uint64(32)
@@ -207,19 +208,21 @@ def tiles(docs: DataFrame) -> DataFrame:
 
 
 def _runs_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """run, kind, doc_id, place, key, around, at: what the wanted windows are looked up by.
+    """run, side, doc_id, place, key, around, at, left, right, z: what the wanted windows are looked up by.
 
-    Kind 0: every run of ``SPAN`` tokens from ``low`` to ``high``, ``at`` from
-    the centre; others: the sides, whose ``run`` takes in the signature.
+    ``side`` false: every run of ``SPAN`` tokens from ``low`` to ``high``,
+    ``at`` from the centre. ``side`` true: both sides; ``run`` takes in the
+    signature, and the window's left, right and z are handed on.
     """
     lists = wanted.groupBy("doc_id").agg(
-        F.collect_list(F.struct("key", "around", "centre", "low", "high")).alias("_wanted"))
+        F.collect_list(F.struct("key", "around", "centre", "low", "high", "left", "right", "z")).alias("_wanted"))
     d = id_and_text(docs).join(lists, "doc_id").select("doc_id", "text", "_wanted")
 
     def run(batches):
         for b in batches:
             lists = b.column(2)
-            field = {k: lists.flatten().field(k).to_numpy() for k in ("key", "around", "centre", "low", "high")}
+            each = lists.flatten()
+            field = {k: each.field(k).to_numpy() for k in ("key", "around", "centre", "low", "high", "left", "right")}
             size = np.asarray(pa.compute.list_value_length(lists))
             begin = np.append(0, np.cumsum(size))
             for first, h, _, _, off in word_rows(b.column(1).to_pylist()):
@@ -233,24 +236,27 @@ def _runs_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 start = place + np.repeat(off[row], n)
                 whole = Prefix(s)
                 got = whole.slices(start, start + SPAN)
-                yield rows(b, got, 0, first + np.repeat(row, n), place, np.repeat(key, n), np.repeat(near, n),
-                           place - np.repeat(centre, n))
+                no = pa.nulls(len(got), pa.int32())
+                yield rows(b, got, False, first + np.repeat(row, n), place, np.repeat(key, n), np.repeat(near, n),
+                           place - np.repeat(centre, n), no, no, pa.nulls(len(got), each.field("z").type))
                 at = off[row] + centre
-                for k, wide in enumerate(SIDES):
-                    for kind, begins in ((2 * k + 1, at - wide + 1), (2 * k + 2, at)):
-                        ok = (begins >= off[row]) & (begins + wide <= off[row + 1])
-                        got = whole.slices(begins[ok], begins[ok] + wide)
-                        got = mix(got ^ mix(key[ok].view(np.uint64) + np.uint64(kind)))
-                        yield rows(b, got, kind, first + row[ok], centre[ok], key[ok], near[ok], np.zeros(ok.sum()))
-
-    def rows(b, run, kind, row, place, key, near, at):
+                for side, begins in enumerate((at - SIDE + 1, at)):
+                    ok = np.flatnonzero((begins >= off[row]) & (begins + SIDE <= off[row + 1]))
+                    got = whole.slices(begins[ok], begins[ok] + SIDE)
+                    got = mix(got ^ mix(key[ok].view(np.uint64) + np.uint64(side)))
+                    yield rows(b, got, True, first + row[ok], centre[ok], key[ok], near[ok], np.zeros(len(ok)),
+                               field["left"][a:z][ok], field["right"][a:z][ok], each.field("z").take(pa.array(a + ok)))
+
+    def rows(b, run, side, row, place, key, near, at, left, right, z):
         return pa.RecordBatch.from_arrays(
-            [pa.array(run.view(np.int64)), pa.array(np.full(len(run), kind, np.int8)), b.column(0).take(pa.array(row)),
-             pa.array(place.astype(np.int32)), pa.array(key), pa.array(near), pa.array(at.astype(np.int32))],
-            ["run", "kind", "doc_id", "place", "key", "around", "at"])
+            [pa.array(run.view(np.int64)), pa.array(np.full(len(run), side)), b.column(0).take(pa.array(row)),
+             pa.array(place.astype(np.int32)), pa.array(key), pa.array(near), pa.array(at.astype(np.int32)),
+             pa.array(left, pa.int32()), pa.array(right, pa.int32()), z],
+            ["run", "side", "doc_id", "place", "key", "around", "at", "left", "right", "z"])
 
     t = d.schema["doc_id"].dataType.simpleString()
-    return d.mapInArrow(run, f"run long, kind byte, doc_id {t}, place int, key long, around long, at int")
+    return d.mapInArrow(run, f"run long, side boolean, doc_id {t}, place int, key long, around long, at int, "
+                             f"left int, right int, z {t}")
 
 
 def classes_of(w: DataFrame) -> DataFrame:
@@ -266,16 +272,17 @@ def looked_up(docs: DataFrame, classes: DataFrame) -> DataFrame:
     low = F.greatest("first.left", low)
     return keep(_runs_of(docs, classes.select(
         "key", "around", "first.doc_id", "first.centre", low.alias("low"),
-        F.when(F.col("hash") == 0, F.least("first.right", high)).otherwise(low).alias("high"))), "runs")
+        F.when(F.col("hash") == 0, F.least("first.right", high)).otherwise(low).alias("high"),
+        "first.left", "first.right", "z")), "runs")
 
 
-def side_links(classes: DataFrame, runs: DataFrame, w: DataFrame) -> DataFrame:
+def side_links(runs: DataFrame, w: DataFrame) -> DataFrame:
     """hash, doc_id, src, centre, src_centre, back, on: windows, each to the first one with its signature and a side."""
-    each = runs.where("kind > 0").select("run", "key", "around").distinct().join(
-        classes.select("key", "around", "first", "z"), ["key", "around"])
-    src = each.groupBy("run").agg(F.min("first").alias("src"), F.max("z").alias("last"))
+    sides = runs.where("side")
+    place = F.struct("doc_id", F.col("place").alias("centre"), "left", "right")
+    src = sides.groupBy("run").agg(F.min(place).alias("src"), F.max("z").alias("last"))
     src = src.where(F.col("src.doc_id") != F.col("last")).drop("last")
-    to = each.join(src, "run").select("key", "around", "src").distinct()
+    to = sides.select("run", "key", "around").join(src, "run").select("key", "around", "src").distinct()
     # the first window of the signature is linked already
     links = w.join(to, ["key", "around"]).where(
         (F.col("doc_id") > F.col("src.doc_id"))
@@ -293,7 +300,7 @@ def exact_links(classes: DataFrame, runs: DataFrame, w: DataFrame) -> DataFrame:
     ``w`` are the windows of the first hash function whose signatures have
     several surroundings, ``classes`` their classes.
     """
-    runs = runs.where("kind = 0")
+    runs = runs.where("not side")
     first = runs.groupBy("run").agg(F.min(F.struct("doc_id", "place")).alias("src"), F.max("doc_id").alias("z"))
     first = first.where(F.col("src.doc_id") != F.col("z")).select("run", "src")
     many = runs.join(first, "run").groupBy(
@@ -329,7 +336,7 @@ def candidates(docs: DataFrame) -> DataFrame:
         "hash", "doc_id", F.col("first.doc_id").alias("src"), "centre", F.col("first.centre").alias("src_centre"),
         back.alias("back"), on.alias("on"), ((F.col("hash") == 0) & ~F.col("mixed")).alias("exact"))
     looked = looked_up(docs, classes)
-    sides = side_links(classes, looked, several).withColumn("exact", F.lit(False))
+    sides = side_links(looked, several).withColumn("exact", F.lit(False))
     runs = exact_links(classes.where("hash = 0"), looked, several.where("hash = 0")).withColumns(
         {"hash": F.lit(0).cast("byte"), "exact": F.lit(True)})
     links = links.unionByName(sides).unionByName(runs)
