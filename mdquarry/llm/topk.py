@@ -23,8 +23,11 @@ come out.
 Edge cases: vectors that are null or hold null or non-finite components take
 no part, neither do vectors whose size differs from the query's; zero vectors
 score 0; ties go to the smaller id; a row that is repeated is a candidate as
-often as it occurs; a query never returns rows of its own id; fewer than k
-candidates give fewer rows; other columns are not read.
+often as it occurs; a query never returns rows of its own id, of several query
+rows with one id the smallest vector counts; fewer than k candidates give fewer
+rows; other columns are not read. Finite components of any size take part:
+products of large ones are summed in whole numbers without a bound. A component
+or score outside 64 bits counts as the nearest 64-bit number.
 """
 
 from __future__ import annotations
@@ -47,13 +50,10 @@ FOCUS = 4  # coordinates looked at
 def to_integers(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """id, vector array<long>: floor(scale * x) of the valid vectors."""
     v = F.col("vector")
-    big = F.lit(float(2**31))
     ok = v.isNotNull() & (F.size(v) > 0) & F.forall(
         v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float("inf"))))
-    fits = F.forall(v, lambda x: F.abs(x.cast("double") * scale) < big)
-    return vectors.where(ok).select(
-        "id", F.when(fits, F.transform(v, lambda x: F.floor(x.cast("double") * scale).cast("long"))).otherwise(
-            F.raise_error(F.lit("a component is too large for exact 64-bit products"))).alias("vector"))
+    # floor of a double gives the nearest long where it is out of range
+    return vectors.where(ok).select("id", F.transform(v, lambda x: F.floor(x.cast("double") * scale)).alias("vector"))
 
 
 def _blocks(rows: DataFrame, name: str, size: int, total: int) -> DataFrame:
@@ -130,7 +130,17 @@ def _top(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
         some = np.flatnonzero(scores >= cut)
     else:
         some = np.arange(len(ids))
-    return some[np.lexsort((ids[some], -scores[some]))[:k]]
+    return some[np.lexsort((ids[some], ~scores[some]))[:k]]
+
+
+def _products(m: np.ndarray, x: np.ndarray, reach: np.ndarray) -> np.ndarray:
+    """Exact products of the rows of ``m`` with ``x``; ``reach`` bounds their size, the nearest long where out of range."""
+    scores = m @ x
+    wide = np.flatnonzero(reach >= 2.0**62)
+    if len(wide):
+        long = np.iinfo(np.int64)
+        scores[wide] = [min(max(s, long.min), long.max) for s in m[wide].astype(object) @ x.astype(object)]
+    return scores
 
 
 def _score(k: int):
@@ -148,14 +158,16 @@ def _score(k: int):
                 unit = f / np.where(norms == 0, 1, norms)[:, None]
                 found = ([], [], [])
                 # integers below 2**53 make float products exact; larger ones take the integer path
-                exact = m.size and float(np.abs(m).max()) * float(np.abs(q).max(initial=0)) * r["dim"] < 2**52
+                largest = float(np.abs(q.astype(np.float64)).max(initial=0))
+                exact = m.size and float(np.abs(f).max()) * largest * r["dim"] < 2**52
                 for i, (key, x) in enumerate(zip(q_ids, q)):
                     y = x.astype(np.float64)
-                    left = _prune(y, float(np.sqrt(y @ y)), float(bounds[i]), unit, norms)
+                    length = float(np.sqrt(y @ y))
+                    left = _prune(y, length, float(bounds[i]), unit, norms)
                     left = left[ids[left] != key]
                     if not len(left):
                         continue
-                    scores = (f[left] @ y).astype(np.int64) if exact else m[left] @ x
+                    scores = (f[left] @ y).astype(np.int64) if exact else _products(m[left], x, norms[left] * length)
                     best = _top(ids[left], scores, k)
                     best = best[scores[best] >= bounds[i]] if bounds[i] > 0 else best
                     found[0].append(np.full(len(best), key))
@@ -182,7 +194,7 @@ def search(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
     """
     n, n_q = candidates.count(), queries.count()
     buckets, blocks = max(1, -(-n // BUCKET)), max(1, -(-n_q // BLOCK))
-    q = keep(_blocks(queries.dropDuplicates(["id"]), "q_block", BLOCK, n_q), "queries").select(
+    q = keep(_blocks(queries.groupBy("id").agg(F.min("vector").alias("vector")), "q_block", BLOCK, n_q), "queries").select(
         "q_block", "dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"),
         F.col("longest").alias("q_longest"))
     c = keep(_blocks(candidates, "bucket", BUCKET, n), "candidates")

@@ -64,3 +64,20 @@ def test_oracle(spark):
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SF}/embeddings.parquet'")
     want = sorted(con.execute(f"SELECT query_id, rank, vec_id, score FROM ({topk.OP9_SQL})").fetchall())
     assert _got(topk.op9_exact_top_k(spark, SF)) == want
+
+
+def test_large_components_and_repeated_query_ids(spark, data_dir):
+    rng = np.random.default_rng(8)
+    rows = [(i, (rng.normal(size=4) * 2.0 ** rng.integers(0, 40)).tolist()) for i in range(320)]
+    # sums that leave 64 bits, also ones whose parts cancel, and a query id with two vectors
+    rows += [(400, [2.0**40, -2.0**40, 1.0, 0.0]), (401, [2.0**40, 2.0**40, 3.0, 0.0]), (402, [-2.0**40, 2.0**40, 0.0, 0.0]),
+             (500, [1.0, 0.0, 0.0, 0.0]), (500, [0.0, 1.0, 0.0, 0.0]), (501, [1e300, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, label int")
+    lo, hi = -2**63, 2**63 - 1
+    whole = [(i, [min(max(int(np.floor(1024 * x)), lo), hi) for x in v]) for i, v in rows]
+    want = []
+    for i in (0, 100, 200, 300, 400, 500):
+        q = min(v for j, v in whole if j == i)
+        found = sorted((-min(max(sum(a * b for a, b in zip(q, v)), lo), hi), j) for j, v in whole if j != i)
+        want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(found[:10])]
+    assert _got(topk.op9_exact_top_k(spark, data_dir(embeddings=df))) == want
