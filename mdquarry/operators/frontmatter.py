@@ -1,4 +1,4 @@
-"""Frontmatter split and flat key/value metadata (A2-A4, E7, E8, metadata check).
+"""Frontmatter split and metadata (A2-A4, E7, E8, metadata check).
 
 Rules (reader of one markdown file):
 
@@ -6,12 +6,11 @@ Rules (reader of one markdown file):
   at the first later ``---`` *anywhere* (even inside a value); the rest of the
   file, left-trimmed, is the content;
 * with no closing marker the metadata is empty and the content unchanged;
-* the block is read as a flat ``key: value`` mapping (comments and blank
-  lines skipped, surrounding quotes removed, a repeated key keeps its first
-  position and its last value). A key without a value may be followed by
-  ``- item`` lines; its value is then ``[item, item]``. A block with any other line does not parse:
-  metadata stays empty and the content keeps its frontmatter, as a YAML
-  error does. Values stay raw text (YAML would turn ``1.10`` into ``1.1``).
+* the block is read as a tree (see ``metadata_tree``: nested keys, lists, block
+  scalars). The flat view has the outermost keys in file order; values stay raw
+  text (YAML would turn ``1.10`` into ``1.1``), a list of texts is ``[item, item]``
+  and a deeper value is JSON. A block that does not parse leaves the metadata
+  empty and the content keeps its frontmatter, as a YAML error does.
 """
 
 from __future__ import annotations
@@ -19,56 +18,46 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import SEP, WS, lstrip_ws, strip_ws
-
-KEY_LINE = f"^[A-Za-z_][A-Za-z0-9_ .-]*:({WS}[^{SEP}]*$|[ \t]*{SEP}|$)"
-
-
-def _lines(block: Column) -> Column:
-    """Lines that count; list items are moved up to the line of their key, behind a separator."""
-    joined = F.regexp_replace(block, r"\n[ \t]*-[ \t]+", SEP)
-    return F.filter(F.split(joined, "\n", -1), lambda l: (strip_ws(l) != "") & ~strip_ws(l).startswith("#"))
-
-
-def _pairs(lines: Column) -> Column:
-    def value(l):
-        v = strip_ws(F.regexp_extract(l, r"^[^:]*:(.*)$", 1))
-        items = F.array_join(F.transform(F.split(F.substring(v, 2, 2147483647), SEP, -1), strip_ws), ", ")
-        return F.when(v.startswith(SEP), F.concat(F.lit("["), items, F.lit("]"))).otherwise(
-            F.regexp_replace(v, r"""^"(.*)"$|^'(.*)'$""", "$1$2"))
-    return F.transform(lines, lambda l: F.struct(
-        strip_ws(F.regexp_extract(l, r"^([^:]*):", 1)).alias("key"), value(l).alias("value")))
-
-
-def _unique(pairs: Column) -> Column:
-    """First position, last value of every key (Python dict insertion semantics)."""
-    keys = F.array_distinct(F.transform(pairs, lambda e: e["key"]))
-    return F.transform(keys, lambda k: F.struct(
-        k.alias("key"), F.try_element_at(F.filter(pairs, lambda p: p["key"] == k), F.lit(-1))["value"].alias("value")))
-
+from ..functions.text import lstrip_ws, strip_ws
+from . import metadata_tree as mt
 
 def split_frontmatter(docs: DataFrame, raw: str = "raw") -> DataFrame:
-    """Adds ``has_frontmatter``, ``fm_parsed``, ``metadata`` (ordered key/value
-    array), ``content``; drops ``raw``."""
+    """Adds ``has_frontmatter``, ``fm_parsed``, ``metadata`` (ordered key/value array of the outermost keys),
+    ``metadata_tree`` (VARIANT), ``metadata_leaves`` (path and text of every value), ``content``; drops ``raw``."""
     r = F.col(raw)
     close = F.col("_close")
     # step-wise projections: each intermediate is computed once per row
     d = docs.withColumn("_close", F.when(r.startswith("---"), F.locate("---", r, 4)).otherwise(F.lit(0)))
-    d = d.withColumn("_block", F.when(close > 0, strip_ws(F.substring(r, F.lit(4), close - 4))))
-    d = d.withColumn("_lines", _lines(F.col("_block")))
-    d = d.withColumn("_ok", (close > 0) & F.forall("_lines", lambda l: l.rlike(KEY_LINE)))
-    d = d.withColumn("_pairs", _pairs(F.col("_lines")))
-    ok = F.col("_ok")
+    d = d.withColumn("_lines", mt.lines(F.when(close > 0, strip_ws(F.substring(r, F.lit(4), close - 4)))))
+    d = d.withColumn("_tokens", F.when(mt.starts_as_mapping(F.col("_lines")), mt.tokens(F.col("_lines"))))
+    d = d.withColumn("_found", F.when(mt.one_value_a_line(F.col("_tokens")), mt.nodes(F.col("_tokens"))))
+    d = d.withColumn("_nodes", F.when(mt.valid_texts(F.col("_found")), F.col("_found")))
+    keys = F.transform(F.filter("_nodes", lambda n: n["parent"] == 0), lambda n: n["key"])
+    d = d.withColumn("_keys", F.array_distinct(keys))
+    d = d.withColumn("_pieces", mt.pieces(mt.last_values(F.col("_nodes"))))
+    ok = F.col("_nodes").isNotNull()
+    none = F.array()
     return (
         d.withColumn("has_frontmatter", close > 0)
         .withColumn("fm_parsed", ok | (close == 0))
-        .withColumn("metadata", F.when(ok, _unique(F.col("_pairs"))).otherwise(
-            F.array().cast("array<struct<key:string,value:string>>")))
+        .withColumn("metadata", F.coalesce(mt.flat(F.col("_pieces"), F.col("_keys")),
+                                           none.cast("array<struct<key:string,value:string>>")))
+        .withColumn("metadata_tree", mt.tree(F.col("_pieces")))
+        .withColumn("metadata_leaves", F.coalesce(mt.leaves(F.col("_pieces")),
+                                                  none.cast("array<struct<path:string,text:string>>")))
         .withColumn("content", F.when(ok, lstrip_ws(F.substring(r, close + 3, F.lit(2147483647)))).otherwise(r))
-        .drop("_close", "_block", "_lines", "_pairs", "_ok", raw)
+        .drop("_close", "_lines", "_tokens", "_found", "_nodes", "_keys", "_pieces", raw)
     )
 
 
+def metadata_leaf_rows(docs: DataFrame) -> DataFrame:
+    """One row per value of the tree at any depth, read back from the VARIANT by its path."""
+    d = docs.select("doc_id", "metadata_tree", F.posexplode("metadata_leaves").alias("pos", "leaf"))
+    return d.select("doc_id", (F.col("pos") + 1).cast("bigint").alias("leaf_pos"), F.col("leaf.path").alias("path"),
+                    F.col("leaf.text").alias("value"),
+                    F.try_variant_get("metadata_tree", F.col("leaf.path"), "string").alias("tree_value"))
+
+
 def metadata_rows(docs: DataFrame) -> DataFrame:
     """One row per metadata key, in file order (1-based ``key_pos``)."""
     return docs.select("doc_id", F.posexplode("metadata").alias("pos", "kv")).select(

@@ -52,7 +52,14 @@ SELECT doc_id, 'doc_' || doc_id AS document_name,
         WHEN doc_id % 30 = 2 THEN '---' || {NL} || 'title: Doc ' || doc_id || {NL}
         WHEN doc_id % 30 = 4 THEN '---' || {NL} || 'title: Doc ' || doc_id || {NL} || 'keywords:' || {NL} || '  - ' || lang
                                   || {NL} || '  - corpus' || {NL} || '---' || {NL}
-        WHEN doc_id % 30 = 7 THEN '---' || {NL} || 'title: Doc ' || doc_id || {NL} || 'no mapping here' || {NL} || '---' || {NL}
+        WHEN doc_id % 30 = 7 THEN '---' || {NL} || 'title: Doc ' || doc_id || {NL}
+             || CASE doc_id % 90 WHEN 7 THEN 'no mapping here' WHEN 37 THEN '  lang: ' || lang
+                ELSE 'part:' || {NL} || '    pages: 3' || {NL} || '  name: two' END || {NL} || '---' || {NL}
+        WHEN doc_id % 30 = 8 THEN array_to_string(['---', 'title: Doc ' || doc_id, 'origin:', '  name: ' || source, '  languages:',
+             '  - ' || lang, '  - xx', 'lang: none', 'parts:', '  - name: one', '    pages: ' || (doc_id % 50),
+             '  - name: two # unread', 'empty:', 'lang: ' || lang, '---', ''], {NL})
+        WHEN doc_id % 30 = 10 THEN array_to_string(['---', 'title: Doc ' || doc_id, 'summary: >', '  written in', '  ' || lang, '',
+             '  from: ' || source, 'note: |-', '  - a', '    b', 'open: true', '---', ''], {NL})
         ELSE '---' || {NL} || 'title: Doc ' || doc_id || {NL} || 'lang: ' || lang || {NL} || 'source: ' || source || {NL} || '---' || {NL} END)
   || array_to_string(list_transform(string_split(text, {NL}), lambda l, j:
        CASE (j - 1) % 4
@@ -72,32 +79,133 @@ SELECT doc_id, document_name, raw,
        THEN instr(substr(raw, 4), '---') + 3 ELSE 0 END AS close_pos
 FROM md_documents""")
 
-cte("fm1", ("fm0",), f"""
-SELECT *, list_filter(string_split(regexp_replace({_ws_strip("substr(raw, 4, close_pos - 4)")},
-                                                  {NL} || '[ \t]*-[ \t]+', chr(1), 'g'), {NL}),
-            lambda l: {_ws_strip("l")} <> '' AND NOT starts_with({_ws_strip("l")}, '#')) AS lines
-FROM fm0""")
-
-cte("fm2", ("fm1",), f"""
-SELECT *, coalesce(list_bool_and(list_transform(lines, lambda l:
-            regexp_matches(l, '^[A-Za-z_][A-Za-z0-9_ .-]*:(\\s[^' || chr(1) || ']*$|[ \t]*' || chr(1) || '|$)'))), true) AS lines_ok,
-  list_transform(lines, lambda l: {{'key': {_ws_strip("regexp_extract(l, '^([^:]*):', 1)")},
-     'value': CASE WHEN starts_with({_ws_strip("regexp_extract(l, '^[^:]*:(.*)$', 1)")}, chr(1))
-        THEN '[' || array_to_string(list_transform(string_split(substr({_ws_strip("regexp_extract(l, '^[^:]*:(.*)$', 1)")}, 2), chr(1)),
-                                                   lambda x: {_ws_strip("x")}), ', ') || ']'
-        ELSE regexp_replace({_ws_strip("regexp_extract(l, '^[^:]*:(.*)$', 1)")}, '^"(.*)"$|^''(.*)''$', '\\1\\2') END}}) AS kv
-FROM fm1""")
-
-cte("frontmatter", ("fm2",), f"""
-SELECT doc_id, document_name, close_pos > 0 AS has_frontmatter,
-  (close_pos > 0 AND lines_ok) OR close_pos = 0 AS fm_parsed,
-  CASE WHEN close_pos > 0 AND lines_ok THEN
-    list_transform(list_filter(kv, lambda e, i: NOT list_contains(list_transform(kv[1:i - 1], lambda p: p.key), e.key)),
-                   lambda e: {{'key': e.key, 'value': list_filter(kv, lambda p: p.key = e.key)[-1].value}})
-  ELSE [] END AS metadata,
-  CASE WHEN close_pos > 0 AND lines_ok THEN regexp_replace(substr(raw, close_pos + 3), '^\\s+', '')
-       ELSE raw END AS content
-FROM fm2""")
+# The tree by joins: every line's scope, every node's parent (the nearest node before it that is indented less).
+FM_KEY = """'^("[^"]*"|''[^'']*''|[^ \t#:"''\\[\\]{}&*!|>%@`,?-][^:"'']*?)[ \t]*:(?:[ \t]+(.*))?$'"""
+FM_HEAD, FM_QUOTED = "'^[|>][+-]?$'", """'^"[^"]*"$|^''[^'']*''$'"""
+
+
+def _unquoted(x: str) -> str:
+    return f"""regexp_replace({x}, '^"([^"]*)"$|^''([^'']*)''$', '\\1\\2')"""
+
+
+cte("fm_lines", ("fm0",), f"""
+SELECT *, length(pre) AS col, regexp_matches(rest, {FM_KEY}) AS is_key,
+  CASE WHEN regexp_matches(rest, {FM_KEY}) THEN {_ws_strip(f"regexp_extract(rest, {FM_KEY}, 2)")} ELSE rest END AS val,
+  list_filter(range(length(pre)), lambda c: substr(pre, c + 1, 1) = '-') AS dashes
+FROM (SELECT *, {_ws_strip("substr(l, length(pre) + 1)")} AS rest
+      FROM (SELECT *, length(regexp_extract(l, '^ *')) AS ind, regexp_extract(l, '^ *(?:-(?: +|$))*') AS pre
+            FROM (SELECT doc_id, unnest(ls) AS l, generate_subscripts(ls, 1) AS i
+                  FROM (SELECT doc_id, string_split(replace({_ws_strip("substr(raw, 4, close_pos - 4)")}, chr(13), ''), {NL}) AS ls
+                        FROM fm0 WHERE close_pos > 0))))""")
+
+cte("fm_blocks", ("fm_lines",), f"""
+SELECT h.doc_id, h.i AS a, coalesce(min(m.i), 1 << 30) AS z
+FROM fm_lines h LEFT JOIN fm_lines m ON m.doc_id = h.doc_id AND m.i > h.i AND {_ws_strip("m.l")} <> ''
+  AND m.ind <= CASE WHEN h.is_key THEN h.col ELSE coalesce(list_last(h.dashes), 0) END
+WHERE regexp_matches(h.val, {FM_HEAD}) AND NOT starts_with(h.rest, '#')
+GROUP BY 1, 2""")
+
+cte("fm_scoped", ("fm_lines", "fm_blocks"), f"""
+SELECT *, EXISTS (SELECT 1 FROM fm_blocks b WHERE b.doc_id = n.doc_id AND n.i > b.a AND n.i < b.z) AS verbatim,
+  {_ws_strip("l")} = '' OR starts_with(rest, '#') AND len(dashes) = 0 AS skipped,
+  CASE WHEN regexp_matches(val, {FM_QUOTED}) THEN val ELSE regexp_replace(val, '(^|\\s+)#.*$', '') END AS plain
+FROM fm_lines n""")
+
+cte("fm_nodes", ("fm_scoped",), f"""
+SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS id
+FROM (SELECT doc_id, i * 1000000 + c AS pos, 2 * c + 1 AS ind, 'item' AS kind, NULL AS key
+      FROM (SELECT doc_id, i, unnest(dashes) AS c FROM fm_scoped WHERE NOT verbatim AND NOT skipped)
+      UNION ALL
+      SELECT doc_id, i * 1000000 + 500000, 2 * col, 'key', {_unquoted(f"regexp_extract(rest, {FM_KEY}, 1)")}
+      FROM fm_scoped WHERE NOT verbatim AND NOT skipped AND is_key)""")
+
+cte("fm_texts", ("fm_scoped",), """
+SELECT doc_id, i * 1000000 + 600000 AS pos, l AS t, 1 << 30 AS ind FROM fm_scoped WHERE verbatim
+UNION ALL
+SELECT doc_id, i * 1000000 + 600000, plain, CASE WHEN is_key OR len(dashes) > 0 THEN 1 << 30 ELSE 2 * col END
+FROM fm_scoped WHERE NOT verbatim AND NOT skipped AND plain <> ''""")
+
+cte("fm_parents", ("fm_nodes",), """
+SELECT n.doc_id, n.id, n.ind, n.kind, n.key, coalesce(max(p.id), 0) AS parent
+FROM fm_nodes n LEFT JOIN fm_nodes p ON p.doc_id = n.doc_id AND p.pos < n.pos AND p.ind < n.ind
+GROUP BY ALL""")
+
+cte("fm_owned", ("fm_texts", "fm_nodes"), """
+SELECT t.doc_id, t.pos, t.t, coalesce(max(p.id) FILTER (p.ind < t.ind), 0) AS parent, coalesce(max(p.id), 0) AS latest
+FROM fm_texts t LEFT JOIN fm_nodes p ON p.doc_id = t.doc_id AND p.pos < t.pos
+GROUP BY ALL""")
+
+cte("fm_values", ("fm_owned",), f"""
+SELECT doc_id, parent AS id, list(t ORDER BY pos) AS ts FROM fm_owned GROUP BY ALL""")
+
+cte("fm_broken", ("fm_scoped", "fm_parents", "fm_owned", "fm_values"), f"""
+SELECT doc_id FROM fm_scoped WHERE NOT verbatim AND NOT skipped AND regexp_matches(l, '^ *\t')
+UNION SELECT doc_id FROM fm_parents WHERE parent = 0 AND kind = 'item'
+UNION SELECT doc_id FROM fm_owned WHERE parent = 0 OR parent <> latest
+UNION SELECT doc_id FROM fm_parents GROUP BY doc_id, parent
+      HAVING count(DISTINCT kind) > 1 OR count(DISTINCT ind) FILTER (kind = 'key') > 1
+UNION SELECT p.doc_id FROM fm_parents p JOIN fm_owned o ON o.doc_id = p.doc_id AND o.parent = p.parent
+UNION SELECT doc_id FROM fm_values
+      WHERE NOT regexp_matches(ts[1], {FM_HEAD}) AND NOT (regexp_matches(ts[1], {FM_QUOTED}) AND len(ts) = 1)
+        AND (regexp_matches(ts[1], '^["'']') OR list_bool_or(list_transform(ts, lambda t: regexp_matches(t, ':(\\s|$)'))))""")
+
+cte("fm_alive", ("fm_parents", "fm_broken"), """
+SELECT *, CASE WHEN kind = 'item' THEN row_number() OVER (PARTITION BY doc_id, parent ORDER BY id) - 1 END AS nth
+FROM fm_parents n
+WHERE doc_id NOT IN (SELECT doc_id FROM fm_broken)
+  AND NOT EXISTS (SELECT 1 FROM fm_parents m WHERE m.doc_id = n.doc_id AND m.parent = n.parent AND m.key = n.key AND m.id > n.id)""")
+
+cte("fm_paths", ("fm_alive",), """
+SELECT doc_id, id, key, kind, [kind] AS kinds, id AS top, '$["' || key || '"]' AS path FROM fm_alive WHERE parent = 0
+UNION ALL
+SELECT n.doc_id, n.id, n.key, n.kind, list_append(p.kinds, n.kind), p.top,
+       p.path || CASE WHEN n.kind = 'item' THEN '[' || n.nth || ']' ELSE '["' || n.key || '"]' END
+FROM fm_paths p JOIN fm_alive n ON n.doc_id = p.doc_id AND n.parent = p.id""")
+
+cte("fm_strings", ("fm_values",), f"""
+SELECT doc_id, id, regexp_matches(ts[1], {FM_HEAD}) AS is_block,
+  CASE WHEN NOT regexp_matches(ts[1], {FM_HEAD}) THEN array_to_string(ts, ' ')
+       WHEN ends_with(ts[1], '-') OR rtrim(body, {NL}) = '' THEN rtrim(body, {NL})
+       WHEN ends_with(ts[1], '+') THEN body || {NL} ELSE rtrim(body, {NL}) || {NL} END AS txt
+FROM (SELECT *, CASE WHEN starts_with(ts[1], '>') THEN
+          replace(regexp_replace(replace(whole, {NL} || {NL}, chr(1)), {NL}, ' ', 'g'), chr(1), {NL}) ELSE whole END AS body
+      FROM (SELECT *, array_to_string(list_transform(ts[2:], lambda r: substr(r, margin + 1)), {NL}) AS whole
+            FROM (SELECT *, coalesce(length(regexp_extract(list_filter(ts[2:], lambda r: {_ws_strip("r")} <> '')[1], '^ *')), 0) AS margin
+                  FROM fm_values)))""")
+
+cte("fm_steps", ("fm_paths", "fm_strings"), """
+SELECT n.*, len(kinds) AS depth, coalesce(s.is_block, false) AS is_block, coalesce(s.txt, '') AS txt,
+  lag(len(kinds)) OVER w AS before, lead(len(kinds)) OVER w AS after, lead(kind) OVER w AS next_kind
+FROM fm_paths n LEFT JOIN fm_strings s USING (doc_id, id)
+WINDOW w AS (PARTITION BY n.doc_id ORDER BY n.id)""")
+
+cte("fm_pieces", ("fm_steps",), f"""
+SELECT *, coalesce(after, 0) <= depth AS leaf,
+  CASE WHEN before >= depth THEN ',' ELSE '' END || CASE WHEN kind = 'key' THEN to_json(key)::VARCHAR || ':' ELSE '' END AS lead_in,
+  CASE WHEN after > depth THEN CASE WHEN next_kind = 'item' THEN '[' ELSE '{{' END
+       ELSE CASE WHEN is_block THEN to_json(txt)::VARCHAR WHEN txt IN ('', '~', 'null') THEN 'null'
+                 WHEN txt IN ('true', 'false') OR regexp_matches(txt, '^-?(0|[1-9][0-9]*)([.][0-9]+)?$') THEN txt
+                 ELSE to_json({_unquoted("txt")})::VARCHAR END
+            || array_to_string(list_transform(list_reverse(kinds[coalesce(after, 1) + 1:]),
+                                              lambda k: CASE k WHEN 'item' THEN ']' ELSE '}}' END), '') END AS piece
+FROM fm_steps""")
+
+cte("fm_flat", ("fm_pieces", "fm_parents"), f"""
+SELECT doc_id, list({{'key': key, 'value': value}} ORDER BY first_id) AS metadata
+FROM (SELECT doc_id, max(key) FILTER (id = top) AS key,
+        CASE WHEN count(*) = 1 THEN {_unquoted("max(txt)")}
+             WHEN bool_and(id = top OR leaf AND kind = 'item') THEN
+               '[' || string_agg({_unquoted("txt")}, ', ' ORDER BY id) FILTER (id <> top) || ']'
+             ELSE string_agg(CASE WHEN id = top THEN '' ELSE lead_in END || piece, '' ORDER BY id) END AS value
+      FROM fm_pieces GROUP BY doc_id, top)
+JOIN (SELECT doc_id, key, min(id) AS first_id FROM fm_parents WHERE parent = 0 GROUP BY ALL) USING (doc_id, key)
+GROUP BY doc_id""")
+
+cte("frontmatter", ("fm0", "fm_broken", "fm_flat"), f"""
+SELECT doc_id, document_name, close_pos > 0 AS has_frontmatter, ok OR close_pos = 0 AS fm_parsed,
+  coalesce(metadata, []) AS metadata,
+  CASE WHEN ok THEN regexp_replace(substr(raw, close_pos + 3), '^\\s+', '') ELSE raw END AS content
+FROM (SELECT *, close_pos > 0 AND doc_id NOT IN (SELECT doc_id FROM fm_broken) AS ok FROM fm0) LEFT JOIN fm_flat USING (doc_id)""")
 
 # --- sections -------------------------------------------------------------------
 cte("sections", ("frontmatter",), f"""
@@ -546,7 +654,7 @@ def with_ctes(*names: str, body: str, instead: dict[str, tuple[tuple[str, ...],
         visit(n)
     defs = ",\n".join(f"{n} AS ({ctes[n][1]}\n)" for n in order)
     # regex classes with Python's Unicode meaning: \s -> Python whitespace, \d -> decimal digit
-    return f"WITH {defs}\n{body}".replace("\\s", WS).replace("\\d", DIGIT)
+    return f"WITH RECURSIVE {defs}\n{body}".replace("\\s", WS).replace("\\d", DIGIT)
 
 
 # sections of volumes of 500 documents, numbered through
@@ -587,6 +695,10 @@ FROM frontmatter""")
 SELECT doc_id, (generate_subscripts(metadata, 1))::BIGINT AS key_pos,
        unnest(metadata).key AS meta_key, unnest(metadata).value AS meta_value
 FROM frontmatter""")
+    q["frontmatter_tree"] = with_ctes("fm_pieces", body=f"""
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY id) AS leaf_pos, path, {_unquoted("txt")} AS value,
+       CASE WHEN is_block OR txt NOT IN ('', '~', 'null') THEN {_unquoted("txt")} END AS tree_value
+FROM fm_pieces WHERE leaf""")
     q["metadata_check"] = with_ctes("frontmatter", body="""
 SELECT doc_id, document_name, k AS missing_key
 FROM frontmatter, (VALUES ('title'), ('description')) t(k)

@@ -19,7 +19,7 @@ from ..operators import requests as rq
 from ..operators import responses as rs
 from ..operators import dataset as ds
 from ..operators import audit as au
-from ..operators.frontmatter import metadata_rows, missing_required_metadata
+from ..operators.frontmatter import metadata_leaf_rows, metadata_rows, missing_required_metadata
 from ..session import scratch_path
 from ..sources.array_files import read_arrays
 from ..sources.fixtures import audit_images, load_md_documents, manifest_from_refs, responses_from_requests
@@ -110,6 +110,12 @@ def q_frontmatter_metadata(spark, sf_dir):
     return metadata_rows(_c(spark, sf_dir).docs)
 
 
+@query
+def q_frontmatter_tree(spark, sf_dir):
+    """A4: every value of the metadata tree at any depth, as written and as the VARIANT holds it."""
+    return metadata_leaf_rows(_c(spark, sf_dir).docs)
+
+
 @query
 def q_metadata_check(spark, sf_dir):
     return missing_required_metadata(_c(spark, sf_dir).docs)

@@ -20,7 +20,9 @@ line ``i`` (0-based) of the text becomes
 
 Frontmatter by ``doc_id``: none (``% 3 == 0``), a ``---`` inside the title
 value (``% 30 == 1``), never closed (``% 30 == 2``), a list of keywords
-(``% 30 == 4``), a line that is no mapping (``% 30 == 7``), else
+(``% 30 == 4``), nested keys and lists of mappings (``% 30 == 8``), folded and
+literal values (``% 30 == 10``), a block that does not parse (``% 30 == 7``: a line
+that is no mapping, a key below a value, or a key between two indentations), else
 title/lang/source.
 
 The manifest of existing image files and the model responses are derived
@@ -72,7 +74,18 @@ def md_documents(documents: DataFrame) -> DataFrame:
         .when(F.col("doc_id") % 30 == 2, F.concat(F.lit("---\ntitle: Doc "), did, F.lit("\n")))
         .when(F.col("doc_id") % 30 == 4, F.concat(F.lit("---\ntitle: Doc "), did, F.lit("\nkeywords:\n  - "),
                                                   F.col("lang"), F.lit("\n  - corpus\n---\n")))
-        .when(F.col("doc_id") % 30 == 7, F.concat(F.lit("---\ntitle: Doc "), did, F.lit("\nno mapping here\n---\n")))
+        .when(F.col("doc_id") % 30 == 7, F.concat(F.lit("---\ntitle: Doc "), did, F.when(
+            F.col("doc_id") % 90 == 7, F.lit("\nno mapping here")).when(
+            F.col("doc_id") % 90 == 37, F.concat(F.lit("\n  lang: "), F.col("lang"))).otherwise(
+            F.lit("\npart:\n    pages: 3\n  name: two")), F.lit("\n---\n")))
+        .when(F.col("doc_id") % 30 == 8, F.concat(
+            F.lit("---\ntitle: Doc "), did, F.lit("\norigin:\n  name: "), F.col("source"),
+            F.lit("\n  languages:\n  - "), F.col("lang"), F.lit("\n  - xx\nlang: none\nparts:\n  - name: one\n    pages: "),
+            (F.col("doc_id") % 50).cast("string"), F.lit("\n  - name: two # unread\nempty:\nlang: "), F.col("lang"),
+            F.lit("\n---\n")))
+        .when(F.col("doc_id") % 30 == 10, F.concat(
+            F.lit("---\ntitle: Doc "), did, F.lit("\nsummary: >\n  written in\n  "), F.col("lang"),
+            F.lit("\n\n  from: "), F.col("source"), F.lit("\nnote: |-\n  - a\n    b\nopen: true\n---\n")))
         .otherwise(F.concat(F.lit("---\ntitle: Doc "), did, F.lit("\nlang: "), F.col("lang"),
                             F.lit("\nsource: "), F.col("source"), F.lit("\n---\n")))
     )

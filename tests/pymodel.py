@@ -8,6 +8,7 @@ operators must agree with it on small inputs.
 from __future__ import annotations
 
 import itertools
+import json
 import re
 
 import numpy as np
@@ -15,34 +16,106 @@ import numpy as np
 HEADER = re.compile(r"(?=^#+ )", re.M)
 
 
+class Broken(Exception):
+    pass
+
+
+def _plain(v: str):
+    if v and v[0] in "\"'":
+        if len(v) < 2 or v[-1] != v[0]:
+            raise Broken
+        return v[1:-1]
+    v = re.split(r"(?:^|\s+)#", v)[0].strip()
+    if re.search(r":(\s|$)", v):
+        raise Broken
+    return v
+
+
+def _block(style: str, rows: list[str]) -> str:
+    margin = next((len(r) - len(r.lstrip(" ")) for r in rows if r.strip()), 0)
+    text = "\n".join(r[margin:] for r in rows).rstrip("\n")
+    if style[0] == ">":
+        text = "\n".join(" ".join(part.split("\n")) for part in text.split("\n\n"))
+    return text if style.endswith("-") or not text else text + "\n"
+
+
+def _descend(rows: list[str]):
+    """Value of some lines by recursive descent: the lines below a key or an item, cut at those of its own margin."""
+    rows = [r for r in rows if r.strip() and not r.strip().startswith("#")] if not rows or not any(
+        re.search(r"[|>][+-]?$", r) for r in rows) else rows
+    while rows and (not rows[0].strip() or rows[0].strip().startswith("#")):
+        rows = rows[1:]
+    if not rows:
+        return ""
+    margin = len(rows[0]) - len(rows[0].lstrip(" "))
+    listed = rows[0][margin:].startswith("- ")
+    if not listed and not re.match(r"[A-Za-z_][^:\"']*:(\s|$)", rows[0][margin:]):
+        raise Broken
+    groups: list[list[str]] = []
+    for r in rows:
+        own = r.strip() and len(r) - len(r.lstrip(" ")) == margin
+        if own and (listed or not r[margin:].startswith("- ")):
+            groups.append([r])
+        elif r.strip() and len(r) - len(r.lstrip(" ")) < margin:
+            raise Broken
+        else:
+            groups[-1].append(r)
+    if listed:
+        return [_item(g, margin) for g in groups]
+    found: dict = {}
+    for head, *rest in groups:
+        if not re.match(r"[A-Za-z_][^:\"']*:(\s|$)", head[margin:]):
+            raise Broken
+        key, _, value = head[margin:].partition(":")
+        found[key.strip()] = _value(value.strip(), rest)
+    return found
+
+
+def _value(value: str, rest: list[str]):
+    if re.fullmatch(r"[|>][+-]?", value):
+        return _block(value, rest)
+    if not value or value.startswith("#"):
+        return _descend(rest)
+    if any(re.search(r":(\s|$)", r) for r in rest):
+        raise Broken
+    return " ".join([_plain(value), *(_plain(r.strip()) for r in rest if r.strip())])
+
+
+def _item(group: list[str], margin: int):
+    inner = [" " * (margin + 2) + group[0][margin + 2:], *group[1:]]
+    if re.match(r"[A-Za-z_][^:\"']*:(\s|$)|- ", group[0][margin + 2:]):
+        return _descend(inner)
+    return _value(group[0][margin + 2:].strip(), group[1:])
+
+
+def _json(v):
+    if isinstance(v, dict):
+        return {k: _json(x) for k, x in v.items()}
+    if isinstance(v, list):
+        return [_json(x) for x in v]
+    return int(v) if re.fullmatch("-?(0|[1-9][0-9]*)", v) else {"": None, "true": True, "false": False}.get(v, v)
+
+
+def _shown(v) -> str:
+    if isinstance(v, list) and all(isinstance(x, str) for x in v):
+        return "[" + ", ".join(v) + "]"
+    return v if isinstance(v, str) else json.dumps(_json(v), separators=(",", ":"), ensure_ascii=False)
+
+
 def frontmatter(raw: str):
-    """(metadata pairs, content, parsed_ok) under the flat key/value rule."""
+    """(metadata pairs, content, parsed_ok)."""
     if not raw.startswith("---"):
         return [], raw, True
     end = raw.find("---", 3)
     if end < 0:
         return [], raw, True
-    entries: list[tuple[str, list[str]]] = []  # a line and the list items below it
-    for i, ln in enumerate(raw[3:end].strip().split("\n")):
-        if i and re.match(r"[ \t]*-[ \t]+", ln):
-            entries[-1][1].append(ln.strip()[1:].strip())
-        else:
-            entries.append((ln, []))
-    entries = [(ln, items) for ln, items in entries if (ln.strip() or items) and not ln.strip().startswith("#")]
-    if not all(re.match(r"[A-Za-z_][A-Za-z0-9_ .-]*:" + (r"[ \t]*$" if items else r"(\s|$)"), ln)
-               for ln, items in entries):
+    try:
+        found = _descend(raw[3:end].strip().split("\n")) or {}
+        if not isinstance(found, dict):
+            raise Broken
+    except Broken:
         return [], raw, False
-    meta: dict[str, str] = {}
-    for ln, items in entries:
-        if items:
-            meta[ln.partition(":")[0].strip()] = "[" + ", ".join(items) + "]"
-            continue
-        k, _, v = ln.partition(":")
-        v = v.strip()
-        if len(v) >= 2 and v[0] == v[-1] and v[0] in "\"'":
-            v = v[1:-1]
-        meta[k.strip()] = v
-    return list(meta.items()), raw[end + 3:].lstrip(), True
+    return [(k, _shown(v)) for k, v in found.items()], raw[end + 3:].lstrip(), True
 
 
 def sections(content: str) -> list[str]:

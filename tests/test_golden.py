@@ -261,3 +261,39 @@ def test_many_equal_sections_and_linked_items_stay_fast(spark):
     items = "- parent one\n" + "  - child\n" * 2000
     assert len(one(spark, fx.list_items_linked(F.col("v")), items)) == 2001
     assert time.time() - begin < 60
+
+
+BLOCKS = [  # block, its tree as JSON (None: does not parse)
+    ("a: 1\nb:\n  c: x # why\n  d:\n    e: true", '{"a":1,"b":{"c":"x","d":{"e":true}}}'),
+    ("a:\n- x\n- y\nb:\n  - |\n    lit: 1\n     in\n  - k: v\n    l: >-\n      f1\n      f2\n\n      f3",
+     '{"a":["x","y"],"b":["lit: 1\\n in\\n",{"k":"v","l":"f1 f2\\nf3"}]}'),
+    ("m:\n  - - a\n    - b\n  -\n    k: 1", '{"m":[["a","b"],{"k":1}]}'),
+    ("x:\n  y: 1\nz: 0\nx:\n  w: 'a: b'\n  \"q r\": [1, 2.50, t]", '{"x":{"q r":[1,2.5,"t"],"w":"a: b"},"z":0}'),
+    ("long: some text\n  goes on\nnone: ~\nvoid:\nword: '1'", '{"long":"some text goes on","none":null,"void":null,"word":"1"}'),
+    ("keep: |+\n  a\n\nnext: 1", '{"keep":"a\\n\\n","next":1}'),
+    ("# only a comment", "{}"), ("", "{}"),
+    ("a: x\n  b: y", None), ("a:\n    b: 1\n  c: 2", None), ("a: b: c", None), ("a:\n\tb: 1", None),
+    ("a: 'open", None), ("- a\n- b", None), ("a: 1\nprose", None), ("a:\n  b: 1\n  - c", None),
+]
+
+
+def test_frontmatter_tree(spark):
+    import json
+    rows = [(i, f"---\n{b}\n---\nrest") for i, (b, _) in enumerate(BLOCKS)] + [(len(BLOCKS), None)]
+    got = split_frontmatter(spark.createDataFrame(rows, "doc_id long, raw string")).selectExpr(
+        "doc_id", "to_json(metadata_tree) tree", "fm_parsed", "content").orderBy("doc_id").collect()
+    for r, (block, want) in zip(got, BLOCKS):
+        assert (r["tree"] and json.loads(r["tree"])) == (want and json.loads(want)), block
+        assert r["fm_parsed"] is (want is not None)
+        assert r["content"] == ("rest" if want is not None else f"---\n{block}\n---\nrest")
+    assert got[-1]["tree"] is None and got[-1]["content"] is None
+
+
+def test_long_blocks_that_are_no_metadata_stay_fast(spark):
+    import time
+    prose = "---\n" + "A line of prose: with: a colon.\n" * 16000 + "---\nrest"
+    keys = "---\n" + "".join(f"k{i}:\n  v: {i}\n" for i in range(300)) + "---\nrest"
+    begin = time.time()
+    got = split_frontmatter(spark.createDataFrame([(1, prose), (2, keys)], "doc_id long, raw string"))
+    assert [(r["fm_parsed"], len(r["metadata"])) for r in got.orderBy("doc_id").collect()] == [(False, 0), (True, 300)]
+    assert time.time() - begin < 60
