@@ -14,10 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import md5_bucket
-from ..plans.templates import (COMMON_PARTS, DEFAULT_TITLE_A, DEFAULT_TITLE_B, FACT_TYPE, PAIR_TYPES,
-                               QUESTION_TYPES, RECALL_TYPE, SUMMARY_TYPE, SYSTEM_PROMPT, TEMPLATES, unit_of)
+from ..plans.templates import (COMMON_PARTS, DEFAULT_TITLE_A, DEFAULT_TITLE_B, QUESTION_TYPES, RECALL_TYPE,
+                               SLOTS, SUMMARY_TYPE, SYSTEM_PROMPT, TEMPLATES, compile_template, unit_of)
 
 BATCH_SIZE = 100
+MAX_TYPES = 1000  # rows of a table of further question types
 
 
 def question_types_df(spark: SparkSession) -> DataFrame:
@@ -31,9 +32,36 @@ def request_id(doc_id: Column, section_idx: Column, question_type: Column, fact_
                              fact_number.cast("string")))
 
 
+def _unit(question_type: tuple) -> str:
+    """Unit of a type: its fourth field, or that of the catalogue."""
+    return question_type[3] if len(question_type) > 3 else unit_of(question_type[1])
+
+
 def _type_array(types) -> Column:
-    return F.array(*[F.struct(F.lit(o).alias("ordinal"), F.lit(t).alias("question_type"),
-                              F.lit(d).alias("difficulty")) for o, t, d in types])
+    return F.array(*[F.struct(F.lit(x[0]).alias("ordinal"), F.lit(x[1]).alias("question_type"),
+                              F.lit(x[2]).alias("difficulty"), F.lit(_unit(x)).alias("unit")) for x in types])
+
+
+def types_from_table(table: DataFrame) -> tuple[tuple[str, str, str, str], ...]:
+    """``Corpus(extra_types=...)`` from a table (question_type, difficulty, unit, template), in order of the type's name.
+
+    The unit is ``section``, ``pair`` (sections with a partner) or ``fact``; the template is a task text
+    with the slots of ``templates.SLOTS``. The table is a dimension that becomes part of the plan: more than
+    ``MAX_TYPES`` rows, a name twice or of the catalogue, a null, another unit or another slot are errors.
+    """
+    rows = [tuple(r) for r in table.select("question_type", "difficulty", "template", "unit").limit(MAX_TYPES + 1).collect()]
+    if len(rows) > MAX_TYPES:
+        raise ValueError(f"more than {MAX_TYPES} question types")
+    names = [r[0] for r in rows] + [t for _, t, _ in QUESTION_TYPES]
+    if len(set(names)) < len(names):
+        raise ValueError("question types must have different names, none of the catalogue's")
+    for name, difficulty, template, unit in rows:
+        if None in (name, difficulty, template) or unit not in ("section", "pair", "fact"):
+            raise ValueError(f"question type {name}: difficulty, template and a unit (section, pair, fact) are needed")
+        other = {slot for _, slot in compile_template(template) if slot} - set(SLOTS)
+        if other:
+            raise ValueError(f"question type {name}: unknown slots {sorted(other)}")
+    return tuple(sorted(rows))
 
 
 def seed_fact(section_facts: DataFrame) -> DataFrame:
@@ -80,17 +108,17 @@ def section_requests(ctx: DataFrame, types=QUESTION_TYPES) -> DataFrame:
     ctx must hold: doc_id, document_name, section_idx, partner_idx (nullable)
     and the slot columns used by :func:`render`.
     """
-    types = [t for t in types if unit_of(t[1]) != "fact"]
+    types = [t for t in types if _unit(t) != "fact"]
     g = ctx.withColumn("qt", F.explode(_type_array(types)))
-    g = g.where(~F.col("qt.question_type").isin(*PAIR_TYPES) | F.col("partner_idx").isNotNull())
+    g = g.where((F.col("qt.unit") != "pair") | F.col("partner_idx").isNotNull())
     return g.select("*", F.col("qt.question_type").alias("question_type"), F.col("qt.difficulty").alias("difficulty"),
                     F.col("qt.ordinal").alias("ordinal"), F.lit(None).cast("int").alias("fact_number")).drop("qt")
 
 
-def fact_requests(facts_ctx: DataFrame) -> DataFrame:
-    (o, t, d), = [x for x in QUESTION_TYPES if x[1] == FACT_TYPE]
-    return facts_ctx.select("*", F.lit(t).alias("question_type"), F.lit(d).alias("difficulty"),
-                            F.lit(o).alias("ordinal"))
+def fact_requests(facts_ctx: DataFrame, types=QUESTION_TYPES) -> DataFrame:
+    """One request for each fact and fact-level type."""
+    qt = F.explode(_type_array([t for t in types if _unit(t) == "fact"])).alias("qt")
+    return facts_ctx.select("*", qt).select("*", "qt.question_type", "qt.difficulty", "qt.ordinal").drop("qt")
 
 
 def finish(req: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
@@ -138,5 +166,5 @@ def chat_request_json(prompt: Column, images: Column, system_prompt: str = SYSTE
     return F.concat(F.lit("["), sys_msg, F.lit(","), user_msg, F.lit("]"))
 
 
-__all__ = ["question_types_df", "seed_fact", "partners", "render", "section_requests", "fact_requests", "finish",
+__all__ = ["question_types_df", "seed_fact", "partners", "render", "section_requests", "fact_requests", "finish", "types_from_table",
            "payload", "chat_request_json", "common_instructions", "DEFAULT_TITLE_A", "DEFAULT_TITLE_B"]

@@ -49,8 +49,9 @@ class Corpus:
     block_size: int = 512
     responses_df: DataFrame | None = None  # request_id, attempt, text
     bounds: Bounds = Bounds()
-    # further section-level question types: (name, difficulty, task text with slots, see templates.compile_template)
-    extra_types: tuple[tuple[str, str, str], ...] = ()
+    # further question types: (name, difficulty, task text with slots, see templates.compile_template) and the unit
+    # "section" (default), "pair" or "fact"; requests.types_from_table reads them from a table
+    extra_types: tuple[tuple[str, ...], ...] = ()
     batch_size: int = rq.BATCH_SIZE
     max_retries: int = rs.MAX_RETRIES
     # How reused stage outputs are kept: "table" writes them as parquet into the
@@ -182,13 +183,14 @@ class Corpus:
 
     # --- requests -------------------------------------------------------------
     @property
-    def question_types(self) -> tuple[tuple[int, str, str], ...]:
+    def question_types(self) -> tuple[tuple, ...]:
         first = max(o for o, _, _ in QUESTION_TYPES) + 1
-        return (*QUESTION_TYPES, *((first + i, t, d) for i, (t, d, _) in enumerate(self.extra_types)))
+        return (*QUESTION_TYPES, *((first + i, x[0], x[1], x[3] if len(x) > 3 else "section")
+                                   for i, x in enumerate(self.extra_types)))
 
     @property
     def templates(self) -> dict:
-        return {**TEMPLATES, **{t: compile_template(task) for t, _, task in self.extra_types}}
+        return {**TEMPLATES, **{x[0]: compile_template(x[2]) for x in self.extra_types}}
 
     @staticmethod
     def doc_context_columns() -> list:
@@ -260,7 +262,7 @@ class Corpus:
             f = (self.facts.join(ctx.drop("document_name"), ["doc_id", "section_idx"])
                  .join(fctx.select(*fkeys, F.col("neighbour_text").alias("fact_neighbour_text")), fkeys, "left")
                  .withColumn("fact_neighbour_text", F.coalesce("fact_neighbour_text", F.lit(NO_NEIGHBOURS))))
-            frq = rq.fact_requests(f).withColumn("prompt", rq.render(self._slots(True), F.col("question_type"), self.templates))
+            frq = rq.fact_requests(f, self.question_types).withColumn("prompt", rq.render(self._slots(True), F.col("question_type"), self.templates))
             cols = ["doc_id", "document_name", "section_idx", "fact_number", "question_type", "difficulty",
                     "ordinal", "unit_size", "prompt", F.col("all_images").alias("images")]
             return rq.finish(srq.select(*cols).unionByName(frq.select(*cols)), self.batch_size)
@@ -291,7 +293,7 @@ class Corpus:
                     "unit_size"]
             f = self.facts.select("doc_id", "document_name", "section_idx", "fact_number", "unit_size")
             return rq.finish(rq.section_requests(sec, self.question_types).select(*cols)
-                             .unionByName(rq.fact_requests(f).select(*cols)), self.batch_size)
+                             .unionByName(rq.fact_requests(f, self.question_types).select(*cols)), self.batch_size)
         return self._m("request_keys", lambda: self._keep(build(), "request_keys"))
 
     @property

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from mdquarry.operators import audit as au
 from mdquarry.operators import dataset as ds
 from mdquarry.operators import images as im
+from mdquarry.operators import requests as rq
 from mdquarry.operators import responses as rs
 from mdquarry.plans.corpus import Corpus
 from mdquarry.sources.markdown import read_markdown_dir
@@ -229,6 +230,26 @@ def test_a_sixteenth_question_type_without_editing_the_package(spark, corpus_dir
     assert {r["batch_id"] for r in rows} == {r["section_idx"] - 1 for r in rows}
 
 
+def test_question_types_of_every_unit_from_a_table(spark, corpus_dir):
+    schema = "question_type string, difficulty string, unit string, template string, note string"
+    table = spark.createDataFrame([("A_FACT", "hard", "fact", "Doubt {fact}.", None), ("A_PAIR", "easy", "pair", "{title_a} or {title_b}?", "x"),
+                                   ("A_SECTION", "easy", "section", "Retell {title}.", "x")], schema)
+    c = Corpus(read_markdown_dir(spark, os.path.join(corpus_dir, "markdown_docs")), persist="none",
+               manifest_df=im.manifest_from_dir(spark, corpus_dir), extra_types=rq.types_from_table(table))
+    got = {}
+    for r in c.requests.where("ordinal > 15").collect():
+        got.setdefault(r["question_type"], []).append(r)
+    assert len(got["A_FACT"]) == c.facts.count() and all(r["prompt"].startswith("Doubt ") for r in got["A_FACT"])
+    assert len(got["A_PAIR"]) == c.sections.where("partner_idx is not null").count() > 0
+    assert len(got["A_SECTION"]) == c.sections.count()
+    keys = c.request_keys.where("ordinal > 15").select("request_id").collect()
+    assert {k["request_id"] for k in keys} == {r["request_id"] for rows in got.values() for r in rows}
+    assert rq.types_from_table(table.limit(0)) == ()
+    for bad in [("FACT_BASED", "easy", "fact", "x"), ("B", "easy", "chapter", "x"), ("B", "easy", "fact", "{nothing}"), ("B", None, "fact", "x")]:
+        with pytest.raises(ValueError):
+            rq.types_from_table(spark.createDataFrame([(*bad, None)], schema))
+
+
 def test_every_name_in_a_folder(spark, tmp_path):
     texts = {"_x": "# u", ".x": "# d", "sp ace": "# s\nsee {{pic 1}} and {{fig_1}}", "100%": "# p", "a+b": "# +", "a%20b": "# c",
              "empty": "", "a.b": "# ab", "é": "# e"}
