@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_and_text, keep, read
+from .common import binary, id_and_text, keep, read, unpack
 from .ragged import KeyTable, mix, word_rows
 
 VOCABULARY = 8192
@@ -40,8 +40,10 @@ WIDTH = 16
 SIDE = 2
 ROUNDS = 2
 BATCH = 8192
+BLOCK = 512  # rows of a softmax at a time: what fits into a core's cache
 RATE = 0.3
 FLUSH = 1 << 20
+PACK = 1 << 18  # words whose surroundings are held at a time
 _PLACES = [o for o in range(-SIDE, SIDE + 1) if o]
 
 
@@ -158,20 +160,44 @@ class Network:
         return other
 
     def hidden(self, around: np.ndarray) -> np.ndarray:
-        """Hidden layer of places from the ids around them (one column for each place of the window)."""
+        """Hidden layer of places from the ids around them (one column for each place of the window), and a 1."""
+        one = np.ones((len(around), WIDTH + 1), np.float32)
         h = np.zeros((len(around), WIDTH), np.float32)
         for k in range(len(_PLACES)):
-            h += self.context[k * (len(self.words) + 1) + around[:, k], :WIDTH]
-        return np.tanh(h)
+            h += self.context.take(around[:, k] + k * (len(self.words) + 1), axis=0)[:, :WIDTH]
+        np.tanh(h, out=one[:, :WIDTH])
+        return one
 
 
-def _softmax(rows: np.ndarray, h: np.ndarray) -> np.ndarray:
-    p = h @ rows[:, :WIDTH].T
-    p += rows[:, WIDTH]
-    p -= p.max(axis=1, keepdims=True)
-    np.exp(p, out=p)
-    p /= p.sum(axis=1, keepdims=True)
-    return p
+def _order(ids: np.ndarray) -> np.ndarray:
+    """Stable order of small numbers: those of 16 bits are sorted by their digits."""
+    return np.argsort(ids.astype(np.uint16) if len(ids) and ids.max() < 1 << 16 else ids, kind="stable")
+
+
+SAFE = 60.0  # scores of at most this size have exponentials, and sums of them, within the range of float32
+
+
+def _bounded(net: Network) -> bool:
+    """Whether no score can leave the safe range: the hidden layer lies between -1 and 1."""
+    return float(np.abs(net.rows[net.shape[0]:]).sum(axis=1).max()) <= SAFE
+
+
+def _scores(rows: np.ndarray, one: np.ndarray, bounded: bool) -> np.ndarray:
+    """Scores of the rows, less the greatest where they might leave the range; ``one`` is the hidden layer and a 1."""
+    z = one @ rows.T
+    if not bounded:
+        z -= z.max(axis=1, keepdims=True)
+    return z
+
+
+def _softmax(rows: np.ndarray, one: np.ndarray, bounded: bool) -> np.ndarray:
+    out = np.empty((len(one), len(rows)), np.float32)
+    ones = np.ones((len(rows), 1), np.float32)
+    for at in range(0, len(one), BLOCK):
+        p = _scores(rows, one[at:at + BLOCK], bounded)
+        np.exp(p, out=p)
+        np.divide(p, p @ ones, out=out[at:at + BLOCK])
+    return out
 
 
 def around(ids: np.ndarray, off: np.ndarray, outside: int) -> np.ndarray:
@@ -183,29 +209,30 @@ def around(ids: np.ndarray, off: np.ndarray, outside: int) -> np.ndarray:
     return np.stack([padded[slot + o] for o in _PLACES], axis=1)
 
 
-def _log_of(rows: np.ndarray, h: np.ndarray, pick: np.ndarray) -> np.ndarray:
+def _log_of(rows: np.ndarray, one: np.ndarray, pick: np.ndarray, bounded: bool) -> np.ndarray:
     """Log of the softmax at one place of each row."""
-    z = h @ rows[:, :WIDTH].T
-    z += rows[:, WIDTH]
-    z -= z.max(axis=1, keepdims=True)
-    got = z[np.arange(len(pick)), pick]
-    np.exp(z, out=z)
-    return got - np.log(z.sum(axis=1))
+    out, ones = np.empty(len(one), np.float32), np.ones(len(rows), np.float32)
+    for at in range(0, len(one), BLOCK):
+        z = _scores(rows, one[at:at + BLOCK], bounded)
+        got = z[np.arange(len(z)), pick[at:at + BLOCK]]
+        np.exp(z, out=z)
+        out[at:at + BLOCK] = got - np.log(z @ ones)
+    return out
 
 
 def log_probabilities(net: Network, ids: np.ndarray, context: np.ndarray) -> np.ndarray:
     """Log probability of every word given the words around it."""
     out = np.zeros(len(ids))
-    size = net.words.size
+    size, bounded = net.words.size, _bounded(net)
     for at in range(0, len(ids), 4 * BATCH):
         target = ids[at:at + 4 * BATCH]
-        h = net.hidden(context[at:at + 4 * BATCH])
+        one = net.hidden(context[at:at + 4 * BATCH])
         kind, place = target // size, target % size
-        score = _log_of(net.class_rows, h, kind).astype(float)
-        order = np.argsort(kind, kind="stable")
+        score = _log_of(net.class_rows, one, kind, bounded).astype(float)
+        order = _order(kind)
         cuts = np.flatnonzero(np.diff(kind[order])) + 1
         for part in np.split(order, cuts):
-            score[part] += _log_of(net.word_rows[kind[part[0]]], h[part], place[part])
+            score[part] += _log_of(net.word_rows[kind[part[0]]], one.take(part, axis=0), place[part], bounded)
         out[at:at + 4 * BATCH] = score - net.words.spread[target]
     return out
 
@@ -213,38 +240,43 @@ def log_probabilities(net: Network, ids: np.ndarray, context: np.ndarray) -> np.
 def _learn(net: Network, squares: np.ndarray, touched: np.ndarray, target: np.ndarray, context: np.ndarray) -> None:
     """One step of AdaGrad on a batch of words."""
     size, e, c = net.words.size, net.shape[0], net.words.classes
-    h = net.hidden(context)
+    one, bounded = net.hidden(context), _bounded(net)
+    h = one[:, :WIDTH]
     kind, place = target // size, target % size
-    one = np.concatenate([h, np.ones((len(h), 1), np.float32)], axis=1)
-    p = _softmax(net.class_rows, h)
+    p = _softmax(net.class_rows, one, bounded)
     p[np.arange(len(target)), kind] -= 1
     back = p @ net.class_rows[:, :WIDTH]
-    rows, grads = [np.arange(e, e + c)], [p.T @ one]
+    # every class and word of a class has its place here; no step where the gradient is 0
+    grads = np.zeros((len(net.rows) - e, WIDTH + 1), np.float32)
+    grads[:c] = p.T @ one
     touched[e:e + c] += len(target)
-    order = np.argsort(kind, kind="stable")
+    order = _order(kind)
     for part in np.split(order, np.flatnonzero(np.diff(kind[order])) + 1):
         k = kind[part[0]]
-        p = _softmax(net.word_rows[k], h[part])
+        mine = one.take(part, axis=0)
+        p = _softmax(net.word_rows[k], mine, bounded)
         p[np.arange(len(part)), place[part]] -= 1
         back[part] += p @ net.word_rows[k][:, :WIDTH]
-        mine = e + c + k * size + np.arange(size)
-        rows.append(mine)
-        grads.append(p.T @ one[part])
-        touched[mine] += len(part)
+        at = c + k * size
+        grads[at:at + size] = p.T @ mine
+        touched[e + at:e + at + size] += len(part)
     back *= 1 - h * h
     for j in range(len(_PLACES)):
         ids = context[:, j]
-        order = np.argsort(ids, kind="stable")
-        first = np.flatnonzero(np.append(True, np.diff(ids[order]) > 0))
-        g = np.zeros((len(first), WIDTH + 1), np.float32)
-        g[:, :WIDTH] = np.add.reduceat(back[order], first, axis=0)
-        mine = j * (len(net.words) + 1) + ids[order][first]
-        rows.append(mine)
-        grads.append(g)
+        order = _order(ids)
+        ordered = ids[order]
+        first = np.flatnonzero(np.append(True, np.diff(ordered) > 0))
+        g = np.add.reduceat(back.take(order, axis=0), first, axis=0)
+        mine = j * (len(net.words) + 1) + ordered[first]
         touched[mine] += np.diff(np.append(first, len(ids)))
-    rows, grads = np.concatenate(rows), np.concatenate(grads)
-    squares[rows] += grads * grads
-    net.rows[rows] -= RATE * grads / np.sqrt(squares[rows] + 1e-6)
+        wide = np.zeros((len(first), WIDTH + 1), np.float32)
+        wide[:, :WIDTH] = g
+        seen = squares.take(mine, axis=0)
+        seen += wide * wide
+        squares[mine] = seen
+        net.rows[mine] -= RATE * wide / np.sqrt(seen + 1e-6)
+    squares[e:] += grads * grads
+    net.rows[e:] -= RATE * grads / np.sqrt(squares[e:] + 1e-6)
 
 
 def _of_round(ids: np.ndarray, context: np.ndarray, turn: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -255,8 +287,41 @@ def _of_round(ids: np.ndarray, context: np.ndarray, turn: int, rounds: int = ROU
     return np.flatnonzero((h % np.uint64(rounds)).astype(np.int64) == turn)
 
 
+def encode(docs: DataFrame, words: Words | None) -> DataFrame:
+    """doc_id, ids: the ids of every text's words, written by the tasks once for all later passes."""
+    sent = docs.sparkSession.sparkContext.broadcast(vars(words) if words else None)
+
+    def run(batches):
+        known, table = None, None
+        if sent.value:
+            known = object.__new__(Words)
+            vars(known).update(sent.value)
+            table = known.table()
+        kind = np.uint16 if known is None or len(known) <= 1 << 16 else np.uint32
+        for b in batches:
+            for first, h, _, _, off in word_rows(b.column(1).to_pylist()):
+                ids = known.ids(table, h) if len(h) else h
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(first, len(off) - 1), binary(ids.astype(kind), off)], ["doc_id", "ids"])
+
+    d = id_and_text(docs)
+    return d.mapInArrow(run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, ids binary")
+
+
+def _packs(column: pa.Array, words: Words | None):
+    """(first row, ids, offsets) of runs of rows with about ``PACK`` words, a longer row alone."""
+    kind = np.dtype(np.uint16 if words is None or len(words) <= 1 << 16 else np.uint32)
+    size = np.asarray(pa.compute.binary_length(column)).astype(np.int64) // kind.itemsize
+    turn = (np.cumsum(size) - size) // PACK
+    cuts = [0, *(np.flatnonzero(np.diff(turn)) + 1), len(size)]
+    for first, last in zip(cuts, cuts[1:]):
+        if last > first:
+            ids, off = unpack(column.slice(first, last - first), kind)
+            yield first, ids.astype(np.int64), off
+
+
 def _round(docs: DataFrame, net: Network, turn: int, rounds: int) -> Network:
-    """One round of training over all documents."""
+    """One round of training over all encoded documents."""
     sent = docs.sparkSession.sparkContext.broadcast(net.state())
     names = [f"v{i}" for i in range(WIDTH + 1)]
 
@@ -264,7 +329,6 @@ def _round(docs: DataFrame, net: Network, turn: int, rounds: int) -> Network:
         base = Network.of_state(sent.value)
         mine = base.with_rows(base.rows)
         squares, touched = np.full(base.rows.shape, 0.1, np.float32), np.zeros(len(base.rows), np.int64)
-        table = base.words.table()
         wait: list[tuple[np.ndarray, np.ndarray]] = []
 
         def learn(least):
@@ -280,8 +344,7 @@ def _round(docs: DataFrame, net: Network, turn: int, rounds: int) -> Network:
                 wait.append((target[whole:], context[whole:]))
 
         for b in batches:
-            for _, h, _, _, off in word_rows(b.column(0).to_pylist()):
-                ids = base.words.ids(table, h)
+            for _, ids, off in _packs(b.column(0), base.words):
                 context = around(ids, off, len(base.words))
                 at = _of_round(ids, context, turn, rounds)
                 wait.append((ids[at], context[at]))
@@ -292,7 +355,7 @@ def _round(docs: DataFrame, net: Network, turn: int, rounds: int) -> Network:
             [pa.array(row.astype(np.int32)), pa.array(touched[row]),
              *(pa.array(mine.rows[row, i]) for i in range(WIDTH + 1))], ["row", "n", *names])
 
-    got = id_and_text(docs).select("text").mapInArrow(
+    got = docs.select("ids").mapInArrow(
         run, "row int, n long, " + ", ".join(f"{c} float" for c in names))
     mean = got.groupBy("row").agg(*(
         (F.sum(F.col(c).cast("double") * F.col("n")) / F.sum("n")).cast("float").alias(c) for c in names))
@@ -305,29 +368,30 @@ def _round(docs: DataFrame, net: Network, turn: int, rounds: int) -> Network:
     return net.with_rows(rows)
 
 
-def train(docs: DataFrame, size: int = VOCABULARY, rounds: int = ROUNDS) -> Network | None:
-    """A network trained on all documents, or nothing if they hold no word."""
-    words = vocabulary(keep(count_words(docs), "words"), size)
-    if not words.n_words:
-        return None
+def _train(docs: DataFrame, words: Words, rounds: int) -> Network:
+    """A network trained on encoded documents."""
     net = Network(words)
     for turn in range(rounds):
         net = _round(docs, net, turn, rounds)
     return net
 
 
-def score(docs: DataFrame, net: Network | None) -> DataFrame:
-    """doc_id, n_tokens, pll, mean_pll of every row."""
+def train(docs: DataFrame, size: int = VOCABULARY, rounds: int = ROUNDS) -> Network | None:
+    """A network trained on all documents, or nothing if they hold no word."""
+    words = vocabulary(keep(count_words(docs), "words"), size)
+    return _train(keep(encode(docs, words), "ids"), words, rounds) if words.n_words else None
+
+
+def _score(docs: DataFrame, net: Network | None) -> DataFrame:
+    """doc_id, n_tokens, pll, mean_pll of every row of encoded documents."""
     sent = docs.sparkSession.sparkContext.broadcast(net.state() if net else None)
 
     def run(batches):
         model = Network.of_state(sent.value) if sent.value else None
-        table = model.words.table() if model else None
         for b in batches:
-            for first, h, _, _, off in word_rows(b.column(1).to_pylist()):
-                total = np.zeros(len(h) + 1)
-                if len(h):
-                    ids = model.words.ids(table, h)
+            for first, ids, off in _packs(b.column(1), model.words if model else None):
+                total = np.zeros(len(ids) + 1)
+                if len(ids):
                     np.cumsum(log_probabilities(model, ids, around(ids, off, len(model.words))), out=total[1:])
                 n = np.diff(off)
                 pll = np.where(n > 0, total[off[1:]] - total[off[:-1]], 0.0)
@@ -335,11 +399,18 @@ def score(docs: DataFrame, net: Network | None) -> DataFrame:
                     [b.column(0).slice(first, len(n)), pa.array(n), pa.array(pll),
                      pa.array(pll / np.maximum(n, 1), mask=n == 0)], ["doc_id", "n_tokens", "pll", "mean_pll"])
 
-    d = id_and_text(docs)
-    return d.mapInArrow(run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, n_tokens long, pll double, "
-                             "mean_pll double")
+    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, pll double, "
+                                "mean_pll double")
+
+
+def score(docs: DataFrame, net: Network | None) -> DataFrame:
+    """doc_id, n_tokens, pll, mean_pll of every row."""
+    return _score(encode(docs, net.words if net else None), net)
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    return score(docs, train(docs))
+    words = vocabulary(keep(count_words(docs), "words"))
+    # the texts are cut into words twice: to count them, and to write their ids for training and scores
+    encoded = keep(encode(docs, words), "ids")
+    return _score(encoded, _train(encoded, words, ROUNDS) if words.n_words else None)

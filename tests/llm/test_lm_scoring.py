@@ -122,3 +122,41 @@ def test_the_rounds_learn_every_word_once(docs_of, monkeypatch):
     assert all(moved[k * (len(net.words) + 1) + around[:, k]].all() for k in range(around.shape[1]))
     places = np.concatenate([lm._of_round(ids, around, t) for t in range(lm.ROUNDS)])
     assert sorted(places.tolist()) == list(range(len(ids)))
+
+
+@pytest.mark.parametrize("wide", [0.5, 50.0])
+def test_probabilities_agree_with_a_plain_softmax_in_and_out_of_the_safe_range(wide):
+    rng = np.random.default_rng(3)
+    words = lm.Words(np.arange(1, 50, dtype=np.int64), np.arange(50, 1, -1), np.full(lm.RARE, 2), np.ones(lm.RARE, np.int64))
+    net = lm.Network(words)
+    net.rows[:] = rng.normal(0, wide, net.rows.shape)
+    assert lm._bounded(net) == (wide < 1)
+    ids = rng.integers(0, len(words), 1500)
+    context = lm.around(ids, np.array([0, len(ids)]), len(words))
+    h = net.hidden(context).astype(float)
+    assert (h[:, -1] == 1).all()
+
+    def log_softmax(rows):
+        z = np.einsum("ij,...kj->i...k" if rows.ndim > 2 else "ij,kj->ik", h, rows.astype(float))
+        z -= z.max(axis=-1, keepdims=True)
+        return z - np.log(np.exp(z).sum(axis=-1, keepdims=True))
+
+    kind, place, at = ids // words.size, ids % words.size, np.arange(len(ids))
+    plain = log_softmax(net.class_rows)[at, kind] + log_softmax(net.word_rows)[at, kind, place] - words.spread[ids]
+    assert np.allclose(lm.log_probabilities(net, ids, context), plain, rtol=1e-3, atol=1e-3)
+
+
+def test_encoded_texts_are_read_back_in_packs_without_a_lost_word(docs_of, monkeypatch):
+    monkeypatch.setattr(lm, "PACK", 3)
+    texts = ["the of and that", "", "the", None, "and of the that the of unseen"]
+    docs = docs_of([(i, t) for i, t in enumerate(texts)])
+    w = lm.vocabulary(lm.count_words(docs))
+    rows = lm.encode(docs, w).toArrow()
+    table = w.table()
+    got = {}
+    for first, ids, off in lm._packs(rows.column("ids").combine_chunks(), w):
+        for i in range(len(off) - 1):
+            got[rows.column("doc_id")[first + i].as_py()] = ids[off[i]:off[i + 1]].tolist()
+    for i, t in enumerate(texts):
+        h = words([t or ""])[0]
+        assert got[i] == (w.ids(table, h).tolist() if len(h) else [])
