@@ -77,3 +77,45 @@ def test_only_tables_read_again_are_written(spark, tmp_path):
     assert written == ["docs", "manifest", "section_facts", "answered", "units", "firsts", "qa"]
     assert set(c._memo["section_facts"].columns) >= {"title", "body", "n_facts"}
     c.unpersist()
+
+
+def _settled(spark, unit_requests, texts):
+    """Both ways to the same chain: by unit and joins, and by rows that are settled where responses meet requests."""
+    req = spark.createDataFrame(unit_requests, REQUESTS)
+    resp = spark.createDataFrame(texts, rs.RESPONSE_SCHEMA)
+    answers = rs.answered(req, rs.parse(resp))
+    out = rs.unit_outcomes(answers, req)
+    firsts = rs.first_success(out)
+    rows = rs.settled(req, resp)
+    now = rs.settled_outcomes(rows, req, rs.parse(resp))
+    pairs = rs.settled_pairs(rows)
+    return rows, [
+        (out, now.select(*out.columns)), (firsts, rs.settled_firsts(now)),
+        (rs.failures(out, firsts), rs.settled_failures(now)),
+        (rs.still_failing(out, firsts), rs.settled_still_failing(now)),
+        (rs.qa_rows(answers, firsts).select(*pairs.columns), pairs)]
+
+
+def test_settled_rows_tell_what_joins_by_unit_tell(spark):
+    req = [("s1", 1, "d", 1, None, "SUMMARY", "easy", True, 1), ("s2", 1, "d", 2, None, "SUMMARY", "easy", True, 1),
+           ("n1", None, "d", 1, None, "SUMMARY", "easy", True, 1), ("t1", 3, "d", 1, None, "SUMMARY", "easy", True, 1),
+           ("t1", 3, "e", 1, None, "SUMMARY", "easy", True, 1),
+           *((f"f{i}", 1, "d", 1, i, "FACT_BASED", "easy", None, 3) for i in range(3)),
+           *((f"g{i}", 2, "d", 1, i, "FACT_BASED", "easy", None, 2) for i in range(2))]
+    texts = [("s1", 1, "no"), ("s1", 2, OK), ("s1", 3, OK), ("s1", 2, OK), ("s2", 1, None), ("s2", 2, "{no}"),
+             ("n1", 1, OK), ("t1", 1, OK), ("f0", 1, OK), ("f1", 1, OK), ("f2", 1, "no"), ("f0", 2, OK), ("f2", 2, OK),
+             ("f0", 3, OK), ("f1", 3, OK), ("f2", 3, OK), ("g0", 1, OK), ("g1", 1, None), ("g0", 2, "no"), ("x", 1, OK)]
+    rows, both = _settled(spark, req, texts)
+    for want, got in both:
+        assert sorted(map(repr, want.collect())) == sorted(map(repr, got.collect()))
+    assert rows.where("is_pair").count() == 1 + 1 + 3  # with the unit without a document, which is no pair of a join
+
+
+def test_answers_of_whole_sections_are_not_dealt_by_unit(spark):
+    req = spark.createDataFrame([("s1", 1, "d", 1, None, "SUMMARY", "easy", True, 1)], REQUESTS)
+    resp = spark.createDataFrame([("s1", 1, OK)], rs.RESPONSE_SCHEMA)
+    rows = rs.settled(req, resp)
+    for d in (rs.settled_pairs(rows), rs.settled_failures(rs.settled_outcomes(rows, req, rs.parse(resp), lambda d, n: d))):
+        p = _plan(d)
+        dealt = [x for x in p.splitlines() if "hashpartitioning(doc_id" in x]
+        assert len(dealt) == 1 and "SortMergeJoin [doc_id" not in p  # the answers of facts, once
