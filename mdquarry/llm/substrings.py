@@ -454,12 +454,17 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     A row of which no word is left goes; rows without a repeated passage stay
     as they are. A row is known by its id and its text, so places found in one
     text of an id are not cut out of another one; rows without an id keep their
-    text. Equal rows are one document.
+    text. Equal rows are one document. Where no id has several texts, the id alone
+    knows its row: it goes with every window, run and link, so its width counts.
     """
     names = docs.columns
     key_, spans_, mine_ = unused(names, "_key", "_spans", "_mine")
-    mine = F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
     known = docs.where(F.col("doc_id").isNotNull())
+    texts = known.select("doc_id", F.xxhash64("text").alias("text")).groupBy("doc_id").agg(
+        F.min("text").alias("low"), F.max("text").alias("high"))
+    mine = F.col("doc_id")
+    if not texts.where(F.col("low") != F.col("high")).isEmpty():
+        mine = F.struct(mine.alias("id"), F.xxhash64("text").alias("text"))
     spans = passages(known.select(mine.alias("doc_id"), "text")).groupBy("doc_id").agg(
         F.collect_set(F.struct("start", "end")).alias(spans_)).withColumnRenamed("doc_id", key_)
     at = names.index("text")

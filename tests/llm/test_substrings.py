@@ -144,6 +144,17 @@ def test_places_of_one_text_are_not_cut_out_of_another_of_its_id(spark, docs_of)
     assert [len(t.split()) for t in other] == [60] and clean[5] in kept
 
 
+def test_ids_with_one_text_are_not_widened(spark, docs_of, planted, monkeypatch):
+    from mdquarry.llm import substrings
+
+    kinds, passages = [], substrings.passages
+    monkeypatch.setattr(substrings, "passages", lambda d: kinds.append(d.schema["doc_id"].dataType.simpleString()) or passages(d))
+    text = "one text"
+    for rows in ([(1, text), (1, text), (2, "other"), (None, text), (None, "x")], [(1, text), (1, "other")], [(1, None), (1, text)]):
+        assert sorted(map(repr, substrings.cut_repeats(docs_of(rows)).collect())) == sorted(map(repr, docs_of(rows).collect()))
+    assert kinds[0] == "bigint" and all(k.startswith("struct") for k in kinds[1:])
+
+
 def test_scratch_columns_with_the_names_of_the_table(spark, docs_of, planted):
     from pyspark.sql import functions as F
     d = docs_of(planted)
