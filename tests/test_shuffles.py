@@ -2,6 +2,8 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 from mdquarry.operators import requests as rq
 from mdquarry.operators import responses as rs
 
@@ -119,3 +121,17 @@ def test_answers_of_whole_sections_are_not_dealt_by_unit(spark):
         p = _plan(d)
         dealt = [x for x in p.splitlines() if "hashpartitioning(doc_id" in x]
         assert len(dealt) == 1 and "SortMergeJoin [doc_id" not in p  # the answers of facts, once
+
+
+def test_settled_answers_keep_their_number_of_tasks_and_pack_ids(spark):
+    ids = ["0123456789abcdef" * 2, "0" * 32, "0123456789ABCDEF" * 2, "0123456789abcdef" * 2 + "\n", "", "x" * 16, "é"]
+    d = spark.createDataFrame([(x,) for x in ids], "i string").withColumn("p", rs.packed(F.col("i")))
+    assert [r.i for r in d.select(rs.unpacked(F.col("p")).alias("i")).collect()] == ids
+    assert [len(r.p) == 16 for r in d.collect()] == [True, True] + [False] * 5
+    req = spark.createDataFrame([(x, 1, "d", 1, i, "T", "easy", None, len(ids)) for i, x in enumerate(ids)], REQUESTS)
+    resp = spark.createDataFrame([(x, 1, OK) for x in ids], rs.RESPONSE_SCHEMA)
+    rows = rs.settled(req, resp)
+    n = rs.DEAL * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = re.findall(rf", {n}\), REPARTITION_BY_NUM", _plan(rows))
+    assert len(dealt) >= 2 and "REPARTITION_BY_COL" not in _plan(rows)  # by request, by unit: never merged into few tasks
+    assert sorted(r.request_id for r in rows.collect()) == sorted(ids)
