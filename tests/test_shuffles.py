@@ -135,3 +135,23 @@ def test_settled_answers_keep_their_number_of_tasks_and_pack_ids(spark):
     dealt = re.findall(rf", {n}\), REPARTITION_BY_NUM", _plan(rows))
     assert len(dealt) >= 2 and "REPARTITION_BY_COL" not in _plan(rows)  # by request, by unit: never merged into few tasks
     assert sorted(r.request_id for r in rows.collect()) == sorted(ids)
+
+
+def _sections(spark, texts):
+    return spark.createDataFrame(
+        [(d, f"d{d}", len(t), i, x) for d, t in texts.items() for i, x in enumerate(t, 1)],
+        "doc_id long, document_name string, n_sections int, section_idx int, section string")
+
+
+def test_sections_are_dealt_out_once_for_their_neighbours(spark):
+    from mdquarry.operators.neighbours import Neighbours
+    texts = {1: ["red green", "green blue", "blue blue red"], 2: ["one two", "the", "two one two"], 3: ["alone"]}
+    s = _sections(spark, texts)
+    for bounds in ({}, {"max_chars": 9, "max_terms": 2}):
+        found = Neighbours(s, **bounds).of_sections()
+        # sections by document, then their few nearest ones by query; no row for each term
+        assert len(re.findall("Exchange hashpartitioning", _plan(found))) == 2
+        got = {(r["doc_id"], r["section_idx"], r["rank"], r["nbr_idx"], round(r["sim"], 3)) for r in found.collect()}
+        assert (2, 1, 1, 3, 1.0 if bounds else 0.949) in got and (2, 2, 1, 1, 0.0) in got and not any(g[0] == 3 for g in got)
+        # of document 1 only two terms stay, red is counted once less than blue and green (cut after 9 characters)
+        assert ((1, 1, 1, 2, 1.0) in got) == bool(bounds)
