@@ -220,3 +220,9 @@ def test_earlier_variants_hide_no_near_passage(spark, docs_of, earlier):
     found = [x for x in want if (x[0], x[3]) in links and _covered(spans, *x[:3], 28)]
     assert len(found) >= 0.99 * len(want)
     assert {d for d, _ in links} == {x[0] for x in want}
+
+
+def test_kept_tables_are_compressed_with_zstd(spark):
+    from mdquarry.llm.common import keep
+    kept = keep(spark.range(10), "kept")
+    assert all(f.endswith(".zstd.parquet") for f in kept.inputFiles()) and kept.count() == 10
