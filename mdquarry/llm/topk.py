@@ -143,42 +143,77 @@ def _products(m: np.ndarray, x: np.ndarray, reach: np.ndarray) -> np.ndarray:
     return scores
 
 
+_ROW = ["dim", "part", "side", "ids", "data", "bounds", "longest", "least"]
+
+
 def _score(k: int):
-    """Rows (a block of queries with its bounds, a bucket) to query_id, vec_id, score."""
+    """Sorted rows of a part (its buckets, side 0, then blocks of queries with their bounds) to query_id, vec_id, score.
+
+    A task holds the buckets of one part and one batch of queries.
+    """
+    def bucket(r):
+        ids, m = np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["data"], "<i8").reshape(-1, r["dim"])
+        f = m.astype(np.float64)
+        norms = np.sqrt((f * f).sum(1))
+        order = np.argsort(-norms, kind="stable")
+        ids, m, norms, f = ids[order], m[order], norms[order], f[order]
+        return ids, m, norms, f, f / np.where(norms == 0, 1, norms)[:, None], float(np.abs(f).max(initial=0)), r["longest"]
+
+    def found(r, ids, m, norms, f, unit, widest, longest):
+        # no vector of the bucket reaches the lowest bound of the block
+        if r["least"] is not None and r["longest"] * longest * (1 + 1e-9) < r["least"]:
+            return
+        q_ids, q = np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["data"], "<i8").reshape(-1, r["dim"])
+        bounds = np.frombuffer(r["bounds"], "<i8") if r["bounds"] else np.zeros(len(q_ids), np.int64)
+        # integers below 2**53 make float products exact; larger ones take the integer path
+        largest = float(np.abs(q.astype(np.float64)).max(initial=0))
+        exact = m.size and widest * largest * r["dim"] < 2**52
+        out = ([], [], [])
+        for i, (key, x) in enumerate(zip(q_ids, q)):
+            y = x.astype(np.float64)
+            length = float(np.sqrt(y @ y))
+            left = _prune(y, length, float(bounds[i]), unit, norms)
+            left = left[ids[left] != key]
+            if not len(left):
+                continue
+            scores = (f[left] @ y).astype(np.int64) if exact else _products(m[left], x, norms[left] * length)
+            best = _top(ids[left], scores, k)
+            best = best[scores[best] >= bounds[i]] if bounds[i] > 0 else best
+            out[0].append(np.full(len(best), key))
+            out[1].append(ids[left][best])
+            out[2].append(scores[best])
+        if out[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in out],
+                                             ["query_id", "vec_id", "score"])
+
     def run(batches):
+        key, held = None, []
         for b in batches:
-            for r in b.to_pylist():
-                q_ids, q = np.frombuffer(r["q_ids"], "<i8"), np.frombuffer(r["q_data"], "<i8").reshape(-1, r["dim"])
-                ids, m = np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["data"], "<i8").reshape(-1, r["dim"])
-                bounds = np.frombuffer(r["q_bounds"], "<i8") if r["q_bounds"] else np.zeros(len(q_ids), np.int64)
-                f = m.astype(np.float64)
-                norms = np.sqrt((f * f).sum(1))
-                order = np.argsort(-norms, kind="stable")
-                ids, m, norms, f = ids[order], m[order], norms[order], f[order]
-                unit = f / np.where(norms == 0, 1, norms)[:, None]
-                found = ([], [], [])
-                # integers below 2**53 make float products exact; larger ones take the integer path
-                largest = float(np.abs(q.astype(np.float64)).max(initial=0))
-                exact = m.size and float(np.abs(f).max()) * largest * r["dim"] < 2**52
-                for i, (key, x) in enumerate(zip(q_ids, q)):
-                    y = x.astype(np.float64)
-                    length = float(np.sqrt(y @ y))
-                    left = _prune(y, length, float(bounds[i]), unit, norms)
-                    left = left[ids[left] != key]
-                    if not len(left):
-                        continue
-                    scores = (f[left] @ y).astype(np.int64) if exact else _products(m[left], x, norms[left] * length)
-                    best = _top(ids[left], scores, k)
-                    best = best[scores[best] >= bounds[i]] if bounds[i] > 0 else best
-                    found[0].append(np.full(len(best), key))
-                    found[1].append(ids[left][best])
-                    found[2].append(scores[best])
-                if found[0]:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in found],
-                                                     ["query_id", "vec_id", "score"])
+            for i in range(b.num_rows):
+                r = b.slice(i, 1).to_pylist()[0]
+                if (r["dim"], r["part"]) != key:
+                    key, held = (r["dim"], r["part"]), []
+                if r["side"] == 0:
+                    held.append(bucket(r))
+                else:
+                    for h in held:
+                        yield from found(r, *h)
     return run
 
 
+def _meet(queries: DataFrame, candidates: DataFrame, parts: int, k: int) -> DataFrame:
+    """The k highest products of every query with each bucket of its part.
+
+    Both sides are dealt out by dimension and part and meet in their task, never in a join: the optimizer goes by the
+    size of the written tables, takes the copies of a block for the table itself and would broadcast them all.
+    """
+    rows = candidates.select("dim", "part", F.lit(0).alias("side"), "ids", "data", F.lit(None).cast("binary").alias("bounds"),
+                             "longest", F.lit(None).cast("long").alias("least"))
+    rows = rows.unionByName(queries.withColumn("side", F.lit(1)).select(*_ROW))
+    rows = rows.repartition(parts, "dim", "part").sortWithinPartitions("dim", "part", "side")
+    return rows.mapInArrow(_score(k), _FOUND)
+
+
 _FOUND = "query_id long, vec_id long, score long"
 
 
@@ -195,29 +230,26 @@ def search(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
     n, n_q = candidates.count(), queries.count()
     buckets, blocks = max(1, -(-n // BUCKET)), max(1, -(-n_q // BLOCK))
     q = keep(_blocks(queries.groupBy("id").agg(F.min("vector").alias("vector")), "q_block", BLOCK, n_q), "queries").select(
-        "q_block", "dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"),
-        F.col("longest").alias("q_longest"))
+        "q_block", "dim", "ids", "data", "longest")
     c = keep(_blocks(candidates, "bucket", BUCKET, n), "candidates")
     # one bucket with the longest vectors of each dimension gives every query its first bound
     first = c.groupBy("dim").agg(F.max_by("bucket", F.struct("longest", "bucket")).alias("bucket"))
-    first = c.join(first, ["dim", "bucket"]).select(
-        "dim", "ids", "data", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_part"))
-    seed = q.withColumn("_part", F.pmod("q_block", F.lit(blocks))).join(first, ["dim", "_part"]) \
-        .withColumn("q_bounds", F.lit(None).cast("binary"))
-    near = _merge(seed.mapInArrow(_score(k), _FOUND), k)
+    first = c.join(F.broadcast(first), ["dim", "bucket"]).withColumn(  # a number for each dimension
+        "part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    seed = q.withColumns({"part": F.pmod("q_block", F.lit(blocks)), "bounds": F.lit(None).cast("binary"),
+                          "least": F.lit(None).cast("long")})
+    near = _merge(_meet(seed, first, blocks, k), k)
     bounds = near.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("bound"))
     q = keep(_with_bounds(q, bounds), "bounded")
     # a block of queries meets every bucket of its dimension that can still matter; the buckets are dealt
     # over as many parts as there are, and each part gets the blocks of queries one after another
-    c = c.withColumn("_part", F.pmod("bucket", F.lit(buckets)))
-    q = q.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    pairs = q.join(c, ["dim", "_part"]).where(
-        F.col("q_longest") * F.col("longest") * (1 + 1e-9) >= F.col("least"))
-    return _merge(pairs.mapInArrow(_score(k), _FOUND), k).select("query_id", "rank", "vec_id", "score")
+    c = c.withColumn("part", F.pmod("bucket", F.lit(buckets)))
+    q = q.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))))
+    return _merge(_meet(q, c, buckets, k), k).select("query_id", "rank", "vec_id", "score")
 
 
 def _with_bounds(q: DataFrame, bounds: DataFrame) -> DataFrame:
-    """Adds q_bounds (one long for each query of the block, 0 where unknown) and ``least``, the lowest of them."""
+    """Adds ``bounds`` (one long for each query of the block, 0 where unknown) and ``least``, the lowest of them."""
     def ids(batches):
         for b in batches:
             blocks = b.column(0).to_pylist()
@@ -228,8 +260,8 @@ def _with_bounds(q: DataFrame, bounds: DataFrame) -> DataFrame:
                 ["q_block", "pos", "id"])
 
     # at most BLOCK rows come together for a block
-    each = q.select("q_block", "q_ids").mapInArrow(ids, "q_block long, pos long, id long") \
-        .join(bounds, "id", "left").select("q_block", "pos", F.coalesce("bound", F.lit(0)).alias("bound"))
+    each = q.select("q_block", "ids").mapInArrow(ids, "q_block long, pos long, id long") \
+        .join(bounds.hint("merge"), "id", "left").select("q_block", "pos", F.coalesce("bound", F.lit(0)).alias("bound"))
     per = each.groupBy("q_block").agg(F.sort_array(F.collect_list(F.struct("pos", "bound"))).alias("b"),
                                       F.min("bound").alias("least"))
 
@@ -237,9 +269,9 @@ def _with_bounds(q: DataFrame, bounds: DataFrame) -> DataFrame:
         for b in batches:
             out = [np.array([x["bound"] for x in r], "<i8").tobytes() for r in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary()), b.column(2)],
-                                             ["q_block", "q_bounds", "least"])
+                                             ["q_block", "bounds", "least"])
 
-    return q.join(per.mapInArrow(packed, "q_block long, q_bounds binary, least long"), "q_block")
+    return q.join(per.mapInArrow(packed, "q_block long, bounds binary, least long").hint("merge"), "q_block")
 
 
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -81,3 +81,19 @@ def test_large_components_and_repeated_query_ids(spark, data_dir):
         found = sorted((-min(max(sum(a * b for a, b in zip(q, v)), lo), hi), j) for j, v in whole if j != i)
         want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(found[:10])]
     assert _got(topk.op9_exact_top_k(spark, data_dir(embeddings=df))) == want
+
+
+def test_no_copies_of_queries_or_buckets_are_broadcast(spark, data_dir, monkeypatch):
+    monkeypatch.setattr(topk, "BUCKET", 16)
+    monkeypatch.setattr(topk, "BLOCK", 3)
+    made, met = [], topk._meet
+    monkeypatch.setattr(topk, "_meet", lambda *a: made.append(met(*a)) or made[-1])
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(i, rng.normal(size=4).tolist(), 0) for i in range(1300)],
+                               "vec_id long, embedding array<float>, label int")
+    found = topk.op9_exact_top_k(spark, data_dir(embeddings=df))
+    for d in (found, made[1]):
+        # each block of queries is copied for each bucket: these copies are shuffled, no join collects them in the driver
+        plan = d._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and "Generate" in plan
+    assert found.count() == 13 * 10
