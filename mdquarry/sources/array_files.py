@@ -1,14 +1,18 @@
 """JSON array files: a committed sink of one array per (split, document), and a reader that splits large arrays.
 
 Sink (A7). :class:`ArrayFiles` is a data source writer. A task streams its
-groups into files of a staging folder of its own and reports their names; the
-driver moves what the committed tasks reported to the final names
-``<split>-<document>-synthetic-data-<run>.json``. A failed or repeated task so
-adds no file, and a run that is written again replaces its files (and clears
-what a killed task may have left in the staging folder).
-
-Reader (A8). A JSON array is cut by Spark's own text source at every comma, so
-one file feeds as many tasks as it has splits. Whether a comma ends an element
+groups into files of a staging folder of its own, lists their names in a file
+there and reports the folder; the driver moves what the committed tasks listed to
+the final names ``<split>-<document>-synthetic-data-<run>.json``, so many names at
+a time. A failed or repeated task so adds no file, and a run that is written again
+replaces its files (and clears what a killed task may have left in the staging
+folder).
+
+Reader (A8). There may be two files for each document, so the folder is listed by
+a task, its files are cut into splits there, and the splits are read by many tasks;
+no file's name passes the driver. (Folders that Arrow's file systems don't know are
+listed and read by Spark's text source.) A split begins after a comma and ends at
+one, so one file feeds as many tasks as it has splits. Whether a comma ends an element
 depends on what came before: on being within a string and on the depth of
 brackets. Each split is summed up for both cases of beginning within a string or
 not (:func:`_summaries`); running sums over the splits of a file then give every
@@ -19,7 +23,14 @@ group-by. A task holds a batch and an element, however large the file is.
 
 from __future__ import annotations
 
+import hashlib
+import io
+import json
+import os
+import re
+import unicodedata
 import uuid
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +45,33 @@ SINK_SCHEMA = "split string, document_name string, part int, record string"
 
 
 class Written(WriterCommitMessage):
-    """Files of a task: (staged path, final name)."""
+    """A task's staging folder, null if it wrote no file; its list ``names`` has the final name of file 0, 1, ..."""
 
-    def __init__(self, files: list[tuple[str, str]]):
-        self.files = files
+    def __init__(self, folder: str | None):
+        self.folder = folder
+
+
+NAMES = 8192  # names that are held at once
+
+
+def _listing(system, root: str):
+    """(path, name, is it a folder) of what lies directly inside a folder; of a local one nothing is held."""
+    from pyarrow import fs
+
+    if isinstance(system, fs.LocalFileSystem):
+        try:
+            with os.scandir(root) as found:
+                for i in found:
+                    yield i.path, i.name, i.is_dir()
+        except FileNotFoundError:
+            pass
+        return
+    for i in system.get_file_info(fs.FileSelector(root, allow_not_found=True)):
+        yield i.path, i.base_name, i.type == fs.FileType.Directory
+
+
+def _digest(name: str) -> bytes:
+    return hashlib.blake2b(name.encode(), digest_size=16).hexdigest().encode()
 
 
 class ArrayFilesWriter(DataSourceArrowWriter):
@@ -58,7 +92,7 @@ class ArrayFilesWriter(DataSourceArrowWriter):
         """Sorted rows (split, document_name, part, record): an array for each group; a null record adds nothing."""
         system, root = file_system(self.path)
         folder = f"{self._staging(root)}/{uuid.uuid4().hex}"
-        files, key, out, empty = [], None, None, True
+        n, key, out, empty, names = 0, None, None, True, None
         try:
             for b in iterator:
                 for split, document, part, record in zip(*(b.column(i).to_pylist() for i in range(4))):
@@ -68,9 +102,11 @@ class ArrayFilesWriter(DataSourceArrowWriter):
                             out.close()
                         else:
                             system.create_dir(folder, recursive=True)
+                            names = system.open_output_stream(f"{folder}/names")
                         key, empty = (split, document, part), True
-                        files.append((f"{folder}/{len(files)}", self._name(*key)))
-                        out = system.open_output_stream(files[-1][0])
+                        names.write(json.dumps(self._name(*key)).encode() + b"\n")
+                        out = system.open_output_stream(f"{folder}/{n}")
+                        n += 1
                         out.write(b"[")
                     if record is not None:
                         out.write((b"\n" if empty else b",\n") + record.encode())
@@ -78,28 +114,38 @@ class ArrayFilesWriter(DataSourceArrowWriter):
             if out is not None:
                 out.write(b"\n]")
                 out.close()
+                names.close()
         except BaseException:
             if out is not None:
                 out.close()
+                names.close()
                 system.delete_dir(folder)
             raise
-        return Written(files)
+        return Written(folder if n else None)
 
     def commit(self, messages: list) -> None:
         from concurrent.futures import ThreadPoolExecutor
 
-        from pyarrow import fs
-
         system, root = file_system(self.path)
         system.create_dir(root, recursive=True)
-        files = [f for m in messages if m is not None for f in m.files]
+        mark = f"-synthetic-data-{self.run}."
+        before = any(mark in name and not folder for _, name, folder in _listing(system, root))
+        now = []
         with ThreadPoolExecutor(16) as pool:
-            list(pool.map(lambda f: system.move(f[0], f"{root}/{f[1]}"), files))
-        # what an earlier writing of this run left and this one didn't write
-        now, mark = {name for _, name in files}, f"-synthetic-data-{self.run}."
-        for i in system.get_file_info(fs.FileSelector(root)):
-            if i.type == fs.FileType.File and mark in i.base_name and i.base_name not in now:
-                system.delete_file(i.path)
+            for folder in (m.folder for m in messages if m is not None and m.folder):
+                with system.open_input_stream(f"{folder}/names") as stream:
+                    lines = enumerate(map(json.loads, io.BufferedReader(stream)))
+                    while some := list(islice(lines, NAMES)):
+                        list(pool.map(lambda f: system.move(f"{folder}/{f[0]}", f"{root}/{f[1]}"), some))
+                        if before:
+                            now.append(np.array([_digest(name) for _, name in some]))
+        if before:  # what an earlier writing of this run left and this one didn't write
+            now = np.sort(np.concatenate([np.zeros(0, "S32"), *now]))
+            for path, name, folder in _listing(system, root):
+                if mark in name and not folder:
+                    at = np.searchsorted(now, _digest(name))
+                    if at == len(now) or now[at] != _digest(name):
+                        system.delete_file(path)
         self._clear(system, root)
 
     def abort(self, messages: list) -> None:
@@ -108,11 +154,9 @@ class ArrayFilesWriter(DataSourceArrowWriter):
 
     def _clear(self, system, root: str) -> None:
         """Deletes the staging folders of this run, also of an earlier try that was killed."""
-        from pyarrow import fs
-
-        for i in system.get_file_info(fs.FileSelector(root, allow_not_found=True)):
-            if i.type == fs.FileType.Directory and i.base_name.startswith(f"_staging-{self.run}-"):
-                system.delete_dir(i.path)
+        for path, name, folder in _listing(system, root):
+            if folder and name.startswith(f"_staging-{self.run}-"):
+                system.delete_dir(path)
 
 
 class ArrayFiles(DataSource):
@@ -137,6 +181,113 @@ def write_arrays(rows: DataFrame, path: str, run: str) -> None:
 
 
 # --- reader -------------------------------------------------------------------------
+SPLIT_BYTES = 32 << 20
+OPEN_BYTES = 32 << 10  # what opening a file counts as
+READ_BYTES = 1 << 20
+_SPLITS = "file string, path string, size long, block long, until long"
+_PIECES = "file string, block long, value string, size long"
+
+
+def _quoted(name: str) -> str:
+    """A file's name as in the paths that Spark's sources give."""
+    return "".join(c if c.isalnum() and c.isascii() or c in "_-!.~'()*;:@&=+$," or (not c.isascii() and unicodedata.category(c)[0] != "Z" and unicodedata.category(c) != "Cc")
+                   else "".join(f"%{x:02X}" for x in c.encode()) for c in name)
+
+
+def _splits(path: str, base: str, split_bytes: int):
+    """The splits of a folder's files, listed by the task that gets a row. Hidden files are left out, as by Spark's sources."""
+    def run(batches):
+        def batch(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["file", "path", "size", "block", "until"])
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            system, root = file_system(path)
+            rows = []
+            for at, name, folder in _listing(system, root):
+                if folder or not name.endswith(".json") or name.startswith(".") or (name.startswith("_") and "=" not in name):
+                    continue
+                size = system.get_file_info(at).size
+                for begin in range(0, size, split_bytes):
+                    rows.append((f"{base}/{_quoted(name)}", at, size, begin, min(size, begin + split_bytes)))
+                    if len(rows) == NAMES:
+                        yield batch(rows)
+                        rows = []
+            if rows:
+                yield batch(rows)
+    return run
+
+
+def _read_split(f, begin: int, until: int):
+    """The text of a split, cut at commas: from the first comma of the split to the first one behind it."""
+    f.seek(begin)
+    started, at, held = begin == 0, begin, []
+    while chunk := f.read(READ_BYTES):
+        a, at = at, at + len(chunk)
+        if not started:
+            i = chunk.find(b",", 0, until - a)
+            if i < 0:
+                if at >= until:
+                    return
+                continue
+            started, a, chunk = True, a + i + 1, chunk[i + 1:]
+        if at > until:
+            i = chunk.find(b",", max(0, until - a))
+            if i >= 0:
+                yield b"".join([*held, chunk[:i]])
+                return
+        i = chunk.rfind(b",")
+        if i >= 0:
+            yield b"".join([*held, chunk[:i]])
+            held = []
+        held.append(chunk[i + 1:])
+    if started:
+        yield b"".join(held)
+
+
+def _read_splits(path: str):
+    """Rows of :func:`_splits` to their pieces, a batch of about ``READ_BYTES`` at a time."""
+    def run(batches):
+        def batch(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                zip(*rows), (pa.string(), pa.int64(), pa.string(), pa.int64()))], ["file", "block", "value", "size"])
+
+        system, _ = file_system(path)
+        rows, held = [], 0
+        for b in batches:
+            for r in b.to_pylist():
+                with system.open_input_file(r["path"]) as f:
+                    for value in _read_split(f, r["block"], r["until"]):
+                        rows.append((r["file"], r["block"], value.decode(), r["size"]))
+                        held += len(value)
+                        if held >= READ_BYTES or len(rows) == NAMES:
+                            yield batch(rows)
+                            rows, held = [], 0
+        if rows:
+            yield batch(rows)
+    return run
+
+
+def _pieces(spark: SparkSession, path: str, split_bytes: int | None) -> DataFrame | None:
+    """file, block, value, size: pieces of a folder's files, in the order of each split; null if Arrow can't list it."""
+    from pyarrow import fs
+
+    try:
+        system, root = file_system(path)
+        if system.get_file_info(root).type != fs.FileType.Directory:
+            return None
+    except (OSError, ValueError, pa.ArrowException):
+        return None
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(folder).getPath()
+    base = re.sub("^file:/+", "file:/", folder.toUri().toString()).rstrip("/")
+    splits = _kept(spark.range(0, 1, 1, 1).mapInArrow(_splits(path, base, split_bytes or SPLIT_BYTES), _SPLITS))
+    cost = splits.agg(F.sum(F.col("until") - F.col("block") + OPEN_BYTES)).first()[0] or 0
+    splits = splits.repartition(max(1, -(-cost // SPLIT_BYTES)), "file", "block")
+    return splits.mapInArrow(_read_splits(path), _PIECES)
+
+
 _QUOTE, _SLASH, _COMMA, _OPEN, _CLOSE = 34, 92, 44, (91, 123), (93, 125)
 
 
@@ -292,14 +443,16 @@ def read_arrays(spark: SparkSession, path: str, split_bytes: int | None = None)
     files: file, is_array, complete: one closed array and nothing beside it. Files
     without any text are not among them.
     """
+    pieces = _pieces(spark, path, split_bytes)
     r = spark.read.option("pathGlobFilter", "*.json").option("lineSep", ",")
     if split_bytes:  # (as the files are listed, so an option of the session)
         before = spark.conf.get("spark.sql.files.maxPartitionBytes")
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
     try:
-        pieces = r.text(path).select(F.col("_metadata.file_path").alias("file"),
-                                     F.col("_metadata.file_block_start").alias("block"), "value",
-                                     F.col("_metadata.file_size").alias("size"))
+        if pieces is None:
+            pieces = r.text(path).select(F.col("_metadata.file_path").alias("file"),
+                                         F.col("_metadata.file_block_start").alias("block"), "value",
+                                         F.col("_metadata.file_size").alias("size"))
         summed = pieces.mapInArrow(
             _summaries, "file string, block long, bytes long, size long, head string, parity long, delta array<long>, "
                         "commas array<array<struct<depth:long,n:long>>>")

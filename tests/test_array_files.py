@@ -124,3 +124,31 @@ def test_statistics_of_the_writing_pass_equal_the_query(spark, small_corpus, tmp
     assert {f"{t}/{d}": n for (t, d), n in want.items()} == {k: v for k, v in stats.items() if "/" in k}
     names = small_corpus.docs.select("document_name").count()
     assert len(os.listdir(tmp_path)) == 2 * names
+
+
+def test_names_of_files_do_not_pass_the_driver(spark, tmp_path, monkeypatch):
+    """The commit holds folders of tasks, the reader's plan has no scan of files that the driver lists."""
+    monkeypatch.setattr(af, "NAMES", 3)
+    told, commit = [], af.ArrayFilesWriter.commit
+    w = af.ArrayFilesWriter({"path": str(tmp_path), "run": "r"})
+    import pyarrow as pa
+    rows = pa.RecordBatch.from_pylist([{"split": "train", "document_name": f"d{i}\n/é %", "part": 0, "record": "[1, 2]"} for i in range(20)])
+    told = [w.write(iter([rows.slice(0, 10)])), w.write(iter([])), w.write(iter([rows.slice(10)]))]
+    assert all(len(repr(vars(m))) < 300 for m in told) and told[1].folder is None
+    commit(w, told)
+    ends = "-synthetic-data-r.json"
+    assert sorted(os.listdir(tmp_path)) == sorted(f"train-d{i}\n%2Fé %{ends}" for i in range(20))
+    again = af.ArrayFilesWriter({"path": str(tmp_path), "run": "r"})
+    commit(again, [again.write(iter([rows.slice(4, 9)]))])
+    assert sorted(os.listdir(tmp_path)) == sorted(f"train-d{i}\n%2Fé %{ends}" for i in range(4, 13))
+    for hidden in ("_x.json", ".y.json", "z.txt"):
+        (tmp_path / hidden).write_text("[]")
+    (tmp_path / "none.json").write_text("")
+    (tmp_path / "folder.json").mkdir()
+    elements, files = af.read_arrays(spark, str(tmp_path), 4)
+    seen = {r.file for r in spark.read.option("pathGlobFilter", "*.json").text(str(tmp_path)).selectExpr("_metadata.file_path file").collect()}
+    assert {r.file for r in files.collect()} == seen == {r.file for r in elements.collect()} and len(seen) == 9
+    assert all(r.is_array and r.complete for r in files.collect())
+    pieces = af._pieces(spark, str(tmp_path), 4)
+    assert "Scan text" not in pieces._jdf.queryExecution().executedPlan().toString()
+    assert pieces.where("block > 0").count() > 0
