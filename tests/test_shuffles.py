@@ -155,3 +155,31 @@ def test_sections_are_dealt_out_once_for_their_neighbours(spark):
         assert (2, 1, 1, 3, 1.0 if bounds else 0.949) in got and (2, 2, 1, 1, 0.0) in got and not any(g[0] == 3 for g in got)
         # of document 1 only two terms stay, red is counted once less than blue and green (cut after 9 characters)
         assert ((1, 1, 1, 2, 1.0) in got) == bool(bounds)
+
+
+def test_sections_are_dealt_out_once_for_their_term_weights(spark, monkeypatch):
+    from math import log, sqrt
+
+    from mdquarry.operators import neighbours as nb
+    texts = {d: ["red green red", None, "green blue", "the", "blue ab"][:2 + d % 4] for d in range(1, 9)}
+    s = _sections(spark, texts)
+    found = nb.Neighbours(s).term_weights()
+    # sections by document, no row for each term is shuffled; documents of several blocks count terms by block
+    assert len(re.findall("Exchange hashpartitioning", _plan(found))) == 1
+    monkeypatch.setattr(nb, "WORD_BYTES", 30)
+
+    def rows(d):
+        return sorted((r.doc_id, r.section_idx, r.term, r.tf, round(r.idf, 9), round(r.weight, 9)) for r in d.collect())
+
+    want = []
+    for d, t in texts.items():
+        words = [[w for w in (x or "").split() if w != "the"] for x in t]
+        for i, ws in enumerate(words, 1):
+            idf = {w: log((1 + len(t)) / (1 + sum(w in x for x in words))) + 1 for w in ws}
+            norm = sqrt(sum((ws.count(w) * idf[w]) ** 2 for w in idf))
+            want += [(d, i, w, ws.count(w), round(idf[w], 9), round(ws.count(w) * idf[w] / norm, 9)) for w in idf]
+    assert rows(found) == rows(nb.Neighbours(s, block_size=2).term_weights()) == sorted(want)
+    # document 3 has red, green and blue twice: ties by term
+    few = rows(nb.Neighbours(s, max_terms=2, block_size=2).term_weights())
+    assert few == rows(nb.Neighbours(s, max_terms=2).term_weights())
+    assert {(d, w) for d, _, w, *_ in few if d == 3} == {(3, "blue"), (3, "green")}
