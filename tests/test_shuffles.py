@@ -183,3 +183,33 @@ def test_sections_are_dealt_out_once_for_their_term_weights(spark, monkeypatch):
     few = rows(nb.Neighbours(s, max_terms=2, block_size=2).term_weights())
     assert few == rows(nb.Neighbours(s, max_terms=2).term_weights())
     assert {(d, w) for d, _, w, *_ in few if d == 3} == {(3, "blue"), (3, "green")}
+
+
+def test_texts_of_neighbours_are_not_dealt_out_by_fact(spark):
+    from mdquarry.operators import neighbours as nb
+    from mdquarry.plans.corpus import Corpus
+
+    words = ["red", "green", "blue", "old", "new", "iron"]
+    raw = {d: "\n\n".join(f"# Title {i}\n\nThe {words[i % 6]} thing {words[i * d % 6]} is here. Another {words[(i + d) % 6]} fact, that is {i}."
+                          for i in range(n)) for d, n in ((1, 1), (2, 3), (3, 7), (4, 4))}
+    docs = [(d, f"doc {d}", raw[d]) for d in raw] + [(2, "doc 2", raw[2]), (4, "again", raw[3][:160])]  # ids that come twice
+    md = spark.createDataFrame(docs, "doc_id long, document_name string, raw string")
+    none = spark.createDataFrame([], "path string")
+    found = []
+    for block in (512, 5):
+        c = Corpus(md, manifest_df=none, block_size=block)
+        plan = c.requests._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        dealt = [x for x in re.findall(r"\) Exchange\nInput \[\d+\]: (.*)", plan) if "fact_neighbour_text" in x]
+        assert block < 512 or ("fact_neighbour_text" in plan and not dealt)
+        rows = c.requests.collect()
+        found.append(sorted((r.request_id, r.document_name, r.prompt, r.unit_size, r.batch_id) for r in rows))
+        text = {tuple(r[:3]): r.neighbour_text for r in nb.neighbour_context(
+            c.fact_neighbours, c.sections, ["doc_id", "section_idx", "fact_number"]).select(
+            "doc_id", "section_idx", "fact_number", "neighbour_text").collect()}
+        facts = [r for r in rows if r.question_type == "FACT_BASED"]
+        assert len({(r.doc_id, r.section_idx, r.fact_number) for r in facts}) == 2 * (1 + 3 + 7 + 4)
+        for r in facts:
+            near = text.get((r.doc_id, r.section_idx, r.fact_number), "No additional relevant sections found")
+            assert f"Related sections:\n{near}\n\nFact:\n" in r.prompt
+        c.unpersist()
+    assert found[0] == found[1] and len(found[0]) > len(set(found[0]))
