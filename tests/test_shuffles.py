@@ -213,3 +213,25 @@ def test_texts_of_neighbours_are_not_dealt_out_by_fact(spark):
             assert f"Related sections:\n{near}\n\nFact:\n" in r.prompt
         c.unpersist()
     assert found[0] == found[1] and len(found[0]) > len(set(found[0]))
+
+
+def test_units_of_one_request_are_counted_in_one_window_and_sorted_once(spark):
+    req = spark.createDataFrame([("s1", 1, "d", 1, None, "SUMMARY", "easy", True, 1)], REQUESTS)
+    plan = _plan(rs.settled(req, spark.createDataFrame([("s1", 1, OK)], rs.RESPONSE_SCHEMA)))
+    # the repeated requests' rows are numbered before the join; after it the answers are neither sorted nor dealt again
+    assert len(re.findall(r"\bWindow \[", plan)) == 4 and len(re.findall(r"Window \[.*windowspecdefinition\(request_id#\d+, spec", plan)) == 1
+    assert plan.count("Sort [doc_id") == 1
+
+
+def test_keys_are_looked_for_where_values_miss(spark):
+    texts = {'{"question":"q","answer":"a","question_images":[]}': ("ok", [], True, True),
+             '{"question":"q","answer":"a"}': ("ok", [], True, True), '{"question":null,"answer":"a"}': ("ok", [], True, True),
+             '{"question":"q"}': ("ok", [], True, False), '{"Question":"q","answer":"a"}': ("ok", [], False, True),
+             '{"question":"q","answer":"a","question_images":["x","y"],"z":"NaN"}': ("ok", ["x", "y"], True, True),
+             '{"question":"q","answer":"a","question_images":[],"z":NaN}': ("ok", [], None, None),
+             '{"question":"q","answer":"a","question_images":["x",nul]}': ("ok", [], None, None),
+             "{'question':'q'}": ("bad_json", None, None, None), "{\x07}": ("bad_json", None, None, None),
+             "{}": ("ok", [], False, False), "none": ("no_json", None, None, None)}
+    d = rs.parse(spark.createDataFrame([(t, 1, t) for t in texts], rs.RESPONSE_SCHEMA))
+    assert {r.request_id: (r.status, r.question_images, r.has_question, r.has_answer) for r in d.collect()} == texts
+    assert "RLIKE" in d._jdf.queryExecution().optimizedPlan().toString()  # what is no object is not parsed
