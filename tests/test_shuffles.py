@@ -235,3 +235,27 @@ def test_keys_are_looked_for_where_values_miss(spark):
     d = rs.parse(spark.createDataFrame([(t, 1, t) for t in texts], rs.RESPONSE_SCHEMA))
     assert {r.request_id: (r.status, r.question_images, r.has_question, r.has_answer) for r in d.collect()} == texts
     assert "RLIKE" in d._jdf.queryExecution().optimizedPlan().toString()  # what is no object is not parsed
+
+
+def test_attempts_alone_are_settled_without_texts(spark):
+    from mdquarry.plans.queries import DerivedCorpus
+    from mdquarry.sources.fixtures import md_documents
+
+    docs = spark.createDataFrame([(5, "One line here.\nAnother line. And more.", "en", "src"),
+                                  (6, "A line.\nOther words. More of them.", "en", "src")],
+                                 "doc_id long, text string, lang string, source string")
+    found = []
+    for pairs_first in (False, True):
+        c, written = DerivedCorpus(md_documents(docs)), []
+        keep = c._keep
+        c._keep = lambda df, name="stage": written.append((name, df.columns)) or keep(df, name)
+        if pairs_first:
+            assert c.qa.count() > 0
+        rows = [sorted(map(repr, d.collect())) for d in (c.firsts, c.failures, c.still_failing)]
+        names = [n for n, _ in written]
+        assert names == ["docs", "manifest", "section_facts", *(["answered"] if pairs_first else []), "units", "firsts",
+                         *(["qa"] if pairs_first else [])]
+        assert not {"question", "answer"} & set(dict(written)["units"])
+        found.append((*rows, sorted(map(repr, c.qa.collect()))))
+        c.unpersist()
+    assert found[0] == found[1] and found[0][0] and found[0][1] and found[0][3]
