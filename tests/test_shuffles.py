@@ -223,7 +223,7 @@ def test_units_of_one_request_are_counted_in_one_window_and_sorted_once(spark):
     assert plan.count("Sort [doc_id") == 1
 
 
-def test_keys_are_looked_for_where_values_miss(spark):
+def test_texts_that_begin_as_no_object_are_not_parsed(spark):
     texts = {'{"question":"q","answer":"a","question_images":[]}': ("ok", [], True, True),
              '{"question":"q","answer":"a"}': ("ok", [], True, True), '{"question":null,"answer":"a"}': ("ok", [], True, True),
              '{"question":"q"}': ("ok", [], True, False), '{"Question":"q","answer":"a"}': ("ok", [], False, True),
@@ -231,6 +231,9 @@ def test_keys_are_looked_for_where_values_miss(spark):
              '{"question":"q","answer":"a","question_images":[],"z":NaN}': ("ok", [], None, None),
              '{"question":"q","answer":"a","question_images":["x",nul]}': ("ok", [], None, None),
              "{'question':'q'}": ("bad_json", None, None, None), "{\x07}": ("bad_json", None, None, None),
+             '{"question":"q","question":[nul],"answer":"a","question_images":["x"]}': ("ok", ["x"], None, None),
+             '{"question":[nul],"question":"q","answer":"a","question_images":["x"]}': ("ok", ["x"], None, None),
+             "{ \t\r\n}": ("ok", [], False, False), "{\x0b}": ("bad_json", None, None, None),
              "{}": ("ok", [], False, False), "none": ("no_json", None, None, None)}
     d = rs.parse(spark.createDataFrame([(t, 1, t) for t in texts], rs.RESPONSE_SCHEMA))
     assert {r.request_id: (r.status, r.question_images, r.has_question, r.has_answer) for r in d.collect()} == texts
